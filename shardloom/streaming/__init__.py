@@ -1,0 +1 @@
+"""No streaming jobs: the catalog's incremental work is batch anti-joins on content hashes."""
