@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality, reshard, toxicity
+from . import licenses, quality, reshard, toxicity, warc
+from ._store import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,12 @@ def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.digests(warc.read_pages(spark, path))
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select(
@@ -33,5 +40,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_reshard": op3_reshard, "op8_licenses": op8_licenses, "op9_quality": op9_quality}
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_reshard": op3_reshard, "op6_warc": op6_warc, "op8_licenses": op8_licenses, "op9_quality": op9_quality}
 ORACLES: dict[str, str] = {}

@@ -29,14 +29,24 @@ from .quality import bucket, labelled_rows
 
 _ENDS = np.zeros(256, bool)
 _ENDS[list(b".!?\n")] = True
+STEMS = (4, 5, 6, 7)
 
 
 def sentence_words(data: np.ndarray, offsets: np.ndarray, bits: int) -> tuple[np.ndarray, ...]:
-    """(word slot, its sentence; start, end, document of each sentence): sentences end at . ! ? or a line's end."""
+    """(feature slot, its sentence; start, end, document of each sentence): sentences end at . ! ? or a line's end.
+
+    Features are whole words and, for stems, the word beginnings of 4 to 7 bytes.
+    """
     s_start, s_end, s_doc = words(data, offsets, _ENDS)
     start, end, _ = words(data, offsets, MARK)
-    slot = (span_hash(prefix_hash(LOWER[data]), start, end) >> np.uint64(64 - bits)).astype(np.int64)
-    return slot, np.searchsorted(s_start, start, side="right") - 1, s_start, s_end, s_doc
+    sentence = np.searchsorted(s_start, start, side="right") - 1
+    prefix = prefix_hash(LOWER[data])
+    hashes, owner = [span_hash(prefix, start, end)], [sentence]
+    for n in STEMS:
+        longer = end - start > n
+        hashes.append(span_hash(prefix, start[longer], start[longer] + n) ^ np.uint64(n))
+        owner.append(sentence[longer])
+    return (np.concatenate(hashes) >> np.uint64(64 - bits)).astype(np.int64), np.concatenate(owner), s_start, s_end, s_doc
 
 
 def softplus(x: np.ndarray) -> np.ndarray:
@@ -58,10 +68,10 @@ class Model:
         return np.bincount(sentence, weights=self.weights[slot], minlength=n) + self.bias
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: int, least: int = 4, most_words: int = 20_000, steps: int = 200, rate: float = 0.15, decay: float = 2e-4) -> Model:
+def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: int, least: int = 5, most_words: int = 1500, steps: int = 150, rate: float = 0.15, decay: float = 5e-3) -> Model:
     """Full-batch Adam on the bags' likelihood. A bag is (word slots, their sentences, number of sentences).
 
-    Words seen in fewer than ``least`` documents, and beyond the ``most_words`` that differ most
+    Features seen in fewer than ``least`` documents, and beyond the ``most_words`` that differ most
     between the classes, keep weight 0.
     """
     model = Model(bits)
@@ -105,7 +115,7 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: i
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits: int = 18, max_docs: int = 8000, max_bytes: int = 20_000, **options) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits: int = 18, max_docs: int = 6000, max_bytes: int = 6000, **options) -> Model:
     """Learn from labelled rows outside fold ``out``: a sample of at most ``max_docs`` documents."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length("text").alias("size")).filter(F.col("size").between(1, max_bytes))
     sample = labelled_rows(ids, labels, "toxic", F.coalesce(bucket("doc_id", folds) != out, F.lit(False)))
@@ -119,8 +129,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits:
             slot, sentence, s_start, _, s_doc = sentence_words(data, offsets, bits)
             n = np.bincount(s_doc, minlength=len(batch))
             first = np.cumsum(n) - n
+            order = np.argsort(sentence, kind="stable")
+            slot, sentence = slot[order], sentence[order]
             of = s_doc[sentence] if len(sentence) else sentence
-            rows = [(slot[of == d].astype(np.int32).tobytes(), (sentence[of == d] - first[d]).astype(np.int32).tobytes()) for d in range(len(batch))]
+            cut = np.searchsorted(of, np.arange(len(batch) + 1))
+            slot, inner = slot.astype(np.int32), (sentence - first[of]).astype(np.int32)
+            rows = [(slot[a:b].tobytes(), inner[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array(n, pa.int64()), batch.column(1)], names=["slots", "sentences", "n", "y"])
 
     got = texts.select("text", "y").mapInArrow(bag, "slots binary, sentences binary, n long, y double").toArrow()
