@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, quality, reshard, toxicity, warc
-from ._store import scratch
+from . import licenses, packing, quality, reshard, simhash, toxicity, warc
+from ._store import materialize, scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,15 @@ def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Also ``n_within_3``: for the query set doc_id % 100 = 0, the other documents within 3 bits, found by block tables."""
+    rows = materialize(simhash.fingerprint_and_follow(table(spark, sf_dir, "documents")), "op4")
+    prints = rows.select("doc_id", F.conv("fingerprint", 16, -10).cast("long").alias("fingerprint"))
+    asked = prints.filter("doc_id % 100 = 0").select(F.col("doc_id").alias("query"), "fingerprint")
+    found = simhash.neighbours(asked, prints, radius=3).groupBy(F.col("query").alias("doc_id")).agg((F.sum("n") - 1).alias("n_within_3"))
+    return rows.join(found, "doc_id", "left")
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -40,5 +49,15 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_reshard": op3_reshard, "op6_warc": op6_warc, "op8_licenses": op8_licenses, "op9_quality": op9_quality}
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op6_warc": op6_warc, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing}
 ORACLES: dict[str, str] = {}
