@@ -76,6 +76,11 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * up[start] + (end - start).astype(U) * U(0xA24BAED4963EE407))
 
 
+def window_hashes(prefix: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every ``width`` consecutive bytes, as ``span_hash`` gives it."""
+    return mix((prefix[width:] - prefix[:-width]) * _powers("up", _B, len(prefix))[: len(prefix) - width] + U(width * 0xA24BAED4963EE407 & (1 << 64) - 1))
+
+
 def words(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, document index) of every word; words never cross documents."""
     if not len(data):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, packing, quality, reshard, simhash, toxicity, warc
+from . import jaccard_join, licenses, packing, quality, reshard, simhash, suffix_dedup, toxicity, warc
 from ._store import materialize, scratch
 
 
@@ -18,6 +18,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted", F.size("offending").cast("long").alias("n_offending"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_report(table(spark, sf_dir, "documents"), length=100).drop("spans")
+
+
 def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed, _ = reshard.reshard(table(spark, sf_dir, "documents"), 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard")
@@ -38,6 +42,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digests(warc.read_pages(spark, path))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_components(table(spark, sf_dir, "documents"), width=5, num=75, den=100)
+
+
 def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
     return found.select(
@@ -59,5 +67,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op6_warc": op6_warc, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing}
 ORACLES: dict[str, str] = {}
