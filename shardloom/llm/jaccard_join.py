@@ -240,3 +240,15 @@ def similar_components(docs: DataFrame, width: int = 5, num: int = 75, den: int
     out = rows.join(labels, ["d1", "d2", "n"], "left")
     own = F.when((F.col("n") == 0) | F.col("component_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+
+
+def keep_representatives(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100, **options) -> DataFrame:
+    """``docs`` without the rows linked, directly or over others, to a document of a smaller id; columns and values as they were.
+
+    What goes is a table of ids; it is broadcast when small, and joined by id otherwise.
+    """
+    found = similar_components(docs, width, num, den, **options)
+    gone = materialize(found.filter("component_id <> doc_id").select("doc_id").distinct(), "jaccard-gone")
+    own = F.col("doc_id").cast("long")
+    other = gone.select(F.col("doc_id").alias("gone_id"))
+    return docs.join(F.broadcast(other) if gone.count() <= 1_000_000 else other, own == F.col("gone_id"), "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, licenses, packing, quality, reshard, simhash, suffix_dedup, toxicity, warc
+from . import decontaminate, jaccard_join, licenses, packing, quality, reshard, simhash, suffix_dedup, toxicity, warc
 from ._store import materialize, scratch
 
 
@@ -36,6 +36,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(found, "doc_id", "left")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each pair of a document and a test item found in it."""
+    return decontaminate.find_contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path)
@@ -67,5 +72,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op5_decontamination": op5_decontamination, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing}
 ORACLES: dict[str, str] = {}
