@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from . import catalog, images, shipping
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+QUERIES = catalog.QUERIES | shipping.QUERIES | images.QUERIES
+ORACLES = catalog.ORACLES | shipping.ORACLES | images.ORACLES
