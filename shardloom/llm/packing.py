@@ -37,49 +37,73 @@ _TAIL = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
 class Tokens:
     """Ids of a text from the ids of its parts between ASCII white space, which no token crosses.
 
-    Parts and words are cached up to ``most`` entries each; a part of letters and trailing marks is two words.
+    Parts and words are cached up to ``most`` entries each. A part of letters and trailing marks is two
+    words, each one unit of the tokenizer's pattern whose last id is one that ends a word; so many such
+    words are encoded as one text and cut apart at those ids.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 500_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 65_537, bool)
+        if suffix:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
         self.parts: dict[bytes, bytes] = {}
         self.words: dict[bytes, bytes] = {}
 
-    def _encode(self, missing: list[bytes]) -> None:
-        for i in range(0, len(missing), 512):
-            some = missing[i : i + 512]
-            for w, e in zip(some, self.tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False), strict=True):
+    def _one_by_one(self, words: list[bytes]) -> None:
+        for i in range(0, len(words), 256):
+            some = words[i : i + 256]
+            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False), strict=True):
                 self.words[w] = np.array(e.ids, self.kind).tobytes()
 
+    def _together(self, words: list[bytes]) -> None:
+        for i in range(0, len(words), 512):
+            some = words[i : i + 512]
+            ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, self.kind)
+            cut = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
+            if len(cut) != len(some):
+                self._one_by_one(some)
+                continue
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(some, cut.tolist(), strict=True):
+                self.words[w] = raw[at:end]
+                at = end
+
     @staticmethod
-    def _split(part: bytes) -> tuple[bytes, bytes]:
+    def _split(part: bytes) -> tuple[bytes, bytes, bool]:
+        """(word, trailing marks, whether both are units of the pattern)."""
         word = part.rstrip(_TAIL)
-        if word and len(word) < len(part):
-            text = word.decode("utf-8", "surrogatepass")
-            if text.isalpha() and max(text) < "ɐ":
-                return word, part[len(word) :]
-        return part, b""
+        if not word:
+            return part, b"", True
+        text = word.decode("utf-8", "surrogatepass")
+        if text.isalpha() and max(text) < "\u0250":
+            return word, part[len(word) :], True
+        return part, b"", False
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian bytes of ``kind``."""
         split = [t.split() for t in texts]
-        missing = {p for s in split for p in s if p not in self.parts}
+        missing = set().union(*split).difference(self.parts)
         if missing:
             if len(self.parts) + len(missing) > self.most:
                 self.parts.clear()
-                missing = {p for s in split for p in s}
-            if len(self.words) + len(missing) > self.most:
+                missing = set().union(*split)
+            if len(self.words) + 2 * len(missing) > self.most:
                 self.words.clear()
             halves = {p: self._split(p) for p in missing}
-            self._encode([w for w in {w for pair in halves.values() for w in pair if w} if w not in self.words])
-            for p, (w, tail) in halves.items():
-                self.parts[p] = self.words[w] + (self.words[tail] if tail else b"")
+            units = {w for word, tail, unit in halves.values() if unit for w in (word, tail) if w}
+            self._together(sorted(units.difference(self.words)))
+            self._one_by_one(sorted({word for word, _, unit in halves.values() if not unit}.difference(self.words)))
+            for p, (word, tail, _) in halves.items():
+                self.parts[p] = self.words[word] + (self.words[tail] if tail else b"")
         get = self.parts.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
