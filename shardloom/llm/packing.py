@@ -16,6 +16,7 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from itertools import pairwise
@@ -27,22 +28,35 @@ from pyspark.sql import functions as F
 
 from ._ranges import partitions, range_of, split_points
 from ._store import materialize, small_batches
-from ._text import mix
+from ._text import BLANK, LOWER, buffer, mix, prefix_hash, ragged, span_hash, words
 
 U = np.uint64
-#: Trailing characters that the tokenizer's pattern never joins to letters (the apostrophe may begin a suffix).
-_TAIL = b"!\"#$%&()*+,-./:;=?@[\\]^_`{|}~"
+
+def _bytes_in(*ranges: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a : b + 1] = True
+    return out
+
+
+#: Bytes of letters in a plain part: ASCII letters and two-byte characters.
+_LETTER = _bytes_in((65, 90), (97, 122), (128, 255))
+#: Bytes that make a part not plain: the apostrophe, which may begin a suffix, and leading bytes of characters outside U+00C0 to U+023F.
+_ODD = _bytes_in((39, 39), (0, 8), (14, 31), (127, 127), (0xC0, 0xC2), (0xC9, 0xFF))
+_NO_MARK = re.compile(rb"[0-9]")
 
 
 class Tokens:
-    """Ids of a text from the ids of its parts between ASCII white space, which no token crosses.
+    """Ids of texts from the ids of their units, which no token crosses.
 
-    Parts and words are cached up to ``most`` entries each. A part of letters and trailing marks is two
-    words, each one unit of the tokenizer's pattern whose last id is one that ends a word; so many such
-    words are encoded as one text and cut apart at those ids.
+    Parts between ASCII white space are units. A plain part, of ASCII and letters below U+0240 without apostrophes, is cut further where
+    letters meet other characters, as the tokenizer's pattern does, and its ASCII letters are lower-cased, as the
+    tokenizer does. Units are told apart by a 64-bit hash of their bytes and their length; a batch looks up each
+    distinct one once. Runs of letters or of marks are one unit of the pattern, whose last id is one that ends a word; so many of them
+    are encoded as one text and cut apart at those ids. Up to ``most`` units are cached.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 600_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,60 +66,99 @@ class Tokens:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.kind = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or ""
-        self.ends = np.zeros(max(vocabulary.values(), default=0) + 65_537, bool)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
-        self.parts: dict[bytes, bytes] = {}
-        self.words: dict[bytes, bytes] = {}
-
-    def _one_by_one(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 256):
-            some = words[i : i + 256]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in some], add_special_tokens=False), strict=True):
-                self.words[w] = np.array(e.ids, self.kind).tobytes()
-
-    def _together(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 512):
-            some = words[i : i + 512]
+        self.odd = _ODD.copy()
+        for token in self.tokenizer.get_added_tokens_decoder().values():
+            self.odd[token.content.encode()[0]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        self.rows: dict[int, int] = {}
+        self.store = np.zeros(1 << 20, self.kind)
+        self.first = np.zeros(self.most + 1, np.int64)
+
+    def _one_by_one(self, units: list[bytes]) -> list[bytes]:
+        out = []
+        for i in range(0, len(units), 256):
+            out += [np.array(e.ids, self.kind).tobytes() for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "surrogatepass") for w in units[i : i + 256]], add_special_tokens=False)]
+        return out
+
+    def _together(self, units: list[bytes]) -> list[bytes]:
+        out = []
+        for i in range(0, len(units), 512):
+            some = units[i : i + 512]
             ids = np.array(self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)[0].ids, self.kind)
-            cut = (np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize
+            cut = ((np.flatnonzero(self.ends[ids]) + 1) * self.kind.itemsize).tolist()
             if len(cut) != len(some):
-                self._one_by_one(some)
+                out += self._one_by_one(some)
                 continue
-            raw, at = ids.tobytes(), 0
-            for w, end in zip(some, cut.tolist(), strict=True):
-                self.words[w] = raw[at:end]
-                at = end
-
-    @staticmethod
-    def _split(part: bytes) -> tuple[bytes, bytes, bool]:
-        """(word, trailing marks, whether both are units of the pattern)."""
-        word = part.rstrip(_TAIL)
-        if not word:
-            return part, b"", True
-        text = word.decode("utf-8", "surrogatepass")
-        if text.isalpha() and max(text) < "\u0250":
-            return word, part[len(word) :], True
-        return part, b"", False
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of each text as little-endian bytes of ``kind``."""
-        split = [t.split() for t in texts]
-        missing = set().union(*split).difference(self.parts)
-        if missing:
-            if len(self.parts) + len(missing) > self.most:
-                self.parts.clear()
-                missing = set().union(*split)
-            if len(self.words) + 2 * len(missing) > self.most:
-                self.words.clear()
-            halves = {p: self._split(p) for p in missing}
-            units = {w for word, tail, unit in halves.values() if unit for w in (word, tail) if w}
-            self._together(sorted(units.difference(self.words)))
-            self._one_by_one(sorted({word for word, _, unit in halves.values() if not unit}.difference(self.words)))
-            for p, (word, tail, _) in halves.items():
-                self.parts[p] = self.words[word] + (self.words[tail] if tail else b"")
-        get = self.parts.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+            raw = ids.tobytes()
+            out += [raw[a:b] for a, b in zip([0, *cut[:-1]], cut, strict=True)]
+        return out
+
+    def _learn(self, hashes: np.ndarray, units: list[bytes], plain: np.ndarray) -> None:
+        """Add rows for these units; a plain one with a digit is several units of the pattern."""
+        single = plain & np.array([not _NO_MARK.search(u) for u in units], bool)
+        order = np.concatenate([np.flatnonzero(single), np.flatnonzero(~single)])
+        k, n = int(single.sum()), len(self.rows)
+        ids = self._together([units[i] for i in order[:k]]) + self._one_by_one([units[i] for i in order[k:]])
+        bounds = self.first[n] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize)
+        if n + len(ids) + 1 > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros(n + len(ids), np.int64)])
+        if bounds[-1] > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros(int(bounds[-1]), self.kind)])
+        self.store[self.first[n] : bounds[-1]] = np.frombuffer(b"".join(ids), self.kind)
+        self.first[n + 1 : n + 1 + len(ids)] = bounds
+        self.rows.update(zip(hashes[order].tolist(), range(n, n + len(ids)), strict=True))
+
+    def _units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(bytes, start, end, document, whether plain) of every unit."""
+        start, end, doc = words(data, offsets, BLANK)
+        odd = self.odd[data]
+        odd[1:] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))  # the multiplication and division signs
+        odd[1:] |= (data[:-1] == 0xC4) & (data[1:] == 0xB0)  # the dotted capital I, whose lower case has a mark
+        count = np.concatenate([[0], np.cumsum(odd)])
+        plain = count[end] == count[start]
+        letter = _LETTER[data]
+        edge = np.flatnonzero(letter[1:] != letter[:-1]) + 1
+        part = np.searchsorted(start, edge, side="right") - 1
+        ok = part >= 0
+        edge, part = edge[ok], part[ok]
+        inner = plain[part] & (edge > start[part]) & (edge < end[part])
+        edge, part = edge[inner], part[inner]
+        first = np.concatenate([start, edge])
+        order = np.argsort(first, kind="stable")
+        owner = np.concatenate([np.arange(len(start)), part])[order]
+        first = first[order]
+        last = np.append(first[1:], 0)
+        whole = np.append(owner[1:] != owner[:-1], True)
+        last[whole] = end[owner[whole]]
+        step = np.zeros(len(data) + 1, np.int8)
+        step[start[plain]] += 1
+        step[end[plain]] -= 1
+        low = np.where(np.cumsum(step[:-1], dtype=np.int8) > 0, LOWER[data], data)
+        return low, first, last, doc[owner], plain[owner]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, bounds) of the texts of a buffer."""
+        n = len(offsets) - 1
+        if BLANK[data].all():
+            return np.zeros(0, self.kind), np.zeros(n + 1, np.int64)
+        data, start, end, doc, plain = self._units(data, offsets)
+        found, at, back = np.unique(span_hash(prefix_hash(data), start, end) ^ plain.astype(U), return_index=True, return_inverse=True)
+        if len(self.rows) + len(found) > self.most:
+            self._clear()
+        names = found.tolist()
+        missing = np.array([i for i, x in enumerate(names) if x not in self.rows], np.int64)
+        if len(missing):
+            raw, where = data.tobytes(), at[missing]
+            self._learn(found[missing], [raw[x:y] for x, y in zip(start[where].tolist(), end[where].tolist(), strict=True)], plain[where])
+        row = np.fromiter(map(self.rows.__getitem__, names), np.int64, len(names))[back]
+        size = self.first[row + 1] - self.first[row]
+        unit, j = ragged(size)
+        return self.store[self.first[row][unit] + j], np.concatenate([[0], np.cumsum(np.bincount(doc, weights=size, minlength=n))]).astype(np.int64)
 
 
 _LOADED: dict[str, Tokens] = {}
@@ -147,40 +200,47 @@ def hilbert(x: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def vectors(ids: list[np.ndarray], width: int, dimensions: int, seed: int = 11) -> np.ndarray:
-    """Hashed, damped and normalized token counts, projected to ``dimensions``."""
+def vectors(ids: np.ndarray, bounds: np.ndarray, width: int, dimensions: int, seed: int = 11) -> np.ndarray:
+    """Hashed, damped and normalized token counts of each document, projected to ``dimensions``."""
     project = np.random.default_rng(seed).normal(size=(width, dimensions))
-    out = np.zeros((len(ids), dimensions))
-    for i, x in enumerate(ids):
-        if len(x):
-            v = np.sqrt(np.bincount((mix(x.astype(U)) % U(width)).astype(np.int64), minlength=width))
-            out[i] = (v / np.linalg.norm(v)) @ project
+    slot = (mix(ids.astype(U)) % U(width)).astype(np.int64)
+    out = np.zeros((len(bounds) - 1, dimensions))
+    for i in np.flatnonzero(np.diff(bounds)):
+        v = np.sqrt(np.bincount(slot[bounds[i] : bounds[i + 1]], minlength=width))
+        out[i] = (v / np.linalg.norm(v)) @ project
     return out
 
 
-def curve_key(doc_id: np.ndarray, ids: list[np.ndarray], width: int = 512, dimensions: int = 4, bits: int = 11) -> np.ndarray:
+def curve_key(doc_id: np.ndarray, ids: np.ndarray, bounds: np.ndarray, width: int = 512, dimensions: int = 4, bits: int = 11) -> np.ndarray:
     """44 bits of the curve, then 19 of a hash of the id."""
-    share = 1 / (1 + np.exp(-1.702 * vectors(ids, width, dimensions)))
+    share = 1 / (1 + np.exp(-1.702 * vectors(ids, bounds, width, dimensions)))
     place = hilbert(np.minimum((share * (1 << bits)).astype(np.int64), (1 << bits) - 1), bits)
     return (place << 19) | (mix(doc_id.astype(np.int64).view(U)) >> U(45)).astype(np.int64)
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1, slice_bytes: int = 3_000_000) -> DataFrame:
     """doc_id, key on the curve, n tokens, ids (little-endian) of each document, the end id last."""
-    small_batches(docs.sparkSession, 256)
+    small_batches(docs.sparkSession, 1024)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = tokens_of(tokenizer)
-        end = np.array([end_id], tokens.kind).tobytes()
+        width = tokens.kind.itemsize
         for batch in batches:
-            ids = tokens.encode([t or b"" for t in batch.column(1).to_pylist()])
-            arrays = [np.frombuffer(x, tokens.kind) for x in ids]
-            key = curve_key(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), arrays)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(key), pa.array([len(x) + 1 for x in arrays], pa.int64()), pa.array([tokens.kind.itemsize] * len(ids), pa.int32()), pa.array([x + end for x in ids], pa.binary())], names=["doc_id", "key", "n", "width", "ids"]
-            )
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(scan, "doc_id long, key long, n long, width int, ids binary")
+            data, offsets = buffer(batch.column(1))
+            a = 0
+            while a < len(batch):  # a slice has one document at least
+                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + slice_bytes, side="right")) - 1)
+                b = min(b, len(batch))
+                ids, bounds = tokens.encode(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                doc_id = batch.column(0).slice(a, b - a)
+                key = curve_key(doc_id.fill_null(0).to_numpy(zero_copy_only=False), ids, bounds)
+                full = np.insert(ids, bounds[1:], np.array(end_id, tokens.kind))
+                edge = (bounds + np.arange(b - a + 1)) * width
+                blobs = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(edge.astype(np.int32).tobytes()), pa.py_buffer(full.tobytes())])
+                yield pa.RecordBatch.from_arrays([doc_id, pa.array(key), pa.array(np.diff(edge) // width), pa.array(np.full(b - a, width, np.int32)), blobs], names=["doc_id", "key", "n", "width", "ids"])
+                a = b
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, key long, n long, width int, ids binary")
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
