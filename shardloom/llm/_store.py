@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
+import numpy as np
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,6 +32,28 @@ def discard(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps now: its cleaner waits for the driver's garbage collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Bound the rows, and so the bytes, that one Arrow batch hands to a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def freeze(*columns: np.ndarray) -> bytes:
+    """Columns of equal length as one compressed blob."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
+
+
+def thaw(blob: bytes, *types: str) -> list[np.ndarray]:
+    """The columns of a blob, of these types."""
+    raw = zstandard.ZstdDecompressor().decompress(blob)
+    n = len(raw) // sum(np.dtype(t).itemsize for t in types)
+    out, at = [], 0
+    for t in types:
+        out.append(np.frombuffer(raw, t, n, at))
+        at += n * np.dtype(t).itemsize
+    return out

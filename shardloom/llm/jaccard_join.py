@@ -1,7 +1,7 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
 A document's set is its distinct word shingles, ordered by a global order: rare shingles by
-hash first, then those that a sketch of the corpus found frequent, by frequency. Two sets whose similarity is at least
+hash first, then the frequent ones by their count over the whole corpus. Two sets whose similarity is at least
 ``num``/``den`` share l shingles within prefixes of n - ceil(n*num/den) + l. Each document takes the l of least
 estimated cost (postings to scan, plus candidates to verify, which fall with l), so documents of
 frequent shingles get longer prefixes and must share correspondingly more of them; a pair must share the smaller of its two l.
@@ -12,8 +12,9 @@ leader of a list it is in, which joins the large groups of near copies; the seco
 but only between different components, so a group's own pairs are never listed. Lists of
 frequent shingles are dealt out by a salt in the first round, and by chunks in the second.
 
-Scale: two passes over the texts and a third over the documents that are in a candidate pair; one shuffle
-of the prefixes, a quarter of the shingles. What the driver gets is the ``most_frequent`` heaviest shingles.
+Scale: two passes over the texts and a third over the documents that are in a candidate pair; a shuffle of all
+shingles packed to some four bytes, for the counts, and one of the prefixes, a quarter of the shingles.
+What the driver gets is the ``most_frequent`` heaviest shingles; those beyond them are ordered by hash.
 
 Edge cases: null texts, empty texts and texts of blanks have empty sets and no links; a document of fewer
 words than ``width`` has one shingle, the whole sequence; documents that share an id are one node; a null doc_id
@@ -26,10 +27,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialize, small_batches
+from ._ranges import partitions
+from ._store import discard, freeze, materialize, release, scratch, small_batches, thaw
 from ._text import buffer, list_array, mix, ragged, shingle_sets
 from .components import connected_components
 
@@ -44,46 +46,80 @@ def _sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def summarize(docs: DataFrame, width: int, chunk: int = 1_000_000, least: int = 4) -> DataFrame:
-    """Rows of kind 0: (doc_id, set size, two digests of the set); of kind 1: (shingle, count) of those frequent in a chunk."""
+def packed_shingles(docs: DataFrame, width: int, bits: int, chunk: int = 3_000_000) -> DataFrame:
+    """(bucket, data): the documents' shingles, packed with their counts in a chunk of a task.
+
+    A shingle is counted by ``bits`` + 32 leading bits of its hash, the first of which are its bucket; the counts only serve the order.
+    """
     small_batches(docs.sparkSession)
+    shift = U(32 - bits)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["kind", "a", "n", "d1", "d2"]
         held: list[np.ndarray] = []
         size = 0
 
-        def frequent() -> pa.RecordBatch:
-            value, count = np.unique(np.concatenate(held), return_counts=True)
-            value, count = value[count >= least], count[count >= least]
-            zero = pa.array(np.zeros(len(value), I))
-            return pa.RecordBatch.from_arrays([pa.array(np.ones(len(value), np.int32)), pa.array(value.view(I)), pa.array(count), zero, zero], names=names)
+        def counted() -> pa.RecordBatch:
+            value, count = np.unique(np.concatenate(held) >> shift, return_counts=True)
+            bucket = (value >> U(32)).astype(I)
+            edge = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+            rest, count = (value & U(0xFFFFFFFF)).astype("<u4"), np.minimum(count, 65_535).astype("<u2")
+            blobs = [freeze(rest[x:y], count[x:y]) for x, y in zip(edge[:-1], edge[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[edge[:-1]].astype(np.int32)), pa.array(blobs, pa.binary())], names=["bucket", "data"])
 
         for batch in batches:
-            values, bounds = shingle_sets(*buffer(batch.column(1)), width)
-            d1, d2 = _sums(mix(values), bounds), _sums(mix(values ^ U(0x5851F42D4C957F2D)), bounds)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(batch), np.int32)), batch.column(0), pa.array(np.diff(bounds)), pa.array(d1.view(I)), pa.array(d2.view(I))], names=names)
-            held.append(values)
-            size += len(values)
+            values, _ = shingle_sets(*buffer(batch.column(0)), width)
+            if len(values):
+                held.append(values)
+                size += len(values)
             if size >= chunk:
-                yield frequent()
+                yield counted()
                 held, size = [], 0
         if held:
-            yield frequent()
+            yield counted()
+
+    return docs.select("text").mapInArrow(scan, "bucket int, data binary")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "kind int, a long, n long, d1 long, d2 long")
+def frequent_shingles(packed: DataFrame, bits: int, least: int) -> DataFrame:
+    """(shingle, n): the counted bits of every shingle that occurs in at least ``least`` documents, with its count over all of them."""
+    width = max(1, min(1 << bits, 2 * partitions(packed.sparkSession)))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held = None, []
+
+        def total() -> pa.RecordBatch:
+            value, count = (np.concatenate(x) for x in zip(*[thaw(b, "<u4", "<u2") for b in held], strict=True))
+            order = np.argsort(value, kind="stable")
+            value, count = value[order], count[order].astype(I)
+            at = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+            count = np.add.reduceat(count, at)
+            many = count >= least
+            return pa.RecordBatch.from_arrays([pa.array((I(now) << 32) | value[at][many].astype(I)), pa.array(count[many])], names=["shingle", "n"])
+
+        for batch in batches:
+            for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if bucket != now:
+                    if held:
+                        yield total()
+                    now, held = bucket, []
+                held.append(blob)
+        if held:
+            yield total()
+
+    return packed.repartition(width, "bucket").sortWithinPartitions("bucket").mapInArrow(scan, "shingle long, n long")
 
 
 class Order:
-    """The global order of shingles: estimated counts of the frequent ones, 0 for all others."""
+    """The global order of shingles: counts of the frequent ones, by the leading bits of their hash, 0 for all others."""
 
-    def __init__(self, values: np.ndarray, counts: np.ndarray):
+    def __init__(self, values: np.ndarray, counts: np.ndarray, shift: int = 0):
         order = np.argsort(values.view(U))
-        self.values, self.counts = values.view(U)[order], counts[order].astype(I)
+        self.values, self.counts, self.shift = values.view(U)[order], counts[order].astype(I), U(shift)
 
     def count(self, values: np.ndarray) -> np.ndarray:
         if not len(self.values) or not len(values):
             return np.zeros(len(values), I)
+        values = values >> self.shift
         at = np.minimum(np.searchsorted(self.values, values), len(self.values) - 1)
         return np.where(self.values[at] == values, self.counts[at], 0)
 
@@ -111,44 +147,43 @@ def prefixes(values: np.ndarray, bounds: np.ndarray, order: Order, num: int, den
 
 
 def prefix_rows(docs: DataFrame, order: Order, width: int, num: int, den: int, list_rows: int = 5000) -> DataFrame:
-    """doc_id, n, two digests, l, prefix and salts of every document with a set."""
+    """doc_id, n, two digests of the set, l, prefix and salts of every document."""
     small_batches(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(batch.column(0).is_valid())
             values, bounds = shingle_sets(*buffer(batch.column(1)), width)
             d1, d2 = _sums(mix(values), bounds), _sums(mix(values ^ U(0x5851F42D4C957F2D)), bounds)
             shingle, count, edge, m = prefixes(values, bounds, order, num, den)
             salts = np.maximum(1, count // list_rows).astype(U)
             owner = np.repeat(d1, np.diff(edge))
             salt = np.where(salts > 1, mix(owner) % salts, 0).astype(np.int32)
-            out = pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(bounds)), pa.array(d1.view(I)), pa.array(d2.view(I)), pa.array(m.astype(np.int32)), list_array(shingle.view(I), edge, pa.int64()), list_array(salt, edge, pa.int32())],
                 names=["doc_id", "n", "d1", "d2", "m", "prefix", "salts"],
             )
-            yield out.filter(pa.array(np.diff(bounds) > 0))
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(scan, "doc_id long, n long, d1 long, d2 long, m int, prefix array<long>, salts array<int>")
 
 
 def shared_postings(rows: DataFrame) -> DataFrame:
-    """(token, node, n, m, leader, leader_n) of all prefix shingles that several classes share.
+    """(token, node, n, m, leader, leader_n, leader_m) of all prefix shingles that several classes share.
 
     The leader is the least node of the token's list (of its salt); the lists stream through sorted, so none is held.
     """
-    classes = rows.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("node"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("salts").alias("salts"))
+    classes = rows.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("node"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("salts").alias("salts"))
     flat = classes.select("node", "n", "m", F.explode(F.arrays_zip("prefix", "salts")).alias("x"))
     flat = flat.select(F.col("x.prefix").alias("token"), F.col("x.salts").alias("salt"), "node", F.col("n").cast("int").alias("n"), "m")
     dealt = flat.repartition("token", "salt").sortWithinPartitions("token", "salt", "node")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: np.ndarray | None = None  # the last row, not yet given out
-        lead = (0, 0)  # leader of the held row's list
+        lead = (0, 0, 0)  # leader of the held row's list
         begun = False  # whether rows of the held row's list have been given out
 
-        def rows_of(x: np.ndarray, leader: np.ndarray, leader_n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[2]), pa.array(x[3].astype(np.int32)), pa.array(x[4].astype(np.int32)), pa.array(leader), pa.array(leader_n.astype(np.int32)), pa.array(x[1] > 0)], names=["token", "node", "n", "m", "leader", "leader_n", "salted"])
+        def rows_of(x: np.ndarray, leader: np.ndarray) -> pa.RecordBatch:
+            small = [pa.array(c.astype(np.int32)) for c in (x[3], x[4], leader[1], leader[2])]
+            return pa.RecordBatch.from_arrays([pa.array(x[0]), pa.array(x[2]), small[0], small[1], pa.array(leader[0]), small[2], small[3]], names=["token", "node", "n", "m", "leader", "leader_n", "leader_m"])
 
         for batch in batches:
             if not len(batch):
@@ -160,10 +195,9 @@ def shared_postings(rows: DataFrame) -> DataFrame:
             new = np.ones(k, bool)
             new[1:] = (x[0, 1:] != x[0, :-1]) | (x[1, 1:] != x[1, :-1])
             first = np.maximum.accumulate(np.where(new, np.arange(k), 0))
-            leader, leader_n = x[2, first], x[3, first]
+            leader = x[2:5, first]
             if held is not None:
-                same = first == 0
-                leader, leader_n = np.where(same, lead[0], leader), np.where(same, lead[1], leader_n)
+                leader = np.where(first == 0, np.array(lead)[:, None], leader)
             more = ~new
             more[:-1] |= ~new[1:]
             if held is not None and begun:
@@ -172,49 +206,95 @@ def shared_postings(rows: DataFrame) -> DataFrame:
             out = more.copy()
             out[-1] = False
             if out.any():
-                yield rows_of(x[:, out], leader[out], leader_n[out])
+                yield rows_of(x[:, out], leader[:, out])
             begun = bool(not new[-1] or (k == 1 and begun))
-            held, lead = x[:, -1:], (leader[-1], leader_n[-1])
+            held, lead = x[:, -1:], tuple(leader[:, -1])
         if held is not None and (begun or held[1, 0] > 0):
-            yield rows_of(held, np.array([lead[0]]), np.array([lead[1]]))
+            yield rows_of(held, np.array(lead)[:, None])
 
-    return dealt.mapInArrow(scan, "token long, node long, n int, m int, leader long, leader_n int, salted boolean")
+    return dealt.mapInArrow(scan, "token long, node long, n int, m int, leader long, leader_n int, leader_m int")
 
 
-def _fits(a: str, b: str, num: int, den: int):
-    return (F.least(a, b) * den >= F.greatest(a, b) * num)
+def may_link(n_a: str, m_a: str, n_b: str, m_b: str, shared: str, num: int, den: int) -> Column:
+    """Whether two sets that share so many prefix shingles can be similar enough.
 
+    Of the two prefixes one ends first in the global order; up to there all common shingles are in both, and
+    beyond it its set has only what its prefix leaves. So the overlap is at most the shared plus the longer rest.
+    """
 
-def verified(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int, broadcast_rows: int = 1_000_000) -> DataFrame:
-    """The pairs (a, b) whose whole sets are similar enough."""
-    small_batches(docs.sparkSession)
-    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "jaccard-ids")
-    if ids.count() <= broadcast_rows:  # eight bytes a row
-        ids = F.broadcast(ids)
+    def rest(n: str, m: str) -> Column:
+        return F.greatest(F.lit(0), F.ceil(F.col(n).cast("long") * num / den) - F.col(m))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, bounds = shingle_sets(*buffer(batch.column(1)), width)
-            yield pa.RecordBatch.from_arrays([batch.column(0), list_array(values.view(I), bounds, pa.int64())], names=["node", "shingles"])
+    overlap = F.col(shared) + F.greatest(rest(n_a, m_a), rest(n_b, m_b))
+    return (F.col(shared) >= F.least(m_a, m_b)) & (overlap * (num + den) >= (F.col(n_a) + F.col(n_b)).cast("long") * num)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi")
-    sets = materialize(texts.mapInArrow(scan, "node long, shingles array<long>"), "jaccard-sets")
-    left, right = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("sizes"))
-    return joined.filter(F.col("both").cast("long") * den >= (F.col("sizes") - F.col("both")).cast("long") * num).select("a", "b").distinct()
 
+def verified(pairs: DataFrame, docs: DataFrame, width: int, num: int, den: int, broadcast_rows: int = 1_000_000, members: int = 200) -> DataFrame:
+    """The pairs (a, b) whose whole sets are similar enough.
 
-def similar_components(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100, most_frequent: int = 100_000, list_rows: int = 5000) -> DataFrame:
+    Each a's set meets those of its b's in a task, one at a time; an a of many b's is repeated for every ``members`` of them or so.
+    """
+    spark = docs.sparkSession
+    small_batches(spark)
+    pairs = materialize(pairs.distinct(), "jaccard-pairs")
+    few = pairs.groupBy("a").agg((F.floor(F.count("*") / members) + 1).alias("salts"))
+    salted = pairs.join(few, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("salts")).alias("salt"))
+    roles = salted.select(F.col("b").alias("doc_id"), "a", "salt", F.lit(1).alias("role"))
+    roles = roles.unionByName(salted.select(F.col("a").alias("doc_id"), "a", "salt", F.lit(0).alias("role")).distinct())
+    roles = materialize(roles, "jaccard-roles")
+    if roles.count() <= broadcast_rows:  # some thirty bytes a row
+        roles = F.broadcast(roles)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, bounds = shingle_sets(*buffer(batch.column(4)), width)
+            raw = [values[x:y].tobytes() for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(raw, pa.binary())], names=["doc_id", "a", "salt", "role", "shingles"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(roles, "doc_id").select("doc_id", "a", "salt", "role", "text")
+    dealt = texts.mapInArrow(sets, "doc_id long, a long, salt long, role int, shingles binary").repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, mine = None, []
+        for batch in batches:
+            found = []
+            for doc, a, salt, role, raw in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if (a, salt) != now:
+                    now, mine = (a, salt), []
+                other = np.frombuffer(raw, U)
+                if role == 0:  # ids that repeat have a set for each text
+                    mine.append(other)
+                    continue
+                for one in mine:
+                    both = len(np.intersect1d(one, other, assume_unique=True))
+                    if both * den >= (len(one) + len(other) - both) * num:
+                        found.append((a, doc))
+                        break
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found]), pa.array([x[1] for x in found])], names=["a", "b"])
+
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
+def similar_components(docs: DataFrame, width: int = 5, num: int = 75, den: int = 100, least_frequent: int = 8, most_frequent: int = 300_000, list_rows: int = 5000) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; two documents link when den * intersection >= num * union."""
-    summary = materialize(summarize(docs, width), "jaccard-summary")
-    top = summary.filter("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "a").limit(most_frequent).toArrow()
-    order = Order(top["a"].to_numpy().astype(I), top["n"].to_numpy().astype(I))
-    postings = materialize(shared_postings(prefix_rows(docs, order, width, num, den, list_rows)), "jaccard-postings")
+    spark = docs.sparkSession
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(16, max(8, int(total / 6_000_000).bit_length()))
+    top = frequent_shingles(packed_shingles(docs, width, bits), bits, least_frequent).orderBy(F.desc("n"), "shingle").limit(most_frequent).toArrow()
+    order = Order(top["shingle"].to_numpy().astype(I), top["n"].to_numpy().astype(I), 32 - bits)
+    release(spark)
+    path = scratch(spark, "jaccard-prefixes")
+    prefix_rows(docs, order, width, num, den, list_rows).write.option("compression", "none").parquet(path)
+    prefixed = spark.read.parquet(path)
+    rows = materialize(prefixed.select("doc_id", "n", "d1", "d2"), "jaccard-sizes")
+    postings = materialize(shared_postings(prefixed), "jaccard-postings")
+    discard(spark, path)
+    release(spark)
 
     # Round 1: each node with the leader it shares most with.
-    led = postings.filter((F.col("leader") != F.col("node")) & _fits("n", "leader_n", num, den))
-    led = led.groupBy("node", "leader").agg(F.count("*").alias("k")).groupBy("node").agg(F.max(F.struct("k", (-F.col("leader")).alias("leader"))).alias("x"))
+    led = postings.filter("leader <> node").groupBy("node", "leader").agg(F.count("*").alias("k"), *[F.first(c).alias(c) for c in ("n", "m", "leader_n", "leader_m")])
+    led = led.filter(may_link("n", "m", "leader_n", "leader_m", "k", num, den)).groupBy("node").agg(F.max(F.struct("k", (-F.col("leader")).alias("leader"))).alias("x"))
     pairs = materialize(led.select((-F.col("x.leader")).alias("a"), F.col("node").alias("b")), "jaccard-led")
     links = materialize(verified(pairs, docs, width, num, den), "jaccard-links")
     first = connected_components(links)
@@ -228,13 +308,12 @@ def similar_components(docs: DataFrame, width: int = 5, num: int = 75, den: int
     other = groups.select("token", F.col("component").alias("component_b"), F.col("members").alias("members_b"))
     met = groups.join(other, "token").filter("component < component_b").select(F.explode("members").alias("p"), "members_b")
     met = met.select("p", F.explode("members_b").alias("q")).filter(F.least("p.n", "q.n") * den >= F.greatest("p.n", "q.n") * num)
-    met = met.select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b"), F.least("p.m", "q.m").alias("m"))
-    met = met.groupBy("a", "b").agg(F.count("*").alias("k"), F.min("m").alias("m")).filter("k >= m").select("a", "b")
-    met = materialize(met, "jaccard-met")
+    met = met.groupBy(F.col("p.node").alias("a"), F.col("q.node").alias("b")).agg(F.count("*").alias("k"), *[F.first(f"{x}.{c}").alias(f"{c}_{x}") for x in "pq" for c in "nm"])
+    met = materialize(met.filter(may_link("n_p", "m_p", "n_q", "m_q", "k", num, den)).select("a", "b"), "jaccard-met")
+    release(spark)
     links = links.unionByName(verified(met, docs, width, num, den))
     final = connected_components(links)
 
-    rows = summary.filter("kind = 0").select(F.col("a").alias("doc_id"), "n", "d1", "d2")
     classes = rows.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("node"))
     labels = classes.join(final, "node", "left").select("d1", "d2", "n", F.coalesce("component", "node").alias("component_id"))
     out = rows.join(labels, ["d1", "d2", "n"], "left")

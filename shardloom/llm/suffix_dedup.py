@@ -30,12 +30,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._ranges import partitions, split_points
-from ._store import discard, materialize, scratch, small_batches
+from ._store import discard, freeze, materialize, release, scratch, small_batches, thaw
 from ._text import buffer, mix, prefix_hash, ragged, span_hash, window_hashes
 
 U, I = np.uint64, np.int64
@@ -46,20 +45,6 @@ _NAMES = ["bucket", "level", "doc", "data"]
 _POS = 22  # bits of a place in a slice
 
 
-def freeze(*columns: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(c).tobytes() for c in columns))
-
-
-def thaw(blob: bytes, *types: str) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    n = len(raw) // sum(np.dtype(t).itemsize for t in types)
-    out, at = [], 0
-    for t in types:
-        out.append(np.frombuffer(raw, t, n, at))
-        at += n * np.dtype(t).itemsize
-    return out
-
-
 def slices(offsets: np.ndarray, length: int, most: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(from byte, to byte, bounds within, position of each bound's start in its document, first document) of slices of about ``most`` bytes.
 
@@ -308,7 +293,7 @@ class SuffixIndex:
                 old, _ = self.levels.pop(level)
                 discard(self.spark, f"{old}/level={level}")
             self.levels[into] = (path, into)
-        self.spark.sparkContext._jvm.System.gc()  # lets Spark drop the shuffle files of this batch
+        release(self.spark)
 
     def found(self, kind: int) -> DataFrame:
         """Rows (doc, data) of a kind, over all batches."""
