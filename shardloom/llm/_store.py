@@ -38,9 +38,10 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def small_batches(spark: SparkSession, rows: int = 512) -> None:
-    """Bound the rows, and so the bytes, that one Arrow batch hands to a Python worker."""
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 2_000_000) -> None:
+    """Bound the rows and bytes that one Arrow batch hands to a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def freeze(*columns: np.ndarray) -> bytes:

@@ -46,7 +46,7 @@ def _sums(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return total[bounds[1:]] - total[bounds[:-1]]
 
 
-def packed_shingles(docs: DataFrame, width: int, bits: int, chunk: int = 3_000_000) -> DataFrame:
+def packed_shingles(docs: DataFrame, width: int, bits: int, chunk: int = 1_500_000) -> DataFrame:
     """(bucket, data): the documents' shingles, packed with their counts in a chunk of a task.
 
     A shingle is counted by ``bits`` + 32 leading bits of its hash, the first of which are its bucket; the counts only serve the order.

@@ -75,7 +75,7 @@ class Tokens:
         self._clear()
 
     def _clear(self) -> None:
-        self.rows: dict[int, int] = {}
+        self.hashes, self.row = np.zeros(0, U), np.zeros(0, np.int64)  # sorted hashes and the rows of their ids
         self.store = np.zeros(1 << 20, self.kind)
         self.first = np.zeros(self.most + 1, np.int64)
 
@@ -102,7 +102,7 @@ class Tokens:
         """Add rows for these units; a plain one with a digit is several units of the pattern."""
         single = plain & np.array([not _NO_MARK.search(u) for u in units], bool)
         order = np.concatenate([np.flatnonzero(single), np.flatnonzero(~single)])
-        k, n = int(single.sum()), len(self.rows)
+        k, n = int(single.sum()), len(self.hashes)
         ids = self._together([units[i] for i in order[:k]]) + self._one_by_one([units[i] for i in order[k:]])
         bounds = self.first[n] + np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize)
         if n + len(ids) + 1 > len(self.first):
@@ -111,7 +111,16 @@ class Tokens:
             self.store = np.concatenate([self.store, np.zeros(int(bounds[-1]), self.kind)])
         self.store[self.first[n] : bounds[-1]] = np.frombuffer(b"".join(ids), self.kind)
         self.first[n + 1 : n + 1 + len(ids)] = bounds
-        self.rows.update(zip(hashes[order].tolist(), range(n, n + len(ids)), strict=True))
+        every, row = np.concatenate([self.hashes, hashes[order]]), np.concatenate([self.row, np.arange(n, n + len(ids))])
+        order = np.argsort(every, kind="stable")
+        self.hashes, self.row = every[order], row[order]
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, whether known) of each hash."""
+        if not len(self.hashes):
+            return np.zeros(len(hashes), np.int64), np.zeros(len(hashes), bool)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return self.row[at], self.hashes[at] == hashes
 
     def _units(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
         """(bytes, start, end, document, whether plain) of every unit."""
@@ -148,14 +157,15 @@ class Tokens:
             return np.zeros(0, self.kind), np.zeros(n + 1, np.int64)
         data, start, end, doc, plain = self._units(data, offsets)
         found, at, back = np.unique(span_hash(prefix_hash(data), start, end) ^ plain.astype(U), return_index=True, return_inverse=True)
-        if len(self.rows) + len(found) > self.most:
-            self._clear()
-        names = found.tolist()
-        missing = np.array([i for i, x in enumerate(names) if x not in self.rows], np.int64)
-        if len(missing):
-            raw, where = data.tobytes(), at[missing]
-            self._learn(found[missing], [raw[x:y] for x, y in zip(start[where].tolist(), end[where].tolist(), strict=True)], plain[where])
-        row = np.fromiter(map(self.rows.__getitem__, names), np.int64, len(names))[back]
+        row, known = self._find(found)
+        if not known.all():
+            if len(self.hashes) + len(found) > self.most:
+                self._clear()
+                known[:] = False
+            raw, where = data.tobytes(), at[~known]
+            self._learn(found[~known], [raw[x:y] for x, y in zip(start[where].tolist(), end[where].tolist(), strict=True)], plain[where])
+            row, _ = self._find(found)
+        row = row[back]
         size = self.first[row + 1] - self.first[row]
         unit, j = ragged(size)
         return self.store[self.first[row][unit] + j], np.concatenate([[0], np.cumsum(np.bincount(doc, weights=size, minlength=n))]).astype(np.int64)
@@ -218,7 +228,7 @@ def curve_key(doc_id: np.ndarray, ids: np.ndarray, bounds: np.ndarray, width: in
     return (place << 19) | (mix(doc_id.astype(np.int64).view(U)) >> U(45)).astype(np.int64)
 
 
-def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1, slice_bytes: int = 3_000_000) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1, slice_bytes: int = 2_000_000) -> DataFrame:
     """doc_id, key on the curve, n tokens, ids (little-endian) of each document, the end id last."""
     small_batches(docs.sparkSession, 1024)
 
