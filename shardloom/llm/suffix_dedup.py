@@ -10,7 +10,7 @@ into buckets by the key, and packed into one blob a bucket.
 Batches of documents come in the order of doc_id. A new batch gets its suffix array, which is
 merge-scanned bucket by bucket against all existing levels: an entry with an equal key and context in an
 older level, or earlier in the batch, repeats all its strings. Entries whose key
-is shared but whose contexts differ (the edges of a repeat) are kept as candidates. Equal-sized levels then merge:
+is shared and whose contexts differ, but agree on one side (the edges of a repeat), are kept as candidates. Equal-sized levels then merge:
 after batch i the new array is merged with levels 0..t-1 into level t, t being the number of trailing ones of i, and a
 merge keeps the earliest of equal entries. At last the candidates' strings are compared one by one, by 64-bit hashes of all
 ``length`` bytes grouped over the corpus, and the earliest of each is kept.
@@ -72,9 +72,15 @@ def string_starts(bounds: np.ndarray, length: int, n: int) -> np.ndarray:
     return np.cumsum(step)[: n - length + 1] > 0
 
 
-def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, length: int, k: int, most: int = 1 << 21) -> Iterator[tuple[np.ndarray, ...]]:
-    """(key, context, document, first string, minimizer - first string, strings) of the entries of each slice."""
+def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, length: int, k: int, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, ...]]:
+    """(key, context, document, first string, side hashes, strings) of the entries of each slice.
+
+    A string that holds the minimizer has at least half of its other bytes on one side of it. So
+    entries share a string only if they agree on that many bytes to the left or to the right, of
+    which 8-bit hashes are kept; 0 where the document (or slice) is too short for any string of the entry to need it.
+    """
     w = length - k + 1
+    half = (length - k + 1) // 2
     for a, b, bounds, shift, d in slices(offsets, length, most):
         part = data[a:b]
         n = len(part)
@@ -102,7 +108,10 @@ def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, length: int, k: int,
         at = x[s]
         context = mix(span_hash(p, s, e + length) + (at - s).astype(U) * U(0x9FB21C651E98DF25))
         doc = np.searchsorted(bounds, s, side="right") - 1
-        yield h[at], context, doc + d, s - bounds[doc] + shift[doc], at - s, e - s + 1
+        left, right = np.maximum(at - half, 0), np.minimum(at + k + half, n)
+        side_l = np.where(at - half >= bounds[doc], 1 + span_hash(p, left, at) % U(255), U(0))
+        side_r = np.where(at + k + half <= bounds[doc + 1], 1 + span_hash(p, at + k, right) % U(255), U(0))
+        yield h[at], context, doc + d, s - bounds[doc] + shift[doc], (side_l << U(8) | side_r).astype(I), e - s + 1
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -131,7 +140,7 @@ def per_document(kind: int, doc: np.ndarray, start: np.ndarray, n: np.ndarray, b
 
 
 class Entries:
-    """Sorted entries of a suffix array: key, context, document, place (first string, shift and count packed)."""
+    """Sorted entries of a suffix array: key, context, document, place (first string, side hashes and count packed)."""
 
     TYPES = ("<u8", "<u8", "<i8", "<i8")
 
@@ -153,7 +162,7 @@ class Entries:
 
     def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, first string, strings)."""
-        return self.doc, self.place >> 16, self.place & 0xFF
+        return self.doc, self.place >> 24, self.place & 0xFF
 
     def blob(self) -> bytes:
         step = self.key.copy()
@@ -184,7 +193,7 @@ def bucketed(key: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     return [(int(b[x]), int(x), int(y)) for x, y in zip(edge[:-1], edge[1:], strict=True)]
 
 
-def scan_batch(docs: DataFrame, length: int, k: int, bits: int, flush: int = 500_000) -> DataFrame:
+def scan_batch(docs: DataFrame, length: int, k: int, bits: int, flush: int = 400_000) -> DataFrame:
     """Packed sorted entries (level NEW) of the rows (doc, text), the earliest of equal ones, and what the others repeat (REMOVED)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,8 +212,8 @@ def scan_batch(docs: DataFrame, length: int, k: int, bits: int, flush: int = 500
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = buffer(batch.column(1))
-            for key, context, doc, start, shift, n in sampled_suffixes(data, offsets, length, k):
-                held.append(Entries(key, context, ids[doc], start << 16 | shift << 8 | n))
+            for key, context, doc, start, sides, n in sampled_suffixes(data, offsets, length, k):
+                held.append(Entries(key, context, ids[doc], start << 24 | sides << 8 | n))
                 if sum(len(e.key) for e in held) >= flush:
                     yield from give()
                     held = []
@@ -250,6 +259,12 @@ def merge_scan(bucket: int, blobs: list[tuple[int, bytes]], length: int, bits: i
         group = np.cumsum(first) - 1
         fresh = np.bincount(group, weights=entries.source == NEW)
         edge = ((np.bincount(group) > 1) & (fresh > 0))[group]
+        near = np.zeros(len(group), bool)
+        for bit in (16, 8):
+            side = (entries.place >> bit) & 0xFF
+            _, back, count = np.unique(group * 256 + side, return_inverse=True, return_counts=True)
+            near |= (count[back] > 1) & (side > 0)
+        edge &= near
         doc, start, n = entries.take(edge).strings()
         rows += per_document(CANDIDATE, doc, start, n, 1 << bits)
     if into is not None:
@@ -273,7 +288,7 @@ class SuffixIndex:
 
     def add(self, batch: DataFrame, keep: bool = True) -> None:
         """Index a batch of rows (doc, text), all of whose ids are above those indexed before. ``keep``: more batches may follow."""
-        small_batches(self.spark)
+        small_batches(self.spark, 256)
         into = None
         if keep:
             into = 0
@@ -303,7 +318,7 @@ class SuffixIndex:
         return out
 
 
-def compare_edges(docs: DataFrame, candidates: DataFrame, length: int, bits: int, broadcast_rows: int = 1_000_000, flush: int = 1_000_000) -> DataFrame:
+def compare_edges(docs: DataFrame, candidates: DataFrame, length: int, bits: int, broadcast_rows: int = 1_000_000, flush: int = 400_000) -> DataFrame:
     """REMOVED rows of the candidates' strings that start earlier somewhere among them."""
     spark = docs.sparkSession
     wanted = materialize(candidates.groupBy("doc").agg(F.collect_list("data").alias("data")), "suffix-candidates", "none")
@@ -376,7 +391,7 @@ def spans_of(blobs: list[bytes] | None, size: int) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), end[last].tolist(), strict=True))
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, batches: int = 4, k: int = 32, entries_per_bucket: int = 150_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 100, batches: int = 4, k: int = 32, entries_per_bucket: int = 20_000) -> DataFrame:
     """Rows (doc, data): packed spans of the strings of ``length`` bytes that also start earlier. ``docs`` has (doc, text), doc not null."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
