@@ -147,7 +147,7 @@ def prefixes(values: np.ndarray, bounds: np.ndarray, order: Order, num: int, den
 
 
 def prefix_rows(docs: DataFrame, order: Order, width: int, num: int, den: int, list_rows: int = 5000) -> DataFrame:
-    """doc_id, n, two digests of the set, l, prefix and salts of every document."""
+    """doc_id, n, two digests of the set, l, prefix and salts of every document; a salt is 0 where the shingle's list is whole, and from 1 up where it is dealt out."""
     small_batches(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,7 +157,7 @@ def prefix_rows(docs: DataFrame, order: Order, width: int, num: int, den: int, l
             shingle, count, edge, m = prefixes(values, bounds, order, num, den)
             salts = np.maximum(1, count // list_rows).astype(U)
             owner = np.repeat(d1, np.diff(edge))
-            salt = np.where(salts > 1, mix(owner) % salts, 0).astype(np.int32)
+            salt = np.where(salts > 1, mix(owner) % salts + U(1), 0).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(np.diff(bounds)), pa.array(d1.view(I)), pa.array(d2.view(I)), pa.array(m.astype(np.int32)), list_array(shingle.view(I), edge, pa.int64()), list_array(salt, edge, pa.int32())],
                 names=["doc_id", "n", "d1", "d2", "m", "prefix", "salts"],
@@ -170,6 +170,7 @@ def shared_postings(rows: DataFrame) -> DataFrame:
     """(token, node, n, m, leader, leader_n, leader_m) of all prefix shingles that several classes share.
 
     The leader is the least node of the token's list (of its salt); the lists stream through sorted, so none is held.
+    A list of one row is dropped only if it is whole: the other classes of a token that is dealt out are under other salts.
     """
     classes = rows.filter("n > 0 and doc_id is not null").groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("node"), F.first("m").alias("m"), F.first("prefix").alias("prefix"), F.first("salts").alias("salts"))
     flat = classes.select("node", "n", "m", F.explode(F.arrays_zip("prefix", "salts")).alias("x"))

@@ -382,6 +382,16 @@ def test_components_match_brute_force(spark, options):
     assert kept == {g[2] for g in got}
 
 
+def test_classes_of_a_heavily_copied_text_link_over_salts(spark):
+    pick = random.Random(11)
+    texts = []
+    for _ in range(12):  # some thirteen documents hold a shingle, so that its list is dealt to two salts, but only two classes
+        base = text(60, pick).split()
+        texts += [" ".join(base)] * 12 + [" ".join([*base[:-1], "other"])]
+    got = sorted(rows(jaccard_join.similar_components(frame(spark, texts), least_frequent=2, list_rows=6)))
+    assert [g[2] for g in got] == [i // 13 * 13 for i in range(len(texts))]
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(200, 200)]
     got = dict(rows(components.connected_components(spark.createDataFrame(edges, "a long, b long"))))
