@@ -2,7 +2,9 @@
 
 Writing: a record holds an HTTP response with chunked transfer framing. Of equal large payloads
 one record is a ``response`` and the others ``revisit`` it. A block over ``segment_bytes`` is
-cut into a first record and ``continuation`` records that name it. Archives are written by
+cut into a first record and ``continuation`` records that name it. Record ids are the page's id, the
+payload's digest and a random part, so that repeated rows have records of their own; a revisit names page and
+digest, which all records of equal rows share. Archives are written by
 Spark's text writer, one record to a row, the record end as the row separator.
 
 Reading: archives come in whole as binary files; records are cut out by their Content-Length,
@@ -22,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -88,11 +91,11 @@ def records_of(page_id: int | None, url: str | None, html: str, digest: str, ref
     """The records of one page as text, in order, without their ends."""
     key = "" if page_id is None else page_id
     uri = re.sub(r"[\r\n]+", " ", url or "")
-    me = f"<urn:shardloom:page:{key}>"
-    common = [("WARC-Record-ID", me), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Page-Id", key)]
+    me = f"urn:shardloom:page:{key}:{digest}:{uuid.uuid4().hex}"
+    common = [("WARC-Record-ID", f"<{me}>"), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Page-Id", key)]
     http = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
     if refers_to is not None:
-        return [_head([("WARC-Type", "revisit"), *common, ("WARC-Refers-To", f"<urn:shardloom:page:{refers_to}>")], len(http)) + http]
+        return [_head([("WARC-Type", "revisit"), *common, ("WARC-Refers-To", f"<urn:shardloom:page:{refers_to}:{digest}>")], len(http)) + http]
     block = http.encode() + chunked(html.encode(), chunk_bytes)
     if len(block) <= segment_bytes:
         return [_head([("WARC-Type", "response"), *common], len(block)) + block.decode()]
@@ -101,7 +104,7 @@ def records_of(page_id: int | None, url: str | None, html: str, digest: str, ref
     for number, piece in enumerate(pieces, 1):
         kind = [("WARC-Type", "response"), *common]
         if number > 1:
-            kind = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:shardloom:page:{key}:{number}>"), ("WARC-Segment-Origin-ID", me), ("X-Origin-Digest", digest), ("X-Page-Id", key)]
+            kind = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{me}:{number}>"), ("WARC-Segment-Origin-ID", f"<{me}>"), ("X-Origin-Digest", digest), ("X-Page-Id", key)]
         total = ("WARC-Segment-Total-Length", len(block) if number == len(pieces) else None)
         out.append(_head([*kind, ("WARC-Segment-Number", number), total], len(piece)) + piece.decode())
     return out
@@ -155,7 +158,7 @@ _RECORD = "kind string, page_id long, origin string, segment int, total long, di
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of all archives below ``path``."""
     small_batches(spark, 256)
-    number = re.compile(r":(-?\d+)>$")
+    number = re.compile(r"^<urn:shardloom:page:(-?\d+)[:>]")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _RECORD.split(", ")]
@@ -228,13 +231,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def digests(pages: DataFrame) -> DataFrame:
-    """page_id, payload_bytes, payload_digest, record_type, refers_to of pages as read; a revisit has its response's size.
+    """page_id, payload_bytes, payload_digest, record_type, refers_to of pages as read; a revisit has the size of the response with its payload.
 
     Both sides of the join are a few numbers per record; the size comes from the payload that the response really held.
     """
     rows = pages.select("page_id", "record_type", "refers_to", F.octet_length("payload").cast("long").alias("held"), F.coalesce(F.sha1("payload"), F.col("payload_digest")).alias("payload_digest"))
     rows = materialize(rows, "warc-digests")
-    targets = rows.filter("record_type = 'response' and held >= 1").groupBy(F.col("page_id").alias("target")).agg(F.max("held").alias("target_held"))
-    wanted = rows.filter("refers_to is not null").select(F.col("refers_to").alias("target")).distinct()
-    joined = rows.join(targets.join(wanted, "target", "left_semi"), rows["refers_to"] == F.col("target"), "left")
+    targets = rows.filter("record_type = 'response' and held >= 1").groupBy(F.col("page_id").alias("target"), F.col("payload_digest").alias("target_digest")).agg(F.max("held").alias("target_held"))
+    wanted = rows.filter("refers_to is not null").select(F.col("refers_to").alias("target"), F.col("payload_digest").alias("target_digest")).distinct()
+    joined = rows.join(targets.join(wanted, ["target", "target_digest"], "left_semi"), (rows["refers_to"] == F.col("target")) & (rows["payload_digest"] == F.col("target_digest")), "left")
     return joined.select("page_id", F.coalesce("held", "target_held").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")

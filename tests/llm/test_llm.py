@@ -318,6 +318,18 @@ def test_archives_round_trip(spark):
         assert payload[i]["payload"] == (None if visits else raw) and payload[i]["error"] is None
 
 
+def test_repeated_pages_have_records_of_their_own(spark):
+    shared, longer, alone = "s" * 40_000, "l" * 50_000, "n" * 60_000
+    pages = [(5, "u", longer), (5, "u", shared), (5, "u", shared), (4, "u", shared), (None, "u", alone), (None, "u", alone), (None, "v", alone)]
+    path = reshard.scratch(spark, "test-warc")
+    warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    got = warc.read_pages(spark, path)
+    payloads = sorted((r["page_id"] or 0, r["record_type"], bytes(r["payload"] or b"").decode(), r["error"]) for r in got.collect())
+    assert payloads == [(0, "response", alone, None)] * 3 + [(4, "revisit", "", None), (5, "response", longer, None)] + [(5, "response", shared, None)] * 2
+    sizes = sorted((r["page_id"] or 0, r["payload_bytes"], r["refers_to"]) for r in warc.digests(got).collect())
+    assert sizes == [(0, 60_000, None)] * 3 + [(4, 40_000, 5)] + [(5, 40_000, None)] * 2 + [(5, 50_000, None)]
+
+
 def test_a_lost_segment_is_reported(spark):
     path = reshard.scratch(spark, "test-warc")
     parts = warc.records_of(5, "u", "y" * 50_000, hashlib.sha1(b"y" * 50_000).hexdigest(), None, 16_384, 4096)
