@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import release, shards
@@ -45,6 +45,10 @@ def e1_pack_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.pack_index(_layout(spark, sf_dir), ["tpage"])
 
 
+def _part_name() -> Column:
+    return F.concat("tpage", F.lit("-p"), F.col("part").cast("string"))
+
+
 def _written(spark: SparkSession, sf_dir: str) -> str:
     import tempfile
 
@@ -57,19 +61,24 @@ def _written(spark: SparkSession, sf_dir: str) -> str:
 
 @query("select 'jak1' as game, tpage, count(*)::int as entry_count from assets where size > 0 group by tpage", "assets")
 def a9_write_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_written(spark, sf_dir)).select("game", "tpage", "entry_count")
+    return spark.read.parquet(_written(spark, sf_dir)).groupBy("game", "tpage").agg(F.sum("entry_count").cast("int").alias("entry_count"))
 
 
 @query(_LAYOUT.replace("select tpage, mat, map, sha, size", "select tpage as pack, mat as key, map, sha as sha256, size").replace("from assets", "from assets where size > 0"), "assets")
 def a10_scan_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packs.scan_packs(spark.read.parquet(_written(spark, sf_dir)), "tpage").select("pack", "key", "map", "sha256", "size", "offset")
+    """Offsets are those in the layout of the whole tpage: a part's base and what lies before the entry in the part."""
+    held = spark.read.parquet(_written(spark, sf_dir)).withColumn("name", _part_name())
+    bases = held.select(F.col("name").alias("pack"), "tpage", "base")
+    rows = packs.scan_packs(held).join(F.broadcast(bases), "pack")
+    return rows.select(F.col("tpage").alias("pack"), "key", "map", "sha256", "size", (F.col("base") + F.col("offset") - packs.HEADER).alias("offset"))
 
 
 @query("select tpage as pack, mat as key, map, 'altered' as reason from (select *, row_number() over (partition by tpage order by mat, map) as rn from assets where size > 0) where rn = 1", "assets")
 def a11_verify_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The byte after the header is the first payload's; it is altered in every pack."""
-    held = spark.read.parquet(_written(spark, sf_dir)).select(F.col("tpage").alias("name"), F.concat(F.substring("content", 1, 16), F.lit(b"\x00"), F.substring(F.col("content"), 18, 1 << 30)).alias("content"))
-    return packs.verify_packs(held)
+    """The byte after the header is the first payload's; it is altered in the first pack of every tpage."""
+    altered = F.concat(F.substring("content", 1, 16), F.lit(b"\x00"), F.substring(F.col("content"), 18, 1 << 30))
+    held = spark.read.parquet(_written(spark, sf_dir)).select(_part_name().alias("name"), F.when(F.col("part") == 0, altered).otherwise(F.col("content")).alias("content"))
+    return packs.verify_packs(held).withColumn("pack", F.regexp_replace("pack", "-p[0-9]+$", ""))
 
 
 @query(f"select game, profile, preset, grp, cluster, part, count(*) as entries, sum(size)::bigint as bytes from ({FAMILY_SQL}) group by all", "assets", "clusters")

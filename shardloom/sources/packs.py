@@ -1,7 +1,8 @@
 """Indexed binary packs: a header, payloads aligned to 16 bytes, a canonical JSON index and a trailer with its hash prefix.
 
-Writing groups the entries of a family in one task: a pack is bounded by the family's split (some
-hundred MB), and what doesn't fit a task belongs in more parts. Files go out through Spark, as rows of one
+Writing cuts a family, in the order of its keys, into parts of about ``max_bytes`` of payload and index; the maps
+of a key stay together. A pack is one part: it exceeds ``max_bytes`` by no more than its last key's entries and a
+frame of fixed size. Files go out through Spark, as rows of one
 binary column, so any store that Spark reaches will do.
 """
 
@@ -13,12 +14,17 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import geometry
 from ..functions.keys import GROUPS
+from ..operators.shards import pack_layout
 
 HEADER, TRAILER = 16, 24
+MAX_BYTES = 16 << 20
+#: An index record has less than this besides its key, of which JSON makes at most six bytes from one.
+RECORD = 256
 ENTRY = "struct<alpha_mode:string,channels:string,colorspace:string,format:string,height:int,id:string,key:string,map:string,mip_levels:int,offset:bigint,sha256:string,size:bigint,wrap_mode:string>"
 
 
@@ -37,23 +43,44 @@ def pack_bytes(family: dict[str, str], entries: list[tuple[str, str, bytes]], ex
     return bytes(out) + index + struct.pack("<QQ", len(out), len(index)) + hashlib.sha256(index).digest()[:4] + b"RIDX"
 
 
-def build_packs(entries: DataFrame, family: list[str]) -> DataFrame:
-    """family columns, entry_count, sha256, size, content: one row per pack of the rows (family, key, map, payload)."""
-    bad = F.col("payload").isNull() | (F.octet_length("payload") == 0) | ~F.col("map").isin(list(GROUPS))
-    checked = entries.withColumn("payload", F.when(bad, F.raise_error(F.concat(F.lit("can't pack "), "key")).cast("binary")).otherwise(F.col("payload").cast("binary")))
+def pack_parts(entries: DataFrame, family: list[str], max_bytes: int) -> DataFrame:
+    """family columns, part, first_key, next_key, base: the parts of each family; ``base`` is where a part begins in the layout of the whole family.
+
+    Only keys and sizes are sorted; there is one row for some ``max_bytes`` of input.
+    """
+    sizes = entries.select(*family, "key", "map", F.octet_length("payload").cast("long").alias("size"))
+    before = Window.partitionBy(*family).orderBy("key", "map").rowsBetween(Window.unboundedPreceding, -1)
+    weight = geometry.align16(F.col("size")) + 6 * F.octet_length("key") + RECORD
+    laid = pack_layout(sizes, family, ["key", "map"]).withColumn("before", F.coalesce(F.sum(weight).over(before), F.lit(0)))
+    starts = laid.groupBy(*family, "key").agg(F.min("before").alias("before"), F.min("offset").alias("base"))
+    starts = starts.groupBy(*family, F.floor(F.col("before") / max_bytes).alias("slot")).agg(F.min("key").alias("first_key"), F.min("base").alias("base"))
+    turn = Window.partitionBy(*family).orderBy("slot")
+    return starts.select(*family, (F.row_number().over(turn) - 1).alias("part"), "first_key", F.lead("first_key").over(turn).alias("next_key"), F.col("base").cast("long").alias("base"))
+
+
+def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTES) -> DataFrame:
+    """family columns, part, base, entry_count, sha256, size, content: one row per pack of the rows (family, key, map, payload)."""
+    bad = F.col("payload").isNull() | (F.octet_length("payload") == 0) | F.col("key").isNull() | ~F.col("map").isin(list(GROUPS))
+    checked = entries.withColumn("payload", F.when(bad, F.raise_error(F.concat(F.lit("can't pack "), F.coalesce("key", F.lit("a null key")))).cast("binary")).otherwise(F.col("payload").cast("binary")))
+    checked = checked.select(*[F.col(c).cast("string").alias(c) for c in family], "key", "map", "payload")
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
         one = {c: str(frame[c].iloc[0]) for c in family}
         content = pack_bytes(one, list(zip(frame["key"], frame["map"], map(bytes, frame["payload"]), strict=True)))
-        return pd.DataFrame([{**one, "entry_count": len(frame), "sha256": hashlib.sha256(content).hexdigest(), "size": len(content), "content": content}])
+        return pd.DataFrame([{**one, "part": frame["part"].iloc[0], "base": frame["base"].iloc[0], "entry_count": len(frame), "sha256": hashlib.sha256(content).hexdigest(), "size": len(content), "content": content}])
 
-    schema = ", ".join(f"{c} string" for c in family) + ", entry_count int, sha256 string, size long, content binary"
-    return checked.select(*[F.col(c).cast("string").alias(c) for c in family], "key", "map", "payload").groupBy(*family).applyInPandas(build, schema)
+    e, p = checked.alias("e"), F.broadcast(pack_parts(checked, family, max_bytes)).alias("p")
+    mine = (F.col("e.key") >= F.col("p.first_key")) & (F.col("p.next_key").isNull() | (F.col("e.key") < F.col("p.next_key")))
+    for c in family:
+        mine &= F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}"))
+    placed = e.join(p, mine, "left").select("e.*", "p.part", "p.base")
+    schema = ", ".join(f"{c} string" for c in family) + ", part int, base long, entry_count int, sha256 string, size long, content binary"
+    return placed.groupBy(*family, "part").applyInPandas(build, schema)
 
 
-def write_packs(entries: DataFrame, family: list[str], path: str) -> DataFrame:
-    """Write the packs below ``path``; returns them as read back, without their bytes."""
-    build_packs(entries, family).write.parquet(path)
+def write_packs(entries: DataFrame, family: list[str], path: str, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Write the packs below ``path``, a file each, so that no reader holds several at once; returns them as read back, without their bytes."""
+    build_packs(entries, family, max_bytes).write.option("maxRecordsPerFile", 1).parquet(path)
     return entries.sparkSession.read.parquet(path).drop("content")
 
 
@@ -79,6 +106,21 @@ def parse_pack(content: bytes) -> tuple[str | None, str | None]:
     return index.decode(), None
 
 
+def _few_packs(spark: SparkSession) -> None:
+    """Bound the bytes that one batch hands to a Python worker to some two packs."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(MAX_BYTES))
+
+
+def entry_error(content: bytes, entry: dict) -> str | None:
+    """What is wrong with an index entry of a pack."""
+    at, size = entry["offset"], entry["size"]
+    if at % 16:
+        return "misaligned"
+    if at < 0 or at + size > len(content):
+        return "cut short"
+    return None if hashlib.sha256(memoryview(content)[at : at + size]).hexdigest() == entry["sha256"] else "altered"
+
+
 def scan_packs(packs: DataFrame, name: str = "name") -> DataFrame:
     """pack, its header columns and one row per index entry of rows (name, content); a broken pack has one row with its error."""
 
@@ -87,6 +129,7 @@ def scan_packs(packs: DataFrame, name: str = "name") -> DataFrame:
             got = [parse_pack(bytes(c)) for c in frame["content"]]
             yield pd.DataFrame({"pack": frame["pack"], "index": [g[0] for g in got], "error": [g[1] for g in got]})
 
+    _few_packs(packs.sparkSession)
     schema = f"struct<cluster:string,game:string,grp:string,preset:string,profile:string,entries:array<{ENTRY}>>"
     rows = packs.select(F.col(name).cast("string").alias("pack"), "content").mapInPandas(parse, "pack string, index string, error string")
     rows = rows.withColumn("i", F.from_json("index", schema))
@@ -100,11 +143,18 @@ def read_pack_files(spark: SparkSession, path: str) -> DataFrame:
 
 def verify_packs(packs: DataFrame, manifest: DataFrame | None = None) -> DataFrame:
     """pack, key, map, reason: entries that are misaligned, cut short or altered, broken packs, and packs that differ from the manifest (name, sha256, size)."""
-    entries = scan_packs(packs)
-    held = entries.join(packs.select(F.col("name").alias("pack"), "content"), "pack")
-    piece = F.substring(F.col("content"), (F.col("offset") + 1).cast("int"), F.col("size").cast("int"))
-    reason = F.coalesce("error", F.when(F.col("offset") % 16 != 0, "misaligned").when(F.octet_length(piece) != F.col("size"), "cut short").when(F.sha2(piece, 256) != F.col("sha256"), "altered"))
-    out = held.select("pack", "key", "map", reason.alias("reason")).filter("reason is not null")
+
+    def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for name, content in zip(frame["pack"], map(bytes, frame["content"]), strict=True):
+                index, error = parse_pack(content)
+                entries = [] if index is None else json.loads(index)["entries"]
+                out += [(name, None, None, error)] if error else [(name, e["key"], e["map"], entry_error(content, e)) for e in entries]
+            yield pd.DataFrame([x for x in out if x[3]], columns=["pack", "key", "map", "reason"])
+
+    _few_packs(packs.sparkSession)
+    out = packs.select(F.col("name").cast("string").alias("pack"), "content").mapInPandas(check, "pack string, key string, map string, reason string")
     if manifest is not None:
         whole = packs.select("name", F.sha2("content", 256).alias("got"), F.octet_length("content").alias("bytes")).join(manifest, "name")
         whole = whole.filter((F.col("got") != F.col("sha256")) | (F.col("bytes") != F.col("size")))

@@ -136,6 +136,20 @@ def test_a_changed_byte_is_found(spark, at, reason):
     assert [r["reason"] for r in packs.verify_packs(frame).collect()] == [reason]
 
 
+def test_a_hot_family_is_cut_into_bounded_packs(spark):
+    entries = [("hot", f"k{i:03}", m, bytes([i]) * (200 + i)) for i in range(40) for m in ("albedo", "height")] + [("cold", "k", "albedo", b"x")]
+    rows = spark.createDataFrame([(*e[:3], bytearray(e[3])) for e in entries], "fam string, key string, map string, payload binary")
+    built = packs.build_packs(rows, ["fam"], 4000).withColumn("name", F.concat_ws("-", "fam", "part")).localCheckpoint()
+    largest = max(2 * (len(e[3]) + 16 + 6 * 4 + packs.RECORD) for e in entries)
+    assert built.count() > 5 and built.agg(F.max("size")).first()[0] <= 4000 + largest + 200
+    scanned = packs.scan_packs(built).join(built.select("fam", F.col("name").alias("pack"), "base"), "pack")
+    got = {(r["fam"], r["key"], r["map"]): r["base"] + r["offset"] - 16 for r in scanned.collect()}
+    laid = shards.pack_layout(rows.withColumn("size", F.octet_length("payload")), ["fam"], ["key", "map"])
+    assert got == {(r["fam"], r["key"], r["map"]): r["offset"] for r in laid.collect()} and scanned.count() == len(entries)
+    assert scanned.groupBy("fam", "key").agg(F.count_distinct("pack").alias("n")).filter("n > 1").count() == 0
+    assert packs.verify_packs(built).count() == 0
+
+
 def test_bad_packs_are_refused():
     for entries in ([], [("a", "nothing", b"x")], [("a", "albedo", b"")]):
         with pytest.raises(ValueError):
