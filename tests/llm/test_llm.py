@@ -370,7 +370,7 @@ def brute_components(texts):
     return [(len(s), find(i)) for i, s in enumerate(sets)]
 
 
-@pytest.mark.parametrize("options", [{}, {"least_frequent": 2, "list_rows": 3}, {"most_frequent": 0}])
+@pytest.mark.parametrize("options", [{}, {"least_frequent": 2, "list_rows": 3}, {"most_frequent": 0}, {"least_frequent": 2, "list_rows": 24, "short_rows": 5}])
 def test_components_match_brute_force(spark, options):
     pick = random.Random(8)
     common = [text(12, pick) for _ in range(3)]
@@ -387,6 +387,17 @@ def test_components_match_brute_force(spark, options):
         w = list(base)
         w[pick.randrange(100)] = pick.choice(WORDS)
         texts.append(" ".join(w))
+    for far in (4, 9):  # groups whose members are near the threshold of each other
+        w = list(base)
+        for _ in range(far):
+            w[pick.randrange(100)] = pick.choice(WORDS)
+        for _ in range(40):
+            v = list(w)
+            for _ in range(pick.randint(0, 3)):
+                v[pick.randrange(100)] = pick.choice(WORDS)
+            texts.append(" ".join(v))
+    hot = text(60, pick)
+    texts += [hot + " " + text(pick.randint(8, 40), pick) for _ in range(60)]  # a passage in many documents, most of them unlike
     texts += [texts[0].upper(), None, "", "  ", "one", "ONE", "one two", texts[-1]]
     got = sorted(rows(jaccard_join.similar_components(frame(spark, texts), **options)))
     assert [g[1:] for g in got] == brute_components(texts)
@@ -394,6 +405,25 @@ def test_components_match_brute_force(spark, options):
     assert kept == {g[2] for g in got}
 
 
+@pytest.mark.parametrize("list_rows", [5000, 16])
+def test_a_passage_in_many_unlike_documents_gives_few_pairs(spark, list_rows):
+    pick = random.Random(12)
+    hot = text(40, pick)
+    texts = [hot + " " + text(30, pick) for _ in range(2000)] + [text(30, pick) for _ in range(5)]
+    texts += [texts[7], texts[7] + " x"]
+    got = sorted(rows(jaccard_join.similar_components(frame(spark, texts), list_rows=list_rows)))
+    assert [g[2] for g in got] == [*range(2005), 7, 7]
+
+
+def test_documents_of_one_id_are_one_node(spark):
+    a, b, c = (text(40, random.Random(i)) for i in range(3))
+    docs = frame(spark, [a, a + " x", b, b + " y", "", c, None], [1, 3, 3, 9, 3, None, 9]).withColumn("gone", F.lit(1))
+    got = sorted(rows(jaccard_join.similar_components(docs)), key=str)
+    assert sorted((g[0] or -1, g[1] > 0, g[2] or -1) for g in got) == [(-1, True, -1), (1, True, 1), (3, False, 3), (3, True, 1), (3, True, 1), (9, False, 9), (9, True, 1)]
+    kept = jaccard_join.keep_representatives(docs)
+    assert kept.columns == docs.columns and sorted(str(r["doc_id"]) + str(r["text"]) for r in kept.collect()) == sorted(["1" + a, "3", "None" + c, "9None"])
+
+
 def test_classes_of_a_heavily_copied_text_link_over_salts(spark):
     pick = random.Random(11)
     texts = []
