@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 
@@ -12,10 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; where that is unset (tests), below a local one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    """A fresh folder below ``spark.checkpoint.dir``; where that is unset and all tasks run in this process (tests), below a local one.
+
+    Raises RuntimeError on a cluster that names no shared folder.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        root = spark.sparkContext.getCheckpointDir() or "file://" + tempfile.mkdtemp(prefix="spark-")
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{root.rstrip('/')}/shardloom/{name}-{uuid.uuid4().hex}"
 
 
@@ -33,7 +39,7 @@ def discard(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of finished steps now: its cleaner waits for the driver's garbage collection."""
+    """Let Spark drop the shuffle files of finished steps now: its cleaner waits for the driver's garbage collection, every 30 minutes."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
@@ -47,7 +53,10 @@ def free_name(df: DataFrame, name: str) -> str:
 
 
 def small_batches(spark: SparkSession, rows: int = 512, size: int = 2_000_000) -> None:
-    """Bound the rows and bytes that one Arrow batch hands to a Python worker."""
+    """Bound the rows and bytes that one Arrow batch hands to a Python worker.
+
+    The bound is the session's and stays; every operator sets the same one, so that none alters the plans of another.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialize
+from ._store import discard, scratch
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -21,10 +21,15 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); the component is its least node. Loops and nulls are ignored."""
     edges = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).filter("a <> b").distinct()
-    edges = materialize(edges, "components")
-    seen = None
+    spark = edges.sparkSession
+    path = scratch(spark, "components")
+    edges.write.parquet(path)
+    edges, seen = spark.read.schema("a long, b long").parquet(path), None
     for _ in range(rounds):
-        edges = materialize(_stars(_stars(edges, True), False), "components")
+        before, path = path, scratch(spark, "components")
+        _stars(_stars(edges, True), False).write.parquet(path)
+        edges = spark.read.schema("a long, b long").parquet(path)
+        discard(spark, before)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             break

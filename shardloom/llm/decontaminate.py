@@ -2,24 +2,27 @@
 
 A document is cut into segments of ``stride`` words; a passage is two neighbouring segments, so an
 item of up to ``stride`` words lies whole in one. A posting's impact is its BM25 share of the item's score for
-its own text, so one threshold serves all items. Passages are pruned by upper bounds in three steps:
-the sum of their terms' greatest impacts, then that of each block of items, then the exact
-scores in the blocks that are left. Every item at or above the threshold is retrieved, and is a
-contamination if the shingles of its question and of its answer are found in the passage.
+its own text, so one threshold serves all items. Passages are first dropped, many at a time, by two upper bounds: the sum of
+their terms' greatest impacts, and that of each block of items. Those with a block left go through block-max WAND: cursors in the
+terms' lists sorted by item, a pivot where the greatest impacts reach the threshold, a skip behind the pivot's block where
+its block maxima don't, and a score only where all cursors up to the pivot stand on it. Every item at or above the threshold is
+retrieved, and is a contamination if the shingles of its question and of its answer are found in the passage.
 
 Question and answer: an item's text up to its last question mark and the rest; without one, all
 but the last sentence and the last sentence. An item of one sentence is all question.
 
 Scale: one pass over the texts without a shuffle. The index goes with the tasks; items are taken in
-blocks of at most ``index_bytes`` bytes of text, one pass for each, so its size is bounded.
+blocks of at most ``index_bytes`` bytes of text or so, one pass for each, so its size is bounded. Document frequencies, the mean and the
+greatest length are those of all items, whatever the blocks.
 
-Edge cases: null and empty texts, and items without words, hit nothing; equal items are each reported;
+Edge cases: null and empty texts, and items without words, hit nothing; items of equal text and different ids are each reported, repeated rows once;
 an empty table on either side gives no rows; repeated rows are reported one by one; extra columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import small_batches
+from ._store import materialize, small_batches
 from ._text import LOWER, MARK, buffer, mix, prefix_hash, ragged, span_hash, words
 
 U, I = np.uint64, np.int64
@@ -59,26 +62,44 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return text[:at], text[at:]
 
 
+class Corpus:
+    """Statistics of all items: their number, mean and greatest length in words, and the number of items that hold a term."""
+
+    def __init__(self, items: int, average: float, longest: int, terms: np.ndarray, df: np.ndarray):
+        self.items, self.average, self.longest, self.terms, self.df = items, average, longest, terms, df
+
+    @classmethod
+    def of(cls, bags: list[np.ndarray]) -> Corpus:
+        terms, df = np.unique(np.concatenate([np.unique(x) for x in bags]) if bags else np.zeros(0, U), return_counts=True)
+        size = [len(x) for x in bags]
+        return cls(len(bags), float(np.mean(size)) if bags else 0.0, max(size, default=0), terms, df)
+
+    def frequencies(self, terms: np.ndarray) -> np.ndarray:
+        return self.df[np.searchsorted(self.terms, terms)] if len(terms) else np.zeros(0, I)
+
+
 class Index:
     """Postings in term order, items in blocks, and the greatest impact of each term in each block."""
 
-    def __init__(self, ids: list[int], texts: list[str], k1: float = 1.2, b: float = 0.75, block: int = 16):
+    def __init__(self, ids: list[int], texts: list[str], k1: float = 1.2, b: float = 0.75, block: int = 16, corpus: Corpus | None = None):
         self.ids, self.block = ids, block
         bags = [word_hashes(t or "") for t in texts]
         length = np.array([len(x) for x in bags], float)
-        average = max(length.mean(), 1.0) if len(bags) else 1.0
+        corpus = corpus or Corpus.of(bags)
+        average = max(corpus.average, 1.0)
         pairs = [np.unique(x, return_counts=True) for x in bags]
         term = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, U)
         item = np.repeat(np.arange(len(bags)), [len(p[0]) for p in pairs])
         tf = np.concatenate([p[1] for p in pairs]).astype(float) if pairs else np.zeros(0)
         self.terms, at = np.unique(term, return_inverse=True)
-        df = np.bincount(at, minlength=len(self.terms))
-        idf = np.log1p((len(bags) - df + 0.5) / (df + 0.5))
+        own_df = np.bincount(at, minlength=len(self.terms))
+        df = corpus.frequencies(self.terms)
+        idf = np.log1p((corpus.items - df + 0.5) / (df + 0.5))
         score = idf[at] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[item] / average))
         own = np.bincount(item, weights=score, minlength=len(bags))
         order = np.lexsort((item, at))
         self.item, self.impact = item[order], (score / own[item])[order]
-        self.first = np.concatenate([[0], np.cumsum(df)])
+        self.first = np.concatenate([[0], np.cumsum(own_df)])
         self.most = np.zeros(len(self.terms))
         np.maximum.at(self.most, at[order], self.impact)
         key = at[order] * I(len(bags) // block + 1) + self.item // block
@@ -87,7 +108,8 @@ class Index:
         self.block_of = (self.item // block)[where]
         self.block_most = np.maximum.reduceat(self.impact, where) if len(where) else np.zeros(0)
         self.block_first = np.concatenate([[0], np.cumsum(np.bincount(at[order][where], minlength=len(self.terms)))])
-        self.longest = int(length.max()) if len(bags) else 0
+        self.longest = corpus.longest
+        self.read = 0  # postings that search has looked at
         self.width = [max(1, min(3, len(x))) for x in bags]
         self.question, self.answer = [], []
         for bag, text, width in zip(bags, texts, self.width, strict=True):
@@ -103,27 +125,76 @@ class Index:
         row, j = ragged(first[term + 1] - first[term])
         return row, first[term[row]] + j
 
-    def search(self, passage: np.ndarray, term: np.ndarray, threshold: float, chunk: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def search(self, passage: np.ndarray, term: np.ndarray, threshold: float, cells: int = 4_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(passage, item, score) of all items scoring at least ``threshold``; rows are the distinct terms of each passage, sorted by it."""
-        out = []
+        out: list[tuple[int, int, float]] = []
         names = np.unique(passage)
+        blocks = len(self.ids) // self.block + 1
+        chunk = max(1, min(2000, cells // blocks))
         for i in range(0, len(names), chunk):
-            a, b = np.searchsorted(passage, [names[i], names[min(i + chunk, len(names)) - 1] + 1])
-            own, t = np.searchsorted(names[i : i + chunk], passage[a:b]), term[a:b]
-            blocks = int(self.block_of.max()) + 1
+            some = names[i : i + chunk]
+            a, b = np.searchsorted(passage, [some[0], some[-1] + 1])
+            own, t = np.searchsorted(some, passage[a:b]), term[a:b]
             row, at = self._spread(self.block_first, t)
-            bound = np.bincount(own[row] * blocks + self.block_of[at], weights=self.block_most[at], minlength=chunk * blocks)
-            alive = bound >= threshold - 1e-9
-            some = alive.reshape(-1, blocks).any(axis=1)[own]
-            own, t = own[some], t[some]
-            row, at = self._spread(self.first, t)
-            live = alive[own[row] * blocks + self.item[at] // self.block]
-            row, at = row[live], at[live]
-            key, back = np.unique(own[row] * I(len(self.ids)) + self.item[at], return_inverse=True)
-            score = np.bincount(back, weights=self.impact[at], minlength=len(key))
-            hit = score >= threshold - 1e-9
-            out.append((names[i : i + chunk][key[hit] // len(self.ids)], key[hit] % len(self.ids), score[hit]))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, I), np.zeros(0, I), np.zeros(0))
+            bound = np.bincount(own[row] * blocks + self.block_of[at], weights=self.block_most[at], minlength=len(some) * blocks)
+            alive = np.flatnonzero((bound >= threshold - 1e-9).reshape(-1, blocks).any(axis=1))
+            edge = np.searchsorted(own, np.stack([alive, alive + 1]))
+            for p, x, y in zip(alive.tolist(), *edge.tolist(), strict=True):
+                out += [(int(some[p]), item, score) for item, score in self.wand(t[x:y].tolist(), threshold)]
+        p, item, score = zip(*out, strict=True) if out else ((), (), ())
+        return np.array(p, I), np.array(item, I), np.array(score, float)
+
+    def wand(self, terms: list[int], threshold: float) -> list[tuple[int, float]]:
+        """(item, score) of all items that reach the threshold for these terms, by block-max WAND."""
+        least, size = threshold - 1e-9, self.block
+        item, first, most = self.item, self.first, self.most
+        cursors = [[int(item[first[t]]), int(first[t]), int(first[t + 1]), float(most[t]), t] for t in terms]
+        out = []
+
+        def forward(cursor: list, to: int) -> None:
+            cursor[1] = at = bisect_left(item, to, cursor[1], cursor[2])
+            cursor[0] = int(item[at]) if at < cursor[2] else -1
+
+        while cursors:
+            cursors.sort(key=lambda c: c[0])
+            reach, pivot = 0.0, 0
+            for c in cursors:
+                reach += c[3]
+                if reach >= least:
+                    break
+                pivot += 1
+            else:
+                break
+            here = cursors[pivot][0]
+            while pivot + 1 < len(cursors) and cursors[pivot + 1][0] == here:
+                pivot += 1
+            upto = cursors[: pivot + 1]
+            block = here // size
+            bound = 0.0
+            for c in upto:
+                lo, hi = int(self.block_first[c[4]]), int(self.block_first[c[4] + 1])
+                at = bisect_left(self.block_of, block, lo, hi)
+                if at < hi and self.block_of[at] == block:
+                    bound += float(self.block_most[at])
+            if bound < least:  # nothing up to the block's end, or to where another list begins, can reach the threshold
+                to = (block + 1) * size
+                if pivot + 1 < len(cursors):
+                    to = min(to, cursors[pivot + 1][0])
+                for c in upto:
+                    forward(c, to)
+            elif upto[0][0] == here:
+                score = float(sum(self.impact[c[1]] for c in upto))
+                self.read += len(upto)
+                if score >= least:
+                    out.append((here, score))
+                for c in upto:
+                    forward(c, here + 1)
+            else:
+                for c in upto:
+                    if c[0] < here:
+                        forward(c, here)
+            cursors = [c for c in cursors if c[0] >= 0]
+        return out
 
 
 def contaminations(data: np.ndarray, offsets: np.ndarray, index: Index, stride: int, threshold: float, least_question: float, least_answer: float) -> list[tuple]:
@@ -172,14 +243,34 @@ def contaminations(data: np.ndarray, offsets: np.ndarray, index: Index, stride:
 
 
 def build_indexes(benchmark: DataFrame, index_bytes: int = 32_000_000) -> Iterator[Index]:
-    """An index for each block of items of about ``index_bytes`` bytes, in order of item_id."""
-    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    """An index for each block of items of about ``index_bytes`` bytes; all have the statistics of the whole benchmark."""
+    rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // index_bytes))
-    for i in range(parts):
-        block = rows.filter(F.pmod(F.xxhash64("item_id"), F.lit(parts)) == i) if parts > 1 else rows
-        got = sorted(block.collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
+    if parts == 1:
+        got = sorted(rows.collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         yield Index([r["item_id"] for r in got], [r["text"] for r in got])
+        return
+    rows = materialize(rows.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))), "benchmark-items")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                bag = word_hashes(text)
+                terms = np.unique(bag).view(I)
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(bag)], pa.int64()), pa.array([terms], pa.list_(pa.int64()))], names=["part", "words", "terms"])
+
+    items = materialize(rows.select("part", "text").mapInArrow(count, "part long, words long, terms array<long>"), "benchmark-terms")
+    head = items.agg(F.count("*").alias("n"), F.avg("words").alias("average"), F.max("words").alias("longest")).first()
+    terms = items.select("part", F.explode("terms").alias("term"))
+    df = terms.groupBy("term").agg(F.count("*").alias("df"))
+    known = materialize(terms.distinct().join(df, "term"), "benchmark-frequencies")
+    for i in range(parts):
+        got = sorted(rows.filter(F.col("part") == i).collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
+        own = known.filter(F.col("part") == i).select("term", "df").toArrow()
+        term, n = own["term"].to_numpy().astype(I).view(U), own["df"].to_numpy().astype(I)
+        order = np.argsort(term)
+        yield Index([r["item_id"] for r in got], [r["text"] for r in got], corpus=Corpus(head["n"], head["average"], head["longest"], term[order], n[order]))
 
 
 SCHEMA = "doc_id long, item_id long, passage_word long, score double, question_overlap double, answer_overlap double"

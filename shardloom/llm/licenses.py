@@ -3,11 +3,13 @@
 One pass over the texts, no shuffle; a worker holds one automaton and one batch.
 
 A text is lower-cased (A-Z) and cut into words of digits, letters and non-ASCII characters.
-Phrases match where their words stand consecutively, overlaps included. After an identifier
-tag the rest of the line is parsed as an expression with ``with`` binding over ``and`` over ``or``.
+Phrases match where their words stand consecutively, overlaps included. Where the automaton finds an identifier
+tag and a colon follows it, the rest of the line is parsed as an expression with ``with`` binding over ``and`` over ``or``.
+Identifiers that are known, and references of one's own, become labels. The time is linear in the text.
 
 Edge cases: a null text is an empty one; empty texts have no places, empty labels and score 0; a
-malformed expression adds no label and leaves ``expressions`` untouched; every row gives one row,
+malformed expression adds no label and leaves ``expressions`` untouched; unknown identifiers stay in
+``expressions`` and are no labels; of very long texts nothing is left out; every row gives one row,
 repeated or not; extra columns are ignored.
 """
 
@@ -51,7 +53,18 @@ TAG = "spdx license identifier"
 #: Licences and exceptions that the default policy of ``permitted`` accepts, by lower-case identifier.
 PERMISSIVE = frozenset({"0bsd", "apache-2.0", "bsd-2-clause", "bsd-3-clause", "cc-by-4.0", "cc0-1.0", "isc", "mit", "unlicense", "zlib"})
 
-_LINE = re.compile(r"spdx[^0-9a-z\x80-\U0010ffff]+license[^0-9a-z\x80-\U0010ffff]+identifier[ \t]*:[ \t]*([^\n\r]*)", re.I)
+#: Public identifiers of licences and exceptions that become labels, in lower case.
+KNOWN = frozenset(
+    """0bsd afl-3.0 agpl-1.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.1 apache-2.0 artistic-1.0 artistic-2.0 blueoak-1.0.0 bsd-1-clause bsd-2-clause
+    bsd-3-clause bsd-4-clause bsl-1.0 cc-by-2.0 cc-by-3.0 cc-by-4.0 cc-by-nc-4.0 cc-by-nc-nd-4.0 cc-by-nc-sa-4.0 cc-by-nd-4.0 cc-by-sa-3.0 cc-by-sa-4.0 cc0-1.0 cddl-1.0
+    cecill-2.1 curl ecl-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 gfdl-1.3-only gfdl-1.3-or-later gpl-1.0-only gpl-1.0-or-later gpl-2.0 gpl-2.0-only gpl-2.0-or-later gpl-3.0
+    gpl-3.0-only gpl-3.0-or-later isc lgpl-2.0-only lgpl-2.0-or-later lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later mit mit-0 mpl-1.1
+    mpl-2.0 ms-pl ms-rl ncsa odbl-1.0 ofl-1.1 openssl osl-3.0 php-3.01 postgresql psf-2.0 python-2.0 ruby unicode-3.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl x11 zlib zpl-2.1
+    autoconf-exception-3.0 bison-exception-2.2 classpath-exception-2.0 font-exception-2.0 gcc-exception-3.1 linux-syscall-note llvm-exception openvpn-openssl-exception""".split()
+)
+
+_WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
+_LINE = re.compile(r"[ \t]*:[ \t]*([^\n\r]*)")
 _TOKEN = re.compile(r"\s*(?:([()])|([A-Za-z0-9][A-Za-z0-9.+:-]*))")
 _RANK = {"or": 1, "and": 2, "with": 3}
 _SEPARATORS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -116,6 +129,11 @@ def evaluate(text: str, allowed: frozenset[str] = PERMISSIVE) -> tuple[bool, lis
     return stack[0]
 
 
+def is_known(name: str) -> bool:
+    """Whether every identifier of ``x`` or ``x with y`` is known, ``x+`` included, or a reference to a licence text."""
+    return all(x.removesuffix("+") in KNOWN or x.startswith(("licenseref-", "documentref-")) for x in name.split(" with "))
+
+
 def build_automaton() -> ahocorasick.Automaton:
     """Every phrase between blanks, with (words in it, label, is base)."""
     automaton = ahocorasick.Automaton()
@@ -131,24 +149,30 @@ def scan_text(text: str, automaton: ahocorasick.Automaton, allowed: frozenset[st
     """All places and labels of one text; ``places`` holds (first word, label) of base phrases."""
     tokens = text.encode("utf-8", "surrogatepass").translate(_SEPARATORS).split()
     line = " " + b" ".join(tokens).decode("utf-8", "surrogatepass") + " "
-    places, base, labels, tagged, notices = [], set(), set(), False, []
+    places, base, labels, tags, notices, at, blanks = [], set(), set(), [], [], 0, 0
     for end, (n, label, is_base) in automaton.iter(line):
+        blanks += line.count(" ", at, end + 1)  # hits come in the order of their ends
+        at, start = end + 1, blanks - 1 - n
         if label is None:
-            tagged = True
+            tags.append(start + n)
             continue
-        start = line.count(" ", 0, end + 1) - 1 - n
         if is_base:
             places.append((start, label))
             base.add(label)
         notices.append((start, n, label))
         labels.add(label)
     expressions, permitted = [], []
-    if tagged:
-        for m in _LINE.finditer(text):
-            if (found := evaluate(m[1], allowed)) is not None:
+    if tags:
+        ends, wanted = [], set(tags)
+        for number, m in enumerate(_WORD.finditer(text), 1):
+            if number in wanted:
+                ends.append(m.end())
+        for at in ends:
+            m = _LINE.match(text, at)
+            if m is not None and (found := evaluate(m[1], allowed)) is not None:
                 expressions.append(m[1].strip())
                 permitted.append(found[0])
-                labels.update(found[1])
+                labels.update(x for x in found[1] if is_known(x))
     return {
         "n_words": len(tokens), "places": sorted(places), "base": sorted(base), "labels": sorted(labels), "notices": sorted(notices),
         "expressions": expressions, "permitted": all(permitted) if permitted else None,

@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -104,7 +105,7 @@ def statistics(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id, stats array<double>: one scan of the texts."""
-    small_batches(docs.sparkSession, 256)
+    small_batches(docs.sparkSession)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -152,7 +153,7 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return np.array([p[0] / p[2] for p in pools]), np.array([p[1] / p[2] for p in pools])
 
 
-def fit(labelled: DataFrame, features: int = 256, gamma: float = 0.03, ridge: float = 1.0, bins: int = 400, seed: int = 7) -> Model:
+def fit(labelled: DataFrame, features: int = 256, gamma: float = 0.03, ridge: float = 1.0, bins: int = 400, seed: int = 7, groups: int = 64) -> Model:
     """Fit on rows (doc_id, stats, y): four fifths for the weights, one fifth for the calibration."""
     k = len(NAMES)
     held = F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(5)) == 0
@@ -169,16 +170,18 @@ def fit(labelled: DataFrame, features: int = 256, gamma: float = 0.03, ridge: fl
             z = model.transform(_matrix(batch.column(0), k))
             total[:, :-1] += z.T @ z
             total[:, -1] += z.T @ batch.column(1).to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(features + 1), pa.int32()), list_array(total.ravel(), np.arange(features + 2) * (features + 2), pa.float64())], names=["i", "row"])
+        group = np.full(features + 1, TaskContext.get().partitionId() % groups)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(features + 1), pa.int32()), pa.array(group, pa.int32()), list_array(total.ravel(), np.arange(features + 2) * (features + 2), pa.float64())], names=["i", "part", "row"])
 
     def add(table: pa.Table) -> pa.Table:
         rows = table.column("row").combine_chunks()
         total = _matrix(rows, features + 2).sum(axis=0)
-        return pa.table({"i": table.column("i")[:1], "row": list_array(total, np.array([0, len(total)]), pa.float64())})
+        return pa.table({"i": table.column("i")[:1], "part": table.column("part")[:1], "row": list_array(total, np.array([0, len(total)]), pa.float64())})
 
-    parts = labelled.filter(~held).select("stats", "y").mapInArrow(sums, "i int, row array<double>")
-    rows = sorted(parts.groupBy("i").applyInArrow(add, "i int, row array<double>").collect())
-    system = np.array([r["row"] for r in rows])
+    system = labelled.filter(~held).select("stats", "y").mapInArrow(sums, "i int, part int, row array<double>")
+    for keys in (["i", "part"], ["i"]):  # partitions sum up in groups, and those in turn
+        system = system.groupBy(*keys).applyInArrow(add, "i int, part int, row array<double>")
+    system = np.array([r["row"] for r in sorted(system.collect())])
     penalty = ridge * np.eye(features + 1)
     penalty[-1, -1] = 0
     model.beta = np.linalg.solve(system[:, :-1] + penalty, system[:, -1])
@@ -231,7 +234,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, folds: int = 5, thresho
 
 def reject_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **options) -> DataFrame:
     """``docs`` without the rows scored below ``threshold``; columns and values as they were."""
-    small_batches(docs.sparkSession, 256)
+    small_batches(docs.sparkSession)
     stats = materialize(document_statistics(docs), "quality-stats")
     model = fit(labelled_rows(stats, labels, "quality", F.coalesce(bucket("doc_id", 5) != 0, F.lit(False))), **options)
     return keep_scored(docs, model, threshold)

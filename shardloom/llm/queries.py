@@ -28,12 +28,9 @@ def op3_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Also ``n_within_3``: for the query set doc_id % 100 = 0, the other documents within 3 bits, found by block tables."""
+    """Also ``n_within_3``: for the query set doc_id % 100 = 0, the other rows within 3 bits, found by block tables."""
     rows = materialize(simhash.fingerprint_and_follow(table(spark, sf_dir, "documents")), "op4")
-    prints = rows.select("doc_id", F.conv("fingerprint", 16, -10).cast("long").alias("fingerprint"))
-    asked = prints.filter("doc_id % 100 = 0").select(F.col("doc_id").alias("query"), "fingerprint")
-    found = simhash.neighbours(asked, prints, radius=3).groupBy(F.col("query").alias("doc_id")).agg((F.sum("n") - 1).alias("n_within_3"))
-    return rows.join(found, "doc_id", "left")
+    return simhash.count_within(rows, radius=3)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -165,3 +165,16 @@ def neighbours(queries: DataFrame, prints: DataFrame, radius: int = 3, blocks: i
     distance = F.bit_count(F.col("mine").bitwiseXOR(F.col("fingerprint")))
     hits = asked.join(index, ["t", "key"]).select("mine", "fingerprint", "n", distance.alias("distance")).filter(F.col("distance") <= radius).distinct()
     return queries.select("query", F.col("fingerprint").alias("mine")).join(hits, "mine").select("query", "fingerprint", "distance", "n")
+
+
+def count_within(rows: DataFrame, radius: int = 3, every: int = 100) -> DataFrame:
+    """``rows`` (doc_id, fingerprint in hex) with ``n_within_<radius>``: how many other rows lie within the radius; null where doc_id isn't divisible by ``every``.
+
+    A query is a fingerprint of such an id; each row leaves out itself only, so rows that share an id count for each other.
+    """
+    number = F.conv("fingerprint", 16, -10).cast("long")
+    ids = rows.filter(F.col("doc_id") % every == 0).select("doc_id", "fingerprint").distinct()
+    asked = ids.select(number.alias("query"), number.alias("fingerprint")).distinct()
+    found = neighbours(asked, rows.select(number.alias("fingerprint")), radius).groupBy("query").agg((F.sum("n") - 1).alias(f"n_within_{radius}"))
+    found = ids.join(found.withColumn("fingerprint", F.lower(F.lpad(F.hex("query"), 16, "0"))).drop("query"), "fingerprint")
+    return rows.join(found, ["doc_id", "fingerprint"], "left").select(*rows.columns, f"n_within_{radius}")

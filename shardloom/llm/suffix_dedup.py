@@ -18,9 +18,10 @@ merge keeps the earliest of equal entries. At last the candidates' strings are c
 Hot groups: in a task and in a level the earliest of equal entries stands for all, so a passage in
 a third of the documents is one entry per task. Nothing is held but a bucket and a batch of texts.
 
-Edge cases: a null text is empty; texts under ``length`` bytes lose nothing; rows sharing a doc_id are versions of one
-document: what is found in one is removed from each at the same place; null ids sort first and count as one id; very long
-texts are scanned in slices; an empty table gives no rows; extra columns are ignored.
+Edge cases: a null text is empty; texts under ``length`` bytes lose nothing; every row is a document of its own: rows that
+share a doc_id come in the order of their texts' hashes, of equal ones any is the earliest, and null ids sort first. Where ids
+repeat, rows are numbered in that order and written once, so that each keeps its number. Very long texts are scanned in
+slices; an empty table gives no rows; extra columns, whatever their names, stay as they are or are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._ranges import partitions, split_points
-from ._store import discard, freeze, materialize, release, scratch, small_batches, thaw
+from ._store import discard, free_name, freeze, materialize, release, scratch, small_batches, thaw
 from ._text import buffer, mix, prefix_hash, ragged, span_hash, window_hashes
 
 U, I = np.uint64, np.int64
@@ -288,7 +289,7 @@ class SuffixIndex:
 
     def add(self, batch: DataFrame, keep: bool = True) -> None:
         """Index a batch of rows (doc, text), all of whose ids are above those indexed before. ``keep``: more batches may follow."""
-        small_batches(self.spark, 256)
+        small_batches(self.spark)
         into = None
         if keep:
             into = 0
@@ -363,7 +364,7 @@ def compare_edges(docs: DataFrame, candidates: DataFrame, length: int, bits: int
         if held:
             yield from give(held)
 
-    small_batches(spark, 256)
+    small_batches(spark)
     packed = rows.mapInArrow(scan, ROWS)
 
     def work(_: int, blobs: list[tuple[int, bytes]]) -> list[tuple]:
@@ -409,21 +410,28 @@ def repeated_spans(docs: DataFrame, length: int = 100, batches: int = 4, k: int
     return index.found(REMOVED).unionByName(edges)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)).alias("doc"), "text")
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a long column that tells its rows apart, in the order of doc_id, and that column's name."""
+    name = free_name(docs, "doc")
+    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
+    if not docs.groupBy(own.alias("id")).count().filter("count > 1").head(1):
+        return docs.withColumn(name, own), name
+    rows = docs.withColumn(name, F.xxhash64("text")).repartitionByRange(2 * partitions(docs.sparkSession), own, name).sortWithinPartitions(own, name)
+    return materialize(rows.withColumn(name, F.monotonically_increasing_id()), "suffix-rows"), name
 
 
-def spanned(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with ``doc_spans``, the packed spans to remove."""
-    found = repeated_spans(keyed(docs), **options).groupBy("doc").agg(F.collect_list("data").alias("doc_spans"))
-    own = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
-    return docs.withColumn("doc", own).join(found, "doc", "left").drop("doc")
+def spanned(docs: DataFrame, **options) -> tuple[DataFrame, str]:
+    """``docs`` with a column of the packed spans to remove, and that column's name."""
+    rows, key = keyed(docs)
+    spans = free_name(rows, "spans")
+    found = repeated_spans(rows.select(F.col(key).alias("doc"), "text"), **options).groupBy(F.col("doc").alias(key)).agg(F.collect_list("data").alias(spans))
+    return rows.join(found, key, "left").drop(key), spans
 
 
 def remove_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with every repeated byte cut from ``text``; a character that loses a byte goes whole. n_chars follows where it is a column."""
-    small_batches(docs.sparkSession, 256)
-    rows = spanned(docs, **options)
+    small_batches(docs.sparkSession)
+    rows, spans = spanned(docs, **options)
     names = docs.columns
     at = names.index("text")
 
@@ -439,7 +447,7 @@ def remove_repeats(docs: DataFrame, **options) -> DataFrame:
                 columns[names.index("n_chars")] = pa.array([len(t or "") for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return rows.select(*names, "doc_spans").mapInArrow(cut, docs.schema)
+    return rows.select(*names, spans).mapInArrow(cut, docs.schema)
 
 
 def kept_bytes(raw: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -455,8 +463,8 @@ SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 
 def removal_report(docs: DataFrame, **options) -> DataFrame:
     """doc_id, sizes, the removed spans and the SHA-256 of the remaining bytes of every row."""
-    small_batches(docs.sparkSession, 256)
-    rows = spanned(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), **options)
+    small_batches(docs.sparkSession)
+    rows, found = spanned(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), **options)
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -475,4 +483,4 @@ def removal_report(docs: DataFrame, **options) -> DataFrame:
                 names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"],
             )
 
-    return rows.select("doc_id", "text", "doc_spans").mapInArrow(report, SCHEMA)
+    return rows.select("doc_id", "text", found).mapInArrow(report, SCHEMA)

@@ -4,9 +4,9 @@ A document is a bag of sentences. A sentence's probability is a logistic functio
 the document is toxic if any sentence is: P = 1 - prod(1 - p). Only document labels are given,
 and the gradient of the bag's likelihood tells the sentences apart, so that scoring locates them.
 
-Training: a bounded sample of labelled rows (``max_docs`` documents of at most ``max_bytes``
-bytes, the smallest by a hash of the id) is gathered as hashed words; so the driver holds at most
-``max_docs * max_bytes`` bytes of text whatever the input. Scoring is one pass over all texts
+Training: a bounded sample of labelled rows (at most ``max_docs`` documents, long ones included, and at most
+``max_bytes`` bytes in all, the smallest by a hash of the id) is gathered as hashed words, one row for each sampled
+id; so the driver holds no more than that of text whatever the input. Scoring is one pass over all texts
 without a shuffle, with ``2**bits`` weights sent along.
 
 Edge cases: null and empty texts have no sentence and so score 0 words' worth, the background rate of one
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._store import materialize, small_batches
@@ -65,7 +65,23 @@ class Model:
         self.bits, self.weights, self.bias, self.constant = bits, np.zeros(1 << bits, np.float32), -4.0, None
 
     def logits(self, slot: np.ndarray, sentence: np.ndarray, n: int) -> np.ndarray:
-        return np.bincount(sentence, weights=self.weights[slot], minlength=n) + self.bias
+        """The logits of n sentences; a feature counts once in a sentence, as in training."""
+        known = self.weights[slot] != 0
+        once = np.unique(sentence[known] << self.bits | slot[known])
+        return np.bincount(once >> self.bits, weights=self.weights[once & (1 << self.bits) - 1], minlength=n) + self.bias
+
+
+def bag_gradient(w: np.ndarray, bias: float, slot: np.ndarray, sentence: np.ndarray, doc: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray, float]:
+    """(loss, gradient by w, by bias) of the mean negative log-likelihood of the bags' labels.
+
+    Feature ``slot[i]`` is in sentence ``sentence[i]``, and ``doc`` has the bag of each sentence.
+    """
+    logit = np.bincount(sentence, weights=w[slot], minlength=len(doc)) + bias
+    s = np.maximum(np.bincount(doc, weights=softplus(logit), minlength=len(y)), 1e-9)
+    loss = np.where(y == 1, -np.log(-np.expm1(-s)), s).mean()
+    per_doc = np.where(y == 1, -np.exp(-s) / -np.expm1(-s), 1.0)
+    grad = per_doc[doc] / (1 + np.exp(-logit)) / len(y)
+    return float(loss), np.bincount(slot, weights=grad[sentence], minlength=len(w)), float(grad.sum())
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: int, least: int = 5, most_words: int = 1500, steps: int = 150, rate: float = 0.15, decay: float = 5e-3) -> Model:
@@ -97,15 +113,11 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: i
     slot, sentence = index[slot[keep]], sentence[keep]
     once = np.unique(sentence * np.int64(max(1, len(use))) + slot)
     sentence, slot = once // max(1, len(use)), once % max(1, len(use))
-    w, bias, total = np.zeros(len(use)), float(np.log(share / max(1.0, count.mean()))), int(count.sum())
+    w, bias = np.zeros(len(use)), float(np.log(share / max(1.0, count.mean())))
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for t in range(1, steps + 1):
-        logit = np.bincount(sentence, weights=w[slot], minlength=total) + bias
-        s = np.maximum(np.bincount(doc, weights=softplus(logit), minlength=len(y)), 1e-9)
-        per_doc = np.where(y == 1, -np.exp(-s) / -np.expm1(-s), 1.0)
-        grad = per_doc[doc] / (1 + np.exp(-logit)) / len(y)
-        g = np.bincount(slot, weights=grad[sentence], minlength=len(use)) + decay * w / np.sqrt(len(y))
-        gb = grad.sum()
+        _, g, gb = bag_gradient(w, bias, slot, sentence, doc, y)
+        g = g + decay * w / np.sqrt(len(y))
         m, v, mb, vb = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g, 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         fix = np.sqrt(1 - 0.99**t) / (1 - 0.9**t)
         w -= rate * fix * m / (np.sqrt(v) + 1e-8)
@@ -115,13 +127,20 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: i
     return model
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits: int = 18, max_docs: int = 6000, max_bytes: int = 6000, **options) -> Model:
-    """Learn from labelled rows outside fold ``out``: a sample of at most ``max_docs`` documents."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length("text").alias("size")).filter(F.col("size").between(1, max_bytes))
+def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits: int = 18, max_docs: int = 6000, max_bytes: int = 24_000_000, **options) -> Model:
+    """Learn from labelled rows outside fold ``out``: a sample of at most ``max_docs`` documents and ``max_bytes`` bytes.
+
+    Of rows that share an id, the one with the longest text is taken, of equal length that of the greatest hash.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.octet_length("text").alias("size"), F.xxhash64("text").alias("print")).filter(F.col("size").between(1, max_bytes))
     sample = labelled_rows(ids, labels, "toxic", F.coalesce(bucket("doc_id", folds) != out, F.lit(False)))
-    sample = sample.select("doc_id", "y").distinct().orderBy(F.xxhash64("doc_id", F.lit("sample")), "doc_id").limit(max_docs)
-    chosen = materialize(sample, "toxicity-sample")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.octet_length("text").between(1, max_bytes)).join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id", "y").agg(F.max(F.struct("size", "print")).alias("x")).select("doc_id", "y", "x.*")
+    turn = [F.xxhash64("doc_id", F.lit("sample")), F.col("doc_id")]
+    sample = sample.orderBy(*turn).limit(max_docs)
+    so_far = F.sum("size").over(Window.orderBy(*turn))  # of at most max_docs rows
+    chosen = materialize(sample.withColumn("so_far", so_far).filter(F.col("so_far") <= max_bytes).select("doc_id", "y", "print"), "toxicity-sample")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("print")).join(F.broadcast(chosen), ["doc_id", "print"])
+    texts = texts.dropDuplicates(["doc_id", "print", "y"])
 
     def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

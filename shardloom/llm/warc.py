@@ -2,31 +2,35 @@
 
 Writing: a record holds an HTTP response with chunked transfer framing. Of equal large payloads
 one record is a ``response`` and the others ``revisit`` it. A block over ``segment_bytes`` is
-cut into a first record and ``continuation`` records that name it. Record ids are the page's id, the
-payload's digest and a random part, so that repeated rows have records of their own; a revisit names page and
-digest, which all records of equal rows share. Archives are written by
-Spark's text writer, one record to a row, the record end as the row separator.
+cut into a first record and ``continuation`` records that name it. Every record has a date and a random identifier of its own, so that
+repeated rows have records of their own; a revisit names its target by URI and payload digest, and by the page's id. Archives are
+written by Spark's text writer, one record to a row, the record end as the row separator.
 
 Reading: archives come in whole as binary files; records are cut out by their Content-Length,
-so payloads may hold any bytes. Continuations are grouped by the identifier of their origin,
+so payloads may hold any bytes. Continuations are grouped by the identifier of their origin alone,
 ordered by segment number, verified against the total length, joined and dechunked; the rows of
-a group are the segments of one record, so a group is as large as one payload. Records without
-segments don't shuffle.
+a group are the segments of one record, so a group is as large as one payload. What else is known of a record comes from its first
+segment. Records without segments don't shuffle. Archives of other writers are read as well: digests may be hexadecimal or base32, in
+any case; a record without a page id has a null one.
 
-Scale: deduplication shuffles one digest per page (with partial aggregation, so a payload that
-fills a third of the table is one row per task); archives are bounded by ``records_per_file``.
+Scale: deduplication shuffles digests and ids (with partial aggregation, so a payload that
+fills a third of the table is one row per task), and sends the payloads that repeat back to the pages by broadcast if they are few, else by
+a join on the digest; archives are bounded by ``records_per_file``.
 
 Edge cases: a null payload is empty; empty payloads are responses; null ids and urls are written as empty
-fields and ids read back as null; repeated page ids get a record each; extra columns are ignored; an empty table writes no record.
+fields and ids read back as null; repeated page ids get a record each, rows equal to the response in id and payload are responses too;
+extra columns are ignored; an empty table writes no record.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -71,15 +75,17 @@ def dechunked(framed: bytes) -> bytes:
         at += n + 2
 
 
-def with_digests(pages: DataFrame, least: int = 1000) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest, refers_to (null for responses)."""
+def with_digests(pages: DataFrame, least: int = 1000, broadcast_rows: int = 500_000) -> DataFrame:
+    """page_id, url, html, payload_bytes, payload_digest, refers_to and refers_to_url (null for responses)."""
     raw = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"), F.octet_length(raw).cast("long").alias("payload_bytes"), F.sha1(raw).alias("payload_digest"))
-    large = rows.filter(F.col("payload_bytes") >= least)
-    first = large.groupBy(F.col("payload_digest").alias("digest")).agg(F.max("page_id").alias("holder"), F.count("*").alias("n")).filter("n > 1").select("digest", "holder")
-    target = F.when(F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder")), F.col("holder"))
-    joined = rows.join(first, (rows["payload_digest"] == first["digest"]) & (rows["payload_bytes"] >= least), "left")
-    return joined.select(*rows.columns, target.alias("refers_to"))
+    large = rows.filter(F.col("payload_bytes") >= least).select("page_id", "url", F.unhex("payload_digest").alias("digest"))
+    first = large.groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("holder"), F.count("*").alias("n")).filter("n > 1").select("digest", "holder")
+    first = materialize(first, "warc-repeated")
+    few = first.count() <= broadcast_rows  # some hundred bytes a row
+    again = F.col("holder").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("holder.page_id"))
+    joined = rows.join(F.broadcast(first) if few else first, (F.unhex("payload_digest") == first["digest"]) & (rows["payload_bytes"] >= least), "left")
+    return joined.select(*rows.columns, F.when(again, F.col("holder.page_id")).alias("refers_to"), F.when(again, F.coalesce("holder.url", F.lit(""))).alias("refers_to_url"))
 
 
 def _head(fields: list[tuple[str, object]], length: int) -> str:
@@ -87,41 +93,50 @@ def _head(fields: list[tuple[str, object]], length: int) -> str:
     return f"WARC/1.1\r\n{lines}Content-Length: {length}\r\n\r\n"
 
 
-def records_of(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None, segment_bytes: int, chunk_bytes: int) -> list[str]:
+#: Fixed value: the profile of revisit records for equal payloads.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def records_of(row: dict, date: str, segment_bytes: int, chunk_bytes: int) -> list[str]:
     """The records of one page as text, in order, without their ends."""
-    key = "" if page_id is None else page_id
-    uri = re.sub(r"[\r\n]+", " ", url or "")
-    me = f"urn:shardloom:page:{key}:{digest}:{uuid.uuid4().hex}"
-    common = [("WARC-Record-ID", f"<{me}>"), ("WARC-Target-URI", uri), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Page-Id", key)]
+
+    def uri(x: str | None) -> str:
+        return re.sub(r"[\r\n]+", " ", x or "")
+
+    def own() -> list[tuple[str, object]]:
+        return [("WARC-Record-ID", f"<{uuid.uuid4().urn}>"), ("WARC-Date", date), ("WARC-Target-URI", uri(row["url"]))]
+
+    page = "" if row["page_id"] is None else row["page_id"]
+    fields = [*own(), ("WARC-Payload-Digest", f"sha1:{row['payload_digest']}"), ("Content-Type", "application/http; msgtype=response"), ("X-Page-Id", page)]
     http = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
-    if refers_to is not None:
-        return [_head([("WARC-Type", "revisit"), *common, ("WARC-Refers-To", f"<urn:shardloom:page:{refers_to}:{digest}>")], len(http)) + http]
-    block = http.encode() + chunked(html.encode(), chunk_bytes)
+    if row["refers_to"] is not None:
+        target = [("WARC-Profile", PROFILE), ("WARC-Refers-To-Target-URI", uri(row["refers_to_url"])), ("X-Refers-To-Page-Id", row["refers_to"])]
+        return [_head([("WARC-Type", "revisit"), *fields, *target], len(http)) + http]
+    block = http.encode() + chunked(row["html"].encode(), chunk_bytes)
     if len(block) <= segment_bytes:
-        return [_head([("WARC-Type", "response"), *common], len(block)) + block.decode()]
+        return [_head([("WARC-Type", "response"), *fields], len(block)) + block.decode()]
     out = []
     pieces = list(slices(block, segment_bytes))
     for number, piece in enumerate(pieces, 1):
-        kind = [("WARC-Type", "response"), *common]
-        if number > 1:
-            kind = [("WARC-Type", "continuation"), ("WARC-Record-ID", f"<{me}:{number}>"), ("WARC-Segment-Origin-ID", f"<{me}>"), ("X-Origin-Digest", digest), ("X-Page-Id", key)]
+        kind = [("WARC-Type", "response"), *fields] if number == 1 else [("WARC-Type", "continuation"), *own(), ("WARC-Segment-Origin-ID", fields[0][1])]
         total = ("WARC-Segment-Total-Length", len(block) if number == len(pieces) else None)
         out.append(_head([*kind, ("WARC-Segment-Number", number), total], len(piece)) + piece.decode())
     return out
 
 
-def write_archives(pages: DataFrame, path: str, least: int = 1000, segment_bytes: int = 16_384, chunk_bytes: int = 4096, records_per_file: int = 20_000) -> None:
-    """Write gzip-compressed archives of all ``pages`` (page_id, url, html) into the folder ``path``."""
+def write_archives(pages: DataFrame, path: str, least: int = 1000, segment_bytes: int = 16_384, chunk_bytes: int = 4096, records_per_file: int = 20_000, date: str | None = None) -> None:
+    """Write gzip-compressed archives of all ``pages`` (page_id, url, html) into the folder ``path``; ``date`` is now by default."""
     small_batches(pages.sparkSession)
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[str] = []
             for row in batch.to_pylist():
-                out += records_of(row["page_id"], row["url"], row["html"], row["payload_digest"], row["refers_to"], segment_bytes, chunk_bytes)
+                out += records_of(row, date, segment_bytes, chunk_bytes)
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["value"])
 
-    records = with_digests(pages, least).select("page_id", "url", "html", "payload_digest", "refers_to").mapInArrow(build, "value string")
+    records = with_digests(pages, least).drop("payload_bytes").mapInArrow(build, "value string")
     records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
@@ -152,17 +167,32 @@ def parse_archive(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 8 + n
 
 
-_RECORD = "kind string, page_id long, origin string, segment int, total long, digest string, refers_to long, block binary"
+def hex_digest(field: str | None) -> str | None:
+    """The SHA-1 of a digest field in lower-case hexadecimal, from that or base32; null for other algorithms and malformed values."""
+    name, _, value = (field or "").partition(":")
+    value = value.strip()
+    if name.strip().lower().replace("-", "") != "sha1":
+        return None
+    if re.fullmatch(r"[0-9A-Fa-f]{40}", value):
+        return value.lower()
+    if re.fullmatch(r"[A-Za-z2-7]{32}", value):
+        return base64.b32decode(value.upper()).hex()
+    return None
+
+
+_RECORD = "kind string, page_id long, uri string, origin string, segment int, total long, digest string, refers_to long, block binary"
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of all archives below ``path``."""
-    small_batches(spark, 256)
-    number = re.compile(r"^<urn:shardloom:page:(-?\d+)[:>]")
+    """One row per record of all archives below ``path``; ``origin`` is the identifier of a record's first segment."""
+    small_batches(spark)
+
+    def number(x: str | None) -> int | None:
+        return int(x) if x and re.fullmatch(r"-?\d+", x) else None
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _RECORD.split(", ")]
-        types = [pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
+        types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.binary()]
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
@@ -172,11 +202,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 rows: list[tuple] = []
                 held = 0
                 for f, block in parse_archive(_plain(content.as_py())):
-                    to = number.search(f.get("warc-refers-to", ""))
-                    digest = f.get("warc-payload-digest", "").removeprefix("sha1:") or f.get("x-origin-digest")
-                    segment = f.get("warc-segment-number")
-                    total = f.get("warc-segment-total-length")
-                    rows.append((f["warc-type"], int(f["x-page-id"]) if f.get("x-page-id") else None, f.get("warc-segment-origin-id") or f["warc-record-id"], int(segment) if segment else None, int(total) if total else None, digest, int(to[1]) if to else None, block))
+                    get = f.get
+                    rows.append(
+                        (
+                            get("warc-type"), number(get("x-page-id")), get("warc-target-uri"), get("warc-segment-origin-id") or get("warc-record-id"), number(get("warc-segment-number")),
+                            number(get("warc-segment-total-length")), hex_digest(get("warc-payload-digest")), number(get("x-refers-to-page-id")), block,
+                        )
+                    )
                     held += len(block)
                     if len(rows) >= 1000 or held > 4_000_000:
                         yield batch_of(rows)
@@ -184,8 +216,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return files.mapInArrow(parse, _RECORD)
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parse, _RECORD)
 
 
 def payload_of(block: bytes) -> bytes:
@@ -194,39 +225,44 @@ def payload_of(block: bytes) -> bytes:
     return dechunked(body) if re.search(rb"^transfer-encoding:[ \t]*chunked\r?$", head, re.I | re.M) else body
 
 
+KINDS = ("response", "resource", "conversion", "revisit")
+
+
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per page: page_id, record_type, refers_to, payload (of responses), payload_digest, error.
+    """One row per captured page: page_id, record_type, uri, refers_to, payload (of all but revisits), payload_digest, error.
 
-    ``error`` names a total length, segment order or digest that doesn't hold; it is null for sound records.
+    ``error`` names a total length, segment order or digest that doesn't hold; it is null for sound records. Records that hold no
+    page (requests, metadata and so on) are left out; a continuation without its first segment is an error.
     """
     records = read_records(spark, path)
-    single = records.filter(F.col("segment").isNull()).select("kind", "page_id", "digest", "refers_to", F.col("block").alias("whole"), F.lit(None).cast("string").alias("error"))
-    piece = F.struct("segment", "total", "block", "kind")
-    group = records.filter(F.col("segment").isNotNull()).groupBy("origin", "page_id", "digest").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
+    single = records.filter(F.col("segment").isNull() & F.col("kind").isin(*KINDS)).select("kind", "page_id", "uri", "digest", "refers_to", F.col("block").alias("whole"), F.lit(None).cast("string").alias("error"))
+    piece = F.struct("segment", "kind", "total", "block", "page_id", "uri", "digest", "refers_to")
+    group = records.filter(F.col("segment").isNotNull()).groupBy("origin").agg(F.sort_array(F.collect_list(piece)).alias("pieces"))
     total = F.array_max(F.transform("pieces", lambda p: p["total"]))
     whole = F.aggregate("pieces", F.lit(b"").cast("binary"), lambda a, p: F.concat(a, p["block"]))
     order = F.exists(F.transform("pieces", lambda p, i: p["segment"] != i + 1), lambda x: x)
     error = F.when(F.col("bad"), "a segment is missing").when(~F.octet_length("whole").cast("long").eqNullSafe(F.col("total")), "the total length is wrong")
-    joined = group.select("page_id", "digest", whole.alias("whole"), total.alias("total"), order.alias("bad"), F.lit("response").alias("kind"))
-    joined = joined.select("kind", "page_id", "digest", F.lit(None).cast("long").alias("refers_to"), "whole", error.alias("error"))
+    joined = group.select(F.col("pieces")[0].alias("first"), whole.alias("whole"), total.alias("total"), order.alias("bad")).select(*[f"first.{c}" for c in ("kind", "page_id", "uri", "digest", "refers_to")], "whole", error.alias("error"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            payload, errors = [], []
-            for kind, digest, whole, wrong in zip(*[batch.column(i).to_pylist() for i in (0, 2, 4, 5)], strict=True):
+            payload, digests, errors = [], [], []
+            for kind, digest, whole, wrong in zip(*[batch.column(i).to_pylist() for i in (0, 3, 5, 6)], strict=True):
                 body = None
-                if kind == "response" and wrong is None:
+                if kind != "revisit" and wrong is None:
                     try:
-                        body = payload_of(whole)
-                        wrong = None if hashlib.sha1(body).hexdigest() == digest else "the digest is wrong"
+                        body = payload_of(whole) if kind == "response" else whole
+                        found = hashlib.sha1(body).hexdigest()
+                        wrong = None if digest in (None, found) else "the digest is wrong"
+                        digest = digest or found
                     except ValueError as e:
                         wrong = str(e)
                 payload.append(body)
+                digests.append(digest)
                 errors.append(wrong)
-            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), batch.column(3), pa.array(payload, pa.binary()), batch.column(2), pa.array(errors, pa.string())], names=["page_id", "record_type", "refers_to", "payload", "payload_digest", "error"])
+            yield pa.RecordBatch.from_arrays([batch.column(1), batch.column(0), batch.column(2), batch.column(4), pa.array(payload, pa.binary()), pa.array(digests, pa.string()), pa.array(errors, pa.string())], names=["page_id", "record_type", "uri", "refers_to", "payload", "payload_digest", "error"])
 
-    schema = "page_id long, record_type string, refers_to long, payload binary, payload_digest string, error string"
-    small_batches(spark, 256)
+    schema = "page_id long, record_type string, uri string, refers_to long, payload binary, payload_digest string, error string"
     return single.unionByName(joined).mapInArrow(decode, schema)
 
 

@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -100,6 +101,46 @@ def test_toxicity_finds_toxic_documents_and_sentences(spark):
         assert all("vilething" in s for s in spans) and bool(spans) == bad[i]
 
 
+def test_gradient_of_the_bag_likelihood():
+    r = np.random.default_rng(3)
+    doc = np.sort(np.concatenate([np.arange(12), r.integers(0, 12, 20)]))
+    sentence, slot = r.integers(0, len(doc), 90), r.integers(0, 7, 90)
+    y, w, bias = r.integers(0, 2, 12).astype(float), r.normal(size=7), -0.7
+
+    def loss(w, bias):
+        total = 0.0
+        for d in range(12):
+            none = 1.0
+            for s in np.flatnonzero(doc == d):
+                none *= 1 - 1 / (1 + np.exp(-(bias + w[slot[sentence == s]].sum())))
+            total -= np.log(1 - none) if y[d] else np.log(none)
+        return total / 12
+
+    value, g, gb = toxicity.bag_gradient(w, bias, slot, sentence, doc, y)
+    h = 1e-6
+    assert value == pytest.approx(loss(w, bias))
+    assert g == pytest.approx([(loss(w + h * e, bias) - loss(w - h * e, bias)) / (2 * h) for e in np.eye(7)], abs=1e-6)
+    assert gb == pytest.approx((loss(w, bias + h) - loss(w, bias - h)) / (2 * h), abs=1e-6)
+
+
+def test_a_repeated_word_counts_once_in_a_sentence(spark):
+    model = toxicity.Model(12)
+    one = toxicity.sentence_words(*buffer(pa.array(["bad"])), 12)[0]
+    model.weights[one], model.bias = 1.5, -3.0
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(frame(spark, ["bad", "bad bad bad BAD", "bad. bad", "", None]), model).collect()}
+    p = 1 / (1 + np.exp(1.5))
+    assert [got[i] for i in range(3)] == pytest.approx([p, p, 1 - (1 - p) ** 2]) and got[3] == got[4] == pytest.approx(1 / (1 + np.exp(3)))
+
+
+def test_the_sample_is_bounded_and_one_row_per_id(spark):
+    texts = ["good words here. " * 4] * 30 + ["bad words here. " * 900] * 30
+    docs = frame(spark, texts * 2, [*range(60), *range(60)])
+    labels = spark.createDataFrame([(i, 1, int(i >= 30)) for i in range(60)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels, max_docs=50, least=2)
+    assert model.constant is None and model.weights.any()
+    assert toxicity.fit(docs, labels, max_bytes=10).constant == 0.5
+
+
 def test_noisy_or_of_sentences():
     p = np.array([0.5, 0.5, 0.1])
     assert toxicity.noisy_or(np.log(p / (1 - p)), np.array([0, 0, 1]), 2) == pytest.approx([0.75, 0.1])
@@ -117,6 +158,38 @@ def test_quality_separates_junk(spark):
     assert kept == {i for i, r in got.items() if r["predicted"]}
 
 
+def test_statistics_match_plain_counts():
+    for t in ["", "A cat. THE Cat, the dog!\nA cat. THE\n\n| x |", text(50), "Ünï  9,9"]:
+        got = dict(zip(quality.NAMES, quality.statistics(*buffer(pa.array([t, "other text"])))[0], strict=True))
+        raw, w, lines = t.encode(), re.findall(r"[^\x20\x09-\x0D]+", t), [x for x in t.split("\n") if x]
+        full = max(len(raw), 1)
+        assert got["log_bytes"] == pytest.approx(np.log1p(len(raw))) and got["upper"] * full == pytest.approx(sum(65 <= b <= 90 for b in raw))
+        assert got["comma"] * full == pytest.approx(sum(t.count(c) for c in ",;:")) and got["digit"] * full == pytest.approx(sum(48 <= b <= 57 for b in raw))
+        if w:
+            size = [len(x.encode()) for x in w]
+            assert got["mean_word"] == pytest.approx(np.mean(size)) and got["sd_word"] == pytest.approx(np.std(size))
+            assert got["distinct_words"] == pytest.approx(len({x.lower() for x in w}) / len(w)) and got["distinct_lines"] == pytest.approx(len({x.lower() for x in lines}) / len(lines))
+
+
+def test_features_approximate_the_kernel_and_the_solution_is_ridge(spark):
+    r = np.random.default_rng(1)
+    k = len(quality.NAMES)
+    x = r.normal(size=(300, k))
+    model = quality.Model(np.zeros(k), np.ones(k), 4000, 0.03, 7)
+    z = model.transform(x[:40])[:, :-1]
+    exact = np.exp(-0.03 * ((x[:40, None] - x[None, :40]) ** 2).sum(axis=2))
+    assert np.abs(z @ z.T - exact).max() < 0.12
+    y = (x[:, 0] + x[:, 1] > 0).astype(float)
+    labelled = spark.createDataFrame([(i, x[i].tolist(), float(y[i])) for i in range(300)], "doc_id long, stats array<double>, y double").repartition(7)
+    model = quality.fit(labelled, features=32, groups=3)
+    used = [row["doc_id"] for row in labelled.filter(F.pmod(F.xxhash64("doc_id", F.lit("calibration")), F.lit(5)) != 0).collect()]
+    plain = quality.Model(x.mean(axis=0), x.std(axis=0), 32, 0.03, 7)
+    z = plain.transform(x[used])
+    penalty = np.eye(33)
+    penalty[-1, -1] = 0
+    assert model.beta == pytest.approx(np.linalg.solve(z.T @ z + penalty, z.T @ y[used]), abs=1e-8)
+
+
 def test_isotonic_is_monotone_and_keeps_the_mean():
     r = np.random.default_rng(0)
     x, w = np.sort(r.random(50)), r.integers(1, 9, 50).astype(float)
@@ -153,6 +226,24 @@ def test_repeats_match_brute_force(spark, batches):
     assert [tuple(r)[1:] for r in got] == brute_removal(texts, 100)
 
 
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    own = [text(90, random.Random(i)) for i in range(4)]
+    shared = text(60, random.Random(9))
+    texts = [own[0], own[1], own[2] + shared, own[3], own[3], shared + own[0][:50], None, ""]
+    ids = [7, 7, None, None, 9, 12, 7, None]
+    docs = frame(spark, texts, ids).withColumn("doc", F.lit("d")).withColumn("Doc_Spans", F.lit(2)).withColumn("spans", F.lit(3))
+    got = sorted((r["doc_id"] or -1, r["n_bytes"], r["n_removed"]) for r in suffix_dedup.removal_report(docs).collect())
+    size = [len((t or "").encode()) for t in texts]
+    gone = [0, 0, 0, 0, size[4], len(shared), 0, 0]
+    assert got == sorted((i or -1, n, g) for i, n, g in zip(ids, size, gone, strict=True))
+    cut = suffix_dedup.remove_repeats(docs)
+    assert cut.columns == docs.columns
+    want = [own[0], own[1], own[2] + shared, own[3], "", own[0][:50], None, ""]
+    assert sorted((str(r["doc_id"]), str(r["text"]), r["doc"], r["Doc_Spans"], r["spans"]) for r in cut.collect()) == sorted((str(i), str(t), "d", 2, 3) for i, t in zip(ids, want, strict=True))
+    same = frame(spark, [own[0]] * 3, [5, 5, 5])
+    assert sorted(r["n_removed"] for r in suffix_dedup.removal_report(same).collect()) == [0, size[0], size[0]]
+
+
 def test_long_texts_are_scanned_in_slices():
     raw = np.random.default_rng(1).integers(97, 100, 3000).astype(np.uint8)
     offsets = np.array([0, 40, 2900, 3000])
@@ -162,7 +253,7 @@ def test_long_texts_are_scanned_in_slices():
 
 
 def test_levels_merge_geometrically(spark):
-    docs = suffix_dedup.keyed(frame(spark, [text(60) for _ in range(8)]))
+    docs = frame(spark, [text(60) for _ in range(8)]).select(F.col("doc_id").alias("doc"), "text")
     index = suffix_dedup.SuffixIndex(docs)
     seen = []
     for i in range(7):
@@ -239,6 +330,28 @@ def test_fingerprints_follow_and_neighbours(spark):
         assert got[i]["edited_fingerprint"] == f"{int(simhash.fingerprints(pa.array([edited]))[0]):016x}"
 
 
+def test_votes_match_a_plain_loop():
+    def plain(t):
+        w = [x.encode() for x in re.findall(r"[^\x20\x09-\x0D]+", t.lower())]
+        h = [int(simhash.span_hash(simhash.prefix_hash(np.frombuffer(x, np.uint8)), np.array([0]), np.array([len(x)]))[0]) for x in w]
+        terms = [(h[0], 1)] if len(h) == 1 else []
+        for (a, x), (b, y) in itertools.pairwise(zip(h, w, strict=True)):
+            mixed = simhash.mix(np.array([(a * 0x9E3779B97F4A7C15 + b) % (1 << 64)], np.uint64))
+            terms.append((int(mixed[0]), min(len(x), 12) + min(len(y), 12)))
+        return sum(1 << bit for bit in range(64) if sum(n if h >> bit & 1 else -n for h, n in terms) > 0)
+
+    texts = [text(n) for n in (1, 2, 3, 40, 200)] + ["", " \n", "One", "a " * 300, "ünïcode — 🙂 longerthantwelveletters x"]
+    assert [int(x) for x in simhash.fingerprints(pa.array(texts))] == [plain(t) for t in texts]
+
+
+def test_rows_within_a_radius_are_counted_for_repeated_ids(spark):
+    prints = [(100, 5), (100, 5), (100, 1 << 40), (200, 4), (7, 7), (7, 5), (None, 5), (300, (1 << 64) - 1), (8, (1 << 64) - 2)]
+    rows_ = spark.createDataFrame([(i, f"{p:016x}") for i, p in prints], "doc_id long, fingerprint string")
+    got = sorted((str(r[0]), r[1], r[2]) for r in simhash.count_within(rows_).collect())
+    want = [(str(i), f"{p:016x}", sum(bin(p ^ q).count("1") <= 3 for j, (_, q) in enumerate(prints) if j != k) if i and i % 100 == 0 else None) for k, (i, p) in enumerate(prints)]
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize(("radius", "blocks"), [(3, 5), (2, 4), (3, 6)])
 def test_block_tables_lose_no_neighbour(spark, radius, blocks):
     r = np.random.default_rng(9)
@@ -278,10 +391,27 @@ def test_wand_retrieves_all_above_the_threshold():
             term = np.flatnonzero(np.isin(index.terms, known))
             _, item, score = index.search(np.zeros(len(term), np.int64), term, t)
             want = brute_bm25(items, query)
+            assert index.read <= sum(s > 0 for s in want) * len(term) if t == 0.1 else True
             assert sorted(item.tolist()) == [i for i, s in enumerate(want) if s >= t - 1e-9]
             assert score == pytest.approx([want[i] for i in item])
 
 
+def test_wand_skips_most_postings():
+    items = [text(20, random.Random(i)) for i in range(400)]
+    index = decontaminate.Index(list(range(400)), items, block=8)
+    term = np.flatnonzero(np.isin(index.terms, np.unique(decontaminate.word_hashes(items[3] + " " + text(40)))))
+    _, item, _ = index.search(np.zeros(len(term), np.int64), term, 0.6)
+    assert 3 in item.tolist() and index.read < 0.1 * (index.first[term + 1] - index.first[term]).sum()
+
+
+def test_scores_do_not_depend_on_the_blocks_of_items(spark):
+    items = [text(rng.randint(3, 40)) for _ in range(60)]
+    docs = frame(spark, [text(30) + " " + items[i] + " " + text(30) for i in range(0, 60, 4)] + [None, ""])
+    benchmark = spark.createDataFrame([*enumerate(items), (None, items[5]), (3, items[3]), (61, None)], "item_id long, text string")
+    got = [sorted((r[0], -1 if r[1] is None else r[1], r[2], round(r[3], 9), r[4], r[5]) for r in decontaminate.find_contaminations(docs, benchmark, index_bytes=n).collect()) for n in (32_000_000, 4000, 600)]
+    assert got[0] == got[1] == got[2] and {(i, 4 * i) for i in range(15)} <= {x[:2] for x in got[0]}
+
+
 def test_leaks_are_found_and_clean_documents_left(spark):
     items = [text(rng.randint(8, 40)) + " " + text(3) for _ in range(30)]
     docs = [text(rng.randint(0, 300)) for _ in range(60)]
@@ -332,13 +462,54 @@ def test_repeated_pages_have_records_of_their_own(spark):
 
 def test_a_lost_segment_is_reported(spark):
     path = reshard.scratch(spark, "test-warc")
-    parts = warc.records_of(5, "u", "y" * 50_000, hashlib.sha1(b"y" * 50_000).hexdigest(), None, 16_384, 4096)
+    row = {"page_id": 5, "url": "u", "html": "y" * 50_000, "payload_digest": hashlib.sha1(b"y" * 50_000).hexdigest(), "refers_to": None, "refers_to_url": None}
+    parts = warc.records_of(row, "2024-01-02T03:04:05Z", 16_384, 4096)
     assert len(parts) == 4
     for drop in (1, 3):
         spark.createDataFrame([(p,) for i, p in enumerate(parts) if i != drop], "value string").write.option("lineSep", warc.END).text(f"{path}-{drop}")
         assert [r["error"] for r in warc.read_pages(spark, f"{path}-{drop}").collect()] != [None]
 
 
+def test_standard_archives_are_read(spark):
+    """Records as other writers give them: base32 digests, segments without page ids, other kinds of records."""
+    import base64
+    import gzip
+    import os
+
+    body = b"0123456789" * 30
+    b32 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/plain\r\n\r\n" + body
+
+    def record(block, **fields):
+        return b"WARC/1.0\r\n" + b"".join(f"{k.replace('_', '-')}: {v}\r\n".encode() for k, v in fields.items()) + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+    own = {"WARC_Date": "2020-01-01T00:00:00Z", "WARC_Target_URI": "http://h/a"}
+    first = record(http[:100], WARC_Type="response", WARC_Record_ID="<urn:uuid:1>", **own, WARC_Payload_Digest=f"sha1:{b32}", WARC_Segment_Number=1)
+    rest = record(http[100:200], WARC_Type="continuation", WARC_Record_ID="<urn:uuid:2>", **own, WARC_Segment_Origin_ID="<urn:uuid:1>", WARC_Segment_Number=2)
+    last = record(http[200:], WARC_Type="continuation", WARC_Record_ID="<urn:uuid:3>", **own, WARC_Segment_Origin_ID="<urn:uuid:1>", WARC_Segment_Number=3, WARC_Segment_Total_Length=len(http))
+    info = record(b"software: x", WARC_Type="warcinfo", WARC_Record_ID="<urn:uuid:4>", WARC_Date="2020-01-01T00:00:00Z")
+    plain = record(http, WARC_Type="response", WARC_Record_ID="<urn:uuid:5>", **own, WARC_Payload_Digest="md5:xx")
+    bad = record(http, WARC_Type="response", WARC_Record_ID="<urn:uuid:6>", **own, WARC_Payload_Digest="SHA1:" + base64.b32encode(b"0" * 20).decode().lower())
+    resource = record(b"raw", WARC_Type="resource", WARC_Record_ID="<urn:uuid:7>", **own)
+    path = reshard.scratch(spark, "test-warc")
+    os.makedirs(path.removeprefix("file://"))
+    with open(path.removeprefix("file://") + "/a.warc.gz", "wb") as f:  # a member for each record, the segments out of order
+        f.write(b"".join(gzip.compress(x) for x in (info, last, plain)))
+    with open(path.removeprefix("file://") + "/b.warc", "wb") as f:
+        f.write(first + bad + resource + rest)
+    got = sorted((r["record_type"], r["uri"], r["page_id"], bytes(r["payload"] or b""), r["payload_digest"] == hashlib.sha1(body).hexdigest(), r["error"]) for r in warc.read_pages(spark, path).collect())
+    assert got == sorted([("response", "http://h/a", None, body, True, None), ("response", "http://h/a", None, body, True, None), ("response", "http://h/a", None, body, False, "the digest is wrong"), ("resource", "http://h/a", None, b"raw", False, None)])
+
+
+def test_written_records_hold_the_mandatory_fields(spark):
+    path = reshard.scratch(spark, "test-warc")
+    warc.write_archives(spark.createDataFrame([(1, "u", "x" * 40_000), (2, "v", "x" * 40_000), (2, "v", "x" * 40_000)], "page_id long, url string, html string"), path)
+    found = [f for r in spark.read.format("binaryFile").load(path).collect() for f, _ in warc.parse_archive(warc._plain(bytes(r["content"])))]
+    assert all({"warc-type", "warc-record-id", "warc-date", "content-length"} <= set(f) for f in found)
+    assert len({f["warc-record-id"] for f in found}) == len(found) == 7
+    assert [(f["x-refers-to-page-id"], f["warc-refers-to-target-uri"]) for f in found if f["warc-type"] == "revisit"] == [("2", "v")]
+
+
 def test_chunked_framing():
     for n in (0, 1, 4095, 4096, 9000):
         assert warc.dechunked(warc.chunked(b"z" * n)) == b"z" * n
@@ -483,6 +654,21 @@ def test_phrases_and_tags(spark):
     assert {"apache-2.0", "mit"} <= set(got[3]["labels"]) and got[3]["permitted"] and got[4]["labels"] == []
 
 
+def test_known_identifiers_become_labels(spark):
+    cases = ["x SPDX-License-Identifier: MIT AND foo-1\nSPDX-License-Identifier:GPL-2.0+ WITH Classpath-exception-2.0 */", "SPDX License Identifier LicenseRef-a", "spdx-license-identifier : LicenseRef-a OR Zlib", "é SPDX-License-Identifier: ((MIT)"]
+    got = {r["doc_id"]: r for r in licenses.scan_licenses(frame(spark, cases)).collect()}
+    assert got[0]["labels"] == ["gpl-2.0+ with classpath-exception-2.0", "mit"] and len(got[0]["expressions"]) == 2
+    assert got[1]["expressions"] == [] and got[2]["labels"] == ["licenseref-a", "zlib"] and got[3]["labels"] == []
+
+
+def test_the_scan_is_linear():
+    automaton = licenses.build_automaton()
+    part = "mit license cc by SPDX-License-Identifier: MIT\n"
+    began = time.time()
+    found = licenses.scan_text(part * (5_000_000 // len(part)), automaton)
+    assert time.time() - began < 20 and len(found["places"]) == 2 * (5_000_000 // len(part)) and found["places"][-1][0] == found["n_words"] - 6
+
+
 # 10: packing.
 
 
