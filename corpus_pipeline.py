@@ -8,8 +8,9 @@ A stage takes (spark, docs, sf_dir) and works on all that its predecessor kept:
 4. decontamination: documents that hold a test item of ``benchmark`` go.
 5. packing: all tokens are packed into sequences of 2048 along a Hilbert curve; a row per piece.
 
-All but the last return the columns of ``documents``; n_chars follows the text. Rows with a null doc_id take part
-in no near-duplicate group and stay. Repeated ids of one group are told apart by nothing, so all rows of the id that stays, stay.
+All but the last return the columns of ``documents``; n_chars follows the text. Rows with a null doc_id and rows without words take part
+in no near-duplicate group and stay. Rows that share an id are one node of stage 2, so all rows of an id that stays, stay; in
+the other stages each row is a document of its own. An empty table gives no rows; extra columns are carried along to the last stage.
 """
 
 from __future__ import annotations
