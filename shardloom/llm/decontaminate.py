@@ -81,7 +81,7 @@ class Corpus:
 class Index:
     """Postings in term order, items in blocks, and the greatest impact of each term in each block."""
 
-    def __init__(self, ids: list[int], texts: list[str], k1: float = 1.2, b: float = 0.75, block: int = 16, corpus: Corpus | None = None):
+    def __init__(self, ids: list[int], texts: list[str], k1: float = 1.2, b: float = 0.75, block: int = 4, corpus: Corpus | None = None):
         self.ids, self.block = ids, block
         bags = [word_hashes(t or "") for t in texts]
         length = np.array([len(x) for x in bags], float)
@@ -125,19 +125,23 @@ class Index:
         row, j = ragged(first[term + 1] - first[term])
         return row, first[term[row]] + j
 
-    def search(self, passage: np.ndarray, term: np.ndarray, threshold: float, cells: int = 4_000_000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def search(self, passage: np.ndarray, term: np.ndarray, threshold: float, chunk: int = 2000) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(passage, item, score) of all items scoring at least ``threshold``; rows are the distinct terms of each passage, sorted by it."""
         out: list[tuple[int, int, float]] = []
         names = np.unique(passage)
         blocks = len(self.ids) // self.block + 1
-        chunk = max(1, min(2000, cells // blocks))
         for i in range(0, len(names), chunk):
             some = names[i : i + chunk]
             a, b = np.searchsorted(passage, [some[0], some[-1] + 1])
             own, t = np.searchsorted(some, passage[a:b]), term[a:b]
             row, at = self._spread(self.block_first, t)
-            bound = np.bincount(own[row] * blocks + self.block_of[at], weights=self.block_most[at], minlength=len(some) * blocks)
-            alive = np.flatnonzero((bound >= threshold - 1e-9).reshape(-1, blocks).any(axis=1))
+            key = own[row] * I(blocks) + self.block_of[at]
+            if blocks > chunk:  # many blocks: only those that a passage meets
+                met, key = np.unique(key, return_inverse=True)
+            else:
+                met = np.arange(len(some) * blocks)
+            bound = np.bincount(key, weights=self.block_most[at], minlength=len(met))
+            alive = np.unique(met[bound >= threshold - 1e-9] // blocks)
             edge = np.searchsorted(own, np.stack([alive, alive + 1]))
             for p, x, y in zip(alive.tolist(), *edge.tolist(), strict=True):
                 out += [(int(some[p]), item, score) for item, score in self.wand(t[x:y].tolist(), threshold)]

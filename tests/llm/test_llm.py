@@ -384,6 +384,7 @@ def brute_bm25(items, passage, k1=1.2, b=0.75):
 def test_wand_retrieves_all_above_the_threshold():
     items = [text(rng.randint(3, 25)) for _ in range(70)]
     index = decontaminate.Index(list(range(70)), items, block=8)
+    sparse = decontaminate.Index(list(range(70)), items, block=3)
     for t in (0.1, 0.4, 0.8):
         for _ in range(10):
             query = re.findall(r"\w+", text(40) + " " + rng.choice(items)[:60])
@@ -391,6 +392,7 @@ def test_wand_retrieves_all_above_the_threshold():
             term = np.flatnonzero(np.isin(index.terms, known))
             _, item, score = index.search(np.zeros(len(term), np.int64), term, t)
             want = brute_bm25(items, query)
+            assert sorted(sparse.search(np.zeros(len(term), np.int64), term, t, chunk=5)[1].tolist()) == sorted(item.tolist())
             assert index.read <= sum(s > 0 for s in want) * len(term) if t == 0.1 else True
             assert sorted(item.tolist()) == [i for i, s in enumerate(want) if s >= t - 1e-9]
             assert score == pytest.approx([want[i] for i in item])
