@@ -5,7 +5,7 @@ A query reads the given tables, derives what it needs here and runs one operator
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CLUSTERS = [(f"src{i}", f"c{i // 4 + 1}") for i in range(16)]
@@ -21,9 +21,9 @@ SQL = {
     "shards_now": "select page_id, url as name, sha256(html) as sha, strlen(html)::bigint as size, split_part(url, '/', 4) as profile, (['low', 'default', 'bonkers'])[(page_id % 3 + 1)::int] as preset, case when page_id % 2 = 0 then 'albedo' else 'material' end as grp from pages",
     "shards_prev": "select page_id, name, case when page_id % 7 = 0 then sha256(sha) else sha end as sha, size, profile, preset, grp from shards_now where page_id % 5 <> 0 union all select -page_id - 1, 'old' || page_id, sha256('old' || page_id), 100 + page_id, 'old', 'low', 'albedo' from shards_now where page_id < 10",
     "installed": "select name, size + case when page_id % 6 = 0 then 1 else 0 end as size from shards_now where page_id % 3 = 0 union all select 'gone' || page_id, page_id from shards_now where page_id < 10",
-    "bench": "select event_type as semantic, (user_id % 4)::int as format, (user_id % 3)::int as encoder, value as score, value * 2 as max_err, (regexp_extract(props, '\"k\": ?(\\d+)', 1))::double as secs, case when event_id % 50 = 0 then 'failed' end as error from events",
+    "bench": "select k.semantic, 'f' || (user_id % 4) as format, 'e' || (user_id % 3) as encoder, case when error is null then round(value / 7, 2) end as encode_s, case when k.semantic = 'albedo' and error is null then 30 + value / 9 end as psnr_db, case when k.semantic <> 'normal' and error is null then value * 2 end as max_err, case when k.semantic in ('height', 'roughness') and error is null then value / 90 end as mae, case when k.semantic = 'normal' and error is null then value / 30 end as ang_mean_deg, case when k.semantic = 'normal' and error is null then value / 6 end as ang_p99_deg, case when k.semantic = 'normal' and error is null then value end as ang_max_deg, error from (select *, case when event_id % 50 = 0 then 'failed' end as error from events) join (values (0, 'albedo'), (1, 'normal'), (2, 'roughness'), (3, 'height')) k(i, semantic) on k.i = event_id % 4",
     "raster8": "select vec_id as image_id, 8 as w, 8 as h, i // 8 as y, i % 8 as x, 0 as ch, v, b as ref, (b // 8) * 8 + 4 as dec from (select vec_id, i, v, round_even(v * 255, 0)::int as b from (select vec_id, i::int as i, least(greatest((embedding[i + 1]::double + 1) / 2, 0), 1) as v from embeddings, range(64) r(i)))",
-    "raster_rgb": "select image_id, (y * 8 + x) // 3 as pixel, (y * 8 + x) % 3 as ch, ref, dec from raster8 where y * 8 + x < 63",
+    "raster_rgb": "select image_id, (y * 8 + x - 21 * k.ch + 64) % 64 as pixel, k.ch as ch, v, ref, dec from raster8, (values (0), (1), (2)) k(ch)",
     "paths": "select case doc_id % 5 when 0 then 'raw/jak1/' || source || '-vis-' || lang || '/d' || doc_id || '/albedo.png' when 1 then 'metadata/jak1/materials/' || source || '-vis-' || lang || '/d' || doc_id || '.json' when 2 then 'tools/t' || doc_id || '.py' when 3 then 'README.md' else 'raw/jak1/x' end as path from documents",
 }
 
@@ -102,27 +102,47 @@ def installed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(now.filter("page_id < 10").select(F.concat(F.lit("gone"), F.col("page_id").cast("string")).alias("name"), F.col("page_id").alias("size")))
 
 
+KINDS = ("albedo", "normal", "roughness", "height")
+
+
 def bench(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(
-        F.col("event_type").alias("semantic"),
-        (F.col("user_id") % 4).cast("int").alias("format"),
-        (F.col("user_id") % 3).cast("int").alias("encoder"),
-        F.col("value").alias("score"),
-        (F.col("value") * 2).alias("max_err"),
-        F.get_json_object("props", "$.k").cast("double").alias("secs"),
-        F.when(F.col("event_id") % 50 == 0, "failed").alias("error"),
+    rows = table(spark, sf_dir, "events").withColumns({"semantic": F.element_at(F.array(*[F.lit(KINDS[i]) for i in range(4)]), (F.col("event_id") % 4 + 1).cast("int")), "error": F.when(F.col("event_id") % 50 == 0, "failed")})
+    v, good = F.col("value"), F.col("error").isNull()
+
+    def measured(kinds: tuple[str, ...], x) -> Column:
+        return F.when(good & F.col("semantic").isin(*kinds), x)
+
+    return rows.select(
+        "semantic",
+        F.concat(F.lit("f"), (F.col("user_id") % 4).cast("string")).alias("format"),
+        F.concat(F.lit("e"), (F.col("user_id") % 3).cast("string")).alias("encoder"),
+        F.when(good, F.round(v / 7, 2)).alias("encode_s"),
+        measured(("albedo",), 30 + v / 9).alias("psnr_db"),
+        measured(("albedo", "roughness", "height"), v * 2).alias("max_err"),
+        measured(("roughness", "height"), v / 90).alias("mae"),
+        measured(("normal",), v / 30).alias("ang_mean_deg"),
+        measured(("normal",), v / 6).alias("ang_p99_deg"),
+        measured(("normal",), v).alias("ang_max_deg"),
+        "error",
     )
 
 
-def raster8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.posexplode("embedding").alias("i", "e"))
-    rows = rows.withColumn("v", F.least(F.greatest((F.col("e").cast("double") + 1) / 2, F.lit(0.0)), F.lit(1.0))).withColumn("ref", F.rint(F.col("v") * 255).cast("int"))
-    return rows.select("image_id", F.lit(8).alias("w"), F.lit(8).alias("h"), F.floor(F.col("i") / 8).cast("int").alias("y"), (F.col("i") % 8).alias("x"), F.lit(0).alias("ch"), "v", "ref", (F.floor(F.col("ref") / 8) * 8 + 4).cast("int").alias("dec"))
+def gray_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per 8 x 8 image: v in [0, 1], ref as bytes, dec as coarser bytes; map by the id."""
+    rows = table(spark, sf_dir, "embeddings").withColumn("v", F.transform("embedding", lambda e: F.least(F.greatest((e.cast("double") + 1) / 2, F.lit(0.0)), F.lit(1.0))))
+    rows = rows.withColumn("ref", F.transform("v", lambda x: F.rint(x * 255)))
+    dec = F.transform("ref", lambda b: (F.floor(b / 8) * 8 + 4).cast("double"))
+    kind = F.element_at(F.array(*map(F.lit, KINDS)), (F.col("vec_id") % 4 + 1).cast("int"))
+    return rows.select(F.col("vec_id").alias("image_id"), kind.alias("map"), F.lit(8).alias("w"), F.lit(8).alias("h"), F.lit(1).alias("c"), "v", "ref", dec.alias("dec"))
+
+
+def rgb_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with three channels a pixel: a channel has all values, shifted by 21 places from the one before."""
 
+    def spread(name: str) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.lit(191)), lambda k: F.get(F.col(name), (F.floor(k / 3) + k % 3 * 21).cast("int") % 64)).alias(name)
 
-def raster_rgb(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = F.col("y") * 8 + F.col("x")
-    return raster8(spark, sf_dir).filter(at < 63).select("image_id", F.floor(at / 3).cast("int").alias("pixel"), (at % 3).alias("ch"), "ref", "dec")
+    return gray_images(spark, sf_dir).select("image_id", "map", "w", "h", F.lit(3).alias("c"), spread("v"), spread("ref"), spread("dec"))
 
 
 def paths(spark: SparkSession, sf_dir: str) -> DataFrame:
