@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry, keys
@@ -57,8 +57,46 @@ def a3_source_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.source_entries(s.table(spark, sf_dir, "documents").select(doc.alias("value")))
 
 
-@query("select tpage, count(*) as blobs, sum(size)::bigint as bytes, count(distinct sha) as contents from assets group by tpage", "assets")
+MATERIALS_SQL = """select 'jak1/' || source || '-vis-' || lang || '/d' || doc_id as id, 'jak' || doc_id % 4 as game, doc_id % 8 + 1 as w, n_chars - 40 as h, (['repeat', 'clamp', 'tile', null])[(doc_id % 4 + 1)::int] as wrap_mode, case when doc_id % 9 = 0 then null else 'none' end as alpha_mode,
+ case when doc_id % 11 = 0 then 'srgb' else 'linear' end as colorspace, (['rgb', 'rg', 'x'])[(doc_id % 3 + 1)::int] as channels, case when doc_id % 6 = 0 then 'zz' else sha256(text) end as source_sha256, doc_id % 13 <> 0 as has_map, doc_id from documents"""
+
+
+def material_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and a material's record as JSON, for each document; some break the schema's rules."""
+    doc, c = F.col("doc_id"), F.col
+    one = F.struct(
+        F.when(doc % 11 == 0, "srgb").otherwise("linear").alias("colorspace"),
+        F.element_at(F.array(*map(F.lit, ("rgb", "rg", "x"))), (doc % 3 + 1).cast("int")).alias("channels"),
+        F.when(doc % 6 == 0, "zz").otherwise(F.sha2(c("text").cast("binary"), 256)).alias("source_sha256"),
+    )
+    record = F.struct(
+        F.when(doc % 10 != 0, 1).alias("schema_version"), F.concat(F.lit("jak1/"), "mat").alias("id"), F.concat(F.lit("jak"), (doc % 4).cast("string")).alias("game"), F.array(doc % 8 + 1, c("n_chars") - 40).alias("master_dims"),
+        F.get(F.array(F.lit("repeat"), F.lit("clamp"), F.lit("tile"), F.lit(None)), (doc % 4).cast("int")).alias("wrap_mode"), F.when(doc % 9 != 0, "none").alias("alpha_mode"),
+        F.when(doc % 13 != 0, F.create_map(F.lit("albedo"), one)).otherwise(F.create_map().cast("map<string,struct<colorspace:string,channels:string,source_sha256:string>>")).alias("maps"), F.when(doc % 17 == 0, True).alias("extra"),
+    )
+    return s.documents(spark, sf_dir).select("doc_id", F.to_json(record).alias("value"))
+
+
+@query(f"select id, game, w, h, wrap_mode, alpha_mode, case when has_map then colorspace end as colorspace, case when has_map then channels end as channels, case when has_map then source_sha256 end as source_sha256 from ({MATERIALS_SQL})")
+def a1_read_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = s.scratch(spark, "materials")
+    material_documents(spark, sf_dir).select("value").write.option("compression", "none").text(path)
+    rows = sources.read_materials(spark, path, lines=True, glob="part-*")
+    albedo = F.try_element_at("maps", F.lit("albedo"))
+    return rows.select("id", "game", F.col("master_dims")[0].cast("long").alias("w"), F.col("master_dims")[1].cast("long").alias("h"), "wrap_mode", "alpha_mode", *[albedo[x].alias(x) for x in ("colorspace", "channels", "source_sha256")])
+
+
+@query("select s_nationkey::varchar as tpage, s_suppkey::varchar as name, sha256(s_name || '#' || s_acctbal::bigint || chr(10)) as sha256, strlen(s_name || '#' || s_acctbal::bigint || chr(10))::bigint as size from supplier")
 def a4_scan_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a file for each supplier, in a folder for its nation."""
+    path = s.scratch(spark, "blobs")
+    rows = s.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("tpage"), F.col("s_suppkey").alias("name"), F.concat("s_name", F.lit("#"), F.round("s_acctbal").cast("long").cast("string")).alias("value"))
+    rows.repartition("tpage").write.partitionBy("tpage", "name").text(path)
+    return sources.scan_blobs(spark, path, "*.txt").select("tpage", "name", "sha256", "size")
+
+
+@query("select tpage, count(*) as blobs, sum(size)::bigint as bytes, count(distinct sha) as contents from assets group by tpage", "assets")
+def a4_blob_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.assets(spark, sf_dir).groupBy("tpage").agg(F.count("*").alias("blobs"), F.sum("size").alias("bytes"), F.count_distinct("sha").alias("contents"))
 
 
@@ -74,6 +112,29 @@ def a6_config_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return used.join(F.broadcast(config.profile_dim(spark)), "map").join(F.broadcast(config.format_dim(spark)), "format").select("profile", "map", "format", "channels", "vk", "block_bytes", "n")
 
 
+@query("select lang as semantic, source as format, bound, (case when bound = 'min' then least else most end)::double as value from (select lang, source, min(n_chars) as least, max(n_chars) as most from documents group by 1, 2), (values ('min'), ('max')) b(bound)")
+def a6_threshold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a document with a language's least and greatest lengths by source, beside a comment and a ladder."""
+    by_source = s.table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.min("n_chars").alias("least"), F.max("n_chars").alias("most"))
+    langs = by_source.groupBy("lang").agg(*[F.map_from_entries(F.collect_list(F.struct("source", c))).alias(n) for c, n in (("least", "min"), ("most", "max"))])
+    body = F.map_from_arrays(F.array("lang", F.lit("ladder")), F.array(F.struct(F.lit("n_chars").alias("metric"), "min", "max"), F.lit(None)))
+    return config.threshold_rows(langs.select(F.to_json(body).alias("value")))
+
+
+@query("select distinct 'g' as game, lang as cluster, source as prefix from documents")
+def a6_cluster_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    langs = s.table(spark, sf_dir, "documents").groupBy("lang").agg(F.collect_set("source").alias("prefixes"))
+    game = F.struct(F.create_map("lang", "prefixes").alias("clusters"), F.lit("o").alias("overflow"))
+    return config.cluster_rows(langs.select(F.to_json(F.struct(F.create_map(F.lit("g"), game).alias("games"))).alias("value")))
+
+
+@query("select lang as profile, source as map, 'f' || min(doc_id % 7) as fallback from documents group by lang, source")
+def a6_ladder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    steps = s.table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.concat(F.lit("f"), F.min(F.col("doc_id") % 7).cast("string")).alias("to"))
+    langs = steps.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("source", "to"))).alias("x"))
+    return config.ladder_rows(langs.select(F.to_json(F.struct(F.lit("c").alias("comment"), F.create_map("lang", "x").alias("ladder"))).alias("value")))
+
+
 @query("select doc_id as id, false as derived, n_chars from documents where doc_id % 7 = 0 union all select doc_id, true, n_chars + 1 from documents where doc_id % 7 <> 0")
 def a12_upsert_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = s.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), (F.col("doc_id") % 7 != 0).alias("derived"), "n_chars")
@@ -186,8 +247,7 @@ def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds, formats = F.array(*map(F.lit, ("albedo", "normal", "roughness", "height"))), F.array(*map(F.lit, ("bc7", "bc5", "bc4", "astc_4x4", "bc1")))
     v = F.col("value")
     rows = s.table(spark, sf_dir, "events").select("event_id", F.element_at(kinds, (F.col("event_id") % 4 + 1).cast("int")).alias("map"), F.element_at(formats, (F.col("user_id") % 5 + 1).cast("int")).alias("format"), (v * 1.5).alias("psnr_db"), (v / 5).alias("ang_mean_deg"), (v * 1.5).alias("ang_p99_deg"), (v / 50).alias("mae"))
-    bounds = config.threshold_dim(spark).groupBy(F.col("semantic").alias("map"), "format").agg(*[F.max(F.when(F.col("bound") == b, F.col("value"))).alias(f"gate_{b}") for b in ("min", "max", "p99_max")])
-    return build.quality_gate(rows.join(F.broadcast(bounds), ["map", "format"], "left"))
+    return build.quality_gate(rows.join(F.broadcast(build.gate_bounds(config.threshold_dim(spark))), ["map", "format"], "left"))
 
 
 @query(_GATED)
@@ -214,10 +274,22 @@ def b15_affected_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.affected_materials(s.paths(spark, sf_dir), spark.createDataFrame([("sample/one",)], "material string"))
 
 
-@query("select substr(hex(text), 1, 8) as head, count(*) as n, count(*) as mislabeled from documents where text is not null group by 1")
+_SHAPE = "n_chars::int + 1 as w, doc_id::int + 1 as h, (['8', '16'])[(doc_id // 4 % 2 + 1)::int]::int as depth, (doc_id // 8 % 4)::int as ctype"
+
+
+@query(f"select doc_id, kind, case when kind = 'png' then w end as w, case when kind = 'png' then h end as h, case when kind = 'png' then depth end as depth, case when kind = 'png' then ctype end as ctype, kind <> 'png' as mislabeled, kind = 'png' and ctype = 3 as palette, kind = 'png' and depth = 16 as deep from (select doc_id, {_SHAPE}, case doc_id % 4 when 0 then 'unknown' when 1 then 'jpeg' else 'png' end as kind from documents)")
 def b16_sniff_images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    blobs = s.table(spark, sf_dir, "documents").filter("text is not null").select(F.col("text").cast("binary").alias("content"))
-    return validate.sniff_images(blobs).groupBy(F.hex(F.substring("content", 1, 4)).alias("head")).agg(F.count("*").alias("n"), F.count_if("mislabeled").alias("mislabeled"))
+    """Of blobs that begin like a PNG, like a JPEG or with the document's text, and end with it."""
+    c, doc = F.col, F.col("doc_id")
+
+    def number(x: Column, digits: int) -> Column:
+        return F.lpad(F.hex(x), digits, "0")
+
+    depth, ctype = F.when(F.floor(doc / 4) % 2 == 0, 8).otherwise(16), F.floor(doc / 8).cast("long") % 4
+    png = F.concat(F.lit("89504E470D0A1A0A0000000D49484452"), number(c("n_chars") + 1, 8), number(doc + 1, 8), number(depth.cast("long"), 2), number(ctype, 2))
+    head = F.unhex(F.when(doc % 4 == 0, "").when(doc % 4 == 1, "FFD8FFE0").otherwise(png))
+    blobs = s.table(spark, sf_dir, "documents").select("doc_id", F.concat(head, F.coalesce("text", F.lit("")).cast("binary")).alias("content"))
+    return validate.sniff_images(blobs).drop("content")
 
 
 # Joins of the build.
@@ -236,17 +308,26 @@ def c2_attach_policy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("profile", "map", "format", "channels").agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in ("gate_min", "gate_max", "gate_p99_max")])
 
 
-_CACHE = f"(select distinct cache_key, 1 + mat % 2 as stats_version from ({_KEYED}) where mat % 3 = 0)"
+_STORED = "25 + mat % 20::double as psnr_db, mat % 25::double as ang_mean_deg, mat % 120::double as ang_p99_deg, mat % 9 / 3::double as mae"
+_CACHE = f"(select distinct cache_key, 1 + mat % 2 as stats_version, {_STORED} from ({_KEYED}) where mat % 3 = 0)"
+_BOUNDS = f"(select semantic as map, format, max(case when bound = 'min' then value end) as gate_min, max(case when bound = 'max' then value end) as gate_max, max(case when bound = 'p99_max' then value end) as gate_p99_max from {THRESHOLD_ROWS} group by all)"
 
 
 def _cache(keyed: DataFrame) -> DataFrame:
-    return keyed.filter("mat % 3 = 0").select("cache_key", (F.col("mat") % 2 + 1).alias("stats_version")).distinct()
+    mat = F.col("mat")
+    stored = {"psnr_db": 25 + mat % 20, "ang_mean_deg": mat % 25, "ang_p99_deg": mat % 120, "mae": mat % 9 / 3}
+    return keyed.filter("mat % 3 = 0").select("cache_key", (mat % 2 + 1).alias("stats_version"), *[x.cast("double").alias(n) for n, x in stored.items()]).distinct()
 
 
-@query(f"select mat, preset, profile, case when stats_version is null then 'miss' when stats_version <> 2 and map in ('normal', 'height') then 'stale_stats' else 'hit' end as status from ({_KEYED}) left join {_CACHE} using (cache_key)", "dims")
+@query(
+    f"""select mat, preset, profile, case when stats_version is null then 'miss' when stats_version <> 2 and map in ('normal', 'height') then 'stale_stats' else 'hit' end as status, psnr_db, mae,
+ case when stats_version is null then null when map = 'albedo' then psnr_db >= coalesce(gate_min, 0) when map = 'normal' then ang_mean_deg <= coalesce(gate_max, 99) and ang_p99_deg <= coalesce(gate_p99_max, 999) else mae <= coalesce(gate_max, 255) end as gate_ok
+ from ({_KEYED}) left join {_CACHE} using (cache_key) left join {_BOUNDS} using (map, format)""",
+    "dims",
+)
 def c3_cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = _keyed(spark, sf_dir)
-    return build.cache_lookup(keyed, _cache(keyed), 2).select("mat", "preset", "profile", "status")
+    return build.cache_verdicts(keyed, _cache(keyed), config.threshold_dim(spark), 2).select("mat", "preset", "profile", "status", "psnr_db", "mae", "gate_ok")
 
 
 @query(f"select mat, preset, profile, map from ({_KEYED}) where mat % 3 <> 0", "dims")
@@ -268,6 +349,19 @@ def c8_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.first_match(entities, lookup, [1]).select("id", "pos", "value")
 
 
+_VERDICTS = "(select doc_id, (['both', 'none', 'edge', 'horizontal', 'vertical', null])[(doc_id * 7 % 6 + 1)::int] as v from labels)"
+
+
+@query(
+    f"""select d.doc_id as id, case coalesce(case when l0.v <> 'edge' then l0.v end, case when l1.v <> 'edge' then l1.v end, case when l2.v <> 'edge' then l2.v end) when 'both' then 'repeat' when 'none' then 'clamp' when 'horizontal' then 'repeat_x' when 'vertical' then 'repeat_y' end as wrap_mode
+ from documents d left join {_VERDICTS} l0 on l0.doc_id = d.doc_id left join {_VERDICTS} l1 on l1.doc_id = d.doc_id + 1 left join {_VERDICTS} l2 on l2.doc_id = d.doc_id + 2"""
+)
+def c8_wrap_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    entities = s.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array(*[F.col("doc_id") + i for i in range(3)]).alias("candidates"))
+    said = F.get(F.array(*map(F.lit, ("both", "none", "edge", "horizontal", "vertical", None))), (F.col("doc_id") * 7 % 6).cast("int"))
+    return dedup.wrap_modes(entities, s.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("candidate"), said.alias("value")))
+
+
 @query("select doc_id, doc_id - 7 as target from documents d where doc_id - 7 not in (select doc_id from labels)")
 def c9_orphan_references(spark: SparkSession, sf_dir: str) -> DataFrame:
     refs = s.table(spark, sf_dir, "documents").select("doc_id", (F.col("doc_id") - 7).alias("target"))

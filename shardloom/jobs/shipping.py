@@ -195,8 +195,8 @@ def a7_manifest_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return doc.select(F.size("shards").alias("shards"), F.concat_ws(",", "profiles").alias("profiles"), F.concat_ws(",", F.transform("shards", lambda x: x["name"])).alias("names"), gated.alias("gated"))
 
 
-@query("select name, profile, preset, case when page_id is not null then 'v0.10.0' else 'v0.9.0' end as release_tag from (select name, p.profile, p.preset, n.page_id from shards_prev p left join shards_now n using (name, profile, preset) union select name, profile, preset, page_id from shards_now)", "shards_now", "shards_prev")
+@query("select name, profile, preset, case when page_id is not null then 'assets-v0.10.0' else 'assets-v0.9.0' end as release_tag from (select name, p.profile, p.preset, n.page_id from shards_prev p left join shards_now n using (name, profile, preset) union select name, profile, preset, page_id from shards_now)", "shards_now", "shards_prev")
 def e4_manifest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = s.shards_prev(spark, sf_dir).withColumn("release_tag", F.lit("v0.9.0"))
-    new = s.shards_now(spark, sf_dir).withColumn("release_tag", F.lit("v0.10.0"))
+    old = s.shards_prev(spark, sf_dir).withColumn("release_tag", F.lit("assets-v0.9.0"))
+    new = s.shards_now(spark, sf_dir).withColumn("release_tag", F.lit("assets-v0.10.0"))
     return release.manifest_snapshot(old.unionByName(new), ["name", "profile", "preset"]).select("name", "profile", "preset", "release_tag")

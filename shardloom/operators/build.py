@@ -39,10 +39,14 @@ def encoded_size(levels: DataFrame, formats: DataFrame, keys_: list[str]) -> Dat
     return sized.groupBy(*keys_).agg(F.sum(geometry.block_bytes(F.col("lw"), F.col("lh"), F.col("bw"), F.col("bh"), F.col("block_bytes"))).alias("bytes"), F.count("*").cast("int").alias("levels"))
 
 
+def gate_bounds(thresholds: DataFrame) -> DataFrame:
+    """map, format, gate_min, gate_max, gate_p99_max of rows (semantic, format, bound, value)."""
+    return thresholds.groupBy(F.col("semantic").alias("map"), "format").agg(*[F.max(F.when(F.col("bound") == b, F.col("value"))).alias(f"gate_{b}") for b in ("min", "max", "p99_max")])
+
+
 def attach_policy(grid: DataFrame, profiles: DataFrame, thresholds: DataFrame) -> DataFrame:
     """Format, channels and colour space by (profile, map); the gate bounds by (map, format), as columns."""
-    bounds = thresholds.groupBy(F.col("semantic").alias("map"), "format").agg(*[F.max(F.when(F.col("bound") == b, F.col("value"))).alias(f"gate_{b}") for b in ("min", "max", "p99_max")])
-    return grid.join(F.broadcast(profiles), ["profile", "map"]).join(F.broadcast(bounds), ["map", "format"], "left")
+    return grid.join(F.broadcast(profiles), ["profile", "map"]).join(F.broadcast(gate_bounds(thresholds)), ["map", "format"], "left")
 
 
 def quality_gate(outputs: DataFrame) -> DataFrame:
@@ -64,6 +68,19 @@ def cache_lookup(jobs: DataFrame, cache: DataFrame, stats_version: int) -> DataF
     return joined.withColumn("status", F.when(F.col("stats_version").isNull(), "miss").when(stale, "stale_stats").otherwise("hit"))
 
 
+METRICS = ("psnr_db", "ang_mean_deg", "ang_p99_deg", "mae")
+
+
+def cache_verdicts(jobs: DataFrame, cache: DataFrame, thresholds: DataFrame, stats_version: int) -> DataFrame:
+    """Jobs with ``status``, and for those found the stored metrics and a fresh verdict by today's bounds; a miss has neither.
+
+    ``cache`` has (cache_key, stats_version) and the metrics, unrounded.
+    """
+    bounds = gate_bounds(thresholds)
+    rows = cache_lookup(jobs, cache, stats_version).join(F.broadcast(bounds), ["map", "format"], "left")
+    return quality_gate(rows).withColumn("gate_ok", F.when(F.col("status") != "miss", F.col("gate_ok")))
+
+
 def cache_misses(jobs: DataFrame, cache: DataFrame) -> DataFrame:
     return jobs.join(cache.select("cache_key"), "cache_key", "left_anti")
 
@@ -73,11 +90,11 @@ def override_proposals(failures: DataFrame, ladder: DataFrame) -> DataFrame:
     return failures.join(F.broadcast(ladder), ["profile", "map"], "left")
 
 
-def affected_materials(paths: DataFrame, sample: DataFrame) -> DataFrame:
-    """material, full_sample of the changed ``path``s; a changed tool, schema or toolchain adds the fixed sample."""
+def affected_materials(paths: DataFrame, sample: DataFrame, game: str = "jak1") -> DataFrame:
+    """material, full_sample of the changed ``path``s of a game; a changed tool, schema or toolchain adds the fixed sample."""
     parts, path = F.split("path", "/"), F.col("path")
-    raw = path.startswith("raw/jak1/") & (F.size(parts) >= 4)
-    meta = path.startswith("metadata/jak1/materials/") & (F.size(parts) >= 5)
+    raw = path.startswith(f"raw/{game}/") & (F.size(parts) >= 4)
+    meta = path.startswith(f"metadata/{game}/materials/") & (F.size(parts) >= 5)
     named = F.when(raw, F.concat_ws("/", F.try_element_at(parts, F.lit(3)), F.try_element_at(parts, F.lit(4)))).when(meta, F.concat_ws("/", F.try_element_at(parts, F.lit(4)), F.regexp_replace(F.try_element_at(parts, F.lit(5)), r"\.json$", "")))
     tools = ~raw & ~meta & (path.startswith("tools/") | path.startswith("schemas/") | path.startswith("toolchain/"))
     rows = paths.select(named.alias("material"), tools.alias("tools"))

@@ -49,11 +49,33 @@ def orphan_references(references: DataFrame, records: DataFrame) -> DataFrame:
     return references.join(records.select(F.col("id").alias("target")), "target", "left_anti")
 
 
+def record_summary(records: DataFrame, outputs: DataFrame) -> DataFrame:
+    """Records with a wrap mode and with reference dimensions, and outputs, hits and failures: one row, for two counts over either table."""
+    known = records.agg(F.count("*").alias("records"), F.count("wrap_mode").alias("wrap_modes"), F.count("esrgan_dims").alias("esrgan_dims"))
+    built = outputs.agg(F.count("*").alias("outputs"), F.count_if(F.col("status") == "hit").alias("hits"), F.count_if(~F.col("gate_ok")).alias("failures"))
+    return known.crossJoin(built)
+
+
 def catalog_summary(materials: DataFrame) -> DataFrame:
     """Placements, materials, canonical ones and variants."""
     return materials.agg(F.sum(F.size("placements")).alias("placements"), F.count("*").alias("materials"), F.count_if(~F.col("is_variant")).alias("canonical"), F.count_if("is_variant").alias("variants"), F.count_distinct("canonical_id").alias("canonical_ids"))
 
 
+#: The wrap mode that each accepted verdict of a tiling check stands for.
+WRAP_MODES = {
+    "both": "repeat",
+    "horizontal": "repeat_x",
+    "none": "clamp",
+    "vertical": "repeat_y",
+}
+
+
+def wrap_modes(entities: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """id, wrap_mode by the first of an entity's ``candidates`` with an accepted verdict (candidate, value); null if none has one."""
+    modes = F.create_map(*[F.lit(x) for pair in WRAP_MODES.items() for x in pair])
+    return first_match(entities, verdicts, list(WRAP_MODES)).select("id", F.try_element_at(modes, F.col("value")).alias("wrap_mode"))
+
+
 def first_match(entities: DataFrame, lookup: DataFrame, accepted: list) -> DataFrame:
     """id, value: the first of an entity's ``candidates`` (an array, in order) whose lookup value is accepted; null if none is."""
     tries = entities.select("id", F.posexplode("candidates").alias("pos", "candidate"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -37,14 +37,15 @@ def manifest_json(doc: DataFrame) -> DataFrame:
     return doc.select(F.to_json(F.struct(*doc.columns), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def version_key(tag):
-    """vX.Y.Z as numbers, so that v0.10.0 follows v0.9.0."""
-    return F.transform(F.split(F.regexp_replace(tag, "^v", ""), r"\."), lambda x: x.cast("int"))
+def version_key(tag: Column) -> Column:
+    """The numbers of a tag that ends in vX.Y.Z, so that 0.10.0 follows 0.9.0; null for other tags."""
+    numbers = F.array(*[F.regexp_extract(tag, r"(?:^|-)v(\d+)\.(\d+)\.(\d+)$", i).try_cast("long") for i in (1, 2, 3)])
+    return F.when(~F.exists(numbers, lambda x: x.isNull()), numbers)
 
 
 def manifest_snapshot(history: DataFrame, family: list[str]) -> DataFrame:
-    """The row of each family's latest release."""
-    rank = F.row_number().over(Window.partitionBy(*family).orderBy(F.desc(version_key(F.col("release_tag"))), "name"))
+    """The row of each family's latest release; tags that are no version come before all others."""
+    rank = F.row_number().over(Window.partitionBy(*family).orderBy(F.desc_nulls_last(version_key(F.col("release_tag"))), "name"))
     return history.withColumn("rank", rank).filter("rank = 1").drop("rank")
 
 

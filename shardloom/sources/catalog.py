@@ -12,9 +12,9 @@ MATERIAL = (
 )
 
 
-def read_materials(spark: SparkSession, root: str) -> DataFrame:
-    """One typed row per JSON document below ``root``, with the file it came from."""
-    rows = spark.read.schema(MATERIAL).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").json(root)
+def read_materials(spark: SparkSession, root: str, lines: bool = False, glob: str = "*.json") -> DataFrame:
+    """One typed row per JSON document below ``root``, with the file it came from; a document to a file, or to a line with ``lines``."""
+    rows = spark.read.schema(MATERIAL).option("multiLine", not lines).option("recursiveFileLookup", True).option("pathGlobFilter", glob).json(root)
     return rows.withColumn("file", F.col("_metadata.file_path"))
 
 
@@ -44,7 +44,7 @@ def source_entries(text: DataFrame) -> DataFrame:
 def scan_blobs(spark: SparkSession, root: str, glob: str = "*.png") -> DataFrame:
     """tpage, name, map_kind, sha256, size of every blob; its bytes leave the plan once hashed."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    at = r"([^/]+)/([^/]+)/([^/]+)\.[a-z]+$"
+    at = r"(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/([^/]+)\.[a-z]+$"  # folders may be named column=value
     return files.select(*[F.regexp_extract("path", at, i).alias(n) for i, n in enumerate(("tpage", "name", "map_kind"), 1)], F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
 
 

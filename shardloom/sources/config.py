@@ -74,15 +74,47 @@ def split_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SPLITS, "preset string, grp string, parts int")
 
 
-def cluster_dim(spark: SparkSession, path: str) -> DataFrame:
-    """prefix, cluster of the first game in a cluster file: map of arrays to rows."""
-    schema = "games map<string,struct<clusters:map<string,array<string>>,overflow:string>>"
-    games = spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("games").alias("game", "g"))
+def documents_at(spark: SparkSession, path: str) -> DataFrame:
+    """value: the text of each JSON document at ``path``."""
+    return spark.read.text(path, wholetext=True)
+
+
+def cluster_rows(documents: DataFrame) -> DataFrame:
+    """game, cluster, prefix of cluster documents (value): map of arrays to rows."""
+    games = documents.select(F.explode(F.from_json("value", "games map<string,struct<clusters:map<string,array<string>>,overflow:string>>")["games"]).alias("game", "g"))
     return games.select("game", F.explode("g.clusters").alias("cluster", "prefixes")).select("game", "cluster", F.explode("prefixes").alias("prefix"))
 
 
+def split_rows(documents: DataFrame) -> DataFrame:
+    """preset, grp, parts of cluster documents' splits; comments are skipped."""
+    splits = documents.select(F.explode(F.from_json("value", "splits map<string,string>")["splits"]).alias("preset", "x"))
+    return splits.filter(F.col("preset") != "comment").select("preset", F.explode(F.from_json("x", "map<string,int>")).alias("grp", "parts"))
+
+
+def threshold_rows(documents: DataFrame) -> DataFrame:
+    """semantic, format, bound, value of threshold documents: an object of bounds for each semantic; comments and the ladder are no semantics."""
+    parts = documents.select(F.explode(F.from_json("value", "map<string,string>")).alias("semantic", "x")).filter(~F.col("semantic").isin("comment", "ladder"))
+    bounds = parts.select("semantic", F.explode(F.from_json("x", "map<string,string>")).alias("bound", "y")).filter(F.col("bound").isin("min", "max", "p99_max"))
+    return bounds.select("semantic", F.explode(F.from_json("y", "map<string,double>")).alias("format", "value"), "bound").select("semantic", "format", "bound", "value")
+
+
+def ladder_rows(documents: DataFrame) -> DataFrame:
+    """profile, map, fallback of threshold documents' ladder; comments are skipped."""
+    steps = documents.select(F.explode(F.from_json(F.get_json_object("value", "$.ladder"), "map<string,string>")).alias("profile", "x")).filter(F.col("profile") != "comment")
+    return steps.select("profile", F.explode(F.from_json("x", "map<string,string>")).alias("map", "fallback"))
+
+
+def cluster_dim(spark: SparkSession, path: str) -> DataFrame:
+    return cluster_rows(documents_at(spark, path))
+
+
 def split_file(spark: SparkSession, path: str) -> DataFrame:
-    """preset, grp, parts of a cluster file's splits; its comment is skipped."""
-    splits = spark.read.schema("splits map<string,string>").option("multiLine", True).json(path).select(F.explode("splits").alias("preset", "x"))
-    counts = F.from_json("x", "map<string,int>")
-    return splits.filter(F.col("preset") != "comment").select("preset", F.explode(counts).alias("grp", "parts"))
+    return split_rows(documents_at(spark, path))
+
+
+def threshold_file(spark: SparkSession, path: str) -> DataFrame:
+    return threshold_rows(documents_at(spark, path))
+
+
+def ladder_file(spark: SparkSession, path: str) -> DataFrame:
+    return ladder_rows(documents_at(spark, path))

@@ -194,8 +194,9 @@ def test_variants_and_canonical_materials(spark):
 
 
 def test_versions_order_by_number(spark):
-    rows = spark.createDataFrame([("f", "v0.9.0", "a"), ("f", "v0.10.0", "b")], "fam string, release_tag string, name string")
-    assert release.manifest_snapshot(rows, ["fam"]).first()["name"] == "b"
+    tags = [("f", "v0.9.0", "a"), ("f", "v0.10.0", "b"), ("g", "assets-v0.9.0", "c"), ("g", "assets-v0.10.0", "d"), ("g", "nightly", "e"), ("h", None, "x"), ("h", "v1.2", "w")]
+    rows = spark.createDataFrame(tags, "fam string, release_tag string, name string")
+    assert {r["fam"]: r["name"] for r in release.manifest_snapshot(rows, ["fam"]).collect()} == {"f": "b", "g": "d", "h": "w"}
 
 
 def test_failures_stop_a_release(spark):
