@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import geometry, keys
 from ..operators import release, shards
 from ..sources import config, packs
 from . import standins as s
@@ -45,40 +44,67 @@ def e1_pack_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.pack_index(_layout(spark, sf_dir), ["tpage"])
 
 
-def _part_name() -> Column:
-    return F.concat("tpage", F.lit("-p"), F.col("part").cast("string"))
+_FAMILY = "game, profile, preset, grp, cluster, parts, part"
+_PACKED = f"select *, (16 + coalesce(sum({_ALIGNED}) over (partition by {_FAMILY} order by mat, map rows between unbounded preceding and 1 preceding), 0))::bigint as \"offset\" from ({FAMILY_SQL}) where size > 0"
+_POLICY = values([(m, f"VK_FORMAT_{config.FORMATS[f][0]}", c, config.COLORSPACES[m]) for m, (f, c) in config.PROFILES["pc-bc"].items()], "po", "map", "format", "channels", "colorspace")
+_NUMBER = "(regexp_extract(mat, '[0-9]+$', 0))::bigint"
+_RECORD = f"""select *, 'jak1/' || mat as id, (1 << ({_NUMBER} % 8)::int) as width, (1 << ({_NUMBER} % 5)::int) as height, length(bin(1 << greatest({_NUMBER} % 8, {_NUMBER} % 5)::int))::int as mip_levels,
+ case when {_NUMBER} % 3 = 0 then 'clamp' else 'repeat' end as wrap_mode, 'none' as alpha_mode, case when map = 'normal' then {_NUMBER} % 100 / 256 end as normal_dc_x, case when map = 'height' then {_NUMBER} % 50 / 64 end as height_mean from ({_PACKED}) join {_POLICY} using (map)"""
+_FIELDS = ["id", "key", "map", "format", "width", "height", "mip_levels", "colorspace", "channels", "wrap_mode", "alpha_mode"]
 
 
-def _written(spark: SparkSession, sf_dir: str) -> str:
-    import tempfile
+def _outputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard families' outputs with their dimensions, statistics and index records."""
+    policy = config.profile_dim(spark).filter("profile = 'pc-bc'").select("map", "format", "channels", "colorspace")
+    doc = F.col("doc_id").cast("int")
+    rows = _families(spark, sf_dir).filter("size > 0").join(F.broadcast(policy), "map")
+    rows = rows.withColumns({"w": F.call_function("shiftleft", F.lit(1), doc % 8), "h": F.call_function("shiftleft", F.lit(1), doc % 5)})
+    rows = rows.withColumn("mip_levels", geometry.level_count(F.col("w"), F.col("h")).cast("int"))
+    nothing = F.lit(None).cast("double")
+    stats = {"normal_dc_x": F.when(F.col("map") == "normal", doc % 100 / 256), "normal_dc_y": F.when(F.col("map") == "normal", F.lit(0.5)), "height_mean": F.when(F.col("map") == "height", doc % 50 / 64), "height_norm": nothing, "height_lambda_tiles": nothing}
+    known = s.assets(spark, sf_dir).select("mat", F.lit("jak1").alias("game"), F.when(doc % 3 == 0, "clamp").alias("wrap_mode"), F.lit(None).cast("string").alias("alpha_mode"))
+    return shards.pack_entries(rows.withColumns(stats).drop("game"), known, config.format_dim(spark))
+
 
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-")
-    path = f"{root.rstrip('/')}/shardloom/packs-{uuid.uuid4().hex}"
-    rows = s.assets(spark, sf_dir).filter("size > 0").select(F.lit("jak1").alias("game"), "tpage", F.col("mat").alias("key"), "map", "payload")
-    packs.write_packs(rows, ["game", "tpage"], path)
+def _written(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the packs of all outputs."""
+    path = s.scratch(spark, "packs")
+    payload = s.assets(spark, sf_dir).select("mat", "payload")
+    rows = _outputs(spark, sf_dir).join(payload, "mat").select(*PACKED, F.col("mat").alias("key"), "map", "payload", "record")
+    packs.write_packs(rows, PACKED, path)
     return path
 
 
-@query("select 'jak1' as game, tpage, count(*)::int as entry_count from assets where size > 0 group by tpage", "assets")
+PACKED = ["game", "profile", "preset", "grp", "cluster", "parts", "part"]
+
+
+@query(f"select game, profile, preset, grp, cluster, part, count(*)::bigint as entry_count, true as named from ({_PACKED}) group by {_FAMILY}", "assets", "clusters")
 def a9_write_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_written(spark, sf_dir)).groupBy("game", "tpage").agg(F.sum("entry_count").cast("int").alias("entry_count"))
+    """Of the list of packs: entries of each family, and whether all names hold the family and the hash."""
+    held = spark.read.parquet(_written(spark, sf_dir) + "/_packs")
+    c = F.col
+    named = c("name") == keys.shard_name(c("game"), c("profile"), c("preset"), c("grp"), c("cluster"), c("parts").cast("int"), c("part"), c("sha256"))
+    return held.groupBy(*PACKED).agg(F.sum("entry_count").alias("entry_count"), F.bool_and(named).alias("named")).select("game", "profile", "preset", "grp", "cluster", F.col("part").cast("long").alias("part"), "entry_count", "named")
 
 
-@query(_LAYOUT.replace("select tpage, mat, map, sha, size", "select tpage as pack, mat as key, map, sha as sha256, size").replace("from assets", "from assets where size > 0"), "assets")
+@query(f'select game, profile, preset, grp as "group", cluster, id, mat as key, map, format, width, height, mip_levels, colorspace, channels, wrap_mode, alpha_mode, normal_dc_x, height_mean, sha as sha256, size, "offset" from ({_RECORD})', "assets", "clusters")
 def a10_scan_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets are those in the layout of the whole tpage: a part's base and what lies before the entry in the part."""
-    held = spark.read.parquet(_written(spark, sf_dir)).withColumn("name", _part_name())
-    bases = held.select(F.col("name").alias("pack"), "tpage", "base")
-    rows = packs.scan_packs(held).join(F.broadcast(bases), "pack")
-    return rows.select(F.col("tpage").alias("pack"), "key", "map", "sha256", "size", (F.col("base") + F.col("offset") - packs.HEADER).alias("offset"))
+    """Offsets are those in the layout of the whole family: a pack's base and what lies before the entry in the pack."""
+    path = _written(spark, sf_dir)
+    bases = spark.read.parquet(path + "/_packs").select(F.col("name").alias("pack"), "base")
+    rows = packs.scan_packs(packs.read_pack_files(spark, path)).join(F.broadcast(bases), "pack")
+    return rows.select("game", "profile", "preset", "group", "cluster", *_FIELDS, "stats.normal_dc_x", "stats.height_mean", "sha256", "size", (F.col("base") + F.col("offset") - packs.HEADER).alias("offset"))
 
 
-@query("select tpage as pack, mat as key, map, 'altered' as reason from (select *, row_number() over (partition by tpage order by mat, map) as rn from assets where size > 0) where rn = 1", "assets")
+@query(f"select game, profile, preset, grp, cluster, part, mat as key, map, 'altered' as reason from (select *, row_number() over (partition by {_FAMILY} order by mat, map) as rn from ({FAMILY_SQL}) where size > 0) where rn = 1", "assets", "clusters")
 def a11_verify_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The byte after the header is the first payload's; it is altered in the first pack of every tpage."""
+    """The byte after the header is the first payload's; it is altered in the first pack of every family."""
+    path = _written(spark, sf_dir)
+    listed = spark.read.parquet(path + "/_packs").select("name", *PACKED, "cut")
     altered = F.concat(F.substring("content", 1, 16), F.lit(b"\x00"), F.substring(F.col("content"), 18, 1 << 30))
-    held = spark.read.parquet(_written(spark, sf_dir)).select(_part_name().alias("name"), F.when(F.col("part") == 0, altered).otherwise(F.col("content")).alias("content"))
-    return packs.verify_packs(held).withColumn("pack", F.regexp_replace("pack", "-p[0-9]+$", ""))
+    held = packs.read_pack_files(spark, path).join(F.broadcast(listed), "name").select("name", F.when(F.col("cut") == 0, altered).otherwise(F.col("content")).alias("content"))
+    found = packs.verify_packs(held).join(F.broadcast(listed.withColumnRenamed("name", "pack")), "pack")
+    return found.select("game", "profile", "preset", "grp", "cluster", F.col("part").cast("long").alias("part"), "key", "map", "reason")
 
 
 @query(f"select game, profile, preset, grp, cluster, part, count(*) as entries, sum(size)::bigint as bytes from ({FAMILY_SQL}) group by all", "assets", "clusters")
@@ -127,14 +153,13 @@ def f2_pick_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.pick_samples(s.assets(spark, sf_dir).select("mat", "map"), _SAMPLES).select("ordinal", "mat", "map")
 
 
-@query("select mat, map, f.vk as format, \"offset\" from (select * from (" + _LAYOUT + f") join {values([(m, f) for m, (f, _) in config.PROFILES['pc-bc'].items()], 'p', 'map', 'fm')} using (map)) join {values([(k, 'VK_FORMAT_' + v[0]) for k, v in config.FORMATS.items()], 'f', 'fm', 'vk')} using (fm)", "assets")
+@query(f"select preset, id, mat as key, map, format, width, height, mip_levels, colorspace, channels, wrap_mode, alpha_mode, normal_dc_x, height_mean from ({_RECORD})", "assets", "clusters")
 def c13_pack_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record is JSON; its fields are read back from it."""
-    policy = config.profile_dim(spark).filter("profile = 'pc-bc'").select("map", "format", "channels")
-    layout = _layout(spark, sf_dir).join(F.broadcast(policy), "map")
-    known = s.assets(spark, sf_dir).select("mat", F.lit("repeat").alias("wrap_mode"))
-    rows = shards.pack_entries(layout, known, config.format_dim(spark))
-    return rows.select("mat", "map", F.get_json_object("record", "$.format").alias("format"), F.get_json_object("record", "$.offset").cast("long").alias("offset"))
+    kinds = {"width": "int", "height": "int", "mip_levels": "int"}
+    rows = _outputs(spark, sf_dir)
+    fields = [F.get_json_object("record", f"$.{f}").cast(kinds.get(f, "string")).alias(f) for f in _FIELDS]
+    return rows.select("preset", *fields, *[F.get_json_object("record", f"$.stats.{f}").cast("double").alias(f) for f in ("normal_dc_x", "height_mean")])
 
 
 _REUSE = "select n.page_id, n.name, n.sha, n.size, coalesce(p.page_id is not null, false) as reused, coalesce(p.tag, 'v2.0.0') as release_tag from shards_now n left join (select sha, max_by(page_id, name) as page_id, 'v1.0.0' as tag from shards_prev group by sha) p using (sha)"

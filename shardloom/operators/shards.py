@@ -38,10 +38,23 @@ def pack_index(layout: DataFrame, family: list[str]) -> DataFrame:
     return layout.groupBy(*family).agg(F.max(F.col("offset") + F.col("size")).alias("index_offset"), F.count("*").alias("entry_count"))
 
 
-def pack_entries(layout: DataFrame, materials: DataFrame, formats: DataFrame) -> DataFrame:
-    """Index records: output, metadata and payload in one row, and as JSON without the fields that are absent."""
-    rows = layout.join(materials, "mat").join(F.broadcast(formats), "format").withColumn("vk_format", F.concat(F.lit("VK_FORMAT_"), "vk"))
-    return rows.withColumn("record", F.to_json(F.struct("channels", F.col("vk_format").alias("format"), F.col("mat").alias("key"), "map", "offset", "sha", "size", "wrap_mode")))
+STATS = ("normal_dc_x", "normal_dc_y", "height_mean", "height_norm", "height_lambda_tiles")
+
+
+def pack_entries(outputs: DataFrame, materials: DataFrame, formats: DataFrame) -> DataFrame:
+    """``outputs`` with ``record``, the JSON of an index record without offset, size and hash of the payload, which the pack gives it.
+
+    Outputs have (mat, map, format, w, h, mip_levels, colorspace, channels) and ``STATS``; materials (mat, game, wrap_mode, alpha_mode); formats
+    (format, vk). Modes that a material doesn't have are the defaults; absent channels and statistics are left out.
+    """
+    known = materials.select("mat", "game", F.coalesce("wrap_mode", F.lit("repeat")).alias("wrap_mode"), F.coalesce("alpha_mode", F.lit("none")).alias("alpha_mode"))
+    rows = outputs.join(known, "mat").join(F.broadcast(formats.select("format", F.concat(F.lit("VK_FORMAT_"), "vk").alias("vk_format"))), "format")
+    stats = F.when(F.coalesce(*STATS).isNotNull(), F.struct(*STATS))
+    record = F.struct(
+        "alpha_mode", "channels", "colorspace", F.col("vk_format").alias("format"), F.col("h").alias("height"), F.concat_ws("/", "game", "mat").alias("id"),
+        F.col("mat").alias("key"), "map", "mip_levels", stats.alias("stats"), F.col("w").alias("width"), "wrap_mode",
+    )
+    return rows.withColumn("record", F.to_json(record))
 
 
 def uniqueness_check(rows: DataFrame, key: list[str]) -> DataFrame:

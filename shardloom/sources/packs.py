@@ -2,8 +2,8 @@
 
 Writing cuts a family, in the order of its keys, into parts of about ``max_bytes`` of payload and index; the maps
 of a key stay together. A pack is one part: it exceeds ``max_bytes`` by no more than its last key's entries and a
-frame of fixed size. Files go out through Spark, as rows of one
-binary column, so any store that Spark reaches will do.
+frame of fixed size. Each is a ``.rpack`` file, named by its family and the hash of its bytes, which the task that builds it writes to the shared
+folder; so its bytes travel no further, and a task that runs again writes the same file.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,65 +24,94 @@ from ..operators.shards import pack_layout
 
 HEADER, TRAILER = 16, 24
 MAX_BYTES = 16 << 20
-#: An index record has less than this besides its key, of which JSON makes at most six bytes from one.
+#: An index record has less than this besides its key and what is given of it, of which JSON makes at most six bytes from one.
 RECORD = 256
-ENTRY = "struct<alpha_mode:string,channels:string,colorspace:string,format:string,height:int,id:string,key:string,map:string,mip_levels:int,offset:bigint,sha256:string,size:bigint,wrap_mode:string>"
+STATS = "struct<height_lambda_tiles:double,height_mean:double,height_norm:double,normal_dc_x:double,normal_dc_y:double>"
+ENTRY = f"struct<alpha_mode:string,channels:string,colorspace:string,format:string,height:int,id:string,key:string,map:string,mip_levels:int,offset:bigint,sha256:string,size:bigint,stats:{STATS},width:int,wrap_mode:string>"
 
 
-def pack_bytes(family: dict[str, str], entries: list[tuple[str, str, bytes]], extra: dict | None = None) -> bytes:
-    """One pack of (key, map, payload) entries; the order given doesn't matter."""
+def pack_bytes(family: dict[str, str], entries: list[tuple[str, str, bytes]], records: list[dict] | None = None) -> bytes:
+    """One pack of (key, map, payload) entries, each with the other fields of its record; the order given doesn't matter."""
     if not entries:
         raise ValueError("a pack has at least one entry")
-    out, records = bytearray(b"RPK1" + struct.pack("<III", 1, len(entries), 0)), []
-    for key, kind, payload in sorted(entries, key=lambda e: e[:2]):
+    out, index = bytearray(b"RPK1" + struct.pack("<III", 1, len(entries), 0)), []
+    for (key, kind, payload), more in sorted(zip(entries, records or [{}] * len(entries), strict=True), key=lambda e: e[0][:2]):
         if kind not in GROUPS or not payload:
             raise ValueError(f"{key}: unknown map {kind}" if payload else f"{key} ({kind}): empty payload")
         out += bytes(-len(out) % 16)
-        records.append({"key": key, "map": kind, "offset": len(out), "sha256": hashlib.sha256(payload).hexdigest(), "size": len(payload)} | (extra or {}))
+        index.append(more | {"key": key, "map": kind, "offset": len(out), "sha256": hashlib.sha256(payload).hexdigest(), "size": len(payload)})
         out += payload
-    index = json.dumps({"schema_version": 1, **family, "entries": records}, sort_keys=True, separators=(",", ":")).encode()
-    return bytes(out) + index + struct.pack("<QQ", len(out), len(index)) + hashlib.sha256(index).digest()[:4] + b"RIDX"
+    text = json.dumps({"schema_version": 1, **family, "entries": index}, sort_keys=True, separators=(",", ":")).encode()
+    return bytes(out) + text + struct.pack("<QQ", len(out), len(text)) + hashlib.sha256(text).digest()[:4] + b"RIDX"
 
 
 def pack_parts(entries: DataFrame, family: list[str], max_bytes: int) -> DataFrame:
-    """family columns, part, first_key, next_key, base: the parts of each family; ``base`` is where a part begins in the layout of the whole family.
+    """family columns, cut, first_key, next_key, base: the parts of each family; ``base`` is where a part begins in the layout of the whole family.
 
     Only keys and sizes are sorted; there is one row for some ``max_bytes`` of input.
     """
-    sizes = entries.select(*family, "key", "map", F.octet_length("payload").cast("long").alias("size"))
+    sizes = entries.select(*family, "key", "map", F.octet_length("payload").cast("long").alias("size"), F.coalesce(F.octet_length("record"), F.lit(0)).alias("more"))
     before = Window.partitionBy(*family).orderBy("key", "map").rowsBetween(Window.unboundedPreceding, -1)
-    weight = geometry.align16(F.col("size")) + 6 * F.octet_length("key") + RECORD
+    weight = geometry.align16(F.col("size")) + 6 * F.octet_length("key") + F.col("more") + RECORD
     laid = pack_layout(sizes, family, ["key", "map"]).withColumn("before", F.coalesce(F.sum(weight).over(before), F.lit(0)))
     starts = laid.groupBy(*family, "key").agg(F.min("before").alias("before"), F.min("offset").alias("base"))
     starts = starts.groupBy(*family, F.floor(F.col("before") / max_bytes).alias("slot")).agg(F.min("key").alias("first_key"), F.min("base").alias("base"))
     turn = Window.partitionBy(*family).orderBy("slot")
-    return starts.select(*family, (F.row_number().over(turn) - 1).alias("part"), "first_key", F.lead("first_key").over(turn).alias("next_key"), F.col("base").cast("long").alias("base"))
+    return starts.select(*family, (F.row_number().over(turn) - 1).alias("cut"), "first_key", F.lead("first_key").over(turn).alias("next_key"), F.col("base").cast("long").alias("base"))
 
 
-def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTES) -> DataFrame:
-    """family columns, part, base, entry_count, sha256, size, content: one row per pack of the rows (family, key, map, payload)."""
+#: Columns of a family that say where in it a pack lies, and are no part of its index.
+PLACES = ("parts", "part")
+
+
+def stem_of(one: dict[str, str], cut: int) -> str:
+    """A pack's name up to its hash: that of a shard where the family is a shard's."""
+    if {"game", "profile", "preset", "grp", "cluster"} <= set(one):
+        many = f"-p{one['part']}" if int(one.get("parts") or 1) > 1 else ""
+        return "-".join([one["game"], one["profile"], one["preset"], one["grp"], "shard", one["cluster"]]) + many
+    return "-".join([*one.values(), f"p{cut}"]).replace("/", "-")
+
+
+def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTES, folder: str | None = None) -> DataFrame:
+    """family columns, cut, base, name, entry_count, sha256, size, content: one row per pack of the rows (family, key, map, payload, and record if any).
+
+    With a ``folder`` (a URI that every executor reaches) the task writes the pack there, and content is null.
+    """
+    if "record" not in entries.columns:
+        entries = entries.withColumn("record", F.lit(None).cast("string"))
     bad = F.col("payload").isNull() | (F.octet_length("payload") == 0) | F.col("key").isNull() | ~F.col("map").isin(list(GROUPS))
     checked = entries.withColumn("payload", F.when(bad, F.raise_error(F.concat(F.lit("can't pack "), F.coalesce("key", F.lit("a null key")))).cast("binary")).otherwise(F.col("payload").cast("binary")))
-    checked = checked.select(*[F.col(c).cast("string").alias(c) for c in family], "key", "map", "payload")
+    checked = checked.select(*[F.col(c).cast("string").alias(c) for c in family], "key", "map", "payload", "record")
 
     def build(frame: pd.DataFrame) -> pd.DataFrame:
-        one = {c: str(frame[c].iloc[0]) for c in family}
-        content = pack_bytes(one, list(zip(frame["key"], frame["map"], map(bytes, frame["payload"]), strict=True)))
-        return pd.DataFrame([{**one, "part": frame["part"].iloc[0], "base": frame["base"].iloc[0], "entry_count": len(frame), "sha256": hashlib.sha256(content).hexdigest(), "size": len(content), "content": content}])
+        one, cut = {c: str(frame[c].iloc[0]) for c in family}, int(frame["cut"].iloc[0])
+        index = {"group" if c == "grp" else c: v for c, v in one.items() if c not in PLACES}
+        records = [json.loads(r) if r else {} for r in frame["record"]]
+        content = pack_bytes(index, list(zip(frame["key"], frame["map"], map(bytes, frame["payload"]), strict=True)), records)
+        digest = hashlib.sha256(content).hexdigest()
+        name = f"{stem_of(one, cut)}-{digest[:12]}.rpack"
+        if folder:
+            store, root = FileSystem.from_uri(folder)
+            with store.open_output_stream(f"{root}/{name}") as f:
+                f.write(content)
+        return pd.DataFrame([{**one, "cut": cut, "base": frame["base"].iloc[0], "name": name, "entry_count": len(frame), "sha256": digest, "size": len(content), "content": None if folder else content}])
 
     e, p = checked.alias("e"), F.broadcast(pack_parts(checked, family, max_bytes)).alias("p")
     mine = (F.col("e.key") >= F.col("p.first_key")) & (F.col("p.next_key").isNull() | (F.col("e.key") < F.col("p.next_key")))
     for c in family:
         mine &= F.col(f"e.{c}").eqNullSafe(F.col(f"p.{c}"))
-    placed = e.join(p, mine, "left").select("e.*", "p.part", "p.base")
-    schema = ", ".join(f"{c} string" for c in family) + ", part int, base long, entry_count int, sha256 string, size long, content binary"
-    return placed.groupBy(*family, "part").applyInPandas(build, schema)
+    placed = e.join(p, mine, "left").select("e.*", "p.cut", "p.base")
+    schema = ", ".join(f"{c} string" for c in family) + ", cut int, base long, name string, entry_count int, sha256 string, size long, content binary"
+    return placed.groupBy(*family, "cut").applyInPandas(build, schema)
 
 
-def write_packs(entries: DataFrame, family: list[str], path: str, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """Write the packs below ``path``, a file each, so that no reader holds several at once; returns them as read back, without their bytes."""
-    build_packs(entries, family, max_bytes).write.option("maxRecordsPerFile", 1).parquet(path)
-    return entries.sparkSession.read.parquet(path).drop("content")
+def write_packs(entries: DataFrame, family: list[str], folder: str, max_bytes: int = MAX_BYTES) -> DataFrame:
+    """Write a ``.rpack`` file for each pack into the folder of this URI; returns the list of packs, which is kept as a table below ``_packs`` in it."""
+    store, root = FileSystem.from_uri(folder)
+    store.create_dir(root, recursive=True)
+    path = f"{folder}/_packs"
+    build_packs(entries, family, max_bytes, folder).drop("content").write.parquet(path)
+    return entries.sparkSession.read.parquet(path)
 
 
 def parse_pack(content: bytes) -> tuple[str | None, str | None]:
@@ -121,8 +151,11 @@ def entry_error(content: bytes, entry: dict) -> str | None:
     return None if hashlib.sha256(memoryview(content)[at : at + size]).hexdigest() == entry["sha256"] else "altered"
 
 
+HEADER_FIELDS = ("schema_version", "game", "profile", "preset", "group", "cluster")
+
+
 def scan_packs(packs: DataFrame, name: str = "name") -> DataFrame:
-    """pack, its header columns and one row per index entry of rows (name, content); a broken pack has one row with its error."""
+    """pack, error, its header columns and one row per index entry of rows (name, content); a broken pack has one row with its error."""
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -130,10 +163,10 @@ def scan_packs(packs: DataFrame, name: str = "name") -> DataFrame:
             yield pd.DataFrame({"pack": frame["pack"], "index": [g[0] for g in got], "error": [g[1] for g in got]})
 
     _few_packs(packs.sparkSession)
-    schema = f"struct<cluster:string,game:string,grp:string,preset:string,profile:string,entries:array<{ENTRY}>>"
+    schema = f"struct<schema_version:int,game:string,profile:string,preset:string,`group`:string,cluster:string,entries:array<{ENTRY}>>"
     rows = packs.select(F.col(name).cast("string").alias("pack"), "content").mapInPandas(parse, "pack string, index string, error string")
     rows = rows.withColumn("i", F.from_json("index", schema))
-    return rows.select("pack", "error", F.explode_outer("i.entries").alias("e")).select("pack", "error", "e.*")
+    return rows.select("pack", "error", *[F.col("i")[c].alias(c) for c in HEADER_FIELDS], F.explode_outer("i.entries").alias("e")).select("pack", "error", *HEADER_FIELDS, "e.*")
 
 
 def read_pack_files(spark: SparkSession, path: str) -> DataFrame:

@@ -163,7 +163,7 @@ def test_a_changed_byte_is_found(spark, at, reason):
 def test_a_hot_family_is_cut_into_bounded_packs(spark):
     entries = [("hot", f"k{i:03}", m, bytes([i]) * (200 + i)) for i in range(40) for m in ("albedo", "height")] + [("cold", "k", "albedo", b"x")]
     rows = spark.createDataFrame([(*e[:3], bytearray(e[3])) for e in entries], "fam string, key string, map string, payload binary")
-    built = packs.build_packs(rows, ["fam"], 4000).withColumn("name", F.concat_ws("-", "fam", "part")).localCheckpoint()
+    built = packs.build_packs(rows, ["fam"], 4000).cache()
     largest = max(2 * (len(e[3]) + 16 + 6 * 4 + packs.RECORD) for e in entries)
     assert built.count() > 5 and built.agg(F.max("size")).first()[0] <= 4000 + largest + 200
     scanned = packs.scan_packs(built).join(built.select("fam", F.col("name").alias("pack"), "base"), "pack")
