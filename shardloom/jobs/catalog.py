@@ -429,11 +429,41 @@ def e5_representative_member(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.representative_member(s.assets(spark, sf_dir), ["sha"], "mat", ["doc_id"])
 
 
-_REPORT = "select profile, preset, count(*) as outputs, count(*) filter (where status = 'hit') as hits, count(*) filter (where not gate_ok) as failures from (select profile, preset, status, mat % 13 <> 0 as gate_ok from (select mat, preset, profile, case when stats_version is null then 'miss' when stats_version <> 2 and map in ('normal', 'height') then 'stale_stats' else 'hit' end as status from ({k}) left join {c} using (cache_key))) group by 1, 2"
+_VERDICT = f"""select mat, preset, profile, map, format, case when stats_version is null then 'miss' when stats_version <> 2 and map in ('normal', 'height') then 'stale_stats' else 'hit' end as status,
+ case when stats_version is null then null when map = 'albedo' then psnr_db >= coalesce(gate_min, 0) when map = 'normal' then ang_mean_deg <= coalesce(gate_max, 99) and ang_p99_deg <= coalesce(gate_p99_max, 999) else mae <= coalesce(gate_max, 255) end as gate_ok
+ from ({_KEYED}) left join {_CACHE} using (cache_key) left join {_BOUNDS} using (map, format)"""
+
+
+def _report(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    keyed = _keyed(spark, sf_dir)
+    outputs = build.cache_verdicts(keyed, _cache(keyed), config.threshold_dim(spark), 2)
+    nothing = spark.createDataFrame([], "name string, game string, profile string, preset string, grp string, cluster string, part int, sha string, size long, entry_count long")
+    return build.build_report(outputs, nothing, config.ladder_dim(spark))
 
 
-@query(_REPORT.format(k=_KEYED, c=_CACHE), "dims")
+@query(f"select profile, preset, count(*) as outputs, count(*) filter (where status = 'hit') as hits, count(*) filter (where not gate_ok) as failures from ({_VERDICT}) group by 1, 2", "dims")
 def a8_build_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir)[2]
+
+
+@query(f"select mat, preset, profile, map, format, case when profile = 'android-astc' and map <> 'normal' then 'astc_4x4' end as fallback from ({_VERDICT}) where not gate_ok", "dims")
+def a8_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _report(spark, sf_dir)[0].select("mat", "preset", "profile", "map", "format", "fallback")
+
+
+@query(f"select count(*) as records, count(wrap_mode) as wrap_modes, count(esrgan) as esrgan_dims, max(outputs) as outputs, max(hits) as hits, max(failures) as failures from (select wrap_mode, case when doc_id % 3 = 0 then 1 end as esrgan from ({MATERIALS_SQL})), (select count(*) as outputs, count(*) filter (where status = 'hit') as hits, count(*) filter (where not gate_ok) as failures from ({_VERDICT}))", "dims")
+def d6_record_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = material_documents(spark, sf_dir).select(F.get_json_object("value", "$.wrap_mode").alias("wrap_mode"), F.when(F.col("doc_id") % 3 == 0, F.array(F.lit(1), F.lit(1))).alias("esrgan_dims"))
     keyed = _keyed(spark, sf_dir)
-    outputs = build.cache_lookup(keyed, _cache(keyed), 2).withColumn("gate_ok", F.col("mat") % 13 != 0)
-    return build.build_report(outputs, config.ladder_dim(spark))[1]
+    return dedup.record_summary(records, build.cache_verdicts(keyed, _cache(keyed), config.threshold_dim(spark), 2))
+
+
+@query(
+    f"""select id, unnest([x for x in [case when doc_id % 10 = 0 then {{'rule': 'schema_version', 'value': null}} end, case when game not in ('jak1', 'jak2', 'jak3') then {{'rule': 'game', 'value': game}} end,
+ case when wrap_mode = 'tile' then {{'rule': 'wrap_mode', 'value': wrap_mode}} end, case when h < 1 then {{'rule': 'master_dims', 'value': w || ',' || h}} end, case when not has_map then {{'rule': 'maps', 'value': ''}} end,
+ case when has_map and colorspace = 'srgb' then {{'rule': 'colorspace', 'value': colorspace}} end, case when has_map and channels = 'x' then {{'rule': 'channels', 'value': channels}} end, case when has_map and source_sha256 = 'zz' then {{'rule': 'source_sha256', 'value': 'zz'}} end,
+ case when doc_id % 17 = 0 then {{'rule': 'unknown', 'value': 'extra'}} end] if x is not null], recursive := true) from ({MATERIALS_SQL})"""
+)
+def b13_material_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = material_documents(spark, sf_dir).select("value", F.from_json("value", sources.MATERIAL).alias("m")).select("value", "m.*")
+    return validate.validate_records(rows, "id", validate.material_rules())

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry, keys
-from ..operators import release, shards
+from ..operators import build, release, shards, validate
 from ..sources import config, packs
 from . import standins as s
 from .catalog import FAMILY_SQL, MOD, Query, _families, values
@@ -162,17 +162,24 @@ def c13_pack_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("preset", *fields, *[F.get_json_object("record", f"$.stats.{f}").cast("double").alias(f) for f in ("normal_dc_x", "height_mean")])
 
 
-_REUSE = "select n.page_id, n.name, n.sha, n.size, coalesce(p.page_id is not null, false) as reused, coalesce(p.tag, 'v2.0.0') as release_tag from shards_now n left join (select sha, max_by(page_id, name) as page_id, 'v1.0.0' as tag from shards_prev group by sha) p using (sha)"
+_REUSE = "select n.page_id, n.name, n.sha, n.size, coalesce(p.page_id is not null, false) as reused, coalesce(p.tag, 'v2.0.0') as release_tag, coalesce(p.url, 'https://assets.example/v2.0.0/' || n.name) as url from shards_now n left join (select sha, max_by(page_id, name) as page_id, max_by('old/' || name, name) as url, 'v1.0.0' as tag from shards_prev group by sha) p using (sha)"
 
 
 def _reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
     prev = s.shards_prev(spark, sf_dir).select("sha", "name", F.concat(F.lit("old/"), "name").alias("url"), F.lit("v1.0.0").alias("release_tag"))
-    return release.shard_reuse(s.shards_now(spark, sf_dir).select("page_id", "name", "sha", "size"), prev, "v2.0.0", "assets")
+    return release.shard_reuse(s.shards_now(spark, sf_dir).select("page_id", "name", "sha", "size"), prev, "v2.0.0", "https://assets.example")
 
 
 @query(_REUSE, "shards_now", "shards_prev")
 def c6_shard_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _reuse(spark, sf_dir).drop("url")
+    return _reuse(spark, sf_dir)
+
+
+@query("select name, sha, size from shards_now", "shards_now")
+def c6_refuse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No page has a negative size, so the release goes through."""
+    now = s.shards_now(spark, sf_dir)
+    return release.refuse_failures(now.select("name", "sha", "size"), now.filter("size < 0"))
 
 
 @query(f"select count(*) as total, count(*) filter (where reused) as reused, count(*) filter (where not reused) as to_upload, round(count(*) filter (where reused) / count(*), 6) as rate from ({_REUSE})", "shards_now", "shards_prev")
@@ -213,11 +220,76 @@ def d8_download_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release.download_sizes(s.with_features(s.shards_now(spark, sf_dir)))
 
 
-@query("select count(*)::int as shards, array_to_string(list_sort(list_distinct(list(profile))), ',') as profiles, string_agg(name, ',' order by name) as names, count(*) filter (where grp = 'material')::int as gated from shards_now", "shards_now")
+_SHARDS = f"""select *, game || '-' || profile || '-' || preset || '-' || grp || '-shard-' || cluster || case when parts > 1 then '-p' || part else '' end || '-' || substr(sha, 1, 12) || '.rpack' as name
+ from (select *, sha256(preset || grp || cluster || part || ':' || size) as sha from (select game, profile, preset, grp, cluster, parts, part::bigint as part, count(*) as entry_count, sum(size)::bigint as size from ({FAMILY_SQL}) group by 1, 2, 3, 4, 5, 6, 7))"""
+
+
+def shard_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per shard family, named by the hash of its place and size."""
+    c = F.col
+    rows = _families(spark, sf_dir).groupBy("game", "profile", "preset", "grp", "cluster", "parts", "part").agg(F.count("*").alias("entry_count"), F.sum("size").alias("size"))
+    rows = rows.withColumn("sha", F.sha2(F.concat("preset", "grp", "cluster", c("part").cast("string"), F.lit(":"), c("size").cast("string")).cast("binary"), 256))
+    return rows.withColumn("name", keys.shard_name(c("game"), c("profile"), c("preset"), c("grp"), c("cluster"), c("parts"), c("part"), c("sha")))
+
+
+@query(
+    f"""select 1 as schema_version, 'assets-v1.0.0' as asset_version, 'jak1' as games, 'pc-bc' as profiles, 'bonkers,low' as presets, '0.9.0' as min_recharged_version, true as has_max, 2 as min_loader_version, row_number() over (order by name)::int - 1 as place,
+ name, game, profile, preset, grp as "group", cluster, sha as sha256, size, 'u/' || name as url, 'assets-v1.0.0' as release_tag, entry_count, case when grp = 'material' then 'pbr' else '' end as requires_features from ({_SHARDS})""",
+    "assets",
+    "clusters",
+)
 def a7_manifest_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    doc = release.manifest_doc(s.shards_now(spark, sf_dir), "v1.0.0")
-    gated = F.size(F.filter("shards", lambda x: F.size(x["requires_features"]) > 0))
-    return doc.select(F.size("shards").alias("shards"), F.concat_ws(",", "profiles").alias("profiles"), F.concat_ws(",", F.transform("shards", lambda x: x["name"])).alias("names"), gated.alias("gated"))
+    """The document's JSON is read back, a row for each shard in its place."""
+    rows = shard_list(spark, sf_dir).withColumns({"url": F.concat(F.lit("u/"), "name"), "release_tag": F.lit("assets-v1.0.0")})
+    doc = release.manifest_doc(rows, "assets-v1.0.0", "0.9.0", 2)
+    text = release.manifest_json(doc)
+    read = text.select("value", F.from_json("value", doc.schema).alias("d"))
+    has_max = F.array_contains(F.json_object_keys(F.get_json_object("value", "$.engine_compat")), "max_recharged_version")
+    head = ["d.schema_version", "d.asset_version", *[F.concat_ws(",", F.col(f"d.{c}")).alias(c) for c in ("games", "profiles", "presets")], "d.engine_compat.min_recharged_version", has_max.alias("has_max"), "d.engine_compat.min_loader_version"]
+    rows = read.select(*head, F.posexplode("d.shards").alias("place", "x"))
+    return rows.select("*", "x.*").drop("x").withColumn("requires_features", F.concat_ws(",", "requires_features"))
+
+
+@query(f'select name, game, profile, preset, grp as "group", cluster, part, sha as sha256, size, entry_count from ({_SHARDS})', "assets", "clusters")
+def a8_shard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outputs = spark.createDataFrame([], "profile string, preset string, map string, gate_ok boolean, status string")
+    return build.build_report(outputs, shard_list(spark, sf_dir), config.ladder_dim(spark))[1]
+
+
+_BROKEN = f"select *, case when part % 2 = 1 then 'x' || name else name end as shown, case when entry_count % 3 = 0 then 0 else entry_count end as entries, case when cluster = 'overflow' then null else cluster end as place from ({_SHARDS})"
+
+
+@query(
+    f"""select shown as id, unnest([x for x in [case when part % 2 = 1 then {{'rule': 'name', 'value': shown}} end, case when place is null then {{'rule': 'cluster', 'value': null}} end, case when entries < 1 then {{'rule': 'entry_count', 'value': entries::varchar}} end,
+ case when size < 1 then {{'rule': 'size', 'value': size::varchar}} end] if x is not null], recursive := true) from ({_BROKEN})""",
+    "assets",
+    "clusters",
+)
+def b13_manifest_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some shards are given wrong names, no entries or no cluster."""
+    c = F.col
+    rows = shard_list(spark, sf_dir).withColumns(
+        {"name": F.when(c("part") % 2 == 1, F.concat(F.lit("x"), "name")).otherwise(c("name")), "entry_count": F.when(c("entry_count") % 3 == 0, 0).otherwise(c("entry_count")), "cluster": F.when(c("cluster") != "overflow", c("cluster")), "url": F.lit("u"), "group": c("grp"), "sha256": c("sha")}
+    )
+    return validate.validate_records(rows, "name", validate.shard_rules())
+
+
+@query(
+    f"""select key, unnest([x for x in [case when "offset" % 3 = 0 then {{'rule': 'offset', 'value': ("offset" + 8)::varchar}} end, case when height_mean > 0.5 then {{'rule': 'height_mean', 'value': (height_mean * 2)::varchar}} end,
+ case when width = 128 then {{'rule': 'width', 'value': '0'}} end, case when wrap_mode = 'clamp' then {{'rule': 'wrap_mode', 'value': 'clamped'}} end] if x is not null], recursive := true) from (select mat as key, * from ({_RECORD}))""",
+    "assets",
+    "clusters",
+)
+def b13_pack_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some entries of the packs as read back are given wrong offsets, statistics, widths or modes."""
+    path = _written(spark, sf_dir)
+    bases = spark.read.parquet(path + "/_packs").select(F.col("name").alias("pack"), "base")
+    c = F.col
+    rows = packs.scan_packs(packs.read_pack_files(spark, path)).join(F.broadcast(bases), "pack").withColumn("offset", c("base") + c("offset") - packs.HEADER)
+    rows = rows.select("*", *[c(f"stats.{f}").alias(f) for f in shards.STATS]).withColumns(
+        {"offset": F.when(c("offset") % 3 == 0, c("offset") + 8).otherwise(c("offset")), "height_mean": F.when(c("height_mean") > 0.5, c("height_mean") * 2).otherwise(c("height_mean")), "width": F.when(c("width") == 128, 0).otherwise(c("width")), "wrap_mode": F.when(c("wrap_mode") == "clamp", "clamped").otherwise(c("wrap_mode"))}
+    )
+    return validate.validate_records(rows, "key", validate.entry_rules()).withColumnRenamed("id", "key")
 
 
 @query("select name, profile, preset, case when page_id is not null then 'assets-v0.10.0' else 'assets-v0.9.0' end as release_tag from (select name, p.profile, p.preset, n.page_id from shards_prev p left join shards_now n using (name, profile, preset) union select name, profile, preset, page_id from shards_now)", "shards_now", "shards_prev")

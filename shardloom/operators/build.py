@@ -108,13 +108,15 @@ def affected_jobs(grid: DataFrame, affected: DataFrame) -> DataFrame:
     return grid.join(affected.select("material"), "material", "left_semi")
 
 
-def build_report(outputs: DataFrame, ladder: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(failures with their proposals, counters by profile and preset)."""
+def build_report(outputs: DataFrame, shards: DataFrame, ladder: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(failures with their proposals, rows of the shards, counters by profile and preset)."""
     failures = override_proposals(outputs.filter(~F.col("gate_ok")), ladder)
+    listed = shards.select("name", "game", "profile", "preset", F.col("grp").alias("group"), "cluster", "part", F.col("sha").alias("sha256"), "size", "entry_count")
     counters = outputs.groupBy("profile", "preset").agg(F.count("*").alias("outputs"), F.count_if(F.col("status") == "hit").alias("hits"), F.count_if(~F.col("gate_ok")).alias("failures"))
-    return failures, counters
+    return failures, listed, counters
 
 
-def write_report(failures: DataFrame, counters: DataFrame, path: str) -> None:
+def write_report(failures: DataFrame, shards: DataFrame, counters: DataFrame, path: str) -> None:
     failures.write.partitionBy("profile", "preset").json(f"{path}/failures")
+    shards.write.partitionBy("profile", "preset").json(f"{path}/shards")
     counters.write.json(f"{path}/counters")

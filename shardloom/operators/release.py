@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def shard_reuse(shards: DataFrame, previous: DataFrame, tag: str, slug: str) -> DataFrame:
-    """Shards whose hash the previous release has keep its url and tag; of its equal hashes the last name counts. Others are to upload."""
+def shard_reuse(shards: DataFrame, previous: DataFrame, tag: str, base: str) -> DataFrame:
+    """Shards whose hash the previous release has keep its url and tag; of its equal hashes the last name counts. Others are to upload, below ``base``/``tag``."""
     known = previous.groupBy("sha").agg(F.max_by(F.struct("url", "release_tag"), "name").alias("old"))
     rows = shards.join(known, "sha", "left")
-    fresh = F.concat(F.lit(f"https://example.invalid/{slug}/{tag}/"), F.sha1(F.col("name").cast("binary")))
+    fresh = F.concat(F.lit(f"{base}/{tag}/"), "name")
     return rows.select(*shards.columns, F.coalesce("old.url", fresh).alias("url"), F.coalesce("old.release_tag", F.lit(tag)).alias("release_tag"), F.col("old").isNotNull().alias("reused"))
 
 
@@ -25,12 +25,17 @@ def release_reuse_stats(reuse: DataFrame) -> DataFrame:
     return reuse.agg(F.count("*").alias("total"), F.count_if("reused").alias("reused"), F.count_if(~F.col("reused")).alias("to_upload"), F.round(F.count_if("reused") / F.count("*"), 6).alias("rate"))
 
 
-def manifest_doc(shards: DataFrame, version: str) -> DataFrame:
-    """The release's one document: sorted profiles and presets, shards by name; ``pbr`` is required by material shards alone. Metadata only, a row per shard."""
+def manifest_doc(shards: DataFrame, version: str, min_version: str, min_loader: int = 1, max_version: str | None = None) -> DataFrame:
+    """The release's one document: games, profiles and presets sorted, shards by name; ``pbr`` is required by material shards alone.
+
+    Shards have (name, game, profile, preset, grp, cluster, sha, size, url, release_tag, entry_count): metadata only, a row for each file of a release.
+    """
     needs = F.when(F.col("grp") == "material", F.array(F.lit("pbr"))).otherwise(F.array().cast("array<string>"))
-    shard = F.struct("name", F.col("sha").alias("sha256"), "size", needs.alias("requires_features"))
-    doc = shards.agg(F.array_sort(F.collect_set("profile")).alias("profiles"), F.array_sort(F.collect_set("preset")).alias("presets"), F.array_sort(F.collect_list(shard)).alias("shards"))
-    return doc.select(F.lit(1).alias("schema_version"), F.lit(version).alias("asset_version"), F.lit(None).cast("string").alias("max_recharged_version"), "profiles", "presets", "shards")
+    shard = F.struct("name", "game", "profile", "preset", F.col("grp").alias("group"), "cluster", F.col("sha").alias("sha256"), "size", "url", "release_tag", F.col("entry_count").cast("long").alias("entry_count"), needs.alias("requires_features"))
+    listed = [F.array_sort(F.collect_set(c)).alias(f"{c}s") for c in ("game", "profile", "preset")]
+    doc = shards.agg(*listed, F.array_sort(F.collect_list(shard)).alias("shards"))
+    compat = F.struct(F.lit(min_version).alias("min_recharged_version"), F.lit(max_version).cast("string").alias("max_recharged_version"), F.lit(min_loader).alias("min_loader_version"))
+    return doc.select(F.lit(1).alias("schema_version"), F.lit(version).alias("asset_version"), "games", compat.alias("engine_compat"), "profiles", "presets", "shards")
 
 
 def manifest_json(doc: DataFrame) -> DataFrame:

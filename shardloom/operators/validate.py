@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.keys import GROUPS
+
 
 def validate_records(rows: DataFrame, key: str, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
     """id, rule, value: one row per violated rule; a rule is (condition that holds for sound rows, value to show). A null condition is a violation."""
@@ -13,6 +15,79 @@ def validate_records(rows: DataFrame, key: str, rules: dict[str, tuple[Column, C
     return rows.select(F.col(key).alias("id"), F.explode(bad).alias("v")).select("id", "v.*")
 
 
+Rules = dict[str, tuple[Column, Column]]
+#: Fixed values of the schemas.
+GAMES = ("jak1", "jak2", "jak3")
+PROFILES = ("android-astc", "android-etc2", "pc-bc", "pc-bc-legacy", "rgba8-fallback")
+PRESETS = ("bonkers", "default", "low")
+WRAP = ("clamp", "repeat", "repeat_x", "repeat_y")
+ALPHA = ("binary", "none", "premultiplied", "progressive")
+COLORSPACES = ("linear", "srgb-encoded")
+CHANNELS = ("r", "rg", "rgb", "rgba")
+SHA256 = "^[0-9a-f]{64}$"
+MATERIAL_ID = "^jak[123]/[a-z0-9-]+/[A-Za-z0-9_.-]+$"
+SHARD_NAME = r"^jak[123]-[a-z0-9-]+-shard-[a-z0-9-]+(-p[0-9]+)?-[0-9a-f]{12}\.rpack$"
+MATERIAL_KEYS = [
+    "alpha_mode", "derived", "esrgan_dims", "format_overrides", "game", "id", "levels", "maps", "master_dims", "mip_policy", "notes", "original", "recale", "required", "schema_version",
+    "variant_of", "wrap_mode",
+]
+
+
+def one_of(name: str, allowed: tuple[str, ...], optional: bool = False) -> Rules:
+    c = F.col(name)
+    return {name: (c.isin(*allowed) | (c.isNull() if optional else F.lit(False)), c)}
+
+
+def matches(name: str, pattern: str, optional: bool = False) -> Rules:
+    c = F.col(name)
+    return {name: (c.rlike(pattern) | (c.isNull() if optional else F.lit(False)), c)}
+
+
+def within(name: str, least: float, most: float | None = None, optional: bool = False) -> Rules:
+    c = F.col(name)
+    ok = (c >= least) & (c <= most if most is not None else F.lit(True))
+    return {name: (F.coalesce(ok, F.lit(optional)), c)}
+
+
+def present(*names: str) -> Rules:
+    return {n: (F.col(n).isNotNull(), F.col(n)) for n in names}
+
+
+def sized(name: str) -> Rules:
+    """Two dimensions of at least 1, or none."""
+    c = F.col(name)
+    return {name: (c.isNull() | ((F.size(c) == 2) & F.forall(c, lambda x: F.coalesce(x >= 1, F.lit(False)))), F.concat_ws(",", c.cast("array<string>")))}
+
+
+def of_maps(field: str, sound, optional: bool = True) -> Rules:
+    """A rule for one field of each of a material's maps."""
+    values = F.transform(F.map_values("maps"), lambda m: m[field])
+    return {field: (F.coalesce(F.forall(values, lambda x: F.coalesce(sound(x), F.lit(optional))), F.lit(True)), F.concat_ws(",", values))}
+
+
+def material_rules(text: str = "value") -> Rules:
+    """Rules of a material's record, whose JSON is in column ``text`` beside its typed fields."""
+    rules = {"schema_version": (F.col("schema_version") == 1, F.col("schema_version"))} | matches("id", MATERIAL_ID) | one_of("game", GAMES) | one_of("wrap_mode", WRAP, True) | one_of("alpha_mode", ALPHA, True) | sized("master_dims") | sized("esrgan_dims")
+    kinds, extra = F.map_keys("maps"), unknown_keys(F.col(text), MATERIAL_KEYS)
+    rules["maps"] = ((F.size("maps") >= 1) & F.forall(kinds, lambda k: k.isin(*GROUPS)), F.concat_ws(",", kinds))
+    rules |= of_maps("colorspace", lambda x: x.isin(*COLORSPACES), False) | of_maps("channels", lambda x: x.isin(*CHANNELS)) | of_maps("source_sha256", lambda x: x.rlike(SHA256))
+    return rules | {"unknown": (F.size(extra) == 0, F.concat_ws(",", extra))}
+
+
+def shard_rules() -> Rules:
+    """Rules of a manifest's shard."""
+    rules = matches("name", SHARD_NAME) | one_of("game", GAMES) | one_of("profile", PROFILES) | one_of("preset", PRESETS) | one_of("group", ("albedo", "material")) | present("cluster", "url")
+    return rules | matches("sha256", SHA256) | within("size", 1) | within("entry_count", 1)
+
+
+def entry_rules() -> Rules:
+    """Rules of a pack's index entry, its statistics as columns."""
+    rules = present("id", "key", "format") | one_of("map", tuple(GROUPS)) | within("width", 1) | within("height", 1) | within("mip_levels", 1) | within("size", 1) | matches("sha256", SHA256)
+    rules |= {"offset": ((F.col("offset") >= 16) & (F.col("offset") % 16 == 0), F.col("offset"))}
+    rules |= one_of("colorspace", COLORSPACES) | one_of("alpha_mode", ALPHA, True) | one_of("wrap_mode", WRAP, True) | one_of("channels", CHANNELS, True)
+    return rules | within("height_mean", 0, 1, True) | within("height_norm", 0.5, 16, True) | within("height_lambda_tiles", 1 / 1024, 1, True)
+
+
 def unknown_keys(text: Column, known: list[str]) -> Column:
     """Keys of a JSON object that the schema doesn't list."""
     return F.array_except(F.json_object_keys(text), F.array(*map(F.lit, known)))
