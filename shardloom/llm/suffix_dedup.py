@@ -309,8 +309,15 @@ class SuffixIndex:
                 old, _ = self.levels.pop(level)
                 discard(self.spark, f"{old}/level={level}")
             self.levels[into] = (path, into)
+        del rows, done
         release(self.spark)
 
+    def close(self) -> None:
+        """Delete the levels; what has been found stays."""
+        for level, (path, _) in self.levels.items():
+            discard(self.spark, f"{path}/level={level}")
+        self.levels = {}
+
     def found(self, kind: int) -> DataFrame:
         """Rows (doc, data) of a kind, over all batches."""
         out = self.spark.createDataFrame([], "doc long, data binary")
@@ -406,7 +413,9 @@ def repeated_spans(docs: DataFrame, length: int = 100, batches: int = 4, k: int
         if i < len(splits):
             batch = batch.filter(F.col("doc") < splits[i])
         index.add(batch, keep=i < len(splits))
+    index.close()
     edges = materialize(compare_edges(docs, index.found(CANDIDATE), length, bits).select("doc", "data"), "suffix-edges", "none")
+    release(spark)
     return index.found(REMOVED).unionByName(edges)
 
 
