@@ -52,7 +52,7 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def small_batches(spark: SparkSession, rows: int = 512, size: int = 2_000_000) -> None:
+def small_batches(spark: SparkSession, rows: int = 512, size: int = 1_000_000) -> None:
     """Bound the rows and bytes that one Arrow batch hands to a Python worker.
 
     The bound is the session's and stays; every operator sets the same one, so that none alters the plans of another.
