@@ -389,8 +389,8 @@ def _entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(F.broadcast(least), "lang").select(F.concat("mat", F.lit(".png")).alias("placement"), "canonical_id", (F.coalesce("toxic", F.lit(0)) == 1).alias("recale"))
 
 
-def _materials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.dedup_materials(_entries(spark, sf_dir), dedup.set_hash(s.asset_maps(spark, sf_dir)))
+def _placed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return _entries(spark, sf_dir), dedup.set_hash(s.asset_maps(spark, sf_dir))
 
 
 @query(_HASHES, "asset_maps")
@@ -406,22 +406,22 @@ def d2_incomplete_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"select material, canonical_id, is_variant, recale, set_sha256, len(placements)::int as n, array_to_string(placements, ',') as placements from ({_DEDUP})", "asset_maps")
 def d3_dedup_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _materials(spark, sf_dir).select("material", "canonical_id", "is_variant", "recale", "set_sha256", F.size("placements").alias("n"), F.concat_ws(",", "placements").alias("placements"))
+    return dedup.dedup_materials(*_placed(spark, sf_dir)).select("material", "canonical_id", "is_variant", "recale", "set_sha256", F.size("placements").alias("n"), F.concat_ws(",", "placements").alias("placements"))
 
 
 @query(f"select unnest(placements) as placement, material from ({_DEDUP})", "asset_maps")
 def d4_placement_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.placement_map(_materials(spark, sf_dir))
+    return dedup.placement_map(*_placed(spark, sf_dir))
 
 
 @query(f"select material, array_to_string(list_sort(list_distinct([split_part(p, '/', 1) for p in placements])), ',') as levels, case when is_variant then canonical_id end as variant_of, recale and is_variant as recale from ({_DEDUP})", "asset_maps")
 def d5_material_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.material_levels(_materials(spark, sf_dir)).withColumn("levels", F.concat_ws(",", "levels"))
+    return dedup.material_levels(dedup.distinct_materials(*_placed(spark, sf_dir))).withColumn("levels", F.concat_ws(",", "levels"))
 
 
 @query(f"select sum(len(placements))::bigint as placements, count(*) as materials, count(*) filter (where not is_variant) as canonical, count(*) filter (where is_variant) as variants, count(distinct canonical_id) as canonical_ids from ({_DEDUP})", "asset_maps")
 def d6_catalog_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.catalog_summary(_materials(spark, sf_dir))
+    return dedup.catalog_summary(dedup.distinct_materials(*_placed(spark, sf_dir)))
 
 
 @query("select sha, min(mat) as mat, arg_min(doc_id, mat) as doc_id from assets group by sha", "assets")

@@ -5,13 +5,11 @@ A query reads the given tables, derives what it needs here and runs one operator
 
 from __future__ import annotations
 
-import re
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch  # noqa: F401
+
 CLUSTERS = [(f"src{i}", f"c{i // 4 + 1}") for i in range(16)]
 _VALUES = ", ".join(f"('{a}', '{b}')" for a, b in CLUSTERS)
 
@@ -41,16 +39,6 @@ def with_views(sql: str, *names: str) -> str:
     return "with " + ", ".join(f"{n} as ({SQL[n]})" for n in order if n in wanted) + " " + sql
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``; where that is unset and all tasks run in this process (tests), below a local one."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-")
-    return f"{root.rstrip('/')}/shardloom/{name}-{uuid.uuid4().hex}"
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

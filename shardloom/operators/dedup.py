@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("albedo", "normal", "roughness", "height")
@@ -20,23 +20,39 @@ def incomplete_sets(entries: DataFrame, blobs: DataFrame) -> DataFrame:
     return wanted.join(blobs.select("placement", "map"), ["placement", "map"], "left_anti").select("placement", F.col("map").alias("missing"))
 
 
-def dedup_materials(entries: DataFrame, hashes: DataFrame) -> DataFrame:
-    """One row per distinct content of a canonical id; the group that holds the canonical placement keeps its id, others are named by their least placement."""
+GROUP = ["canonical_id", "set_sha256"]
+
+
+def distinct_materials(entries: DataFrame, hashes: DataFrame, *more: Column) -> DataFrame:
+    """One row per distinct content of a canonical id, with the count ``n`` of its placements and their first path parts, ``levels``.
+
+    The group that holds the canonical placement keeps its id, others are named by their least placement. All columns are
+    combined before the shuffle and none grows with a group: levels are folders. ``more`` are further aggregates.
+    """
     own = F.col("placement") == F.concat("canonical_id", F.lit(".png"))
-    groups = entries.join(hashes, "placement").groupBy("canonical_id", "set_sha256")
-    groups = groups.agg(F.min("placement").alias("representative"), F.bool_or(own).alias("is_canonical"), F.bool_or("recale").alias("recale"), F.array_sort(F.collect_list("placement")).alias("placements"))
+    groups = entries.join(hashes, "placement").groupBy(*GROUP)
+    levels = F.array_sort(F.collect_set(F.substring_index("placement", "/", 1)))
+    groups = groups.agg(F.min("placement").alias("representative"), F.bool_or(own).alias("is_canonical"), F.bool_or("recale").alias("recale"), F.count("placement").alias("n"), levels.alias("levels"), *more)
     name = F.when(F.col("is_canonical"), F.col("canonical_id")).otherwise(F.regexp_replace("representative", r"\.png$", ""))
-    return groups.select(name.alias("material"), "canonical_id", (~F.col("is_canonical")).alias("is_variant"), "recale", "set_sha256", "representative", "placements")
+    return groups.withColumns({"material": name, "is_variant": ~F.col("is_canonical")}).drop("is_canonical")
 
 
-def placement_map(materials: DataFrame) -> DataFrame:
-    return materials.select(F.explode("placements").alias("placement"), "material")
+def placement_map(entries: DataFrame, hashes: DataFrame) -> DataFrame:
+    """placement, material: a row each, also of a group that holds a third of all placements."""
+    rows, names = entries.join(hashes, "placement").select("placement", *GROUP).alias("e"), distinct_materials(entries, hashes).alias("m")
+    same = [F.col(f"e.{c}").eqNullSafe(F.col(f"m.{c}")) for c in GROUP]
+    return rows.join(names, same[0] & same[1]).select("e.placement", "m.material")
+
+
+def dedup_materials(entries: DataFrame, hashes: DataFrame) -> DataFrame:
+    """``distinct_materials`` as documents: each with the sorted array of its placements, which holds a group in one row."""
+    rows = distinct_materials(entries, hashes, F.array_sort(F.collect_list("placement")).alias("placements"))
+    return rows.select("material", "canonical_id", "is_variant", "recale", "set_sha256", "representative", "placements")
 
 
 def material_levels(materials: DataFrame) -> DataFrame:
     """Sorted distinct first path parts of a material's placements, and what it is a variant of."""
-    levels = F.array_sort(F.array_distinct(F.transform("placements", lambda p: F.substring_index(p, "/", 1))))
-    return materials.select("material", levels.alias("levels"), F.when(F.col("is_variant"), F.col("canonical_id")).alias("variant_of"), (F.col("recale") & F.col("is_variant")).alias("recale"))
+    return materials.select("material", "levels", F.when(F.col("is_variant"), F.col("canonical_id")).alias("variant_of"), (F.col("recale") & F.col("is_variant")).alias("recale"))
 
 
 def representative_member(rows: DataFrame, group: list[str], key: str, values: list[str]) -> DataFrame:
@@ -58,7 +74,7 @@ def record_summary(records: DataFrame, outputs: DataFrame) -> DataFrame:
 
 def catalog_summary(materials: DataFrame) -> DataFrame:
     """Placements, materials, canonical ones and variants."""
-    return materials.agg(F.sum(F.size("placements")).alias("placements"), F.count("*").alias("materials"), F.count_if(~F.col("is_variant")).alias("canonical"), F.count_if("is_variant").alias("variants"), F.count_distinct("canonical_id").alias("canonical_ids"))
+    return materials.agg(F.sum("n").alias("placements"), F.count("*").alias("materials"), F.count_if(~F.col("is_variant")).alias("canonical"), F.count_if("is_variant").alias("variants"), F.count_distinct("canonical_id").alias("canonical_ids"))
 
 
 #: The wrap mode that each accepted verdict of a tiling check stands for.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry, keys
@@ -27,10 +27,43 @@ def family_rollup(entries: DataFrame, family: list[str] = FAMILY) -> DataFrame:
     return entries.groupBy(*family).agg(F.count("*").alias("entries"), F.sum("size").alias("bytes"))
 
 
-def pack_layout(entries: DataFrame, family: list[str], order: list[str]) -> DataFrame:
-    """Aligned offset of each payload: 16 bytes of header and the aligned sizes before it."""
-    before = Window.partitionBy(*family).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return entries.withColumn("offset", F.lit(16) + F.coalesce(F.sum(geometry.align16(F.col("size"))).over(before), F.lit(0)))
+def with_range(rows: DataFrame, keys: list[str], most: int = 256) -> DataFrame:
+    """``rows`` with ``_range``: in which of some ranges of its keys, as many as shuffle partitions but at most ``most``, each row lies.
+
+    The ranges' bounds are taken from a sample of 20 keys a range, those of the least hashes, before the shuffle; so a task that runs again finds the same.
+    """
+    n = min(most, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    keyed = rows.select(F.struct(*keys).alias("k"))
+    sample = keyed.orderBy(F.xxhash64("k"), "k").limit(20 * n).agg(F.array_sort(F.collect_list("k")).alias("s")).first()["s"]
+    if not sample:
+        return rows.withColumn("_range", F.lit(0))
+    fields = keyed.schema["k"].dataType.fields
+    bounds = [F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(sample[i * len(sample) // n], fields, strict=True)]) for i in range(n)]
+    step, key = max(1, int(n**0.5)), F.struct(*keys)
+    passed = F.size(F.filter(F.array(*bounds[step - 1 :: step]), lambda x: x <= key)) * step
+    rest = F.size(F.filter(F.slice(F.array(*bounds), passed + 1, step), lambda x: x <= key))
+    return rows.withColumn("_range", passed + rest)
+
+
+def sums_before(rows: DataFrame, family: list[str], order: list[str], weights: dict[str, Column]) -> DataFrame:
+    """``rows`` with, by name, the sum of each weight over the rows before it in its family; 0 before the first.
+
+    A family is summed in ranges of its order, so that no task holds a hot one: each range begins with a row that has the sums of the ranges before.
+    """
+    rows = with_range(rows.withColumns(weights), [*family, *order]).withColumn("_head", F.lit(0))
+    place, least = [*family, "_range"], Window.unboundedPreceding
+    earlier = Window.partitionBy(*family).orderBy("_range").rowsBetween(least, -1)  # at most a row for each range and family
+    ranges = rows.groupBy(*place).agg(*[F.sum(w).alias(w) for w in weights])
+    heads = ranges.select(*place, F.lit(-1).alias("_head"), *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(w) for w in weights])
+    within = Window.partitionBy(*place).orderBy("_head", *order).rowsBetween(least, -1)
+    every = rows.unionByName(heads, allowMissingColumns=True)
+    return every.select(*[c for c in rows.columns if c not in weights], *[F.sum(w).over(within).alias(w) for w in weights]).filter("_head = 0").drop("_head", "_range")
+
+
+def pack_layout(entries: DataFrame, family: list[str], order: list[str], **weights: Column) -> DataFrame:
+    """Aligned offset of each payload: 16 bytes of header and the aligned sizes before it; and the sums of other weights before it."""
+    laid = sums_before(entries, family, order, {"offset": geometry.align16(F.col("size")), **weights})
+    return laid.withColumn("offset", F.lit(16) + F.col("offset"))
 
 
 def pack_index(layout: DataFrame, family: list[str]) -> DataFrame:

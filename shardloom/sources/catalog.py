@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,8 +66,23 @@ def scan_lfs_pointers(spark: SparkSession, root: str) -> DataFrame:
 
 
 def lock_digest(pointers: DataFrame) -> DataFrame:
-    """One hash over all oids in order: the key of a build cache. Its one group holds 64 bytes a file."""
-    return pointers.agg(F.sha2(F.array_join(F.array_sort(F.collect_list("oid")), "\n").cast("binary"), 256).alias("digest"), F.count("*").alias("n"))
+    """One hash over all oids in order, the key of a build cache, and the number of pointers; null oids are counted but not hashed.
+
+    A hash of a sequence is one task's work; the oids, 64 bytes a file, reach it as a sorted stream, and it holds one batch of them.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, n, joined = hashlib.sha256(), 0, b""
+        for batch in batches:
+            n += pc.sum(batch.column(1)).as_py() or 0
+            for oid in batch.column(0).drop_null().to_pylist():
+                state.update(joined + oid.encode())
+                joined = b"\n"
+        yield pa.RecordBatch.from_arrays([pa.array([state.hexdigest()]), pa.array([n], pa.int64())], names=["digest", "n"])
+
+    nothing = pointers.sparkSession.range(1).select(F.lit(None).cast("string").alias("oid"), F.lit(0).alias("one"))  # so that an empty table has its digest
+    rows = pointers.select("oid", F.lit(1).alias("one")).unionByName(nothing)
+    return rows.repartition(1).sortWithinPartitions("oid").mapInArrow(digest, "digest string, n long")
 
 
 def upsert_metadata(derived: DataFrame, existing: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry
 from ..functions.keys import GROUPS
 from ..operators.shards import pack_layout
+from .scratch import scratch
 
 HEADER, TRAILER = 16, 24
 MAX_BYTES = 16 << 20
@@ -48,12 +49,15 @@ def pack_bytes(family: dict[str, str], entries: list[tuple[str, str, bytes]], re
 def pack_parts(entries: DataFrame, family: list[str], max_bytes: int) -> DataFrame:
     """family columns, cut, first_key, next_key, base: the parts of each family; ``base`` is where a part begins in the layout of the whole family.
 
-    Only keys and sizes are sorted; there is one row for some ``max_bytes`` of input.
+    Only keys and sizes are sorted, from a table of them in the shared folder, so that payloads are read once for it; there is one row for some ``max_bytes`` of input.
     """
+    spark = entries.sparkSession
     sizes = entries.select(*family, "key", "map", F.octet_length("payload").cast("long").alias("size"), F.coalesce(F.octet_length("record"), F.lit(0)).alias("more"))
-    before = Window.partitionBy(*family).orderBy("key", "map").rowsBetween(Window.unboundedPreceding, -1)
+    path = scratch(spark, "pack-sizes")
+    sizes.write.parquet(path)
+    sizes = spark.read.schema(sizes.schema).parquet(path)
     weight = geometry.align16(F.col("size")) + 6 * F.octet_length("key") + F.col("more") + RECORD
-    laid = pack_layout(sizes, family, ["key", "map"]).withColumn("before", F.coalesce(F.sum(weight).over(before), F.lit(0)))
+    laid = pack_layout(sizes, family, ["key", "map"], before=weight)
     starts = laid.groupBy(*family, "key").agg(F.min("before").alias("before"), F.min("offset").alias("base"))
     starts = starts.groupBy(*family, F.floor(F.col("before") / max_bytes).alias("slot")).agg(F.min("key").alias("first_key"), F.min("base").alias("base"))
     turn = Window.partitionBy(*family).orderBy("slot")

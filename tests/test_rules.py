@@ -243,3 +243,31 @@ def test_layout_is_aligned(spark):
     got = shards.pack_layout(rows, ["fam"], ["key"])
     assert [r["offset"] for r in got.orderBy("key").collect()] == [16, 1616, 1632]
     assert tuple(shards.pack_index(got, ["fam"]).first()) == ("f", 1633, 3)
+
+
+def test_sums_before_match_a_plain_loop_in_a_hot_family(spark):
+    pick = random.Random(3)
+    rows = [(pick.choice(["hot", "hot", "hot", "a", None]), pick.choice([None, f"k{i:04}"]) if i % 50 == 0 else f"k{i:04}", pick.choice([None, 0, 7, i])) for i in range(600)]
+    frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, fam string, key string, size long")
+    got = {r["i"]: r["before"] for r in shards.sums_before(frame, ["fam"], ["key", "i"], {"before": F.col("size")}).collect()}
+    sums, want = {}, {}
+    for i, (fam, _, size) in sorted(enumerate(rows), key=lambda x: (x[1][1] or "", x[0])):
+        want[i] = sums.get(fam, 0)
+        sums[fam] = want[i] + (size or 0)
+    assert got == want
+    assert shards.with_range(frame, ["fam", "key"]).filter("fam = 'hot'").select("_range").distinct().count() > 1
+    assert shards.pack_layout(frame.limit(0), ["fam"], ["key"]).count() == 0
+
+
+def test_lock_digest_hashes_sorted_oids(spark):
+    rows = spark.createDataFrame([(x,) for x in ("b", None, "a", "b")], "oid string")
+    assert tuple(catalog.lock_digest(rows).first()) == (hashlib.sha256(b"a\nb\nb").hexdigest(), 4)
+    assert tuple(catalog.lock_digest(rows.limit(0)).first()) == (hashlib.sha256(b"").hexdigest(), 0)
+
+
+def test_rows_of_one_content_map_to_one_material(spark):
+    entries = spark.createDataFrame([(f"{'tu'[i % 2]}/{i:03}.png", "t/000", i == 5) for i in range(200)], "placement string, canonical_id string, recale boolean")
+    hashes = entries.select("placement", F.lit("h").alias("set_sha256"))
+    one = dedup.distinct_materials(entries, hashes).first()
+    assert (one["material"], one["n"], one["levels"], one["recale"], one["is_variant"]) == ("t/000", 200, ["t", "u"], True, False)
+    assert [tuple(r) for r in dedup.placement_map(entries, hashes).groupBy("material").count().collect()] == [("t/000", 200)]
