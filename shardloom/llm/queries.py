@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, licenses, packing, quality, reshard, simhash, suffix_dedup, toxicity, warc
+from . import covering_lsh, decontaminate, jaccard_join, licenses, packing, quality, reshard, simhash, suffix_dedup, toxicity, warc
 from ._store import materialize, scratch
 
 
@@ -69,5 +69,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op5_decontamination": op5_decontamination, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing}
+def op11_covering_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covering_lsh.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op5_decontamination": op5_decontamination, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing, "op11_covering_lsh": op11_covering_lsh}
 ORACLES: dict[str, str] = {}
