@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covering_lsh, decontaminate, jaccard_join, licenses, packing, quality, reshard, simhash, suffix_dedup, toxicity, warc
+from . import covering_lsh, decontaminate, jaccard_join, licenses, packing, periodic_runs, quality, reshard, simhash, suffix_dedup, toxicity, warc
 from ._store import materialize, scratch
 
 
@@ -73,5 +73,10 @@ def op11_covering_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covering_lsh.near_duplicates(table(spark, sf_dir, "documents"), width=4, radius=4)
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op5_decontamination": op5_decontamination, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing, "op11_covering_lsh": op11_covering_lsh}
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tenth of the texts are made periodic first."""
+    return periodic_runs.run_report(periodic_runs.find_runs(periodic_runs.plant_periods(table(spark, sf_dir, "documents"))))
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op5_decontamination": op5_decontamination, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing, "op11_covering_lsh": op11_covering_lsh, "op12_periodic_runs": op12_periodic_runs}
 ORACLES: dict[str, str] = {}
