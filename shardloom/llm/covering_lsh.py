@@ -81,7 +81,7 @@ def forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
             queue, rest = [rest[0]], rest[1:]
             continue
         at = queue.pop()
-        near = np.bitwise_count(rest ^ at) <= radius
+        near = np.bitwise_count((rest ^ at).view(U)) <= radius  # of signed numbers it would count the bits of the magnitude
         found = rest[near]
         out += [(int(at), int(x)) for x in found]
         queue += list(found)
