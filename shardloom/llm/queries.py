@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import covering_lsh, decontaminate, jaccard_join, licenses, packing, periodic_runs, quality, reshard, simhash, suffix_dedup, toxicity, warc
+from . import conversation_repair, covering_lsh, decontaminate, jaccard_join, licenses, packing, periodic_runs, quality, reshard, simhash, suffix_dedup, toxicity, warc
 from ._store import materialize, scratch
 
 
@@ -78,5 +78,9 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.find_runs(periodic_runs.plant_periods(table(spark, sf_dir, "documents"))))
 
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op5_decontamination": op5_decontamination, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing, "op11_covering_lsh": op11_covering_lsh, "op12_periodic_runs": op12_periodic_runs}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_suffix_dedup": op2_suffix_dedup, "op3_reshard": op3_reshard, "op4_simhash": op4_simhash, "op5_decontamination": op5_decontamination, "op6_warc": op6_warc, "op7_jaccard_join": op7_jaccard_join, "op8_licenses": op8_licenses, "op9_quality": op9_quality, "op10_packing": op10_packing, "op11_covering_lsh": op11_covering_lsh, "op12_periodic_runs": op12_periodic_runs, "op13_conversation_repair": op13_conversation_repair}
 ORACLES: dict[str, str] = {}
