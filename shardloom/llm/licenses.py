@@ -4,8 +4,9 @@ One pass over the texts, no shuffle; a worker holds one automaton and one batch.
 
 A text is lower-cased (A-Z) and cut into words of digits, letters and non-ASCII characters.
 Phrases match where their words stand consecutively, overlaps included. Where the automaton finds an identifier
-tag and a colon follows it, the rest of the line is parsed as an expression with ``with`` binding over ``and`` over ``or``.
-Identifiers that are known, and references of one's own, become labels. The time is linear in the text.
+tag and a colon follows it, an expression is parsed from there to the end of the line, with ``with`` binding over ``and`` over ``or``. Reading
+stops where an expression can't go on, and the next one is looked for behind it, so tags inside an expression start none; only what was parsed is stored.
+Identifiers that are known, and references of one's own, become labels. The time is linear in the text, and so is the output.
 
 Edge cases: a null text is an empty one; empty texts have no places, empty labels and score 0; a
 malformed expression adds no label and leaves ``expressions`` untouched; unknown identifiers stay in
@@ -64,36 +65,40 @@ KNOWN = frozenset(
 )
 
 _WORD = re.compile(r"[0-9A-Za-z\x80-\U0010ffff]+")
-_LINE = re.compile(r"[ \t]*:[ \t]*([^\n\r]*)")
-_TOKEN = re.compile(r"\s*(?:([()])|([A-Za-z0-9][A-Za-z0-9.+:-]*))")
+_COLON = re.compile(r"[ \t]*:[ \t]*")
+_TOKEN = re.compile(r"[^\S\n\r]*(?:([()])|([A-Za-z0-9][A-Za-z0-9.+:-]*))")
 _RANK = {"or": 1, "and": 2, "with": 3}
 _SEPARATORS = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def to_postfix(text: str) -> list[str] | None:
-    """A licence expression in postfix order, by shunting-yard; None if it is malformed.
+def read_expression(text: str, at: int = 0) -> tuple[list[str] | None, int]:
+    """(postfix order, end) of the licence expression that begins at ``at``, by shunting-yard; None if it is malformed.
 
-    Reading stops at the first character that can't be part of an expression (a comment's end, say).
+    Reading stops at the line's end and at the first token that can't be part of an expression (a comment's end, say, or another tag's first word).
     """
     out: list[str] = []
     stack: list[str] = []
-    at, operand = 0, True
+    deep, operand = 0, True
     while (m := _TOKEN.match(text, at)) is not None:
         bracket, word = m.groups()
         low = word.lower() if word else bracket
+        if low.rstrip(":") == TAG.replace(" ", "-"):
+            break
         if low == "(":
             if not operand:
                 break
             stack.append(low)
+            deep += 1
         elif low == ")":
-            if operand or "(" not in stack:
-                return None
+            if operand or not deep:
+                return None, m.end()
             while stack[-1] != "(":
                 out.append(stack.pop())
             stack.pop()
+            deep -= 1
         elif low in _RANK:
             if operand:
-                return None
+                return None, m.end()
             while stack and stack[-1] != "(" and _RANK[stack[-1]] >= _RANK[low]:
                 out.append(stack.pop())
             stack.append(low)
@@ -104,29 +109,36 @@ def to_postfix(text: str) -> list[str] | None:
             out.append(low)
             operand = False
         at = m.end()
-    if operand or "(" in stack:
-        return None
-    return out + stack[::-1]
+    if operand or deep:
+        return None, at
+    return out + stack[::-1], at
 
 
-def evaluate(text: str, allowed: frozenset[str] = PERMISSIVE) -> tuple[bool, list[str]] | None:
-    """(permitted, identifiers) of an expression: ``or`` needs one side, ``and`` both, ``x with y`` needs x."""
-    postfix = to_postfix(text)
-    if postfix is None:
-        return None
-    stack: list[tuple[bool, list[str]]] = []
+def judge(postfix: list[str], allowed: frozenset[str] = PERMISSIVE) -> tuple[bool, list[str]] | None:
+    """(permitted, identifiers) of an expression: ``or`` needs one side, ``and`` both, ``x with y`` needs x, and both of these are names."""
+    names: list[str] = []
+    stack: list[tuple[bool, bool]] = []  # permitted, is a single name
     for x in postfix:
         if x not in _RANK:
-            stack.append((x in allowed, [x]))
+            stack.append((x in allowed, True))
+            names.append(x)
             continue
-        (right, names_b), (left, names_a) = stack.pop(), stack.pop()
+        (right, name_b), (left, name_a) = stack.pop(), stack.pop()
         if x == "with":
-            if len(names_a) != 1 or len(names_b) != 1:
+            if not (name_a and name_b):
                 return None
-            stack.append((left, [f"{names_a[0]} with {names_b[0]}"]))
+            exception = names.pop()
+            names[-1] += f" with {exception}"
+            stack.append((left, False))
         else:
-            stack.append((left and right if x == "and" else left or right, names_a + names_b))
-    return stack[0]
+            stack.append((left and right if x == "and" else left or right, False))
+    return stack[0][0], names
+
+
+def evaluate(text: str, allowed: frozenset[str] = PERMISSIVE) -> tuple[bool, list[str]] | None:
+    """``judge`` of the expression with which a text begins; None if it is malformed."""
+    postfix, _ = read_expression(text)
+    return None if postfix is None else judge(postfix, allowed)
 
 
 def is_known(name: str) -> bool:
@@ -161,16 +173,17 @@ def scan_text(text: str, automaton: ahocorasick.Automaton, allowed: frozenset[st
             base.add(label)
         notices.append((start, n, label))
         labels.add(label)
-    expressions, permitted = [], []
+    expressions, permitted, done = [], [], 0
     if tags:
-        ends, wanted = [], set(tags)
-        for number, m in enumerate(_WORD.finditer(text), 1):
-            if number in wanted:
-                ends.append(m.end())
+        wanted = set(tags)
+        ends = [m.end() for number, m in enumerate(_WORD.finditer(text), 1) if number in wanted]
         for at in ends:
-            m = _LINE.match(text, at)
-            if m is not None and (found := evaluate(m[1], allowed)) is not None:
-                expressions.append(m[1].strip())
+            m = _COLON.match(text, at) if at >= done else None
+            if m is None:
+                continue
+            postfix, done = read_expression(text, m.end())
+            if postfix is not None and (found := judge(postfix, allowed)) is not None:
+                expressions.append(text[m.end() : done].strip())
                 permitted.append(found[0])
                 labels.update(x for x in found[1] if is_known(x))
     return {
