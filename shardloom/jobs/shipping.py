@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyarrow.fs import FileSystem
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry, keys
 from ..operators import build, release, shards, validate
-from ..sources import config, packs
+from ..sources import config, files, packs
 from . import standins as s
 from .catalog import FAMILY_SQL, MOD, Query, _families, values
 
@@ -92,18 +93,72 @@ def a10_scan_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offsets are those in the layout of the whole family: a pack's base and what lies before the entry in the pack."""
     path = _written(spark, sf_dir)
     bases = spark.read.parquet(path + "/_packs").select(F.col("name").alias("pack"), "base")
-    rows = packs.scan_packs(packs.read_pack_files(spark, path)).join(F.broadcast(bases), "pack")
+    rows = packs.scan_pack_files(spark, path).join(bases, "pack")
     return rows.select("game", "profile", "preset", "group", "cluster", *_FIELDS, "stats.normal_dc_x", "stats.height_mean", "sha256", "size", (F.col("base") + F.col("offset") - packs.HEADER).alias("offset"))
 
 
-@query(f"select game, profile, preset, grp, cluster, part, mat as key, map, 'altered' as reason from (select *, row_number() over (partition by {_FAMILY} order by mat, map) as rn from ({FAMILY_SQL}) where size > 0) where rn = 1", "assets", "clusters")
+@query(f"select case when payload is null or payload = '' then 'empty payload' else 'unknown map' end as reason, mat as key, kind as map from (select mat, case when doc_id % 7 = 0 then '' else payload end as payload, case when doc_id % 5 = 0 then 'depth' else map end as kind from assets) where payload is null or payload = '' or kind = 'depth'", "assets")
+def a9_refused_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some payloads are emptied and some maps given a name that no group has."""
+    doc = F.col("doc_id")
+    rows = s.assets(spark, sf_dir).select(F.col("mat").alias("key"), F.when(doc % 5 == 0, "depth").otherwise(F.col("map")).alias("map"), F.when(doc % 7 == 0, "").otherwise(F.col("payload")).alias("payload"))
+    return packs.refused_entries(rows)
+
+
+def _damaged(spark: SparkSession, path: str, held: DataFrame, kind) -> str:
+    """A folder with the packs of another; of those whose ``kind`` is altered or short the first payload's first byte is changed, or the last byte cut off; missing ones are left out."""
+    out = s.scratch(spark, "damaged-packs")
+    store, root = FileSystem.from_uri(out)
+    store.create_dir(root, recursive=True)
+
+    def copy(batches):
+        for batch in batches:
+            for name, fault in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with files.open_uri(f"{path}/{name}") as f:
+                    content = bytearray(f.read())
+                if fault == "altered":
+                    content[packs.HEADER] ^= 255
+                target, folder = FileSystem.from_uri(out)
+                with target.open_output_stream(f"{folder}/{name}") as f:
+                    f.write(bytes(content[:-1] if fault == "short" else content))
+            yield batch
+
+    # One job, whose result is not kept: the copies are.
+    held.select("name", F.coalesce(kind, F.lit("")).alias("kind")).filter("kind <> 'missing'").mapInArrow(copy, "name string, kind string").write.format("noop").mode("overwrite").save()
+    return out
+
+
+_FIRST = f"select game, profile, preset, grp, cluster, part, mat as key, map, row_number() over (partition by {_FAMILY} order by mat, map) as rn, count(*) over (partition by {_FAMILY}) as n from ({FAMILY_SQL}) where size > 0"
+
+
+@query(f"select game, profile, preset, grp, cluster, part, key, map, 'altered' as reason from ({_FIRST}) where rn = 1", "assets", "clusters")
 def a11_verify_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The byte after the header is the first payload's; it is altered in the first pack of every family."""
     path = _written(spark, sf_dir)
-    listed = spark.read.parquet(path + "/_packs").select("name", *PACKED, "cut")
-    altered = F.concat(F.substring("content", 1, 16), F.lit(b"\x00"), F.substring(F.col("content"), 18, 1 << 30))
-    held = packs.read_pack_files(spark, path).join(F.broadcast(listed), "name").select("name", F.when(F.col("cut") == 0, altered).otherwise(F.col("content")).alias("content"))
-    found = packs.verify_packs(held).join(F.broadcast(listed.withColumnRenamed("name", "pack")), "pack")
+    listed = spark.read.parquet(path + "/_packs")
+    found = packs.verify_pack_files(spark, _damaged(spark, path, listed, F.when(F.col("cut") == 0, "altered")))
+    found = found.join(listed.withColumnRenamed("name", "pack").select("pack", *PACKED), "pack")
+    return found.select("game", "profile", "preset", "grp", "cluster", F.col("part").cast("long").alias("part"), "key", "map", "reason")
+
+
+_FAULTS = ("missing", "unlisted", "altered", "short")
+
+
+@query(
+    f"""select game, profile, preset, grp, cluster, part, case when e.fault = 'altered entry' then key end as key, case when e.fault = 'altered entry' then map end as map, split_part(e.fault, ' ', 1) as reason
+ from ({_FIRST}), (values (0, 'missing'), (1, 'unlisted'), (2, 'altered'), (2, 'altered entry'), (3, 'short')) e(k, fault) where rn = 1 and n % 5 = e.k""",
+    "assets",
+    "clusters",
+)
+def a11_reconcile_packs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each family's first pack, by its family's entries, the file goes, its line in the manifest goes, or its bytes are changed or cut."""
+    path = _written(spark, sf_dir)
+    listed = spark.read.parquet(path + "/_packs").withColumn("n", F.sum("entry_count").over(Window.partitionBy(*PACKED)))
+    kind = F.when(F.col("cut") == 0, F.get(F.array(*map(F.lit, _FAULTS)), (F.col("n") % 5).cast("int")))
+    listed = listed.withColumn("kind", kind)
+    manifest = listed.filter(~F.col("kind").eqNullSafe("unlisted")).select("name", "sha256", "size")
+    found = packs.verify_pack_files(spark, _damaged(spark, path, listed, F.col("kind")), manifest)
+    found = found.join(listed.withColumnRenamed("name", "pack").select("pack", *PACKED), "pack")
     return found.select("game", "profile", "preset", "grp", "cluster", F.col("part").cast("long").alias("part"), "key", "map", "reason")
 
 
@@ -285,7 +340,7 @@ def b13_pack_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _written(spark, sf_dir)
     bases = spark.read.parquet(path + "/_packs").select(F.col("name").alias("pack"), "base")
     c = F.col
-    rows = packs.scan_packs(packs.read_pack_files(spark, path)).join(F.broadcast(bases), "pack").withColumn("offset", c("base") + c("offset") - packs.HEADER)
+    rows = packs.scan_pack_files(spark, path).join(bases, "pack").withColumn("offset", c("base") + c("offset") - packs.HEADER)
     rows = rows.select("*", *[c(f"stats.{f}").alias(f) for f in shards.STATS]).withColumns(
         {"offset": F.when(c("offset") % 3 == 0, c("offset") + 8).otherwise(c("offset")), "height_mean": F.when(c("height_mean") > 0.5, c("height_mean") * 2).otherwise(c("height_mean")), "width": F.when(c("width") == 128, 0).otherwise(c("width")), "wrap_mode": F.when(c("wrap_mode") == "clamp", "clamped").otherwise(c("wrap_mode"))}
     )

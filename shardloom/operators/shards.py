@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry, keys
+from ..sources.scratch import scratch
 
 FAMILY = ["game", "profile", "preset", "grp", "cluster", "part"]
 
@@ -27,42 +28,90 @@ def family_rollup(entries: DataFrame, family: list[str] = FAMILY) -> DataFrame:
     return entries.groupBy(*family).agg(F.count("*").alias("entries"), F.sum("size").alias("bytes"))
 
 
-def with_range(rows: DataFrame, keys: list[str], most: int = 256) -> DataFrame:
-    """``rows`` with ``_range``: in which of some ranges of its keys, as many as shuffle partitions but at most ``most``, each row lies.
+RANGE_ROWS = 1_000_000
+SAMPLES = 20  # keys of a sample for each range
 
-    The ranges' bounds are taken from a sample of 20 keys a range, those of the least hashes, before the shuffle; so a task that runs again finds the same.
+
+def bounds_of(rows: DataFrame, keys: list[str], ranges: int) -> list[Row]:
+    """At most ``ranges - 1`` ascending keys that cut the rows into ranges of about equal counts.
+
+    They are taken from the keys of the least hashes, ``SAMPLES`` for each range, before any shuffle; so a task that runs again finds the same.
     """
-    n = min(most, max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     keyed = rows.select(F.struct(*keys).alias("k"))
-    sample = keyed.orderBy(F.xxhash64("k"), "k").limit(20 * n).agg(F.array_sort(F.collect_list("k")).alias("s")).first()["s"]
-    if not sample:
-        return rows.withColumn("_range", F.lit(0))
-    fields = keyed.schema["k"].dataType.fields
-    bounds = [F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(sample[i * len(sample) // n], fields, strict=True)]) for i in range(n)]
-    step, key = max(1, int(n**0.5)), F.struct(*keys)
-    passed = F.size(F.filter(F.array(*bounds[step - 1 :: step]), lambda x: x <= key)) * step
-    rest = F.size(F.filter(F.slice(F.array(*bounds), passed + 1, step), lambda x: x <= key))
-    return rows.withColumn("_range", passed + rest)
-
-
-def sums_before(rows: DataFrame, family: list[str], order: list[str], weights: dict[str, Column]) -> DataFrame:
-    """``rows`` with, by name, the sum of each weight over the rows before it in its family; 0 before the first.
+    sample = keyed.orderBy(F.xxhash64("k"), "k").limit(SAMPLES * ranges).agg(F.array_sort(F.collect_list("k")).alias("s")).first()["s"] or []
+    return [sample[i * len(sample) // ranges] for i in range(1, ranges) if sample and i * len(sample) // ranges > 0]
 
-    A family is summed in ranges of its order, so that no task holds a hot one: each range begins with a row that has the sums of the ranges before.
-    """
-    rows = with_range(rows.withColumns(weights), [*family, *order]).withColumn("_head", F.lit(0))
-    place, least = [*family, "_range"], Window.unboundedPreceding
-    earlier = Window.partitionBy(*family).orderBy("_range").rowsBetween(least, -1)  # at most a row for each range and family
-    ranges = rows.groupBy(*place).agg(*[F.sum(w).alias(w) for w in weights])
-    heads = ranges.select(*place, F.lit(-1).alias("_head"), *[F.coalesce(F.sum(w).over(earlier), F.lit(0)).alias(w) for w in weights])
-    within = Window.partitionBy(*place).orderBy("_head", *order).rowsBetween(least, -1)
-    every = rows.unionByName(heads, allowMissingColumns=True)
-    return every.select(*[c for c in rows.columns if c not in weights], *[F.sum(w).over(within).alias(w) for w in weights]).filter("_head = 0").drop("_head", "_range")
+
+def range_of(keys: list[str], bounds: list[Row], typed: DataFrame) -> Column:
+    """How many bounds are at most the row's key, whose fields have the types that they have in ``typed``: a search in two steps of the root of their number."""
+    if not bounds:
+        return F.lit(0)
+    fields = typed.select(*keys).schema
+    every = [F.struct(*[F.lit(x).cast(f.dataType).alias(f.name) for x, f in zip(b, fields, strict=True)]) for b in bounds]
+    step, key = max(1, int(len(every) ** 0.5)), F.struct(*keys)
+    passed = F.size(F.filter(F.array(*every[step - 1 :: step]), lambda x: x <= key)) * step
+    return (passed + F.size(F.filter(F.slice(F.array(*every), passed + 1, step), lambda x: x <= key))).cast("int")
 
 
-def pack_layout(entries: DataFrame, family: list[str], order: list[str], **weights: Column) -> DataFrame:
+def family_ranges(rows: DataFrame, family: list[str], order: list[str], range_rows: int) -> DataFrame | None:
+    """family, bounds: ascending order keys that cut each family of more than ``range_rows`` rows into ranges of about as many; None if there is none.
+
+    A key in some 50,000 is sampled, of the large families alone, by its hash.
+    """
+    large = rows.groupBy(*family).agg(F.count("*").alias("_n")).filter(F.col("_n") > range_rows)
+    large = large.select(*[F.col(c).alias(f"_{c}") for c in family])
+    if large.isEmpty():
+        return None
+    same = F.lit(True)
+    for c in family:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    key = F.struct(*order)
+    sample = rows.filter(F.pmod(F.xxhash64(*family, *order), F.lit(max(1, range_rows // SAMPLES))) == 0).join(large, same, "left_semi")
+    keys = F.array_sort(F.collect_list(key))
+    sample = sample.groupBy(*family).agg(keys.alias("_k"))
+    path = scratch(rows.sparkSession, "range-bounds")
+    sample.select(*family, F.filter("_k", lambda x, i: i % SAMPLES == SAMPLES - 1).alias("_bounds")).write.parquet(path)
+    bounds = rows.sparkSession.read.parquet(path)
+    # A bound stands for range_rows rows; beyond so many, Spark chooses the join by the table's size.
+    return F.broadcast(bounds) if (bounds.agg(F.sum(F.size("_bounds"))).first()[0] or 0) <= 100_000 else bounds
+
+
+def sums_before(rows: DataFrame, family: list[str], order: list[str], weights: dict[str, Column], range_rows: int = RANGE_ROWS) -> DataFrame:
+    """``rows`` with, by name, the sum of each weight over the rows before it in its family; 0 before the first.
+
+    A family of more than ``range_rows`` rows is summed in ranges of its order, as many as it needs, so that no task holds it; each range begins with the sums of those before.
+    Families' sizes are counted from their columns alone first; rows are shuffled once.
+    """
+    rows = rows.withColumns(weights)
+    bounds = family_ranges(rows, family, order, range_rows)
+    least = Window.unboundedPreceding
+
+    def before(window, c: str) -> Column:
+        return F.coalesce(F.sum(c).over(window.rowsBetween(least, -1)), F.lit(0))
+
+    kept = [c for c in rows.columns if c not in weights]
+    if bounds is None:
+        within = Window.partitionBy(*family).orderBy(*order)
+        return rows.select(*kept, *[before(within, w).alias(w) for w in weights])
+    bounds = bounds.select(*[F.col(c).alias(f"_{c}") for c in family], "_bounds")
+    same = F.lit(True)
+    for c in family:
+        same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
+    key = F.struct(*order)
+    passed = F.size(F.filter("_bounds", lambda x: x <= key))
+    rows = rows.join(bounds, same, "left").withColumn("_range", F.coalesce(F.when(F.col("_bounds").isNotNull(), passed), F.lit(0))).select(*kept, *weights, "_range")
+    place = [*family, "_range"]
+    sums = rows.groupBy(*place).agg(*[F.sum(w).alias(w) for w in weights])
+    earlier = Window.partitionBy(*family).orderBy("_range")  # a row for each range
+    heads = sums.select(*place, F.lit(0).alias("_mark"), *[before(earlier, w).alias(w) for w in weights])
+    within = Window.partitionBy(*place).orderBy("_mark", *order)
+    every = rows.withColumn("_mark", F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    return every.select(*kept, "_mark", *[before(within, w).alias(w) for w in weights]).filter("_mark = 1").drop("_mark")
+
+
+def pack_layout(entries: DataFrame, family: list[str], order: list[str], range_rows: int = RANGE_ROWS, **weights: Column) -> DataFrame:
     """Aligned offset of each payload: 16 bytes of header and the aligned sizes before it; and the sums of other weights before it."""
-    laid = sums_before(entries, family, order, {"offset": geometry.align16(F.col("size")), **weights})
+    laid = sums_before(entries, family, order, {"offset": geometry.align16(F.col("size")), **weights}, range_rows)
     return laid.withColumn("offset", F.lit(16) + F.col("offset"))
 
 

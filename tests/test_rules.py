@@ -249,13 +249,16 @@ def test_sums_before_match_a_plain_loop_in_a_hot_family(spark):
     pick = random.Random(3)
     rows = [(pick.choice(["hot", "hot", "hot", "a", None]), pick.choice([None, f"k{i:04}"]) if i % 50 == 0 else f"k{i:04}", pick.choice([None, 0, 7, i])) for i in range(600)]
     frame = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, fam string, key string, size long")
-    got = {r["i"]: r["before"] for r in shards.sums_before(frame, ["fam"], ["key", "i"], {"before": F.col("size")}).collect()}
     sums, want = {}, {}
     for i, (fam, _, size) in sorted(enumerate(rows), key=lambda x: (x[1][1] or "", x[0])):
         want[i] = sums.get(fam, 0)
         sums[fam] = want[i] + (size or 0)
-    assert got == want
-    assert shards.with_range(frame, ["fam", "key"]).filter("fam = 'hot'").select("_range").distinct().count() > 1
+    for range_rows in (1_000_000, 100, 25):  # no family in ranges, the hot one, all of them
+        summed = shards.sums_before(frame, ["fam"], ["key", "i"], {"before": F.col("size")}, range_rows)
+        assert summed.columns == frame.columns + ["before"]
+        assert {r["i"]: r["before"] for r in summed.collect()} == want
+    bounds = {r["fam"]: len(r["_bounds"]) for r in shards.family_ranges(frame, ["fam"], ["key", "i"], 25).collect()}
+    assert bounds["hot"] >= 6 and shards.family_ranges(frame, ["fam"], ["key", "i"], 1000) is None
     assert shards.pack_layout(frame.limit(0), ["fam"], ["key"]).count() == 0
 
 
