@@ -3,8 +3,8 @@
 A document is cut into segments; a passage is two neighbouring segments, so an item no longer than a segment lies whole in one. Items are taken
 in classes by their length (up to 64 words, 128, 256 and so on), each with segments of that length, so that an item's passages never depend on other items.
 An item is a contamination of a passage that holds at least ``least_question`` of the shingles of its question and ``least_answer`` of
-those of its answer. A posting's impact is its BM25 share of the item's score for its own text. Each item has the threshold that every such
-passage must reach: shares are spread over the shingles that hold a term, and the lightest shingles that could do are added up. So what is retrieved
+those of its answer. The index's terms are such shingles of three words too (all words of a shorter item), with their own frequencies. A posting's impact is its BM25 share of the item's score for its own text. Each item has the threshold that every such
+passage must reach: the shares of the lightest shingles that could do are added up. So what is retrieved
 leaves out no contamination, and whether an item is found depends on its text and the passage alone; BM25 over all items decides what has to be looked at.
 
 Passages are first dropped, many at a time, by two upper bounds: the sum of
@@ -38,6 +38,7 @@ from ._store import materialize, small_batches
 from ._text import LOWER, MARK, buffer, mix, prefix_hash, ragged, span_hash, words
 
 U, I = np.uint64, np.int64
+TERM = 3  # words of an index term
 
 
 def shingles(hashes: np.ndarray, width: int = 3) -> np.ndarray:
@@ -51,6 +52,11 @@ def shingles(hashes: np.ndarray, width: int = 3) -> np.ndarray:
     return out
 
 
+def terms_of(hashes: np.ndarray, width: int) -> np.ndarray:
+    """Index terms of a text: its words, or its shingles of more words."""
+    return hashes if width == 1 else shingles(hashes, width)
+
+
 def word_hashes(text: str) -> np.ndarray:
     data, offsets = buffer(pa.array([text]))
     start, end, _ = words(data, offsets, MARK)
@@ -67,7 +73,7 @@ def question_and_answer(text: str) -> tuple[str, str]:
 
 
 class Corpus:
-    """Statistics of all items: their number, mean length in words, and the number of items that hold a term."""
+    """Statistics of all items: their number, mean length in terms, and the number of items that hold a term."""
 
     def __init__(self, items: int, average: float, terms: np.ndarray, df: np.ndarray):
         self.items, self.average, self.terms, self.df = items, average, terms, df
@@ -102,12 +108,14 @@ def lightest(shares: np.ndarray, terms: list[np.ndarray], parts: list[tuple[list
 class Index:
     """Postings in term order, items in blocks, and the greatest impact of each term in each block.
 
-    With ``least``, the parts of a question's and an answer's shingles that a passage must hold, impacts are in units of each item's threshold.
+    Terms are ``term_words`` words in a row, words by default. With ``least``, the parts of a question's and an answer's shingles that a passage must
+    hold, impacts are in units of each item's threshold.
     """
 
-    def __init__(self, ids: list[int], texts: list[str], k1: float = 1.2, b: float = 0.75, block: int = 4, corpus: Corpus | None = None, least: tuple[float, float] | None = None, stride: int = 64):
-        self.ids, self.block, self.stride = ids, block, stride
-        bags = [word_hashes(t or "") for t in texts]
+    def __init__(self, ids: list[int], texts: list[str], k1: float = 1.2, b: float = 0.75, block: int = 4, corpus: Corpus | None = None, least: tuple[float, float] | None = None, stride: int = 64, term_words: int = 1):
+        self.ids, self.block, self.stride, self.term_words = ids, block, stride, term_words
+        hashed = [word_hashes(t or "") for t in texts]
+        bags = [terms_of(x, term_words) for x in hashed]
         length = np.array([len(x) for x in bags], float)
         corpus = corpus or Corpus.of(bags)
         average = max(corpus.average, 1.0)
@@ -122,10 +130,10 @@ class Index:
         score = idf[at] * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length[item] / average))
         own = np.bincount(item, weights=score, minlength=len(bags))
         share = score / own[item]
-        self.width = [max(1, min(3, len(x))) for x in bags]
+        self.width = [max(1, min(3, len(x))) for x in hashed]
         self.question, self.answer, self.floor = [], [], np.ones(len(bags))
         edge = np.searchsorted(item, np.arange(len(bags) + 1))
-        for i, (bag, text, width) in enumerate(zip(bags, texts, self.width, strict=True)):
+        for i, (bag, text, width) in enumerate(zip(hashed, texts, self.width, strict=True)):
             n = len(word_hashes(question_and_answer(text or "")[0]))
             every = shingles(bag, width)
             cut = max(0, n - width + 1)  # a shingle with a word of the answer is the answer's
@@ -133,7 +141,7 @@ class Index:
             self.question.append(q)
             self.answer.append(a)
             if least is not None and len(bag):
-                grams = [[bag[k : k + width] for k in q_at], [bag[cut + k : cut + k + width] for k in a_at]]
+                grams = [[terms_of(bag[k : k + width], term_words) for k in at] for at in (q_at, cut + a_at)]
                 self.floor[i] = lightest(share[edge[i] : edge[i + 1]], term[edge[i] : edge[i + 1]], list(zip(grams, least, strict=True)))
         order = np.lexsort((item, at))
         self.item, self.impact = item[order], (share / self.floor[item])[order]
@@ -250,10 +258,14 @@ def hits(h: np.ndarray, doc: np.ndarray, documents: int, index: Index, least: tu
     first_segment = np.cumsum(per) - per
     segment = first_segment[doc] + (np.arange(len(h)) - first_word[doc]) // stride
     total = int(per.sum())
-    at = np.minimum(np.searchsorted(index.terms, h), len(index.terms) - 1)
-    known = index.terms[at] == h
-    v = I(len(index.terms))
-    pair = np.unique(segment[known] * v + at[known])
+    v, pairs = I(len(index.terms)), [np.zeros(0, I)]
+    for width in sorted({min(index.term_words, w) for w in index.width}):  # a term belongs to the segment of its first word
+        term = (h if index.term_words == 1 else shingles(h, width)) if len(h) >= width else np.zeros(0, U)
+        inside = doc[: len(term)] == doc[width - 1 :]
+        at = np.minimum(np.searchsorted(index.terms, term), len(index.terms) - 1)
+        known = inside & (index.terms[at] == term)
+        pairs.append(segment[: len(term)][known] * v + at[known])
+    pair = np.unique(np.concatenate(pairs))
     seg, term = pair // v, pair % v
     bound = np.bincount(seg, weights=index.most[term], minlength=total)
     last = np.zeros(total, bool)
@@ -282,11 +294,11 @@ def hits(h: np.ndarray, doc: np.ndarray, documents: int, index: Index, least: tu
 def by_length(rows: list, least: tuple[float, float], least_stride: int, corpus: Corpus | None = None) -> list[Index]:
     """An index for each class of item lengths: up to ``least_stride`` words, twice that, four times and so on."""
     bags = [word_hashes(r["text"]) for r in rows]
-    corpus = corpus or Corpus.of(bags)
+    corpus = corpus or Corpus.of([terms_of(x, TERM) for x in bags])
     classes: dict[int, list] = {}
     for row, bag in zip(rows, bags, strict=True):
         classes.setdefault(max(0, (max(1, len(bag)) - 1) // least_stride).bit_length(), []).append(row)
-    return [Index([r["item_id"] for r in got], [r["text"] for r in got], corpus=corpus, least=least, stride=least_stride << k) for k, got in sorted(classes.items())]
+    return [Index([r["item_id"] for r in got], [r["text"] for r in got], corpus=corpus, least=least, stride=least_stride << k, term_words=TERM) for k, got in sorted(classes.items())]
 
 
 def build_indexes(benchmark: DataFrame, least: tuple[float, float], least_stride: int, index_bytes: int) -> Iterator[list[Index]]:
@@ -308,7 +320,7 @@ def build_indexes(benchmark: DataFrame, least: tuple[float, float], least_stride
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                bag = word_hashes(text)
+                bag = terms_of(word_hashes(text), TERM)
                 terms = np.unique(bag).view(I)
                 yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(bag)], pa.int64()), pa.array([terms], pa.list_(pa.int64()))], names=["part", "words", "terms"])
 
