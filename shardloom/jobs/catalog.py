@@ -141,6 +141,28 @@ def a12_upsert_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.upsert_metadata(docs.withColumns({"derived": F.lit(True), "n_chars": F.col("n_chars") + 1}), docs)
 
 
+_RECORD = "id string, derived boolean, n_chars long"
+
+
+@query(
+    """select mat as id, tpage, case when old and derived0 and even then true when old then derived0 else true end as derived, case when even and (not old or derived0) then n_chars + 1 else n_chars end as n_chars
+ from (select source || '-vis-' || lang || '/d' || doc_id as mat, source || '-vis-' || lang as tpage, doc_id % 2 = 0 as old, doc_id % 7 <> 0 as derived0, substr(source, 4)::int % 2 = 0 as even, n_chars from documents) where old or even"""
+)
+def a12_upsert_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the records are written, some hand-edited; then all records of half of the sources are derived again."""
+    path = s.scratch(spark, "metadata")
+    docs = s.documents(spark, sf_dir).select("doc_id", "source", F.col("mat").alias("id"), (F.col("doc_id") % 7 != 0).alias("derived"), F.col("n_chars").cast("long").alias("n_chars"))
+    sources.write_metadata(docs.filter("doc_id % 2 = 0").select("id", "derived", "n_chars"), path)
+    again = docs.filter("cast(substring(source, 4) as int) % 2 = 0").select("id", F.lit(True).alias("derived"), (F.col("n_chars") + 1).alias("n_chars"))
+    sources.upsert_written(again, path, _RECORD)
+    return sources.read_metadata(spark, path, _RECORD)
+
+
+@query("select sha256(string_agg(d, chr(10) order by part)) as digest, sum(n)::bigint as n from (select substr(sha, 1, 3) as part, sha256(string_agg(sha, chr(10) order by sha)) as d, count(*) as n from assets group by 1)", "assets")
+def a5_lock_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sources.lock_tree(s.assets(spark, sf_dir).select(F.col("sha").alias("oid")))
+
+
 # Projections and predicates.
 
 
@@ -419,6 +441,22 @@ def d5_material_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.material_levels(dedup.distinct_materials(*_placed(spark, sf_dir))).withColumn("levels", F.concat_ws(",", "levels"))
 
 
+@query(f"select material, page, len(placements[page * 3 + 1 : page * 3 + 3])::int as n, array_to_string(placements[page * 3 + 1 : page * 3 + 3], ',') as placements from (select material, placements, unnest(range((len(placements) + 2) // 3)) as page from ({_DEDUP}))", "asset_maps")
+def d3_placement_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = dedup.placement_pages(*_placed(spark, sf_dir), page=3)
+    return pages.select("material", "page", F.size("placements").alias("n"), F.concat_ws(",", "placements").alias("placements"))
+
+
+@query(f"select unnest(placements) as placement, material from ({_DEDUP})", "asset_maps")
+def d4_paged_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.paged_placement_map(dedup.placement_pages(*_placed(spark, sf_dir)))
+
+
+@query(f"select material, array_to_string(list_sort(list_distinct([split_part(p, '/', 1) for p in placements])), ',') as levels from ({_DEDUP})", "asset_maps")
+def d5_paged_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.paged_levels(dedup.placement_pages(*_placed(spark, sf_dir))).withColumn("levels", F.concat_ws(",", "levels"))
+
+
 @query(f"select sum(len(placements))::bigint as placements, count(*) as materials, count(*) filter (where not is_variant) as canonical, count(*) filter (where is_variant) as variants, count(distinct canonical_id) as canonical_ids from ({_DEDUP})", "asset_maps")
 def d6_catalog_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.catalog_summary(dedup.distinct_materials(*_placed(spark, sf_dir)))

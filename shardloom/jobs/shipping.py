@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -108,18 +107,17 @@ def a9_refused_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _damaged(spark: SparkSession, path: str, held: DataFrame, kind) -> str:
     """A folder with the packs of another; of those whose ``kind`` is altered or short the first payload's first byte is changed, or the last byte cut off; missing ones are left out."""
     out = s.scratch(spark, "damaged-packs")
-    store, root = FileSystem.from_uri(out)
-    store.create_dir(root, recursive=True)
+    files.Folder(out).make()
 
     def copy(batches):
+        old, new = files.Folder(path), files.Folder(out)
         for batch in batches:
             for name, fault in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with files.open_uri(f"{path}/{name}") as f:
+                with old.open(f"{old.base}/{name}") as f:
                     content = bytearray(f.read())
                 if fault == "altered":
                     content[packs.HEADER] ^= 255
-                target, folder = FileSystem.from_uri(out)
-                with target.open_output_stream(f"{folder}/{name}") as f:
+                with new.create(name) as f:
                     f.write(bytes(content[:-1] if fault == "short" else content))
             yield batch
 
@@ -270,6 +268,17 @@ def c11_rebuild_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release.rebuild_diff(s.shards_now(spark, sf_dir), s.shards_prev(spark, sf_dir), ["name"], "sha")
 
 
+@query("select coalesce(a.name, b.name) as name, case when a.name is null then 'missing_left' when b.name is null then 'missing_right' else 'different' end as kind from shards_now a full join shards_prev b using (name) where a.name is null or b.name is null or a.sha <> b.sha", "shards_now", "shards_prev")
+def c11_rebuild_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same difference from digests of parts, top down."""
+    return release.rebuild_diff_by_digests(s.shards_now(spark, sf_dir), s.shards_prev(spark, sf_dir), ["name"], "sha")
+
+
+@query("select profile, preset, count(*) filter (where grp <> 'material') as shards, count(*) filter (where grp = 'material') as skipped_shards, coalesce(sum(size) filter (where grp <> 'material'), 0)::bigint as bytes, coalesce(sum(size) filter (where grp = 'material'), 0)::bigint as skipped_bytes from shards_now group by 1, 2", "shards_now")
+def b14_resolve_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return release.resolve_totals(s.with_features(s.shards_now(spark, sf_dir)), False)
+
+
 @query("select profile, preset, sum(size)::bigint as bytes, sum(case when grp = 'albedo' then size else 0 end)::bigint as bytes_plain, count(*) as shards, grouping(profile, preset)::int as level from shards_now group by rollup (profile, preset)", "shards_now")
 def d8_download_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return release.download_sizes(s.with_features(s.shards_now(spark, sf_dir)))

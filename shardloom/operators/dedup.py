@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shards import RANGE_ROWS, sums_before
+
 KINDS = ("albedo", "normal", "roughness", "height")
 
 
@@ -50,6 +52,33 @@ def dedup_materials(entries: DataFrame, hashes: DataFrame) -> DataFrame:
     return rows.select("material", "canonical_id", "is_variant", "recale", "set_sha256", "representative", "placements")
 
 
+PAGE = 1000
+
+
+def placement_pages(entries: DataFrame, hashes: DataFrame, page: int = PAGE, range_rows: int = RANGE_ROWS) -> DataFrame:
+    """material, page, placements: the sorted placements of each material, at most ``page`` to a row, however many it has.
+
+    Places in a group come from counts over ranges of it, so that a group with a third of all placements is in no task's hands as a whole.
+    """
+    rows = entries.join(hashes, "placement").select("placement", *GROUP)
+    placed = sums_before(rows, GROUP, ["placement"], {"place": F.lit(1)}, range_rows)
+    pages = placed.groupBy(*GROUP, F.floor(F.col("place") / page).cast("long").alias("page")).agg(F.array_sort(F.collect_list("placement")).alias("placements")).alias("p")
+    names = distinct_materials(entries, hashes).alias("m")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"m.{c}")) for c in GROUP]
+    return pages.join(names, same[0] & same[1]).select("m.material", "p.page", "p.placements")
+
+
+def paged_placement_map(pages: DataFrame) -> DataFrame:
+    """placement, material of pages."""
+    return pages.select(F.explode("placements").alias("placement"), "material")
+
+
+def paged_levels(pages: DataFrame) -> DataFrame:
+    """material, levels: sorted distinct first path parts, combined page by page."""
+    tpages = F.array_distinct(F.transform("placements", lambda p: F.substring_index(p, "/", 1)))
+    return pages.select("material", F.explode(tpages).alias("level")).groupBy("material").agg(F.array_sort(F.collect_set("level")).alias("levels"))
+
+
 def material_levels(materials: DataFrame) -> DataFrame:
     """Sorted distinct first path parts of a material's placements, and what it is a variant of."""
     return materials.select("material", "levels", F.when(F.col("is_variant"), F.col("canonical_id")).alias("variant_of"), (F.col("recale") & F.col("is_variant")).alias("recale"))

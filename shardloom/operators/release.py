@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch
+
 
 def shard_reuse(shards: DataFrame, previous: DataFrame, tag: str, base: str) -> DataFrame:
     """Shards whose hash the previous release has keep its url and tag; of its equal hashes the last name counts. Others are to upload, below ``base``/``tag``."""
@@ -65,9 +67,11 @@ def resolve_shards(shards: DataFrame, profile: str, preset: str, pbr: bool) -> D
     return shards.filter((F.col("profile") == profile) & (F.col("preset") == preset) & ((F.size("features") == 0) | F.lit(pbr)))
 
 
-def skipped_for_features(shards: DataFrame, profile: str, preset: str) -> DataFrame:
-    mine = shards.filter((F.col("profile") == profile) & (F.col("preset") == preset))
-    return mine.agg(F.sum("size").alias("bytes"), F.count_if(F.size("features") > 0).alias("skipped"))
+def resolve_totals(shards: DataFrame, pbr: bool) -> DataFrame:
+    """By profile and preset, what a client would install: its shards and bytes, and what it skips for want of a feature."""
+    wanted = (F.size("features") == 0) | F.lit(pbr)
+    sums = [F.count_if(w).alias(f"{n}shards") for w, n in ((wanted, ""), (~wanted, "skipped_"))] + [F.coalesce(F.sum(F.when(w, F.col("size"))), F.lit(0)).alias(f"{n}bytes") for w, n in ((wanted, ""), (~wanted, "skipped_"))]
+    return shards.groupBy("profile", "preset").agg(*sums)
 
 
 def install_diff(wanted: DataFrame, installed: DataFrame) -> DataFrame:
@@ -88,3 +92,45 @@ def rebuild_diff(a: DataFrame, b: DataFrame, key: list[str], value: str) -> Data
     both = a.select(*key, F.col(value).alias("a"), F.lit(True).alias("in_a")).join(b.select(*key, F.col(value).alias("b"), F.lit(True).alias("in_b")), key, "full_outer")
     kind = F.when(F.col("in_a").isNull(), "missing_left").when(F.col("in_b").isNull(), "missing_right").when(~F.col("a").eqNullSafe(F.col("b")), "different")
     return both.withColumn("kind", kind).filter("kind is not null").select(*key, "kind")
+
+
+def unequal_parts(a: DataFrame, b: DataFrame, part: Column, mark: Column) -> DataFrame:
+    """part: those whose digests differ, a count and sums of two hashes of each row; combined before the shuffle, so a task sends a row for each part."""
+
+    def digests(rows: DataFrame, side: str) -> DataFrame:
+        sums = [F.count("*").alias(f"{side}0"), *[F.sum(F.xxhash64(F.lit(i), mark).cast("decimal(38,0)")).alias(f"{side}{i}") for i in (1, 2)]]
+        return rows.groupBy(part.alias("part")).agg(*sums)
+
+    both = digests(a, "a").join(digests(b, "b"), "part", "full_outer")
+    return both.filter(~(F.col("a0").eqNullSafe(F.col("b0")) & F.col("a1").eqNullSafe(F.col("b1")) & F.col("a2").eqNullSafe(F.col("b2")))).select("part")
+
+
+def changed_rows(a: DataFrame, b: DataFrame, key: list[str], value: str, fan: int = 4096) -> tuple[DataFrame, DataFrame]:
+    """Of two builds the rows that lie where they differ: parts by a hash of the key are compared by digests, then the parts of those that differ.
+
+    Rows of equal parts are dropped where they are read. Rows with a null in their key are kept. Two builds differ in
+    a part unseen with a chance of some 2 ** -128.
+    """
+    spark, mark = a.sparkSession, F.struct(*key, F.col(value))
+    whole = F.lit(False)
+    for c in key:
+        whole |= F.col(c).isNull()
+    coarse = F.pmod(F.xxhash64(F.lit(0), *key), F.lit(fan))
+    fine = F.pmod(F.xxhash64(F.lit(0), *key), F.lit(fan * fan))  # coarse parts are unions of fine ones
+    a, b = a.select(*key, value), b.select(*key, value)
+    top = sorted(r["part"] for r in unequal_parts(a, b, coarse, mark).collect())  # at most ``fan`` numbers
+    inside = coarse.isin(top) if top else F.lit(False)
+    a, b = a.filter(whole | inside), b.filter(whole | inside)
+    if top and len(top) <= fan // 2:  # else most rows have to be compared anyway
+        path = scratch(spark, "unequal-parts")
+        unequal_parts(a, b, fine, mark).write.parquet(path)
+        parts = spark.read.parquet(path)
+        if parts.count() <= 1_000_000:  # numbers of 8 bytes, few enough to go with the tasks; else the coarse parts do
+            parts = F.broadcast(parts)
+            a, b = ((x.filter(whole).unionByName(x.filter(~whole).join(parts, fine == F.col("part"), "left_semi"))) for x in (a, b))
+    return a, b
+
+
+def rebuild_diff_by_digests(a: DataFrame, b: DataFrame, key: list[str], value: str, fan: int = 4096) -> DataFrame:
+    """``rebuild_diff`` of builds whose keys are unique; only rows of parts that differ are shuffled."""
+    return rebuild_diff(*changed_rows(a, b, key, value, fan), key, value)

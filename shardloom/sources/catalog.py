@@ -10,6 +10,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .files import can_stream, hash_files, list_files
+from .scratch import scratch
+
 MATERIAL = (
     "schema_version int, id string, game string, original struct<tpage_name:string,texture_name:string,dims:array<int>,has_alpha:boolean>, esrgan_dims array<int>, "
     "master_dims array<int>, wrap_mode string, alpha_mode string, required boolean, levels array<string>, variant_of string, recale boolean, derived boolean, "
@@ -47,10 +50,18 @@ def source_entries(text: DataFrame) -> DataFrame:
 
 
 def scan_blobs(spark: SparkSession, root: str, glob: str = "*.png") -> DataFrame:
-    """tpage, name, map_kind, sha256, size of every blob; its bytes leave the plan once hashed."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+    """tpage, name, map_kind, sha256, size of every blob.
+
+    Spark lists the files; a task hashes each as a stream, whatever its size. Where the workers can't open the root's scheme,
+    Spark's reader of whole files is used, which takes files of up to 2 GB.
+    """
     at = r"(?:[^/=]+=)?([^/]+)/(?:[^/=]+=)?([^/]+)/([^/]+)\.[a-z]+$"  # folders may be named column=value
-    return files.select(*[F.regexp_extract("path", at, i).alias(n) for i, n in enumerate(("tpage", "name", "map_kind"), 1)], F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    if can_stream(root):
+        hashed = hash_files(list_files(spark, root, glob), root)
+    else:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
+        hashed = files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("size"))
+    return hashed.select(*[F.regexp_extract("path", at, i).alias(n) for i, n in enumerate(("tpage", "name", "map_kind"), 1)], "sha256", "size")
 
 
 def parse_pointer(text: Column) -> list[Column]:
@@ -85,6 +96,37 @@ def lock_digest(pointers: DataFrame) -> DataFrame:
     return rows.repartition(1).sortWithinPartitions("oid").mapInArrow(digest, "digest string, n long")
 
 
+def lock_tree(pointers: DataFrame, digits: int = 3) -> DataFrame:
+    """The key of a build cache as a hash of hashes, and the number of pointers: oids are hashed in order by their first ``digits``, and these digests in order.
+
+    Oids are even, so each of the 16 ** digits parts is a sorted stream of its share; no task sees all of them. Null oids are counted but not hashed.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, n, out = None, None, 0, []
+
+        def done() -> None:
+            if n:
+                out.append((now, None if state is None else state.hexdigest(), n))
+
+        for batch in batches:
+            for part, oid in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part != now:
+                    done()
+                    now, state, n = part, None, 0
+                n += 1
+                if oid is not None:
+                    state, joint = (hashlib.sha256(), b"") if state is None else (state, b"\n")
+                    state.update(joint + oid.encode())
+        done()
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate((pa.string(), pa.string(), pa.int64()))], names=["part", "digest", "n"])
+
+    parts = pointers.select(F.coalesce(F.substring("oid", 1, digits), F.lit("")).alias("part"), "oid").repartition("part").sortWithinPartitions("part", "oid")
+    known = F.filter(F.array_sort(F.collect_list(F.struct("part", "digest"))), lambda x: x["digest"].isNotNull())  # 16 ** digits digests
+    digests = F.array_join(F.transform(known, lambda x: x["digest"]), "\n")
+    return parts.mapInArrow(digest, "part string, digest string, n long").agg(F.sha2(digests, 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def upsert_metadata(derived: DataFrame, existing: DataFrame) -> DataFrame:
     """Derived records, but hand-edited ones (``derived`` false) as they are."""
     kept = existing.filter(~F.coalesce("derived", F.lit(True)))
@@ -92,4 +134,29 @@ def upsert_metadata(derived: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def write_metadata(records: DataFrame, path: str) -> None:
-    records.withColumn("tpage", F.substring_index("id", "/", 1)).write.partitionBy("tpage").json(path)
+    """Records as JSON, in a folder for each tpage, the first part of an id behind the game."""
+    with_tpage(records).write.partitionBy("tpage").json(path)
+
+
+def with_tpage(records: DataFrame) -> DataFrame:
+    return records.withColumn("tpage", F.substring_index("id", "/", 1))
+
+
+def read_metadata(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema + ", tpage string").json(path)
+
+
+def upsert_written(derived: DataFrame, path: str, schema: str) -> None:
+    """Put derived records into the folder of written ones: hand-edited records stay, others of the same id are replaced, new ones come in.
+
+    Only folders of tpages that the derived records have are read for it and overwritten; those of others aren't touched. The new rows are in
+    the shared scratch folder before the first old one goes.
+    """
+    spark = derived.sparkSession
+    new = with_tpage(derived)
+    existing = read_metadata(spark, path, schema).join(new.select("tpage").distinct(), "tpage", "left_semi")
+    same = existing.join(new.select("id"), "id", "left_anti").unionByName(existing.join(new.select("id"), "id", "left_semi").filter(~F.coalesce("derived", F.lit(True))))
+    rows = same.unionByName(new.join(existing.filter(~F.coalesce("derived", F.lit(True))).select("id"), "id", "left_anti"), allowMissingColumns=True)
+    held = scratch(spark, "upsert")
+    rows.write.parquet(held)
+    spark.read.parquet(held).repartition("tpage").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("tpage").json(path)

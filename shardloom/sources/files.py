@@ -1,4 +1,4 @@
-"""Files as streams: listed by Spark, opened by their URI in the tasks that read them, and never held whole.
+"""Files as streams: listed and opened in the tasks that read them, and never held whole.
 
 A URI's scheme must be one that the file system library of the workers opens (``file``, ``hdfs``, ``s3``, ``gs`` and the like).
 """
@@ -7,34 +7,65 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fnmatch import fnmatch
 
 import pyarrow as pa
-from pyarrow.fs import FileSystem
+from pyarrow.fs import FileInfo, FileSelector, FileSystem, FileType
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHUNK = 1 << 20
 
 
-def can_stream(uri: str) -> bool:
+def can_stream(root: str) -> bool:
     """Whether tasks can open files below this URI themselves."""
     try:
-        FileSystem.from_uri(uri)
-    except (pa.ArrowInvalid, pa.ArrowNotImplementedError):
+        FileSystem.from_uri(root)
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
         return False
     return True
 
 
+class Folder:
+    """What lies below a URI; paths are those of its store."""
+
+    def __init__(self, root: str):
+        self.store, self.base = FileSystem.from_uri(root)
+
+    def open(self, path: str):
+        """A file that can be read and sought in."""
+        return self.store.open_input_file(path)
+
+    def create(self, name: str):
+        """A new file of this name in the folder, to write to."""
+        return self.store.open_output_stream(f"{self.base}/{name}")
+
+    def make(self) -> Folder:
+        self.store.create_dir(self.base, recursive=True)
+        return self
+
+    def below(self, path: str | None = None, recursive: bool = True) -> list[FileInfo]:
+        """Files and, unless ``recursive``, folders; without those that writers hide by a dot or an underscore."""
+        found = self.store.get_file_info(FileSelector(path or self.base, recursive=recursive))
+        seen = [x for x in found if not any(part.startswith((".", "_")) for part in x.path[len(self.base) :].split("/"))]
+        return sorted((x for x in seen if x.type == FileType.File or not recursive), key=lambda x: x.path)
+
+
 def list_files(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """uri, size of every file below ``root``; the contents aren't read, and tasks get files of about equal sizes in all."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
-    return files.select(F.col("_metadata.file_path").alias("uri"), F.col("length").alias("size"))
+    """path, size of every file below ``root`` whose name fits, empty ones too: the driver lists the folder itself, tasks those in it. No file is opened."""
+    top = [(x.path, x.size, x.type == FileType.Directory) for x in Folder(root).below(recursive=False)]
 
+    def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder = Folder(root)
+        for batch in batches:
+            out = []
+            for path, size, is_folder in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(x.path, x.size) for x in folder.below(path)] if is_folder else [(path, size)]
+            out = [x for x in out if fnmatch(x[0].rsplit("/", 1)[1], glob)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int64())], names=["path", "size"])
 
-def open_uri(uri: str):
-    """A file that can be read and sought in."""
-    store, path = FileSystem.from_uri(uri)
-    return store.open_input_file(path)
+    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = spark.createDataFrame(top, "path string, size long, is_folder boolean").repartition(n)
+    return rows.mapInArrow(descend, "path string, size long").repartition(n)
 
 
 def chunks(file, size: int | None = None) -> Iterator[bytes]:
@@ -48,18 +79,19 @@ def chunks(file, size: int | None = None) -> Iterator[bytes]:
         yield piece
 
 
-def hash_files(files: DataFrame) -> DataFrame:
-    """``files`` (uri, size) with their ``sha256``: each file passes through its task once, a chunk at a time."""
+def hash_files(files: DataFrame, root: str) -> DataFrame:
+    """``files`` (path, size) below ``root`` with their ``sha256``: each passes through its task once, a chunk at a time."""
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder = Folder(root)
         for batch in batches:
             out = []
-            for uri in batch.column("uri").to_pylist():
+            for path in batch.column("path").to_pylist():
                 state = hashlib.sha256()
-                with open_uri(uri) as f:
+                with folder.open(path) as f:
                     for piece in chunks(f):
                         state.update(piece)
                 out.append(state.hexdigest())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, "sha256"])
 
-    return files.mapInArrow(digest, f"{', '.join(f'`{c}` {t}' for c, t in files.dtypes)}, sha256 string")
+    return files.mapInArrow(digest, "path string, size long, sha256 string")

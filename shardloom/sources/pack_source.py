@@ -11,10 +11,9 @@ import json
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
-from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition
 
-from .files import open_uri
+from .files import Folder
 from .packs import read_index
 
 STATS = ("height_lambda_tiles", "height_mean", "height_norm", "normal_dc_x", "normal_dc_y")
@@ -27,8 +26,8 @@ SCHEMA = ", ".join(f"`{f.name}` " + _NAMES.get(f.type, f"struct<{', '.join(f'{s}
 
 
 class Files(InputPartition):
-    def __init__(self, uris: list[str]):
-        self.uris = uris
+    def __init__(self, paths: list[str]):
+        self.paths = paths
 
 
 class PackReader(DataSourceReader):
@@ -47,18 +46,16 @@ class PackReader(DataSourceReader):
             self.wanted[column] = self.wanted.get(column, values) & values
 
     def partitions(self) -> Sequence[Files]:
-        store, root = FileSystem.from_uri(self.path)
-        scheme = self.path.split(":", 1)[0]
-        found = sorted((x for x in store.get_file_info(FileSelector(root, recursive=True)) if x.type == FileType.File and x.base_name.endswith(".rpack")), key=lambda x: x.path)
         names = self.wanted.get("pack")
-        uris = [f"{scheme}://{x.path}" for x in found if names is None or x.base_name in names]
-        return [Files(uris[i :: self.splits]) for i in range(min(self.splits, len(uris)))] or [Files([])]
+        paths = [x.path for x in Folder(self.path).below() if x.base_name.endswith(".rpack") and (names is None or x.base_name in names)]
+        return [Files(paths[i :: self.splits]) for i in range(min(self.splits, len(paths)))] or [Files([])]
 
     def read(self, partition: Files) -> Iterator[pa.RecordBatch]:
-        for uri in partition.uris:
-            with open_uri(uri) as f:
+        folder = Folder(self.path)
+        for path in partition.paths:
+            with folder.open(path) as f:
                 text, error = read_index(f)
-            rows = self._rows(uri.rsplit("/", 1)[1], text, error)
+            rows = self._rows(path.rsplit("/", 1)[1], text, error)
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=ARROW)
 

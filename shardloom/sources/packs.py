@@ -16,7 +16,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,7 +23,7 @@ from ..functions import geometry
 from ..functions.keys import GROUPS
 from ..operators.shards import bounds_of, pack_layout, range_of
 from .batches import arrow_batches
-from .files import chunks, list_files, open_uri
+from .files import Folder, chunks, list_files
 from .scratch import scratch
 
 HEADER, TRAILER = 16, 24
@@ -120,8 +119,7 @@ def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTE
         digest = hashlib.sha256(content).hexdigest()
         name = f"{stem_of(one, cut)}-{digest[:12]}.rpack"
         if folder:
-            store, root = FileSystem.from_uri(folder)
-            with store.open_output_stream(f"{root}/{name}") as f:
+            with Folder(folder).create(name) as f:
                 f.write(content)
         row = one | {"cut": cut, "base": base, "name": name, "entry_count": len(held), "sha256": digest, "size": len(content), "content": None if folder else content}
         return pa.RecordBatch.from_pylist([row], schema=pa.schema(fields))
@@ -146,8 +144,7 @@ def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTE
 
 def write_packs(entries: DataFrame, family: list[str], folder: str, max_bytes: int = MAX_BYTES) -> DataFrame:
     """Write a ``.rpack`` file for each pack into the folder of this URI; returns the list of packs, which is kept as a table below ``_packs`` in it."""
-    store, root = FileSystem.from_uri(folder)
-    store.create_dir(root, recursive=True)
+    Folder(folder).make()
     path = f"{folder}/_packs"
     with arrow_batches(entries.sparkSession, 1000, max_bytes):
         build_packs(entries, family, max_bytes, folder).drop("content").write.parquet(path)
@@ -253,12 +250,13 @@ def verify_pack_files(spark: SparkSession, path: str, manifest: DataFrame | None
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        folder = Folder(path)
         for batch in batches:
             out = []
-            for uri, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                with open_uri(uri) as f:
+            for file, size in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                with folder.open(file) as f:
                     digest, error, wrong = check_file(f)
-                name = uri.rsplit("/", 1)[1]
+                name = file.rsplit("/", 1)[1]
                 out += [(name, size, digest, None, None, error), *((name, None, None, *x) for x in wrong)]
             columns = zip(*out, strict=True) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i == 1 else pa.string()) for i, c in enumerate(columns)], names=[x.split()[0] for x in CHECKED.split(", ")])
