@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import encoders, rasters
+from ..operators import encoders, rasters, tiles
 from . import standins as s
 from .catalog import Query, values
 
@@ -200,6 +200,62 @@ def d22_build_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rasters.build_stats(level.join(images.select("image_id", "map", "c"), "image_id"))
 
 
+SIZE = 4  # pixels a side of the queries' tiles
+_B0 = "select image_id, y, x, ref / 255.0::double as v from raster8"
+_B = [_B0]
+for _level in (1, 2, 3):
+    _B.append(_BOX.format(l=_level, src=_B[-1]))
+_V0 = "select image_id, 0 as level, pixel // 8 as y, pixel % 8 as x, " + ", ".join(f"max(case when ch = {c} then ref end) / 255.0::double * 2 - 1 as n{c}" for c in range(3)) + " from raster_rgb group by image_id, pixel"
+_V = [_V0]
+for _level in (1, 2):
+    _V.append(_NEXT.format(l=_level, src=_V[-1]))
+
+
+def _tiles(images: DataFrame) -> DataFrame:
+    return tiles.to_tiles(images.withColumn("data", F.col("ref")), SIZE)
+
+
+@query("select image_id, level, y, x, round(v, 6) as v from (" + " union all ".join(f"select image_id, level, y, x, v from ({b})" for b in _B[1:]) + ")", "raster8")
+def d21_tile_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The data chain from tiles of bytes; tiles of each level are put back in their places."""
+    chain = tiles.tile_chain(_tiles(s.gray_images(spark, sf_dir)), "data", SIZE).filter("level > 0")
+    rows = tiles.tile_values(chain)
+    return rows.select("image_id", "level", (F.col("y") * SIZE + F.col("row")).alias("y"), (F.col("x") * SIZE + F.col("column")).alias("x"), F.round("v", 6).alias("v"))
+
+
+def _gray_bytes(level: int) -> str:
+    return f"select image_id, y, x, round_even(round(v * 255, 9), 0)::int as b from ({_B[level]})"
+
+
+def _rgb_bytes(level: int) -> str:
+    side = 8 >> level
+    return f"select image_id, y * {side} + x as pixel, ch, round_even(round((([n0, n1, n2])[ch + 1] + 1) / 2 * 255, 9), 0)::int as b from ({_V[level]}), (values (0), (1), (2)) k(ch)"
+
+
+_PRESET_LEVELS = {"bonkers": 0, "default": 1, "low": 2}
+
+
+@query(" union all ".join(f"select '{p}' as preset, * from ({stats_sql(_gray_bytes(k), _rgb_bytes(k), 3 - k)})" for p, k in _PRESET_LEVELS.items()), "raster8", "raster_rgb")
+def d22_preset_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics at each preset's level, from one chain of tiles for each image."""
+    images = _by_map(spark, sf_dir)
+    chain = tiles.tile_chain(_tiles(images.filter("map = 'normal'")), "normal", SIZE).unionByName(tiles.tile_chain(_tiles(images.filter("map <> 'normal'")), "data", SIZE))
+    chain = s.stored(chain, "chain")
+    out = None
+    for preset, level in _PRESET_LEVELS.items():
+        got = tiles.tile_stats(tiles.to_bytes(chain.filter(F.col("level") == level)), images, SIZE).withColumn("preset", F.lit(preset))
+        out = got if out is None else out.unionByName(got)
+    return out
+
+
+@query(_angles_sql("sqrt(least(greatest(1 - d0 * d0 - d1 * d1, 0), 1))"), "raster_rgb")
+def d17_tile_angles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = s.rgb_images(spark, sf_dir)
+    ref, dec = _tiles(images), tiles.to_tiles(images.withColumn("data", F.col("dec")), SIZE)
+    pairs = ref.join(dec.select("image_id", "y", "x", F.col("data").alias("dec")), ["image_id", "y", "x"])
+    return rounded(tiles.tile_angles(s.stored(pairs, "pairs")), "ang_mean_deg", "ang_p99_deg", "ang_max_deg", digits=4)
+
+
 _PARITY = f"""select image_id, t.field, round(case when relative then abs(x - y) / abs(y) else abs(x - y) end, 8) as delta, coalesce(case when relative then abs(x - y) / abs(y) else abs(x - y) end <= most, false) as ok
  from (select a.image_id, f.field, case f.field when 'normal_dc_x' then a.normal_dc_x when 'normal_dc_y' then a.normal_dc_y when 'height_mean' then a.height_mean when 'height_norm' then a.height_norm else a.height_lambda_tiles end as x,
   case f.field when 'normal_dc_x' then b.normal_dc_x when 'normal_dc_y' then b.normal_dc_y when 'height_mean' then b.height_mean when 'height_norm' then b.height_norm else b.height_lambda_tiles end as y

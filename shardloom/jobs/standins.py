@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.scratch import scratch  # noqa: F401
+from ..sources.scratch import scratch
 
 CLUSTERS = [(f"src{i}", f"c{i // 4 + 1}") for i in range(16)]
 _VALUES = ", ".join(f"('{a}', '{b}')" for a, b in CLUSTERS)
@@ -43,6 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder, as what an operator reads more than once would be."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return docs.withColumns({"tpage": F.concat("source", F.lit("-vis-"), "lang"), "name": F.concat(F.lit("d"), F.col("doc_id").cast("string"))}).withColumn("mat", F.concat_ws("/", "tpage", "name"))
