@@ -505,3 +505,63 @@ def d6_record_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def b13_material_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = material_documents(spark, sf_dir).select("value", F.from_json("value", sources.MATERIAL).alias("m")).select("value", "m.*")
     return validate.validate_records(rows, "id", validate.material_rules())
+
+
+@query(
+    f"""select id, unnest([x for x in [case when doc_id % 16 = 0 then {{'rule': 'location', 'value': id}} end, case when has_map and colorspace = 'srgb' then {{'rule': 'maps.albedo.colorspace', 'value': colorspace}} end,
+ case when has_map and channels = 'x' then {{'rule': 'maps.albedo.channels', 'value': channels}} end, case when has_map and source_sha256 = 'zz' then {{'rule': 'maps.albedo.source_sha256', 'value': 'zz'}} end] if x is not null], recursive := true) from ({MATERIALS_SQL})"""
+)
+def b13_material_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of each map by its path, and of the place of a record; some files lie elsewhere."""
+    docs = material_documents(spark, sf_dir)
+    rows = docs.select("doc_id", "value", F.from_json("value", sources.MATERIAL).alias("r")).select("doc_id", "value", "r.*")
+    name = F.concat(F.regexp_extract("id", "/([^/]+/[^/]+)$", 1), F.when(F.col("doc_id") % 16 == 0, "x").otherwise(""))
+    rows = rows.withColumn("file", F.concat(F.lit("file:///metadata/jak1/materials/"), name, F.lit(".json")))
+    return validate.validate_records(rows, "id", validate.location_rule("jak1"), (validate.each_entry(F.col("maps"), "maps", validate.map_rules),))
+
+
+@query(
+    """select doc_id as id, unnest([x for x in [case when doc_id % 10 = 0 then {'rule': 'schema_version', 'value': '2'} end, case when doc_id % 6 = 0 then {'rule': 'asset_version', 'value': 'v1'} end, case when doc_id % 8 = 0 then {'rule': 'manifest_url', 'value': null} end,
+ case when doc_id % 9 = 0 then {'rule': 'manifest_sha256', 'value': 'zz'} end, case when doc_id % 11 = 0 then {'rule': 'required', 'value': null} end, case when doc_id % 13 = 0 then {'rule': 'unknown', 'value': 'extra'} end] if x is not null], recursive := true) from documents"""
+)
+def b13_lock_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lock file for each document; some break the schema."""
+    doc = F.col("doc_id")
+    record = F.struct(
+        F.when(doc % 10 == 0, 2).otherwise(1).alias("schema_version"), F.when(doc % 6 == 0, "v1").otherwise("assets-v1.0.2").alias("asset_version"), F.when(doc % 8 != 0, "https://assets.example/m.json").alias("manifest_url"),
+        F.when(doc % 9 == 0, "zz").otherwise(F.sha2(F.coalesce("text", F.lit("")), 256)).alias("manifest_sha256"), F.when(doc % 11 != 0, True).alias("required"), F.when(doc % 13 == 0, 1).alias("extra"),
+    )
+    rows = s.table(spark, sf_dir, "documents").select("doc_id", F.to_json(record).alias("value"))
+    rows = rows.select("doc_id", "value", F.from_json("value", validate.LOCK).alias("r")).select("doc_id", "value", "r.*")
+    return validate.validate_records(rows, "doc_id", validate.lock_rules())
+
+
+_HEADER_FAULTS = [
+    ("schema_version", "'2'", "m % 5 = 0"), ("games", "case when m % 6 = 0 then '' else 'jak9' end", "m % 6 = 0 or m % 7 = 0"), ("engine_compat.min_loader_version", "'0'", "m % 4 = 0"), ("engine_compat.unknown", "'x'", "m % 9 = 0"), ("presets", "'low,ultra'", "m % 3 = 0"),
+]
+_SHARD_FAULTS = [("name", "'bad'", 11), ("group", "'mask'", 13), ("cluster", "null", 17), ("size", "'0'", 19), ("unknown", "'y'", 23)]
+
+
+@query(
+    "with numbered as (select page_id // 10 as m, page_id, row_number() over (partition by page_id // 10 order by page_id) - 1 as i from pages), heads as (select distinct m from numbered) "
+    + " union all ".join([f"select m as id, '{r}' as rule, {v} as value from heads where {w}" for r, v, w in _HEADER_FAULTS] + [f"select m, 'shards[' || i || '].{r}', {v} from numbered where page_id % {k} = 0" for r, v, k in _SHARD_FAULTS])
+)
+def b13_manifest_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A manifest for each ten pages; some headers and some shards in them break the schema."""
+    page, m, c = F.col("page_id"), F.col("m"), F.col
+    sha = F.sha2(F.coalesce("html", F.lit("")), 256)
+    shard = F.struct(
+        F.when(page % 11 == 0, "bad").otherwise(F.concat(F.lit("jak1-pc-bc-low-albedo-shard-c1-"), F.substring(sha, 1, 12), F.lit(".rpack"))).alias("name"), F.lit("jak1").alias("game"), F.lit("pc-bc").alias("profile"), F.lit("low").alias("preset"),
+        F.when(page % 13 == 0, "mask").otherwise("albedo").alias("group"), F.when(page % 17 != 0, "c1").alias("cluster"), sha.alias("sha256"), F.when(page % 19 == 0, 0).otherwise(F.octet_length("html") + 1).alias("size"), F.lit("https://assets.example/u").alias("url"),
+        F.lit(1).alias("entry_count"), F.when(page % 23 == 0, 1).alias("y"),
+    )
+    groups = s.table(spark, sf_dir, "pages").select(F.floor(page / 10).alias("m"), F.struct("page_id", shard.alias("shard")).alias("x")).groupBy("m").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    compat = F.struct(F.lit("0.9.0").alias("min_recharged_version"), F.when(m % 4 == 0, 0).otherwise(2).alias("min_loader_version"), F.when(m % 9 == 0, 1).alias("x"))
+    games = F.when(m % 6 == 0, F.array().cast("array<string>")).when(m % 7 == 0, F.array(F.lit("jak9"))).otherwise(F.array(F.lit("jak1")))
+    document = F.struct(
+        F.when(m % 5 == 0, 2).otherwise(1).alias("schema_version"), F.lit("assets-v1.0.0").alias("asset_version"), games.alias("games"), compat.alias("engine_compat"), F.array(F.lit("pc-bc")).alias("profiles"),
+        F.when(m % 3 == 0, F.array(F.lit("low"), F.lit("ultra"))).otherwise(F.array(F.lit("low"))).alias("presets"), F.transform("x", lambda x: x["shard"]).alias("shards"),
+    )
+    rows = groups.select("m", F.to_json(document).alias("value"))
+    rows = rows.select(c("m"), "value", F.from_json("value", validate.MANIFEST).alias("r")).select("m", "value", "r.*")
+    return validate.validate_records(rows, "m", validate.manifest_rules(), validate.manifest_items())
