@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,6 +142,15 @@ def a12_upsert_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.upsert_metadata(docs.withColumns({"derived": F.lit(True), "n_chars": F.col("n_chars") + 1}), docs)
 
 
+@query("select lang as preset, source as grp, max(n_chars) as parts from documents group by 1, 2")
+def a6_split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of a document with each language's greatest lengths by source as splits, beside a comment."""
+    most = s.table(spark, sf_dir, "documents").groupBy("lang", "source").agg(F.max("n_chars").cast("int").alias("parts"))
+    langs = most.groupBy("lang").agg(F.map_from_entries(F.collect_list(F.struct("source", "parts"))).alias("x"))
+    body = F.to_json(F.map_from_arrays(F.array("lang", F.lit("comment")), F.array("x", F.lit(None))))
+    return config.split_rows(langs.select(F.concat(F.lit('{"splits":'), body, F.lit("}")).alias("value")))
+
+
 _RECORD = "id string, derived boolean, n_chars long"
 
 
@@ -214,10 +224,30 @@ FAMILY_SQL = f"""select 'jak1' as game, profile, preset, mat, map, sha, size, ca
  left join clusters on prefix = split_part(tpage, '-vis-', 1)"""
 
 
-def _families(spark: SparkSession, sf_dir: str) -> DataFrame:
+def config_files(spark: SparkSession) -> tuple[str, str]:
+    """The catalog's two config documents as files: clusters and splits, thresholds and ladder."""
+    games: dict = {}
+    for prefix, cluster in s.CLUSTERS:
+        games.setdefault(cluster, []).append(prefix)
+    splits: dict = {"comment": "parts of each group"}
+    for preset, grp, parts in config.SPLITS:
+        splits.setdefault(preset, {})[grp] = parts
+    bounds: dict = {"comment": "accepted measures"}
+    for semantic, form, bound, value in config.THRESHOLDS:
+        bounds.setdefault(semantic, {"metric": "any"}).setdefault(bound, {})[form] = value
+    ladder: dict = {"comment": "next format"}
+    for profile, kind, fallback in config.LADDER:
+        ladder.setdefault(profile, {})[kind] = fallback
+    paths = s.scratch(spark, "clusters"), s.scratch(spark, "thresholds")
+    for path, document in zip(paths, ({"games": {"jak1": {"clusters": games, "overflow": "overflow"}}, "splits": splits}, bounds | {"ladder": ladder}), strict=True):
+        spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.text(path)
+    return paths
+
+
+def _families(spark: SparkSession, sf_dir: str, clusters: DataFrame | None = None, splits: DataFrame | None = None) -> DataFrame:
     outputs = spark.createDataFrame([("pc-bc", "low"), ("pc-bc", "bonkers")], "profile string, preset string")
     rows = s.assets(spark, sf_dir).drop("payload").crossJoin(F.broadcast(outputs)).withColumn("game", F.lit("jak1"))
-    return shards.shard_family(rows, s.clusters(spark), config.split_dim(spark))
+    return shards.shard_family(rows, s.clusters(spark) if clusters is None else clusters, config.split_dim(spark) if splits is None else splits)
 
 
 @query(f"select mat, map, preset, grp, cluster, parts, part from ({FAMILY_SQL})", "assets", "clusters")
@@ -225,6 +255,14 @@ def b7_shard_family(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _families(spark, sf_dir).select("mat", "map", "preset", "grp", "cluster", "parts", "part")
 
 
+@query(f"select mat, map, preset, grp, cluster, parts, part from ({FAMILY_SQL})", "assets", "clusters")
+def b7_family_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clusters and splits are read from their document."""
+    path, _ = config_files(spark)
+    clusters = config.cluster_dim(spark, path).filter("game = 'jak1'").select("prefix", "cluster")
+    return _families(spark, sf_dir, clusters, config.split_file(spark, path)).select("mat", "map", "preset", "grp", "cluster", "parts", "part")
+
+
 @query(f"select mat, preset, game || '-' || profile || '-' || preset || '-' || grp || '-shard-' || cluster || case when parts > 1 then '-p' || part else '' end || '-' || substr(sha, 1, 12) || '.rpack' as shard from ({FAMILY_SQL})", "assets", "clusters")
 def b8_shard_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col
@@ -265,11 +303,11 @@ _GATED = f"""select event_id, map, format, case map when 'albedo' then value * 1
  left join (select semantic as map, format, max(case when bound = 'min' then value end) as gate_min, max(case when bound = 'max' then value end) as gate_max, max(case when bound = 'p99_max' then value end) as gate_p99_max from {THRESHOLD_ROWS} group by all) using (map, format)"""
 
 
-def _gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _gated(spark: SparkSession, sf_dir: str, thresholds: DataFrame | None = None) -> DataFrame:
     kinds, formats = F.array(*map(F.lit, ("albedo", "normal", "roughness", "height"))), F.array(*map(F.lit, ("bc7", "bc5", "bc4", "astc_4x4", "bc1")))
     v = F.col("value")
     rows = s.table(spark, sf_dir, "events").select("event_id", F.element_at(kinds, (F.col("event_id") % 4 + 1).cast("int")).alias("map"), F.element_at(formats, (F.col("user_id") % 5 + 1).cast("int")).alias("format"), (v * 1.5).alias("psnr_db"), (v / 5).alias("ang_mean_deg"), (v * 1.5).alias("ang_p99_deg"), (v / 50).alias("mae"))
-    return build.quality_gate(rows.join(F.broadcast(build.gate_bounds(config.threshold_dim(spark))), ["map", "format"], "left"))
+    return build.quality_gate(rows.join(F.broadcast(build.gate_bounds(config.threshold_dim(spark) if thresholds is None else thresholds)), ["map", "format"], "left"))
 
 
 @query(_GATED)
@@ -364,6 +402,14 @@ def c5_override_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build.override_proposals(failed, config.ladder_dim(spark)).select("event_id", "profile", "map", "fallback")
 
 
+@query(f"select event_id, profile, map, case when profile = 'android-astc' and map <> 'normal' then 'astc_4x4' end as fallback from ({_GATED}) cross join {values([(p,) for p in config.PROFILES], 'p', 'profile')} where not gate_ok")
+def c5_proposals_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Thresholds of the gate and the ladder are read from their document."""
+    _, path = config_files(spark)
+    failed = _gated(spark, sf_dir, config.threshold_file(spark, path)).filter(~F.col("gate_ok")).select("event_id", F.explode(F.array(*map(F.lit, config.PROFILES))).alias("profile"), "map")
+    return build.override_proposals(failed, config.ladder_file(spark, path)).select("event_id", "profile", "map", "fallback")
+
+
 @query("select d.doc_id as id, (case when l0.quality = 1 then 0 when l1.quality = 1 then 1 when l2.quality = 1 then 2 end)::int as pos, (case when l0.quality = 1 then l0.quality when l1.quality = 1 then l1.quality when l2.quality = 1 then l2.quality end)::int as value from documents d left join labels l0 on l0.doc_id = d.doc_id left join labels l1 on l1.doc_id = d.doc_id + 1 left join labels l2 on l2.doc_id = d.doc_id + 2")
 def c8_first_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     entities = s.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.array(*[F.col("doc_id") + i for i in range(3)]).alias("candidates"))
@@ -489,6 +535,15 @@ def a8_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _report(spark, sf_dir)[0].select("mat", "preset", "profile", "map", "format", "fallback")
 
 
+@query(f"select profile, preset, mat, map, format, case when profile = 'android-astc' and map <> 'normal' then 'astc_4x4' end as fallback from ({_VERDICT}) where not gate_ok and preset = 'low'", "dims")
+def a8_written_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The failures of one preset, read back from its folder of the written report."""
+    path = s.scratch(spark, "report")
+    build.write_report(*_report(spark, sf_dir), path)
+    rows = spark.read.schema("mat long, map string, format string, fallback string, profile string, preset string").json(f"{path}/failures")
+    return rows.filter("preset = 'low'").select("profile", "preset", "mat", "map", "format", "fallback")
+
+
 @query(f"select count(*) as records, count(wrap_mode) as wrap_modes, count(esrgan) as esrgan_dims, max(outputs) as outputs, max(hits) as hits, max(failures) as failures from (select wrap_mode, case when doc_id % 3 = 0 then 1 end as esrgan from ({MATERIALS_SQL})), (select count(*) as outputs, count(*) filter (where status = 'hit') as hits, count(*) filter (where not gate_ok) as failures from ({_VERDICT}))", "dims")
 def d6_record_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = material_documents(spark, sf_dir).select(F.get_json_object("value", "$.wrap_mode").alias("wrap_mode"), F.when(F.col("doc_id") % 3 == 0, F.array(F.lit(1), F.lit(1))).alias("esrgan_dims"))
