@@ -7,12 +7,12 @@ the 64 bits are cut into ``blocks`` blocks; two fingerprints at most ``radius``
 ``blocks - radius`` of them, so each choice of that many blocks is a table keyed by their bits.
 
 Scale: fingerprints are one pass. The pairing with the next document is one shuffle of the texts
-into ranges of ids, sorted within; the first row of each lower range comes along as a guest, so a
-range never needs another's rows. Search explodes distinct fingerprints (so copies count once) into
+into ranges of ids, sorted within; an id (or null) with more rows than a range is dealt out further, by a hash of their texts. The first row of each following
+range comes along as a guest, so a range never needs another's rows. Search explodes distinct fingerprints (so copies count once) into
 C(blocks, radius) narrow rows and joins the queries on them.
 
 Edge cases: null texts are empty; texts without words have fingerprint 0; a null doc_id sorts below all
-others; repeated ids sort by text; the only document is followed by itself; extra columns are ignored.
+others; rows of one id are in the order of a hash of their texts (equal rows of one id stay together); the only document is followed by itself; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._ranges import partitions, range_of, split_points
+from ._ranges import partitions, range_of
 from ._store import small_batches
 from ._text import BLANK, LOWER, buffer, mix, prefix_hash, span_hash, words
 
@@ -79,23 +79,31 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
 
 def followed(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Rows (part, place, doc_id, text, guest) whose order within a part by place, descending, is that of the documents.
+    """Rows (part, place, tie, doc_id, text, guest) whose order within a part, by place descending and tie, is that of the documents.
 
-    A part's last row is a guest: the document that follows the part.
+    A part's last row is a guest: the document that follows the part. Parts are ranges of places, from the highest number on; a place that
+    fills more than one range has as many parts of its own, by ranges of the tie.
     """
     spark = docs.sparkSession
-    place = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST))
-    ids = docs.select(place.alias("place"))
-    splits = split_points(ids, F.col("place"), 2 * partitions(spark))
-    part = range_of(F.col("place"), splits)
-    heads = sorted((r["part"], r["head"]) for r in ids.groupBy(part.alias("part")).agg(F.max("place").alias("head")).collect())
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), place.alias("place")).withColumn("part", range_of(F.col("place"), splits))
-    guests = [(heads[i - 1][1], heads[i][0]) for i in range(len(heads))]
-    wanted = spark.createDataFrame(guests, "place long, for_part int")
-    visit = rows.join(F.broadcast(wanted), "place").groupBy("for_part", "place").agg(F.min("text").alias("text"))
-    visit = visit.select(F.col("for_part").alias("part"), "place", F.lit(None).cast("long").alias("doc_id"), "text", F.lit(1).alias("guest"))
-    every = rows.select("part", "place", "doc_id", "text", F.lit(0).alias("guest")).unionByName(visit)
-    return every.repartition(len(heads) or 1, "part").sortWithinPartitions("part", "guest", F.desc("place"), "text"), len(heads)
+    place, tie = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LEAST)), F.xxhash64(F.coalesce("text", F.lit("")))
+    n = 2 * partitions(spark)
+    found = docs.select(F.percentile_approx(place, [i / n for i in range(1, n)], 10 * n + 1000)).first()[0] or []
+    full = {v: found.count(v) for v in set(found) if found.count(v) > 1}
+    most = max(full.values(), default=1)
+    ways = F.try_element_at(F.create_map(*[F.lit(x).cast("long") for v in full.items() for x in v]), F.col("place")) if full else F.lit(None).cast("long")
+    uniform = F.col("tie") / F.lit(2.0**64) + 0.5  # a place that fills ranges is the least of the range that it begins, so its parts come after the rest of it
+    sub = F.coalesce(F.least(F.floor(uniform * ways), ways - 1), F.lit(-1))
+    part = (range_of(F.col("place"), sorted(set(found))) * (most + 1) + most - 1 - sub).cast("int")
+    light = docs.select(place.alias("place"), tie.alias("tie")).withColumn("part", part)
+    first = F.max(F.struct("place", F.bitwise_not("tie").alias("not_tie"))).alias("head")
+    heads = sorted((r["part"], r["head"]["place"], ~r["head"]["not_tie"]) for r in light.groupBy("part").agg(first).collect())  # a row a part
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), place.alias("place"), tie.alias("tie")).withColumn("part", part)
+    guests = [(*heads[i - 1][1:], heads[i][0]) for i in range(len(heads))]
+    wanted = spark.createDataFrame(guests, "place long, tie long, for_part int")
+    visit = rows.join(F.broadcast(wanted), ["place", "tie"]).groupBy("for_part", "place", "tie").agg(F.min("text").alias("text"))
+    visit = visit.select(F.col("for_part").alias("part"), "place", "tie", F.lit(None).cast("long").alias("doc_id"), "text", F.lit(1).alias("guest"))
+    every = rows.select("part", "place", "tie", "doc_id", "text", F.lit(0).alias("guest")).unionByName(visit)
+    return every.repartition(len(heads) or 1, "part").sortWithinPartitions("part", "guest", F.desc("place"), "tie", "text"), len(heads)
 
 
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -109,8 +117,8 @@ def fingerprint_and_follow(docs: DataFrame) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None
         for batch in batches:
-            parts, ids, texts, guest = (batch.column(i).to_pylist() for i in (0, 2, 3, 4))
-            prints = fingerprints(batch.column(3))
+            parts, ids, texts, guest = (batch.column(i).to_pylist() for i in (0, 3, 4, 5))
+            prints = fingerprints(batch.column(4))
             if held is not None:
                 parts, ids, texts, guest = [held[0], *parts], [held[1], *ids], [held[2], *texts], [0, *guest]
                 prints = np.concatenate([[held[3]], prints]).astype(U)
