@@ -7,9 +7,9 @@ exchanges. Blocks are laid along every old shard from the largest documents to t
 the flow cuts that line, so what moves lies at its end and a cut is never wrong by more than
 a small document. Only blocks that lose a row are rewritten.
 
-Scale: two shuffles of light rows (id, size, checksum) and one of the texts of the affected
-blocks. The driver holds the block table alone: old shards x size classes x buckets, at most
-``old_shards * 128 * max_buckets`` rows whatever the input.
+Scale: places are found on light rows (id, size, checksum) alone; each affected text, repeated rows as one, then meets its run of slots by a
+hash join, and runs are dealt out by slots before copies are written. The driver holds the block table alone: old shards x size classes x buckets, at
+most ``old_shards * 128 * max_buckets`` rows, where a block has some ``rows_per_block`` light rows.
 
 Edge cases: a null text has size 1 and checksum 0; a null doc_id is a key like any other;
 repeated rows are placed one by one; an empty table gives an empty plan; extra columns are ignored.
@@ -106,7 +106,7 @@ def cuts(blocks: list, new_shards: int) -> tuple[list[tuple[int, int, int, int]]
 
 
 def reshard(
-    docs: DataFrame, new_shards: int = 16, old_shard: Column | None = None, old_shards: int = 12, rows_per_block: int = 50_000, max_buckets: int = 256, path: str | None = None
+    docs: DataFrame, new_shards: int = 16, old_shard: Column | None = None, old_shards: int = 12, rows_per_block: int = 50_000, max_buckets: int = 2048, path: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Give every document a new shard of near equal bytes, moving the fewest; rewrite the affected files.
 
@@ -148,17 +148,24 @@ def reshard(
     line = Window.partitionBy("shard").orderBy("old_shard", F.desc("size_class"), "bucket").rowsBetween(Window.unboundedPreceding, -1)
     pieces = materialize(pieces.select(*piece, "first", F.coalesce(F.sum("n").over(line), F.lit(0)).alias("piece_base")), "reshard-pieces")
 
-    def slotted(part: DataFrame, *more: str) -> DataFrame:
-        out = placed(part).join(F.broadcast(pieces), piece)
-        return out.select("doc_id", *more, "size", "text_crc32", "old_shard", "shard", (F.col("piece_base") + F.col("rank") - F.col("first")).cast("long").alias("slot"), "affected")
+    slotted = placed(light).join(F.broadcast(pieces), piece)
+    slotted = slotted.select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("piece_base") + F.col("rank") - F.col("first")).cast("long").alias("slot"), "affected")
+    slotted = materialize(slotted, "reshard-slots")
 
     path = path or scratch(spark, "reshard-files")
+    # Equal ids, sizes and checksums stand together in a block's order, so what they share is a text and a run of slots.
+    same = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_null": F.col("doc_id").isNull()}
+    key = [*same, "size", "text_crc32"]
+    part = F.floor(F.col("slot") / rows_per_block).alias("_part")
+    runs = slotted.filter("affected").withColumns(same).groupBy(*key, "doc_id", "old_shard", "shard", part).agg(F.min("slot").alias("_slot"), F.count("*").alias("_n"))
     hit = F.broadcast(bases.filter("affected").select(*BLOCK))
-    moved = slotted(rows.join(hit, BLOCK, "left_semi"), "text").drop("affected")
-    moved.repartition("shard", "old_shard", F.floor(F.col("slot") / rows_per_block)).write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    texts = rows.join(hit, BLOCK, "left_semi").withColumns(same).groupBy(*key).agg(F.max("text").alias("text"))
+    moved = runs.join(texts, key).repartition("shard", "old_shard", "_part")
+    moved = moved.select("doc_id", "text", "size", "text_crc32", "old_shard", "shard", F.explode(F.sequence(F.col("_slot"), F.col("_slot") + F.col("_n") - 1)).alias("slot"))
+    moved.write.partitionBy("shard").option("compression", "zstd").parquet(path)
     files = spark.read.schema(moved.schema).parquet(path)
     again = files.select("doc_id", *_digest(), "old_shard", "shard", "slot")
-    stay = slotted(light).filter(~F.col("affected")).drop("affected")
+    stay = slotted.filter(~F.col("affected")).drop("affected")
     return stay.unionByName(again), files
 
 
