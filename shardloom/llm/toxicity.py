@@ -4,8 +4,8 @@ A document is a bag of sentences. A sentence's probability is a logistic functio
 the document is toxic if any sentence is: P = 1 - prod(1 - p). Only document labels are given,
 and the gradient of the bag's likelihood tells the sentences apart, so that scoring locates them.
 
-Training: a bounded sample of labelled rows (at most ``max_docs`` documents, long ones included, and at most
-``max_bytes`` bytes in all, the smallest by a hash of the id) is gathered as hashed words, one row for each sampled
+Training: a bounded sample of labelled rows (at most ``max_docs`` documents, the smallest by a hash of the id, and at most
+``max_bytes`` bytes in all, of which documents over a 200th come last and those that don't fit are passed over) is gathered as hashed words, one row for each sampled
 id; so the driver holds no more than that of text whatever the input. Scoring is one pass over all texts
 without a shuffle, with ``2**bits`` weights sent along.
 
@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._store import materialize, small_batches
+from ._store import small_batches
 from ._text import LOWER, MARK, buffer, prefix_hash, span_hash, words
 from .quality import bucket, labelled_rows
 
@@ -127,6 +127,16 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: i
     return model
 
 
+def within_bytes(listed: list[tuple[int, tuple]], most: int) -> list[tuple]:
+    """Of (size, row) in order those that fit into ``most`` bytes together: small ones first, then those over a 200th of it; what doesn't fit is passed over."""
+    out, left = [], most
+    for size, row in sorted(listed, key=lambda x: 200 * x[0] > most):
+        if size <= left:
+            out.append(row)
+            left -= size
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits: int = 18, max_docs: int = 6000, max_bytes: int = 24_000_000, **options) -> Model:
     """Learn from labelled rows outside fold ``out``: a sample of at most ``max_docs`` documents and ``max_bytes`` bytes.
 
@@ -136,9 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits:
     sample = labelled_rows(ids, labels, "toxic", F.coalesce(bucket("doc_id", folds) != out, F.lit(False)))
     sample = sample.groupBy("doc_id", "y").agg(F.max(F.struct("size", "print")).alias("x")).select("doc_id", "y", "x.*")
     turn = [F.xxhash64("doc_id", F.lit("sample")), F.col("doc_id")]
-    sample = sample.orderBy(*turn).limit(max_docs)
-    so_far = F.sum("size").over(Window.orderBy(*turn))  # of at most max_docs rows
-    chosen = materialize(sample.withColumn("so_far", so_far).filter(F.col("so_far") <= max_bytes).select("doc_id", "y", "print"), "toxicity-sample")
+    listed = [(r["size"], (r["doc_id"], r["y"], r["print"])) for r in sample.orderBy(*turn).limit(max_docs).collect()]
+    chosen = docs.sparkSession.createDataFrame(within_bytes(listed, max_bytes), "doc_id long, y double, print long")  # at most max_docs rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("print")).join(F.broadcast(chosen), ["doc_id", "print"])
     texts = texts.dropDuplicates(["doc_id", "print", "y"])
 
