@@ -52,12 +52,14 @@ def pack_bytes(family: dict[str, str], entries: list[tuple[str, str, bytes]], re
 def pack_cuts(entries: DataFrame, family: list[str], max_bytes: int) -> DataFrame:
     """family columns, key, cut, base: the first key of each part of a family; ``base`` is where the part begins in the layout of the whole family.
 
-    Only keys and sizes are sorted; there is one row for some ``max_bytes`` of input, in a table in the shared folder.
+    Only keys and sizes are sorted, from a table of them, so that payloads are read once for it; there is one row for some ``max_bytes`` of input.
     """
     spark = entries.sparkSession
     sizes = entries.select(*family, "key", "map", F.octet_length("payload").cast("long").alias("size"), F.coalesce(F.octet_length("record"), F.lit(0)).alias("more"))
     weight = geometry.align16(F.col("size")) + 6 * F.octet_length("key") + F.col("more") + RECORD
-    laid = pack_layout(sizes, family, ["key", "map"], before=weight)
+    table = scratch(spark, "pack-sizes")
+    sizes.write.parquet(table)
+    laid = pack_layout(spark.read.schema(sizes.schema).parquet(table), family, ["key", "map"], before=weight)
     starts = laid.groupBy(*family, "key").agg(F.min("before").alias("before"), F.min("offset").alias("base"))
     starts = starts.groupBy(*family, F.floor(F.col("before") / max_bytes).alias("slot")).agg(F.min("key").alias("key"), F.min("base").alias("base"))
     turn = Window.partitionBy(*family).orderBy("slot")
