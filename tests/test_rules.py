@@ -36,9 +36,13 @@ def test_unknown_preset_is_an_error(spark):
         build.with_preset_dims(rows).collect()
 
 
-def test_level_prefixes(spark):
-    want = {"beach-vis-tfrag": "beach", "village1-tpage-2": "village1", "weird": "weird"}
-    assert {k: one(spark, keys.level_prefix(F.lit(k))) for k in want} == want
+def test_a_prefix_ends_at_the_first_mark_of_the_stronger_kind(spark):
+    pick = random.Random(2)
+    made = ["".join(pick.choices(["-vis-", "-tpage-", "a", "b1", "-", "_"], k=pick.randint(0, 6))) for _ in range(200)]
+    rows = spark.createDataFrame([(x,) for x in made], "tpage string").withColumn("prefix", keys.level_prefix(F.col("tpage")))
+    for r in rows.collect():
+        mark = next((m for m in ("-vis-", "-tpage-") if m in r["tpage"]), None)
+        assert r["prefix"] == (r["tpage"].partition(mark)[0] if mark else r["tpage"])
 
 
 def test_part_is_the_hash_modulo_n_and_moves_no_other(spark):
@@ -55,9 +59,14 @@ def test_shard_names(spark):
     assert one(spark, name) == "jak1-pc-bc-bonkers-material-shard-c1-p2-aaaaaaaaaaaa.rpack"
 
 
-def test_level_counts(spark):
-    for w, h, n in ((2048, 2048, 12), (2048, 1024, 12), (1, 1, 1)):
-        assert one(spark, geometry.level_count(F.lit(w), F.lit(h))) == n
+def test_levels_are_the_halvings_down_to_one_pixel(spark):
+    pick = random.Random(3)
+    rows = spark.createDataFrame([(pick.randint(1, 5000), pick.choice([1, 2, 3, pick.randint(1, 5000)])) for _ in range(200)], "w int, h int")
+    for r in rows.withColumn("n", geometry.level_count(F.col("w"), F.col("h"))).collect():
+        n, side = 1, max(r["w"], r["h"])
+        while side > 1:
+            n, side = n + 1, side // 2
+        assert r["n"] == n
 
 
 def test_affected_materials(spark):
