@@ -70,7 +70,7 @@ def _written(spark: SparkSession, sf_dir: str) -> str:
     """The folder of the packs of all outputs."""
     path = s.scratch(spark, "packs")
     payload = s.assets(spark, sf_dir).select("mat", "payload")
-    rows = _outputs(spark, sf_dir).join(payload, "mat").select(*PACKED, F.col("mat").alias("key"), "map", "payload", "record")
+    rows = _outputs(spark, sf_dir).join(payload, "mat").select(*PACKED, F.col("mat").alias("key"), "map", "payload", "record", "size")
     packs.write_packs(rows, PACKED, path)
     return path
 

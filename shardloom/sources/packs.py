@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -52,10 +53,11 @@ def pack_bytes(family: dict[str, str], entries: list[tuple[str, str, bytes]], re
 def pack_cuts(entries: DataFrame, family: list[str], max_bytes: int) -> DataFrame:
     """family columns, key, cut, base: the first key of each part of a family; ``base`` is where the part begins in the layout of the whole family.
 
-    Only keys and sizes are sorted, from a table of them, so that payloads are read once for it; there is one row for some ``max_bytes`` of input.
+    Only keys and sizes are sorted, from a table of them; payloads are read for it once, or not at all where ``size`` is a column; there is one row for some ``max_bytes`` of input.
     """
     spark = entries.sparkSession
-    sizes = entries.select(*family, "key", "map", F.octet_length("payload").cast("long").alias("size"), F.coalesce(F.octet_length("record"), F.lit(0)).alias("more"))
+    size = F.col("size") if "size" in entries.columns else F.octet_length("payload")
+    sizes = entries.select(*family, "key", "map", size.cast("long").alias("size"), F.coalesce(F.octet_length("record"), F.lit(0)).alias("more"))
     weight = geometry.align16(F.col("size")) + 6 * F.octet_length("key") + F.col("more") + RECORD
     table = scratch(spark, "pack-sizes")
     sizes.write.parquet(table)
@@ -86,8 +88,23 @@ def refused_entries(entries: DataFrame) -> DataFrame:
     return entries.select("key", "map", reason.alias("reason")).filter("reason is not null")
 
 
+def squeezed(entries: DataFrame) -> DataFrame:
+    """Entries with compressed payloads, for the way through the shuffle."""
+
+    at = entries.columns.index("payload")
+
+    def squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            columns = batch.columns
+            columns[at] = pa.array([small.compress(p) for p in columns[at].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+
+    return entries.mapInArrow(squeeze, entries.schema)
+
+
 def merged_stream(entries: DataFrame, cuts: DataFrame, family: list[str]) -> DataFrame:
-    """Entries and cuts in order, each cut before its entries, in ranges that begin with a cut: one shuffle of the entries.
+    """Entries, their payloads compressed, and cuts in order, each cut before its entries, in ranges that begin with a cut: one shuffle of the entries.
 
     Cuts are as heavy as each other, so ranges bounded by evenly chosen cuts are; there are as many as shuffle partitions, which a deployment sizes.
     """
@@ -95,7 +112,7 @@ def merged_stream(entries: DataFrame, cuts: DataFrame, family: list[str]) -> Dat
     n = max(1, int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     bounds = bounds_of(cuts, place, n)
     nothing = [F.lit(None).cast(t).alias(c) for c, t in (("map", "string"), ("payload", "binary"), ("record", "string"))]
-    rows = entries.select(*place, "map", "payload", "record", F.lit(1).alias("mark"), F.lit(None).cast("int").alias("cut"), F.lit(None).cast("long").alias("base"))
+    rows = squeezed(entries.select(*place, "map", "payload", "record")).select("*", F.lit(1).alias("mark"), F.lit(None).cast("int").alias("cut"), F.lit(None).cast("long").alias("base"))
     every = rows.unionByName(cuts.select(*place, *nothing, F.lit(0).alias("mark"), "cut", "base"))
     # An entry before the first bound belongs to range 0, as do the cuts there; bounds are first keys, so no part crosses one.
     dealt = every.withColumn("_range", range_of(place, bounds, cuts)).repartitionById(n, "_range")
@@ -103,7 +120,7 @@ def merged_stream(entries: DataFrame, cuts: DataFrame, family: list[str]) -> Dat
 
 
 def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTES, folder: str | None = None) -> DataFrame:
-    """family columns, cut, base, name, entry_count, sha256, size, content: one row per pack of the rows (family, key, map, payload, and record if any).
+    """family columns, cut, base, name, entry_count, sha256, size, content: one row per pack of the rows (family, key, map, payload; record and size, the payload's bytes, if any).
 
     With a ``folder`` (a URI that every executor reaches) the task writes the pack there, and content is null.
     """
@@ -111,7 +128,8 @@ def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTE
         entries = entries.withColumn("record", F.lit(None).cast("string"))
     bad = F.col("payload").isNull() | (F.octet_length("payload") == 0) | F.col("key").isNull() | F.col("map").isNull() | ~F.col("map").isin(list(GROUPS))
     checked = entries.withColumn("payload", F.when(bad, F.raise_error(F.concat(F.lit("can't pack "), F.coalesce("key", F.lit("a null key")))).cast("binary")).otherwise(F.col("payload").cast("binary")))
-    checked = checked.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in family], "key", "map", "payload", "record")
+    size = [F.col("size")] if "size" in entries.columns else []
+    checked = checked.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in family], "key", "map", "payload", "record", *size)
     fields = [(c, pa.string()) for c in family] + [("cut", pa.int32()), ("base", pa.int64()), ("name", pa.string()), ("entry_count", pa.int32()), ("sha256", pa.string()), ("size", pa.int64()), ("content", pa.binary())]
 
     def pack(place: list, cut: int, base: int, held: list[tuple]) -> pa.RecordBatch:
@@ -127,7 +145,7 @@ def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTE
         return pa.RecordBatch.from_pylist([row], schema=pa.schema(fields))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, k = None, [], len(family)
+        at, held, k, whole = None, [], len(family), zstandard.ZstdDecompressor()
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if row[k + 4] == 0:
@@ -135,7 +153,7 @@ def build_packs(entries: DataFrame, family: list[str], max_bytes: int = MAX_BYTE
                         yield pack(*at, held)
                     at, held = (row[:k], row[k + 5], row[k + 6]), []
                 else:
-                    held.append(row[k : k + 4])
+                    held.append((*row[k : k + 2], whole.decompress(row[k + 2]), row[k + 3]))
         if held:
             yield pack(*at, held)
 
