@@ -84,8 +84,8 @@ def bag_gradient(w: np.ndarray, bias: float, slot: np.ndarray, sentence: np.ndar
     return float(loss), np.bincount(slot, weights=grad[sentence], minlength=len(w)), float(grad.sum())
 
 
-def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: int, least: int = 5, most_words: int = 1500, steps: int = 150, rate: float = 0.15, decay: float = 5e-3) -> Model:
-    """Full-batch Adam on the bags' likelihood. A bag is (word slots, their sentences, number of sentences).
+def train(bags: list[tuple], y: np.ndarray, bits: int, least: int = 5, most_words: int = 1500, steps: int = 150, rate: float = 0.15, decay: float = 5e-3) -> Model:
+    """Full-batch Adam on the bags' likelihood. A bag is (word slots, their sentences, number of sentences); the list is emptied.
 
     Features seen in fewer than ``least`` documents, and beyond the ``most_words`` that differ most
     between the classes, keep weight 0.
@@ -97,9 +97,13 @@ def train(bags: list[tuple[np.ndarray, np.ndarray, int]], y: np.ndarray, bits: i
     count = np.array([b[2] for b in bags])
     first = np.cumsum(count) - count
     slot = np.concatenate([b[0] for b in bags])
-    sentence = np.concatenate([b[1] + f for b, f in zip(bags, first, strict=True)])
+    sentence = np.concatenate([b[1] + np.asarray(f, b[1].dtype) for b, f in zip(bags, first, strict=True)])
     doc = np.repeat(np.arange(len(bags)), count)
-    pair = np.unique(doc[sentence] * np.int64(1 << bits) + slot)
+    bags.clear()
+    pair = doc[sentence] << bits
+    pair |= slot
+    pair.sort()
+    pair = pair[np.concatenate([[True], pair[1:] != pair[:-1]])] if len(pair) else pair
     word = pair % (1 << bits)
     seen = np.bincount(word, minlength=1 << bits)
     hit = np.bincount(word, weights=y[pair >> bits], minlength=1 << bits)
@@ -166,9 +170,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 4, out: int = 2, bits:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary()), pa.array(n, pa.int64()), batch.column(1)], names=["slots", "sentences", "n", "y"])
 
     got = texts.select("text", "y").mapInArrow(bag, "slots binary, sentences binary, n long, y double").toArrow()
-    bags = [(np.frombuffer(a.as_py(), np.int32).astype(np.int64), np.frombuffer(b.as_py(), np.int32).astype(np.int64), c.as_py()) for a, b, c in zip(got["slots"], got["sentences"], got["n"], strict=True)]
-    order = sorted(range(len(bags)), key=lambda i: (bags[i][2], bags[i][0].tobytes()))
-    return train([bags[i] for i in order], got["y"].to_numpy()[order], bits, **options)
+    bags = [(np.frombuffer(a.as_py(), np.int32), np.frombuffer(b.as_py(), np.int32), c.as_py(), y.as_py()) for a, b, c, y in zip(got["slots"], got["sentences"], got["n"], got["y"], strict=True)]
+    del got  # the driver holds the sample once
+    bags.sort(key=lambda x: (x[2], x[0].tobytes()))
+    return train(bags, np.array([x[3] for x in bags], float), bits, **options)
 
 
 SCHEMA = "doc_id long, score double, offending array<struct<start:long,end:long,score:double>>"
