@@ -58,6 +58,8 @@ def family_ranges(rows: DataFrame, family: list[str], order: list[str], range_ro
 
     A key in some 50,000 is sampled, of the large families alone, by its hash.
     """
+    if rows.count() <= range_rows:  # from the files' footers alone where the rows are a table's
+        return None
     large = rows.groupBy(*family).agg(F.count("*").alias("_n")).filter(F.col("_n") > range_rows)
     large = large.select(*[F.col(c).alias(f"_{c}") for c in family])
     if large.isEmpty():
