@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shardloom.llm import decontaminate, jaccard_join, packing, quality, suffix_dedup
-from shardloom.llm._store import materialize
+from shardloom.llm._store import discard, scratch
 from shardloom.llm.queries import table, tokenizer_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -59,8 +59,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on ``documents``."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages on ``documents``; a stage's table is deleted once the next one's is written."""
+    docs, held = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch(spark, f"pipeline-{name}")
+        stage(spark, docs, sf_dir).write.option("compression", "zstd").parquet(path)
+        docs = spark.read.parquet(path)
+        if held:
+            discard(spark, held)
+        held = path
     return STAGES[-1][1](spark, docs, sf_dir)
