@@ -146,7 +146,7 @@ def made(seed, n, longest):
     return list({(r[0], r[1]): r for r in rows}.values())
 
 
-@pytest.mark.parametrize("block_rows", [1, 100_000])
+@pytest.mark.parametrize("block_rows", [20, 100_000])
 def test_repair_equals_the_plain_programme(spark, block_rows):
     rows = made(7, 60, 12) + [(1000 + i % 2, i, r, t) for i, (_, _, r, t) in enumerate(made(8, 150, 6))]
     got = table(c.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), block_rows))
