@@ -2,21 +2,22 @@
 
 Which suffixes: of every ``length``-byte string, the suffix that starts at its minimizer (the
 least hash among its ``k``-byte strings). Equal strings have equal minimizers at equal places, so
-every repeat shows up among these suffixes, about one in 35 of all positions. An
-entry of a suffix array holds the suffix's leading k bytes (as a 64-bit hash, the sort key),
-a hash of the context that decides its strings, and its place; entries are sorted, cut
-into buckets by the key, and packed into one blob a bucket.
+every repeat shows up among these suffixes, about one in 39 of all positions. An
+entry of a suffix array holds the suffix's leading k bytes as they are, a 64-bit hash of the context (all bytes
+that the match extends over on both sides, as far as the entry's strings reach), and its place. Entries are in the order of the suffixes' bytes, ties by
+context, and cut into buckets by bounds from a sample of that order; each bucket is packed into one blob.
 
 Batches of documents come in the order of doc_id. A new batch gets its suffix array, which is
-merge-scanned bucket by bucket against all existing levels: an entry with an equal key and context in an
-older level, or earlier in the batch, repeats all its strings. Entries whose key
-is shared and whose contexts differ, but agree on one side (the edges of a repeat), are kept as candidates. Equal-sized levels then merge:
+merge-scanned bucket by bucket against all existing levels: an entry with equal leading bytes and context in an
+older level, or earlier in the batch, repeats all its strings. Entries whose leading bytes
+are shared and whose contexts differ, but agree on one side (the edges of a repeat), are kept as candidates. Equal-sized levels then merge:
 after batch i the new array is merged with levels 0..t-1 into level t, t being the number of trailing ones of i, and a
-merge keeps the earliest of equal entries. At last the candidates' strings are compared one by one, by 64-bit hashes of all
+merge keeps the earliest of equal entries. At last the candidates' strings are compared one by one, by two hashes (96 bits) of all
 ``length`` bytes grouped over the corpus, and the earliest of each is kept.
 
 Hot groups: in a task and in a level the earliest of equal entries stands for all, so a passage in
-a third of the documents is one entry per task. Nothing is held but a bucket and a batch of texts.
+a third of the documents is one entry per task. Leading bytes with very many contexts (a common opening, blanks) are cut into buckets by context;
+as those buckets don't see each other's, all their entries are candidates. Nothing is held but a bucket and a batch of texts.
 
 Edge cases: a null text is empty; texts under ``length`` bytes lose nothing; every row is a document of its own: rows that
 share a doc_id come in the order of their texts' hashes, of equal ones any is the earliest, and null ids sort first. Where ids
@@ -27,6 +28,7 @@ slices; an empty table gives no rows; extra columns, whatever their names, stay
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -74,7 +76,7 @@ def string_starts(bounds: np.ndarray, length: int, n: int) -> np.ndarray:
 
 
 def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, length: int, k: int, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, ...]]:
-    """(key, context, document, first string, side hashes, strings) of the entries of each slice.
+    """(leading bytes as big-endian words, context, document, first string, side hashes, strings) of the entries of each slice; k is a multiple of 8.
 
     A string that holds the minimizer has at least half of its other bytes on one side of it. So
     entries share a string only if they agree on that many bytes to the left or to the right, of
@@ -112,7 +114,8 @@ def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, length: int, k: int,
         left, right = np.maximum(at - half, 0), np.minimum(at + k + half, n)
         side_l = np.where(at - half >= bounds[doc], 1 + span_hash(p, left, at) % U(255), U(0))
         side_r = np.where(at + k + half <= bounds[doc + 1], 1 + span_hash(p, at + k, right) % U(255), U(0))
-        yield h[at], context, doc + d, s - bounds[doc] + shift[doc], (side_l << U(8) | side_r).astype(I), e - s + 1
+        lead = np.ascontiguousarray(part[at[:, None] + np.arange(k)]).view(">u8").astype(U)
+        yield lead, context, doc + d, s - bounds[doc] + shift[doc], (side_l << U(8) | side_r).astype(I), e - s + 1
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -141,43 +144,78 @@ def per_document(kind: int, doc: np.ndarray, start: np.ndarray, n: np.ndarray, b
 
 
 class Entries:
-    """Sorted entries of a suffix array: key, context, document, place (first string, side hashes and count packed)."""
+    """Sorted entries of a suffix array: leading bytes, context, document, place (first string, side hashes and count packed)."""
 
-    TYPES = ("<u8", "<u8", "<i8", "<i8")
+    def __init__(self, lead: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray, source: np.ndarray | None = None):
+        self.lead, self.context, self.doc, self.place = lead, context, doc, place
+        self.source = np.zeros(len(context), np.int8) if source is None else source
 
-    def __init__(self, key: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray, source: np.ndarray | None = None):
-        self.key, self.context, self.doc, self.place = key, context, doc, place
-        self.source = np.zeros(len(key), np.int8) if source is None else source
+    def __len__(self) -> int:
+        return len(self.context)
 
     def take(self, at: np.ndarray) -> Entries:
-        return Entries(self.key[at], self.context[at], self.doc[at], self.place[at], self.source[at])
+        return Entries(self.lead[at], self.context[at], self.doc[at], self.place[at], self.source[at])
 
     def sort(self) -> Entries:
-        return self.take(np.lexsort((self.place, self.doc, self.context, self.key)))
+        return self.take(np.lexsort((self.place, self.doc, self.context, *self.lead.T[::-1])))
+
+    def new_leads(self) -> np.ndarray:
+        """Of sorted entries: which have other leading bytes than the one before."""
+        out = np.ones(len(self), bool)
+        out[1:] = (self.lead[1:] != self.lead[:-1]).any(axis=1)
+        return out
 
     def repeats(self) -> np.ndarray:
-        """Of sorted entries: which have an earlier one of equal key and context."""
-        out = np.zeros(len(self.key), bool)
-        out[1:] = (self.key[1:] == self.key[:-1]) & (self.context[1:] == self.context[:-1])
+        """Of sorted entries: which have an earlier one of equal leading bytes and context."""
+        out = ~self.new_leads()
+        out[1:] &= self.context[1:] == self.context[:-1]
         return out
 
     def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, first string, strings)."""
         return self.doc, self.place >> 24, self.place & 0xFF
 
+    def ordered_bytes(self) -> np.ndarray:
+        """Leading bytes and context as byte strings, whose order is that of the entries."""
+        words = np.column_stack([self.lead, self.context]).astype(">u8")
+        return words.view(f"S{words.shape[1] * 8}").ravel()
+
     def blob(self) -> bytes:
-        step = self.key.copy()
-        step[1:] -= self.key[:-1]
-        return freeze(step, self.context, self.doc, self.place)
+        lead = self.lead.copy()
+        lead[1:, 0] -= self.lead[:-1, 0]
+        sides = (self.place >> 8).astype("<u2")
+        return freeze(*lead.T, self.context, self.doc, (self.place >> 24).astype("<u4"), sides, self.place.astype("<u1"))
 
     @classmethod
-    def of(cls, blob: bytes, source: int) -> Entries:
-        step, context, doc, place = thaw(blob, *cls.TYPES)
-        return cls(np.cumsum(step, dtype=U), context, doc, place, np.full(len(step), source, np.int8))
+    def of(cls, blob: bytes, words: int, source: int) -> Entries:
+        *lead, context, doc, start, sides, n = thaw(blob, *["<u8"] * words, "<u8", "<i8", "<u4", "<u2", "<u1")
+        lead[0] = np.cumsum(lead[0], dtype=U)
+        return cls(np.column_stack(lead), context, doc, start.astype(I) << 24 | sides.astype(I) << 8 | n, np.full(len(n), source, np.int8))
 
     @classmethod
     def concat(cls, many: list[Entries]) -> Entries:
-        return cls(*[np.concatenate([getattr(e, x) for e in many]) for x in ("key", "context", "doc", "place", "source")])
+        return cls(*[np.concatenate([getattr(e, x) for e in many]) for x in ("lead", "context", "doc", "place", "source")])
+
+
+class Buckets:
+    """Ranges of the order of entries, by ascending bounds of leading bytes and context."""
+
+    def __init__(self, bounds: list[bytes], k: int):
+        self.words, self.count = k // 8, len(bounds) + 1
+        self.bounds = np.array(bounds, f"S{k + 8}")
+        self.leads = self.bounds.view(">u8").reshape(-1, self.words + 1)[:, : self.words].astype(U)
+
+    def slices(self, entries: Entries) -> list[tuple[int, int, int]]:
+        """(bucket, from, to) of sorted entries."""
+        edge = np.concatenate([[0], np.searchsorted(entries.ordered_bytes(), self.bounds), [len(entries)]])
+        return [(int(b), int(edge[b]), int(edge[b + 1])) for b in np.flatnonzero(edge[1:] > edge[:-1])]
+
+    def cut(self, bucket: int, entries: Entries) -> np.ndarray:
+        """Which entries of a bucket have leading bytes that a neighbouring bucket may have too."""
+        out = np.zeros(len(entries), bool)
+        for bound in self.leads[max(0, bucket - 1) : bucket + 1]:
+            out |= (entries.lead == bound).all(axis=1)
+        return out
 
 
 def removed_strings(entries: Entries, length: int, buckets: int) -> list[tuple]:
@@ -185,7 +223,7 @@ def removed_strings(entries: Entries, length: int, buckets: int) -> list[tuple]:
     return per_document(REMOVED, doc, start, n + length - 1, buckets)
 
 
-def bucketed(key: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+def by_leading_bits(key: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     """(bucket, from, to) of sorted keys; a bucket is the key's leading bits."""
     if not len(key):
         return []
@@ -194,7 +232,7 @@ def bucketed(key: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
     return [(int(b[x]), int(x), int(y)) for x, y in zip(edge[:-1], edge[1:], strict=True)]
 
 
-def scan_batch(docs: DataFrame, length: int, k: int, bits: int, flush: int = 400_000) -> DataFrame:
+def scan_batch(docs: DataFrame, length: int, k: int, buckets: Buckets, flush: int = 400_000) -> DataFrame:
     """Packed sorted entries (level NEW) of the rows (doc, text), the earliest of equal ones, and what the others repeat (REMOVED)."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,9 +241,9 @@ def scan_batch(docs: DataFrame, length: int, k: int, bits: int, flush: int = 400
         def give() -> Iterator[pa.RecordBatch]:
             entries = Entries.concat(held).sort()
             again = entries.repeats()
-            rows = removed_strings(entries.take(again), length, 1 << bits)
+            rows = removed_strings(entries.take(again), length, buckets.count)
             entries = entries.take(~again)
-            for b, x, y in bucketed(entries.key, bits):
+            for b, x, y in buckets.slices(entries):
                 rows.append((b, NEW, 0, entries.take(np.arange(x, y)).blob()))
             for i in range(0, len(rows), 2000):
                 yield batch_of(rows[i : i + 2000])
@@ -213,9 +251,9 @@ def scan_batch(docs: DataFrame, length: int, k: int, bits: int, flush: int = 400
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = buffer(batch.column(1))
-            for key, context, doc, start, sides, n in sampled_suffixes(data, offsets, length, k):
-                held.append(Entries(key, context, ids[doc], start << 24 | sides << 8 | n))
-                if sum(len(e.key) for e in held) >= flush:
+            for lead, context, doc, start, sides, n in sampled_suffixes(data, offsets, length, k):
+                held.append(Entries(lead, context, ids[doc], start << 24 | sides << 8 | n))
+                if sum(map(len, held)) >= flush:
                     yield from give()
                     held = []
         if held:
@@ -249,37 +287,65 @@ def by_bucket(rows: DataFrame, width: int, work: Callable[[int, list[tuple[int,
     return dealt.mapInArrow(scan, ROWS)
 
 
-def merge_scan(bucket: int, blobs: list[tuple[int, bytes]], length: int, bits: int, merged: int | None, into: int | None) -> list[tuple]:
+def merge_scan(bucket: int, blobs: list[tuple[int, bytes]], length: int, buckets: Buckets, merged: int | None, into: int | None) -> list[tuple]:
     """Scan a batch's entries of a bucket against those of all levels; give the merge of the batch with levels below ``merged`` as level ``into``."""
-    entries = Entries.concat([Entries.of(x, level) for level, x in blobs]).sort()
+    entries = Entries.concat([Entries.of(x, buckets.words, level) for level, x in blobs]).sort()
     again = entries.repeats()
-    rows = removed_strings(entries.take(again & (entries.source == NEW)), length, 1 << bits)
+    rows = removed_strings(entries.take(again & (entries.source == NEW)), length, buckets.count)
     entries = entries.take(~again)
-    if len(entries.key) and (entries.source == NEW).any():
-        first = np.concatenate([[True], entries.key[1:] != entries.key[:-1]])
-        group = np.cumsum(first) - 1
-        fresh = np.bincount(group, weights=entries.source == NEW)
+    new = entries.source == NEW
+    if new.any():
+        group = np.cumsum(entries.new_leads()) - 1
+        fresh = np.bincount(group, weights=new)
         edge = ((np.bincount(group) > 1) & (fresh > 0))[group]
         near = np.zeros(len(group), bool)
         for bit in (16, 8):
             side = (entries.place >> bit) & 0xFF
             _, back, count = np.unique(group * 256 + side, return_inverse=True, return_counts=True)
             near |= (count[back] > 1) & (side > 0)
-        edge &= near
-        doc, start, n = entries.take(edge).strings()
-        rows += per_document(CANDIDATE, doc, start, n, 1 << bits)
+        doc, start, n = entries.take(edge & near | new & buckets.cut(bucket, entries)).strings()
+        rows += per_document(CANDIDATE, doc, start, n, buckets.count)
     if into is not None:
         own = entries.take(entries.source < merged)
-        if len(own.key):
+        if len(own):
             rows.append((bucket, into, 0, own.blob()))
     return rows
 
 
+def bucket_bounds(docs: DataFrame, length: int, k: int, expected: float, buckets: int, per_bucket: int = 8) -> Buckets:
+    """Bounds of some ``buckets`` even ranges of the ``expected`` entries of the rows (doc, text), from a sample of documents; they decide how work is dealt and nothing else.
+
+    A 64th of the documents or more is read, as much as gives ``per_bucket`` entries for each bucket; Spark sorts them, and the driver gets the bounds alone.
+    """
+    share = min(1.0, max(1 / 64, per_bucket * buckets / max(1.0, expected)))
+    step = max(per_bucket, int(expected * share / buckets))
+    small_batches(docs.sparkSession)
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lead, context, doc, start, *_ in sampled_suffixes(*buffer(batch.column(0)), length, k):
+                raw = Entries(lead, context, doc, start).ordered_bytes().tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([raw[i : i + k + 8] for i in range(0, len(raw), k + 8)], pa.binary())], names=["entry"])
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        passed = 0
+        for batch in batches:
+            yield batch.take(pa.array(np.arange((-passed - 1) % step, len(batch), step)))
+            passed += len(batch)
+
+    sample = docs.filter(F.pmod(F.xxhash64("doc"), F.lit(4096)) < math.ceil(4096 * share)).select("text")
+    found = sample.mapInArrow(order, "entry binary").orderBy("entry").mapInArrow(every, "entry binary").toArrow()
+    return Buckets(sorted(set(found["entry"].to_pylist())), k)
+
+
 class SuffixIndex:
     """The levels of an index, as tables in the shared folder, and what has been found so far."""
 
-    def __init__(self, docs: DataFrame, length: int = 100, k: int = 32, bits: int = 8):
-        self.spark, self.length, self.k, self.bits = docs.sparkSession, length, k, bits
+    def __init__(self, docs: DataFrame, length: int = 100, k: int = 24, entries_per_bucket: int = 20_000):
+        self.spark, self.length, self.k = docs.sparkSession, length, k
+        expected = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) * 2 / (length - k + 2)
+        self.bits = min(20, max(8, int(expected / entries_per_bucket).bit_length()))
+        self.buckets = bucket_bounds(docs, length, k, expected, 1 << self.bits)
         self.levels: dict[int, tuple[str, int]] = {}
         self.count, self.paths = 0, []
 
@@ -295,11 +361,11 @@ class SuffixIndex:
             into = 0
             while into in self.levels:
                 into += 1
-        rows = scan_batch(batch, self.length, self.k, self.bits)
+        rows = scan_batch(batch, self.length, self.k, self.buckets)
         for level, (path, _) in self.levels.items():
             rows = rows.unionByName(self._read(path, level))
-        length, bits = self.length, self.bits
-        done = by_bucket(rows, max(1, min(1 << bits, 2 * partitions(self.spark))), lambda b, x: merge_scan(b, x, length, bits, into, into))
+        length, buckets = self.length, self.buckets
+        done = by_bucket(rows, min(buckets.count, 2 * partitions(self.spark)), lambda b, x: merge_scan(b, x, length, buckets, into, into))
         path = scratch(self.spark, f"suffix-{self.count}")
         done.write.partitionBy("level").option("compression", "none").parquet(path)
         self.paths.append(path)
@@ -335,16 +401,16 @@ def compare_edges(docs: DataFrame, candidates: DataFrame, length: int, bits: int
     rows = texts.join(wanted, "doc").select("doc", "text", "data")
 
     def give(held: list[np.ndarray], last: bool = False) -> Iterator[pa.RecordBatch]:
-        gram, doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((start, doc, gram))
-        gram, doc, start = gram[order], doc[order], start[order]
+        gram, check, doc, start = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((start, doc, check, gram))
+        gram, check, doc, start = gram[order], check[order], doc[order], start[order]
         again = np.zeros(len(gram), bool)
-        again[1:] = gram[1:] == gram[:-1]
+        again[1:] = (gram[1:] == gram[:-1]) & (check[1:] == check[:-1])
         out = per_document(REMOVED, doc[again], start[again], np.full(int(again.sum()), length), 1 << bits)
-        gram, doc, start = gram[~again], doc[~again], start[~again]
+        gram, check, doc, start = gram[~again], check[~again], doc[~again], start[~again]
         if not last:
-            for b, x, y in bucketed(gram, bits):
-                out.append((b, NEW, 0, freeze(gram[x:y], doc[x:y], start[x:y])))
+            for b, x, y in by_leading_bits(gram, bits):
+                out.append((b, NEW, 0, freeze(np.diff(gram[x:y], prepend=U(0)), check[x:y], doc[x:y], start[x:y].astype("<u4"))))
         for i in range(0, len(out), 2000):
             yield batch_of(out[i : i + 2000])
 
@@ -362,8 +428,8 @@ def compare_edges(docs: DataFrame, candidates: DataFrame, length: int, bits: int
                 at = at[at + length <= len(text)]
                 if not len(at):
                     continue
-                p = prefix_hash(text)
-                held.append((span_hash(p, at, at + length), np.full(len(at), doc, I), at))
+                gram, other = (span_hash(prefix_hash(x), at, at + length) for x in (text, ~text))
+                held.append((gram, other.astype("<u4"), np.full(len(at), doc, I), at))
                 size += len(at)
                 if size >= flush:
                     yield from give(held)
@@ -376,7 +442,11 @@ def compare_edges(docs: DataFrame, candidates: DataFrame, length: int, bits: int
 
     def work(_: int, blobs: list[tuple[int, bytes]]) -> list[tuple]:
         out: list[tuple] = []
-        for b in give([tuple(thaw(x, "<u8", "<i8", "<i8")) for _, x in blobs], last=True):
+        held = []
+        for _, x in blobs:
+            step, check, doc, start = thaw(x, "<u8", "<u4", "<i8", "<u4")
+            held.append((np.cumsum(step, dtype=U), check, doc, start.astype(I)))
+        for b in give(held, last=True):
             out += [tuple(r.values()) for r in b.to_pylist()]
         return out
 
@@ -399,13 +469,10 @@ def spans_of(blobs: list[bytes] | None, size: int) -> list[tuple[int, int]]:
     return list(zip(start[new].tolist(), end[last].tolist(), strict=True))
 
 
-def repeated_spans(docs: DataFrame, length: int = 100, batches: int = 4, k: int = 32, entries_per_bucket: int = 20_000) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = 100, batches: int = 4, k: int = 24, entries_per_bucket: int = 20_000) -> DataFrame:
     """Rows (doc, data): packed spans of the strings of ``length`` bytes that also start earlier. ``docs`` has (doc, text), doc not null."""
-    spark = docs.sparkSession
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = min(20, max(8, int(total / 35 / entries_per_bucket).bit_length()))
     splits = split_points(docs.select("doc"), F.col("doc"), batches)
-    index = SuffixIndex(docs, length, k, bits)
+    index = SuffixIndex(docs, length, k, entries_per_bucket)
     for i in range(len(splits) + 1):
         batch = docs
         if i:
@@ -414,8 +481,8 @@ def repeated_spans(docs: DataFrame, length: int = 100, batches: int = 4, k: int
             batch = batch.filter(F.col("doc") < splits[i])
         index.add(batch, keep=i < len(splits))
     index.close()
-    edges = materialize(compare_edges(docs, index.found(CANDIDATE), length, bits).select("doc", "data"), "suffix-edges", "none")
-    release(spark)
+    edges = materialize(compare_edges(docs, index.found(CANDIDATE), length, index.bits).select("doc", "data"), "suffix-edges", "none")
+    release(docs.sparkSession)
     return index.found(REMOVED).unionByName(edges)
 
 
