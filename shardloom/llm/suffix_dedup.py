@@ -10,7 +10,7 @@ context, and cut into buckets by bounds from a sample of that order; each bucket
 Batches of documents come in the order of doc_id. A new batch gets its suffix array, which is
 merge-scanned bucket by bucket against all existing levels: an entry with equal leading bytes and context in an
 older level, or earlier in the batch, repeats all its strings. Entries whose leading bytes
-are shared and whose contexts differ, but agree on one side (the edges of a repeat), are kept as candidates. Equal-sized levels then merge:
+are shared and whose contexts differ, but agree on one side (the edges of a repeat), are kept as candidates, with their strings on that side. Equal-sized levels then merge:
 after batch i the new array is merged with levels 0..t-1 into level t, t being the number of trailing ones of i, and a
 merge keeps the earliest of equal entries. At last the candidates' strings are compared one by one, by two hashes (96 bits) of all
 ``length`` bytes grouped over the corpus, and the earliest of each is kept.
@@ -76,7 +76,7 @@ def string_starts(bounds: np.ndarray, length: int, n: int) -> np.ndarray:
 
 
 def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, length: int, k: int, most: int = 1 << 19) -> Iterator[tuple[np.ndarray, ...]]:
-    """(leading bytes as big-endian words, context, document, first string, side hashes, strings) of the entries of each slice; k is a multiple of 8.
+    """(leading bytes as big-endian words, context, document, first string, its bytes left of the leading ones and the side hashes, strings) of the entries of each slice; k is a multiple of 8.
 
     A string that holds the minimizer has at least half of its other bytes on one side of it. So
     entries share a string only if they agree on that many bytes to the left or to the right, of
@@ -115,7 +115,7 @@ def sampled_suffixes(data: np.ndarray, offsets: np.ndarray, length: int, k: int,
         side_l = np.where(at - half >= bounds[doc], 1 + span_hash(p, left, at) % U(255), U(0))
         side_r = np.where(at + k + half <= bounds[doc + 1], 1 + span_hash(p, at + k, right) % U(255), U(0))
         lead = np.ascontiguousarray(part[at[:, None] + np.arange(k)]).view(">u8").astype(U)
-        yield lead, context, doc + d, s - bounds[doc] + shift[doc], (side_l << U(8) | side_r).astype(I), e - s + 1
+        yield lead, context, doc + d, s - bounds[doc] + shift[doc], (at - s) << 16 | (side_l << U(8) | side_r).astype(I), e - s + 1
 
 
 def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -144,7 +144,7 @@ def per_document(kind: int, doc: np.ndarray, start: np.ndarray, n: np.ndarray, b
 
 
 class Entries:
-    """Sorted entries of a suffix array: leading bytes, context, document, place (first string, side hashes and count packed)."""
+    """Sorted entries of a suffix array: leading bytes, context, document, place (first string, its bytes left of the leading ones, side hashes and count packed)."""
 
     def __init__(self, lead: np.ndarray, context: np.ndarray, doc: np.ndarray, place: np.ndarray, source: np.ndarray | None = None):
         self.lead, self.context, self.doc, self.place = lead, context, doc, place
@@ -173,7 +173,17 @@ class Entries:
 
     def strings(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, first string, strings)."""
-        return self.doc, self.place >> 24, self.place & 0xFF
+        return self.doc, self.place >> 32, self.place & 0xFF
+
+    def strings_near(self, left: np.ndarray, right: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``strings`` of the side (half of a string's other bytes or more) on which an entry agrees with another one."""
+        doc, start, n = self.strings()
+        other = length - 8 * self.lead.shape[1]
+        half, before = (other + 1) // 2, (self.place >> 24) & 0xFF
+        first = np.where(left, 0, np.maximum(0, before - (other - half)))
+        end = np.where(right, n, np.minimum(n, before - half + 1))
+        has = (left | right) & (end > first)
+        return doc[has], (start + first)[has], (end - first)[has]
 
     def ordered_bytes(self) -> np.ndarray:
         """Leading bytes and context as byte strings, whose order is that of the entries."""
@@ -184,13 +194,14 @@ class Entries:
         lead = self.lead.copy()
         lead[1:, 0] -= self.lead[:-1, 0]
         sides = (self.place >> 8).astype("<u2")
-        return freeze(*lead.T, self.context, self.doc, (self.place >> 24).astype("<u4"), sides, self.place.astype("<u1"))
+        left = (self.place >> 24).astype("<u1")
+        return freeze(*lead.T, self.context, self.doc, (self.place >> 32).astype("<u4"), left, sides, self.place.astype("<u1"))
 
     @classmethod
     def of(cls, blob: bytes, words: int, source: int) -> Entries:
-        *lead, context, doc, start, sides, n = thaw(blob, *["<u8"] * words, "<u8", "<i8", "<u4", "<u2", "<u1")
+        *lead, context, doc, start, left, sides, n = thaw(blob, *["<u8"] * words, "<u8", "<i8", "<u4", "<u1", "<u2", "<u1")
         lead[0] = np.cumsum(lead[0], dtype=U)
-        return cls(np.column_stack(lead), context, doc, start.astype(I) << 24 | sides.astype(I) << 8 | n, np.full(len(n), source, np.int8))
+        return cls(np.column_stack(lead), context, doc, start.astype(I) << 32 | left.astype(I) << 24 | sides.astype(I) << 8 | n, np.full(len(n), source, np.int8))
 
     @classmethod
     def concat(cls, many: list[Entries]) -> Entries:
@@ -252,7 +263,7 @@ def scan_batch(docs: DataFrame, length: int, k: int, buckets: Buckets, flush: in
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             data, offsets = buffer(batch.column(1))
             for lead, context, doc, start, sides, n in sampled_suffixes(data, offsets, length, k):
-                held.append(Entries(lead, context, ids[doc], start << 24 | sides << 8 | n))
+                held.append(Entries(lead, context, ids[doc], start << 32 | sides << 8 | n))
                 if sum(map(len, held)) >= flush:
                     yield from give()
                     held = []
@@ -298,12 +309,12 @@ def merge_scan(bucket: int, blobs: list[tuple[int, bytes]], length: int, buckets
         group = np.cumsum(entries.new_leads()) - 1
         fresh = np.bincount(group, weights=new)
         edge = ((np.bincount(group) > 1) & (fresh > 0))[group]
-        near = np.zeros(len(group), bool)
-        for bit in (16, 8):
+        near = [buckets.cut(bucket, entries) & new] * 2
+        for i, bit in enumerate((16, 8)):
             side = (entries.place >> bit) & 0xFF
             _, back, count = np.unique(group * 256 + side, return_inverse=True, return_counts=True)
-            near |= (count[back] > 1) & (side > 0)
-        doc, start, n = entries.take(edge & near | new & buckets.cut(bucket, entries)).strings()
+            near[i] = near[i] | edge & (count[back] > 1) & (side > 0)
+        doc, start, n = entries.strings_near(*near, length)
         rows += per_document(CANDIDATE, doc, start, n, buckets.count)
     if into is not None:
         own = entries.take(entries.source < merged)
@@ -334,7 +345,7 @@ def bucket_bounds(docs: DataFrame, length: int, k: int, expected: float, buckets
             passed += len(batch)
 
     sample = docs.filter(F.pmod(F.xxhash64("doc"), F.lit(4096)) < math.ceil(4096 * share)).select("text")
-    found = sample.mapInArrow(order, "entry binary").orderBy("entry").mapInArrow(every, "entry binary").toArrow()
+    found = sample.mapInArrow(order, "entry binary").distinct().orderBy("entry").mapInArrow(every, "entry binary").toArrow()
     return Buckets(sorted(set(found["entry"].to_pylist())), k)
 
 

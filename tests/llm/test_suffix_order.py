@@ -15,7 +15,7 @@ from .test_llm import brute_removal, frame, text
 def entries_of(texts, length=100, k=24):
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
-    got = [Entries(lead, context, doc, start << 24 | sides << 8 | n) for lead, context, doc, start, sides, n in suffix_dedup.sampled_suffixes(np.frombuffer(b"".join(raw), np.uint8), offsets, length, k)]
+    got = [Entries(lead, context, doc, start << 32 | sides << 8 | n) for lead, context, doc, start, sides, n in suffix_dedup.sampled_suffixes(np.frombuffer(b"".join(raw), np.uint8), offsets, length, k)]
     return raw, Entries.concat(got).sort()
 
 
@@ -29,6 +29,16 @@ def test_entries_are_in_the_order_of_their_suffixes():
         assert any(raw[doc].startswith(lead, at) for at in range(start + n - 1, start + 100 - 23))
 
 
+def test_strings_of_the_agreeing_side():
+    _, entries = entries_of([text(60, random.Random(i)) for i in range(9)])
+    yes, no = np.ones(len(entries), bool), np.zeros(len(entries), bool)
+    doc, start, n = entries.strings()
+    before = (entries.place >> 24) & 0xFF
+    for left, right in ((yes, yes), (yes, no), (no, yes), (no, no)):
+        got = {(d, s + j) for d, s, m in zip(*entries.strings_near(left, right, 100), strict=True) for j in range(m)}
+        assert got == {(d, s + j) for d, s, m, b in zip(doc, start, n, before, strict=True) for j in range(m) if (left[0] and b - j >= 38) or (right[0] and 76 - (b - j) >= 38)}
+
+
 def test_buckets_are_ranges_of_bytes_and_blobs_give_entries_back():
     pick = random.Random(4)
     _, entries = entries_of(["".join(pick.choice("aé\0") for _ in range(500)) for _ in range(20)])
