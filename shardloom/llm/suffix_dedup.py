@@ -33,6 +33,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -339,7 +340,8 @@ def bucket_bounds(docs: DataFrame, length: int, k: int, expected: float, buckets
                 yield pa.RecordBatch.from_arrays([pa.array([raw[i : i + k + 8] for i in range(0, len(raw), k + 8)], pa.binary())], names=["entry"])
 
     def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passed = 0
+        # Partitions can be shorter than a step: each begins elsewhere in one, evenly spread by the golden ratio.
+        passed = int(step * (TaskContext.get().partitionId() * 0.6180339887498949 % 1))
         for batch in batches:
             yield batch.take(pa.array(np.arange((-passed - 1) % step, len(batch), step)))
             passed += len(batch)
