@@ -358,6 +358,8 @@ def b13_pack_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select name, profile, preset, case when page_id is not null then 'assets-v0.10.0' else 'assets-v0.9.0' end as release_tag from (select name, p.profile, p.preset, n.page_id from shards_prev p left join shards_now n using (name, profile, preset) union select name, profile, preset, page_id from shards_now)", "shards_now", "shards_prev")
 def e4_manifest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    old = s.shards_prev(spark, sf_dir).withColumn("release_tag", F.lit("assets-v0.9.0"))
-    new = s.shards_now(spark, sf_dir).withColumn("release_tag", F.lit("assets-v0.10.0"))
-    return release.manifest_snapshot(old.unionByName(new), ["name", "profile", "preset"]).select("name", "profile", "preset", "release_tag")
+    """A name's pages in the new release are told apart, those in the old one aren't."""
+    family = ["name", "profile", "preset"]
+    old = s.shards_prev(spark, sf_dir).select(*family, F.lit(None).cast("long").alias("page_id"), F.lit("assets-v0.9.0").alias("release_tag"))
+    new = s.shards_now(spark, sf_dir).select(*family, "page_id", F.lit("assets-v0.10.0").alias("release_tag"))
+    return release.manifest_snapshot(old.unionByName(new).distinct(), family).select(*family, "release_tag")

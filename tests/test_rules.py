@@ -4,11 +4,13 @@ import hashlib
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from shardloom.functions import geometry, keys
+from shardloom.jobs import shipping
 from shardloom.operators import build, dedup, encoders, rasters, release, shards, validate
 from shardloom.sources import catalog, config, packs
 
@@ -208,6 +210,23 @@ def test_versions_order_by_number(spark):
     assert {r["fam"]: r["name"] for r in release.manifest_snapshot(rows, ["fam"]).collect()} == {"f": "b", "g": "d", "h": "w"}
 
 
+def test_a_snapshot_has_all_rows_of_the_latest_release(spark):
+    history = [("f", "v0.9.0", "a"), ("f", "v0.10.0", "b"), ("f", "v0.10.0", "c"), ("g", "x", "d"), ("g", "y", "e"), (None, "v1.0.0", "h"), (None, "v2.0.0", "i")]
+    rows = spark.createDataFrame(history, "fam string, release_tag string, name string")
+    assert sorted(r["name"] for r in release.manifest_snapshot(rows, ["fam"]).collect()) == ["b", "c", "e", "h", "i"]
+
+
+def test_pages_that_share_a_url_are_in_the_snapshot(spark, tmp_path):
+    urls = ["http://h/en/1", "http://h/en/2", "http://h/en/3", "http://h/en/1", None, None, "http://h/en/7", "http://h/en/8", "http://h/en/9", "http://h/en/1", "http://h/en/11", None]
+    spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view pages as from '{tmp_path}/pages.parquet/*.parquet'")
+    got = [tuple(r) for r in shipping.e4_manifest_snapshot(spark, str(tmp_path)).collect()]
+    want = con.sql(shipping.ORACLES["e4_manifest_snapshot"]).fetchall()
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert sum(r[0] == urls[0] for r in got) == 3
+
+
 def test_failures_stop_a_release(spark):
     rows, bad = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(9,)], "y int")
     assert release.refuse_failures(rows, bad.limit(0)).count() == 1
