@@ -91,8 +91,9 @@ def a1_read_materials(spark: SparkSession, sf_dir: str) -> DataFrame:
 def a4_scan_blobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of a file for each supplier, in a folder for its nation."""
     path = s.scratch(spark, "blobs")
-    rows = s.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("tpage"), F.col("s_suppkey").alias("name"), F.concat("s_name", F.lit("#"), F.rint("s_acctbal").cast("long").cast("string")).alias("value"))
-    rows.repartition("tpage").write.partitionBy("tpage", "name").text(path)
+    text = F.concat("s_name", F.lit("#"), F.rint("s_acctbal").cast("long").cast("string"), F.lit("\n"))
+    rows = s.table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("string").alias("tpage"), F.col("s_suppkey").cast("string").alias("name"), F.lit("blob").alias("map_kind"), text.alias("content"))
+    sources.write_blobs(rows, path, "txt")
     return sources.scan_blobs(spark, path, "*.txt").select("tpage", "name", "sha256", "size")
 
 

@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .files import can_stream, hash_files, list_files
+from .files import can_stream, hash_files, list_files, write_files
 from .scratch import scratch
 
 MATERIAL = (
@@ -64,6 +64,18 @@ def scan_blobs(spark: SparkSession, root: str, glob: str = "*.png") -> DataFrame
     return hashed.select(*[F.regexp_extract("path", at, i).alias(n) for i, n in enumerate(("tpage", "name", "map_kind"), 1)], "sha256", "size")
 
 
+def write_blobs(blobs: DataFrame, root: str, ending: str = "png") -> None:
+    """A file tpage/name/map_kind.ending for each row (tpage, name, map_kind, content).
+
+    Tasks write them as they come. Where the workers can't open the root's scheme, Spark's writer of text does: contents are lines there, kinds are lost, and the ending is txt.
+    """
+    if can_stream(root):
+        path = F.concat("tpage", F.lit("/"), "name", F.lit("/"), "map_kind", F.lit(f".{ending}"))
+        write_files(blobs.select(path.alias("path"), "content"), root)
+    else:
+        blobs.select("tpage", "name", F.regexp_replace("content", "\\n$", "")).repartition("tpage", "name").write.partitionBy("tpage", "name").text(root)
+
+
 def parse_pointer(text: Column) -> list[Column]:
     """oid and size of a large-file pointer text."""
     return [F.regexp_extract(text, r"oid sha256:([0-9a-f]{64})", 1).alias("oid"), F.regexp_extract(text, r"(?m)^size (\d+)$", 1).cast("long").alias("size")]

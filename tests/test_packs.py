@@ -158,6 +158,24 @@ def test_blobs_are_hashed_as_streams(spark, tmp_path):
     assert not files.can_stream("viewfs://store/in") and files.can_stream(f"file://{tmp_path}")
 
 
+def test_blobs_are_written_by_their_tasks_and_listed_below_few_folders(spark, tmp_path):
+    rows = [(f"t{i % 2}", f"n{i}", kind, bytearray(f"{i}{kind}\n".encode() * (i % 3))) for i in range(300) for kind in ("albedo", "height")]
+    root = f"file://{tmp_path}/blobs"
+    catalog.write_blobs(spark.createDataFrame(rows, "tpage string, name string, map_kind string, content binary"), root)
+    want = {(t, n, k, hashlib.sha256(c).hexdigest(), len(c)) for t, n, k, c in rows}
+    assert {tuple(r) for r in catalog.scan_blobs(spark, root).collect()} == want
+    assert len([*(tmp_path / "blobs").rglob("*.png")]) == 600 == len([x for x in (tmp_path / "blobs").rglob("*") if x.is_file()])
+    (tmp_path / "blobs" / "top.png").write_bytes(b"x")
+    (tmp_path / "blobs" / "t0" / "_hidden").mkdir()
+    (tmp_path / "blobs" / "t0" / "_hidden" / "no.png").write_bytes(b"x")
+    listed = files.list_files(spark, root, "*.png")
+    assert listed.count() == 601 and listed.columns == ["path", "size"]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # what lies below a folder's folders is dealt out again
+    with pytest.raises(Exception, match="no content"):
+        files.write_files(spark.createDataFrame([("a", None)], "path string, content binary"), f"file://{tmp_path}/bad")
+
+
 def test_lock_tree_hashes_parts_in_order(spark):
     oids = [hashlib.sha256(bytes([i])).hexdigest() for i in range(200)]
     parts = {}
