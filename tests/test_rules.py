@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shardloom.functions import geometry, keys
+from shardloom.jobs import catalog as jobs
 from shardloom.jobs import shipping
 from shardloom.operators import build, dedup, encoders, rasters, release, shards, validate
 from shardloom.sources import catalog, config, packs
@@ -227,6 +228,14 @@ def test_pages_that_share_a_url_are_in_the_snapshot(spark, tmp_path):
     assert sum(r[0] == urls[0] for r in got) == 3
 
 
+def test_the_report_is_made_of_one_table_of_outputs(spark, monkeypatch):
+    made, write = [], jobs.build.write_report
+    monkeypatch.setattr(jobs.build, "write_report", lambda failures, shards, counters, path: made.extend((failures, counters)) or write(failures, shards, counters, path))
+    assert jobs.a8_written_report(spark, "/root/testdata/sf0.001").count() > 0
+    for part in made:
+        assert part.inputFiles() and all("/outputs-" in f for f in part.inputFiles())
+
+
 def test_failures_stop_a_release(spark):
     rows, bad = spark.createDataFrame([(1,)], "x int"), spark.createDataFrame([(9,)], "y int")
     assert release.refuse_failures(rows, bad.limit(0)).count() == 1
