@@ -14,7 +14,8 @@ repeated image ids are not told apart, so ids are unique.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,29 +36,65 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+#: What a task gathers before it hands a batch on: this many rows, or bytes of them.
+ROWS, BYTES = 4096, 1 << 20
+
+
+def batches_of(schema: str, rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """``rows`` in batches of at most ``ROWS``, and of less than ``BYTES`` but for their last row."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 8 * len(row) + sum(len(v) for v in row if isinstance(v, bytes))
+        if len(held) >= ROWS or size >= BYTES:
+            yield _batch(schema, held)
+            held, size = [], 0
+    if held:
+        yield _batch(schema, held)
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, of which a few are Python objects at a time."""
+    for batch in batches:
+        n = max(1, min(ROWS, BYTES * batch.num_rows // max(1, batch.nbytes)))
+        for start in range(0, batch.num_rows, n):
+            yield from zip(*(c.to_pylist() for c in batch.slice(start, n).columns), strict=True)
+
+
 def per_tile(tiles: DataFrame, schema: str, kernel, *more: str) -> DataFrame:
     """Rows that ``kernel`` yields for each tile, a dictionary of its columns."""
     names = [*NAMES, *more]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):  # a batch of rows at a time would hold many tiles' results
-                rows = list(kernel({n: batch.column(k)[i].as_py() for k, n in enumerate(names)}))
-                if rows:
-                    yield _batch(schema, rows)
+        return batches_of(schema, (row for values in _rows(batches) for row in kernel(dict(zip(names, values, strict=True)))))
 
     return tiles.select(*names).mapInArrow(scan, schema)
 
 
+def per_group(rows: DataFrame, key: list[str], schema: str, kernel) -> DataFrame:
+    """Rows that ``kernel`` yields for the rows of each ``key``, a list of dictionaries. A task takes its groups from a sorted stream and holds one of them."""
+    names = rows.columns
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stream = (dict(zip(names, values, strict=True)) for values in _rows(batches))
+        groups = groupby(stream, key=lambda r: [r[k] for k in key])
+        return batches_of(schema, (row for _, group in groups for row in kernel(list(group))))
+
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(scan, schema)
+
+
 def to_tiles(images: DataFrame, size: int) -> DataFrame:
     """Tiles of whole images of bytes (image_id, w, h, c, data as an array)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for image, w, h, c, data in zip(*(x.to_pylist() for x in batch.columns), strict=True):
-                a = np.asarray(data or [], np.uint8).reshape(h, w, c)
-                for y in range(0, h, size):
-                    yield _batch(TILE, [(image, 0, y // size, x // size, (t := a[y : y + size, x : x + size]).shape[1], t.shape[0], c, w, h, t.tobytes()) for x in range(0, w, size)])
+        return batches_of(TILE, (row for image in _rows(batches) for row in tiles_of(*image)))
+
+    def tiles_of(image: int, w: int, h: int, c: int, data: list | None) -> Iterator[tuple]:
+        a = np.asarray(data or [], np.uint8).reshape(h, w, c)
+        for y in range(0, h, size):
+            for x in range(0, w, size):
+                t = a[y : y + size, x : x + size]
+                yield image, 0, y // size, x // size, t.shape[1], t.shape[0], c, w, h, t.tobytes()
 
     whole = [F.col(n).cast("int").alias(n) for n in ("w", "h", "c")]
     return images.select("image_id", *whole, F.transform("data", lambda v: v.cast("int")).alias("data")).mapInArrow(cut, TILE)
@@ -103,19 +140,18 @@ def next_level(tiles: DataFrame, semantic: str, size: int) -> DataFrame:
     parts = per_tile(tiles.filter(F.greatest("width", "height") > size), TILE, halve)
     half = size // 2
 
-    def assemble(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
+    def assemble(rows: list[dict]) -> Iterator[tuple]:
         t = rows[0]
-        y, x = t["y"] // 2, t["x"] // 2
+        y, x = t["_y"], t["_x"]
         w, h = min(size, t["width"] - x * size), min(size, t["height"] - y * size)
         a = np.zeros((h, w, t["c"]))
         for r in rows:
             top, left = r["y"] % 2 * half, r["x"] % 2 * half
             a[top : top + r["h"], left : left + r["w"]] = pixels(r)
-        return pa.Table.from_batches([_batch(TILE, [(t["image_id"], t["level"], y, x, w, h, t["c"], t["width"], t["height"], a.tobytes())])])
+        yield t["image_id"], t["level"], y, x, w, h, t["c"], t["width"], t["height"], a.tobytes()
 
-    place = [F.floor(F.col(n) / 2).cast("int").alias(f"_{n}") for n in "yx"]
-    return parts.groupBy("image_id", *place).applyInArrow(lambda _, group: assemble(group), TILE)  # at most four parts of a quarter tile
+    place = {f"_{n}": F.floor(F.col(n) / 2).cast("int") for n in "yx"}
+    return per_group(parts.withColumns(place), ["image_id", *place], TILE, assemble)  # at most four parts of a quarter tile
 
 
 def tile_chain(tiles: DataFrame, semantic: str, size: int) -> DataFrame:
@@ -210,14 +246,13 @@ def tile_wavelength(tiles: DataFrame, size: int) -> DataFrame:
             top, left = (t["y"] * size + int(rows[0])) // step, (t["x"] * size + int(columns[0])) // step
             yield t["image_id"], top, left, len(columns), len(rows), -(-t["width"] // step), -(-t["height"] // step), part.tobytes()
 
-    def measure(group: pa.Table) -> pa.Table:
-        rows = group.to_pylist()
+    def measure(rows: list[dict]) -> Iterator[tuple]:
         a = np.zeros((rows[0]["height"], rows[0]["width"]), np.uint8)
         for r in rows:
             a[r["top"] : r["top"] + r["h"], r["left"] : r["left"] + r["w"]] = np.frombuffer(r["data"], np.uint8).reshape(r["h"], r["w"])
-        return pa.Table.from_batches([_batch("image_id long, lambda double", [(rows[0]["image_id"], rasters.wavelength(a.astype(float)))])])
+        yield rows[0]["image_id"], rasters.wavelength(a.astype(float))
 
-    return per_tile(tiles, sample, take).groupBy("image_id").applyInArrow(measure, "image_id long, lambda double")
+    return per_group(per_tile(tiles, sample, take), ["image_id"], "image_id long, lambda double", measure)
 
 
 def tile_stats(tiles: DataFrame, maps: DataFrame, size: int) -> DataFrame:
@@ -262,8 +297,8 @@ def tile_angles(pairs: DataFrame, rebuild_z: bool = True) -> DataFrame:
         def count(t: dict, shift: int = shift) -> Iterator[tuple]:
             bits = angles(t).view(np.int64) >> shift
             inside = bits[bits >> 16 == t["prefix"]] & 0xFFFF
-            n = np.bincount(inside)
-            yield from ((t["image_id"], t["prefix"], int(b), int(n[b])) for b in np.flatnonzero(n))
+            bins, n = np.unique(inside, return_counts=True)
+            yield from ((t["image_id"], t["prefix"], int(b), int(k)) for b, k in zip(bins, n, strict=True))
 
         wanted = state.select("image_id", "prefix").distinct()
         bins = per_tile(pairs.join(wanted, "image_id"), "image_id long, prefix long, bin int, n long", count, "dec", "prefix").groupBy("image_id", "prefix", "bin").agg(F.sum("n").alias("n"))

@@ -114,6 +114,23 @@ def test_percentiles_of_tiles_are_exact(spark, rebuild):
         assert got[i]["ang_max_deg"] == angle.max() and got[i]["ang_mean_deg"] == pytest.approx(angle.mean(), abs=1e-12)
 
 
+def test_tasks_hand_on_bounded_batches_of_many_rows():
+    small = [x.num_rows for x in tiles.batches_of("image_id long, n long", ((i, 1) for i in range(10_000)))]
+    assert small == [4096, 4096, 1808]
+    large = [x.num_rows for x in tiles.batches_of("image_id long, data binary", ((i, bytes(400_000)) for i in range(7)))]
+    assert large == [3, 3, 1]
+    assert not [*tiles.batches_of("n long", iter(()))]
+
+
+def test_groups_of_small_images_need_no_call_each(spark):
+    images = {i: image(8, 8, 1) for i in range(40)}
+    base = table(spark, images, 4)
+    for rows in (tiles.next_level(base, "data", 4), tiles.tile_wavelength(base, 4)):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "FlatMapGroupsInArrow" not in plan and plan.count("MapInArrow") == 2
+        assert rows.count() == 40 == rows.select("image_id").distinct().count()
+
+
 def test_empty_tables(spark):
     none = table(spark, {1: image(2, 2, 1)}, 16).limit(0)
     assert tiles.tile_chain(none, "data", 16).count() == 0
