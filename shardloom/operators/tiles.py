@@ -53,12 +53,30 @@ def batches_of(schema: str, rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
         yield _batch(schema, held)
 
 
-def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
-    """The rows of batches, of which a few are Python objects at a time."""
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of some ``ROWS`` or ``BYTES``."""
     for batch in batches:
         n = max(1, min(ROWS, BYTES * batch.num_rows // max(1, batch.nbytes)))
         for start in range(0, batch.num_rows, n):
-            yield from zip(*(c.to_pylist() for c in batch.slice(start, n).columns), strict=True)
+            yield batch.slice(start, n)
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, of which a few are Python objects at a time."""
+    for piece in _slices(batches):
+        yield from zip(*(c.to_pylist() for c in piece.columns), strict=True)
+
+
+def per_slice(tiles: DataFrame, schema: str, kernel) -> DataFrame:
+    """The arrays that ``kernel`` gives for the columns of some tiles at a time, which it takes as lists."""
+    kinds = [x.split() for x in schema.split(", ")]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in _slices(batches):
+            got = kernel(*(c.to_pylist() for c in piece.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(a, _ARROW[k]) for a, (_, k) in zip(got, kinds, strict=True)], names=[n for n, _ in kinds])
+
+    return tiles.mapInArrow(scan, schema)
 
 
 def per_tile(tiles: DataFrame, schema: str, kernel, *more: str) -> DataFrame:
@@ -276,15 +294,24 @@ def tile_angles(pairs: DataFrame, rebuild_z: bool = True) -> DataFrame:
     """
     spark = pairs.sparkSession
 
-    def angles(t: dict) -> np.ndarray:
-        ref, dec = (np.frombuffer(t[n], np.uint8).astype(float).reshape(-1, t["c"]) for n in ("data", "dec"))
-        return rasters.angles_between(ref, dec, rebuild_z)
-
-    def sums(t: dict) -> Iterator[tuple]:
-        a = angles(t)
-        yield t["image_id"], float(a.sum()), float(a.max()), len(a)
-
-    facts = per_tile(pairs, "image_id long, total double, most double, n long", sums, "dec").groupBy("image_id").agg(F.sum("total").alias("total"), F.max("most").alias("most"), F.sum("n").alias("n"))
+    def angles(c: list[int], data: list[bytes], dec: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The angles of all pixels of some tiles, and the place of each one's tile among them."""
+        values, owners = [np.zeros(0)], [np.zeros(0, int)]
+        for channels in sorted(set(c)):
+            rows = [i for i, n in enumerate(c) if n == channels]
+            ref, got = (np.frombuffer(b"".join(x[i] for i in rows), np.uint8).astype(float).reshape(-1, channels) for x in (data, dec))
+            values.append(rasters.angles_between(ref, got, rebuild_z))
+            owners.append(np.repeat(rows, [len(data[i]) // channels for i in rows]))
+        return np.concatenate(values), np.concatenate(owners)
+
+    def sums(image: list[int], *tile: list) -> tuple:
+        a, of = angles(*tile)
+        most = np.full(len(image), -np.inf)
+        np.maximum.at(most, of, a)
+        return image, np.bincount(of, a, len(image)), most, np.bincount(of, minlength=len(image))
+
+    pairs = pairs.select("image_id", "c", "data", "dec")
+    facts = per_slice(pairs, "image_id long, total double, most double, n long", sums).groupBy("image_id").agg(F.sum("total").alias("total"), F.max("most").alias("most"), F.sum("n").alias("n"))
     path = scratch(spark, "tile-angles")
     facts.write.parquet(path)
     facts = spark.read.parquet(path)
@@ -294,14 +321,18 @@ def tile_angles(pairs: DataFrame, rebuild_z: bool = True) -> DataFrame:
     for part in range(PARTS):
         shift = 16 * (PARTS - 1 - part)
 
-        def count(t: dict, shift: int = shift) -> Iterator[tuple]:
-            bits = angles(t).view(np.int64) >> shift
-            inside = bits[bits >> 16 == t["prefix"]] & 0xFFFF
-            bins, n = np.unique(inside, return_counts=True)
-            yield from ((t["image_id"], t["prefix"], int(b), int(k)) for b, k in zip(bins, n, strict=True))
+        def count(image: list[int], *tile: list, shift: int = shift) -> tuple:
+            *tile, prefix = tile
+            a, of = angles(*tile)
+            bits = a.view(np.int64) >> shift
+            inside = bits >> 16 == np.asarray(prefix, np.int64)[of]
+            known, place = np.unique(np.array([image, prefix], np.int64), axis=1, return_inverse=True)
+            bins, n = np.unique(place.ravel()[of[inside]] << 16 | bits[inside] & 0xFFFF, return_counts=True)
+            return *known[:, bins >> 16], bins & 0xFFFF, n
 
         wanted = state.select("image_id", "prefix").distinct()
-        bins = per_tile(pairs.join(wanted, "image_id"), "image_id long, prefix long, bin int, n long", count, "dec", "prefix").groupBy("image_id", "prefix", "bin").agg(F.sum("n").alias("n"))
+        held = pairs.join(wanted, "image_id").select(*pairs.columns, "prefix")
+        bins = per_slice(held, "image_id long, prefix long, bin int, n long", count).groupBy("image_id", "prefix", "bin").agg(F.sum("n").alias("n"))
         running = Window.partitionBy("image_id", "prefix").orderBy("bin")
         bins = bins.withColumn("before", F.sum("n").over(running.rowsBetween(Window.unboundedPreceding, -1))).withColumn("before", F.coalesce("before", F.lit(0)))
         found = state.join(bins, ["image_id", "prefix"]).filter((F.col("before") <= F.col("left")) & (F.col("left") < F.col("before") + F.col("n")))

@@ -131,6 +131,24 @@ def test_groups_of_small_images_need_no_call_each(spark):
         assert rows.count() == 40 == rows.select("image_id").distinct().count()
 
 
+def test_angles_of_small_images_are_taken_many_at_a_time(spark, monkeypatch):
+    images = {i: image(8, 8, 3) for i in range(300)}
+    decoded = {i: (a.astype(int) + rng.integers(-9, 10, a.shape)).clip(0, 255).astype(np.uint8) for i, a in images.items()}
+    pairs = table(spark, images, 4).join(table(spark, decoded, 4).select("image_id", "y", "x", F.col("data").alias("dec")), ["image_id", "y", "x"]).coalesce(1)
+    seen, slices = [], tiles.per_slice
+    monkeypatch.setattr(tiles, "per_slice", lambda rows, schema, kernel: seen.append((rows.columns, kernel)) or slices(rows, schema, kernel))
+    got = {r["image_id"]: r for r in tiles.tile_angles(pairs).collect()}
+    assert len(got) == 300 and len(seen) == 1 + tiles.PARTS
+    for i, a in images.items():
+        angle = rasters.angles_between(a.reshape(-1, 3).astype(float), decoded[i].reshape(-1, 3).astype(float))
+        assert got[i]["ang_p99_deg"] == pytest.approx(np.percentile(angle, 99), abs=1e-12)
+        assert got[i]["ang_max_deg"] == pytest.approx(angle.max(), abs=1e-12) and got[i]["ang_mean_deg"] == pytest.approx(angle.mean(), abs=1e-12)
+    columns, kernel = seen[0]
+    image_id, *rest = (list(c) for c in zip(*pairs.select(*columns).collect(), strict=True))
+    ids, total, most, n = kernel(image_id, *rest)
+    assert ids == image_id and len(total) == len(most) == 1200 and set(n) == {16}
+
+
 def test_empty_tables(spark):
     none = table(spark, {1: image(2, 2, 1)}, 16).limit(0)
     assert tiles.tile_chain(none, "data", 16).count() == 0
